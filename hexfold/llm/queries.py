@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexfold.llm import packing, tiff
+from hexfold.llm import factorisation, language, packing, tiff
 from hexfold.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op3_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.text_digest(table(spark, sf_dir, "documents"))
 
@@ -21,8 +25,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorisation.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_tiff": op3_tiff, "op4_packing": op4_packing}
+    return {f.__name__: f for f in (op2_language, op3_tiff, op4_packing, op7_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
