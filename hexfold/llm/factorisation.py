@@ -100,6 +100,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], seed: int = 7) -> Machin
     size = BUCKETS + STATISTICS
     model = Machine(0.0, np.zeros(size, np.float32), rng.normal(0, 0.01, (size, FACTORS)).astype(np.float32))
     if not rows:
+        model.factors[:] = 0
         return model
     w_sum, v_sum, b_sum = np.full(size, 1e-6, np.float32), np.full((size, FACTORS), 1e-6, np.float32), 1e-6
     positive = sum(y for *_, y in rows)
