@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexfold.llm import factorisation, language, packing, tiff
+from hexfold.llm import factorisation, language, minhash, packing, tiff
 from hexfold.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -25,12 +25,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factorisation.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language, op3_tiff, op4_packing, op7_quality)}
+    return {f.__name__: f for f in (op2_language, op3_tiff, op4_packing, op6_minhash, op7_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
