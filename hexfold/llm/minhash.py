@@ -9,11 +9,14 @@ they share one among the first ``size - o + 1``.  Rarest first, these prefixes
 make the inverted lists; a value that many unrelated documents hold is in
 hardly any prefix.
 
-No list is expanded into its pairs.  In a round, every list's leader is
-compared with the members that are not yet in its component; the estimate from
-the union's sketch filters, the full sets decide.  After ``ROUNDS`` rounds,
-members outside their list's largest component are compared with all members
-of other components, so no link between components is missed.
+No list is expanded into its pairs.  In a round, every list's leader (first
+the member whose values are most common, then one by hash) is compared with
+the members that are not yet in its component; the estimate from the union's
+sketch filters, the full sets decide.  What is still apart in some list then
+gets exact prefixes, of the full sets and by their rarest shingles: a variant
+with too many words of its own is in no list of these.  There, members outside
+their list's largest component are compared with all members of other
+components, so no link between components is missed.
 
 Empty and null texts have no shingle and no links.  A row without doc_id is
 returned with null component and kept false, and links nothing; rows that
@@ -35,6 +38,7 @@ from hexfold.llm.components import components
 
 K = 32
 ROUNDS = 2
+BITS = 512
 _MULTIPLIERS = np.random.default_rng(23).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -87,15 +91,20 @@ def sketches(docs: DataFrame, size: int, text: str = "text", k: int = K) -> Data
 
 
 def full_sets(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """cid (the doc_id) and its full set."""
+    """cid (the doc_id), its full set, and a bitmap of which hash remainders occur oddly often in it."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
 
     def run(batches):
         for batch, data, offsets in passes(batches, "_text"):
             values, bounds = shingle_sets(data, offsets, size)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(values, bounds)], names=["cid", "shingles"])
+            n = len(bounds) - 1
+            text_of = np.repeat(np.arange(n), np.diff(bounds))
+            odd = np.bincount(text_of * BITS + (values & np.uint64(BITS - 1)).astype(np.int64), minlength=n * BITS) & 1
+            bits = np.packbits(odd.astype(np.uint8).reshape(n, BITS), axis=1).view(np.int64)
+            bitmaps = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (BITS // 64)), pa.array(bits.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(values, bounds), bitmaps], names=["cid", "shingles", "bits"])
 
-    return source.mapInArrow(run, "cid long, shingles array<long>")
+    return source.mapInArrow(run, "cid long, shingles array<long>, bits array<long>")
 
 
 def least_overlap(percent: int, k: int = K) -> tuple[int, int]:
@@ -104,19 +113,35 @@ def least_overlap(percent: int, k: int = K) -> tuple[int, int]:
     return int(k * share) - 1, max(1, int(k * share - 5.3 * math.sqrt(k * share * (1 - share))))
 
 
+def prefixes(each: DataFrame, length: F.Column, size: F.Column) -> DataFrame:
+    """v, cid, n, common of the first values of each cid, rarest first; lists of one left out.
+
+    ``each`` has cid, n and v; of the ``size`` values that a cid has, those
+    held by no other come first and are counted, not listed.
+    """
+    shared = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    held = each.join(shared, "v").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("h"), F.sum("df").alias("common"))
+    left = F.greatest(F.lit(0), length - (size - F.size("h"))).cast("int")
+    index = held.select("cid", "n", "common", F.explode(F.slice("h", F.lit(1), left)).alias("e")).select(F.col("e.v").alias("v"), "cid", "n", "common")
+    index = written(index, "prefixes")
+    lists = index.groupBy("v").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    return written(index.join(lists, "v").select("v", "cid", "n", "common"), "index")
+
+
 def inverted(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """v, cid, n: the prefixes of the sketches, rarest values first; lists of one left out."""
+    """The lists of the sketches' prefixes."""
     small, shared = least_overlap(percent, k)
-    each = classes.select("cid", "n", F.explode("sketch").alias("v"))
-    common = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    held = each.join(common, "v").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("h"))
     overlap = F.when(F.col("n") <= small, F.ceil(F.col("n") * percent / 100)).otherwise(shared)
     size = F.least(F.col("n"), F.lit(k))
-    prefix = F.greatest(F.lit(0), size - overlap + 1 - (size - F.size("h")))  # rarer values come first
-    index = held.select("cid", "n", F.explode(F.slice("h", F.lit(1), prefix.cast("int"))).alias("e")).select(F.col("e.v").alias("v"), "cid", "n")
-    index = written(index, "prefixes")
-    lists = index.groupBy("v").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return written(index.join(lists, "v").select("v", "cid", "n"), "index")
+    return prefixes(classes.select("cid", "n", F.explode("sketch").alias("v")), size - overlap + 1, size)
+
+
+def exact(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Lists by full sets, of the cids that some list of ``members`` (v, cid, c) has in different components."""
+    apart = members.groupBy("v").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("v")
+    wanted = members.join(apart, "v").select("cid").distinct()
+    each = sets.join(wanted, "cid", "left_semi").select("cid", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("v"))
+    return prefixes(each, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1, F.col("n"))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, k: int = K) -> DataFrame:
@@ -139,20 +164,30 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int, te
     needed = index.select(F.col("cid").alias("doc_id")).distinct()
     sets = written(full_sets(docs.join(needed, "doc_id", "left_semi"), size, text).distinct(), "sets")
     close = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    links, tested, label = None, None, None
+    label = tested = links = None
+
+    def placed(lists: DataFrame) -> DataFrame:
+        if label is None:
+            return lists.withColumn("c", F.col("cid"))
+        return lists.join(label, lists.cid == label.node, "left").select("v", "cid", "n", "common", F.coalesce("component", "cid").alias("c"))
+
     for turn in range(ROUNDS + 1):
-        members = index if label is None else index.join(label, index.cid == label.node, "left").select("v", "cid", "n", F.coalesce("component", "cid").alias("c"))
-        members = members if label is not None else members.withColumn("c", F.col("cid"))
+        members = placed(index)
         if turn < ROUNDS:
-            order = F.struct(F.xxhash64(F.col("cid"), F.lit(turn)).alias("o"), F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-            leaders = members.groupBy("v").agg(F.min(order).alias("l")).select("v", "l.*")
+            first = -F.col("common") if turn == 0 else F.xxhash64(F.col("cid"), F.lit(turn))
+            leaders = members.groupBy("v").agg(F.min(F.struct(first.alias("o"), F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))).alias("l")).select("v", "l.*")
             pairs = members.join(leaders, "v").filter((F.col("c") != F.col("xc")) & close(F.col("n"), F.col("xn")))
         else:
+            members = placed(exact(members, sets, percent)).join(sets.select("cid", "bits"), "cid")
+            members = written(members, "members")
             sizes = members.groupBy("v", "c").agg(F.count(F.lit(1)).alias("size"))
             main = sizes.groupBy("v").agg(F.max(F.struct("size", "c")).alias("m"), F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("v", F.col("m.c").alias("mc"))
-            rest = members.join(main, "v").filter("c <> mc").select("v", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), "mc")
+            rest = members.join(main, "v").filter("c <> mc").select("v", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("bits").alias("xbits"), "mc")
+            # two sets differ in at least as many shingles as their bitmaps in bits
+            apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("xbits")[i])) for i in range(BITS // 64)), F.lit(0))
+            alike = apart * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("xn"))
             # of two members outside the largest component, one direction is enough
-            pairs = members.join(rest, "v").filter((F.col("c") != F.col("xc")) & ((F.col("c") == F.col("mc")) | (F.col("cid") < F.col("x"))) & close(F.col("n"), F.col("xn")))
+            pairs = members.join(rest, "v").filter((F.col("c") != F.col("xc")) & ((F.col("c") == F.col("mc")) | (F.col("cid") < F.col("x"))) & close(F.col("n"), F.col("xn")) & alike)
         pairs = pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
