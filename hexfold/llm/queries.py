@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexfold.llm import factorisation, language, minhash, packing, tiff
+from hexfold.llm import decontaminate, factorisation, html_text, language, licenses, minhash, packing, tiff
 from hexfold.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -33,9 +33,21 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return factorisation.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language, op3_tiff, op4_packing, op6_minhash, op7_quality)}
+    return {f.__name__: f for f in (op2_language, op3_tiff, op4_packing, op6_minhash, op7_quality, op8_decontaminate, op9_licenses, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontaminate": decontaminate.ORACLE_SQL}
