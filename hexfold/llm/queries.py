@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hexfold.llm import decontaminate, factorisation, html_text, language, licenses, minhash, packing, tiff
+from hexfold.llm import decontaminate, factorisation, html_text, language, licenses, minhash, packing, pseudo_likelihood, repeats, tiff
 from hexfold.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -46,7 +54,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language, op3_tiff, op4_packing, op6_minhash, op7_quality, op8_decontaminate, op9_licenses, op10_html)}
+    return {f.__name__: f for f in (op1_pseudo_likelihood, op2_language, op3_tiff, op4_packing, op5_repeats, op6_minhash, op7_quality, op8_decontaminate, op9_licenses, op10_html)}
 
 
 def oracle_sql() -> dict[str, str]:
