@@ -1,15 +1,67 @@
-"""A corpus pipeline of the training-data operators; see STAGES."""
+"""A corpus pipeline: quality, near-duplicates, repeated passages, benchmark passages, packing.
+
+Every stage takes the columns of ``documents`` and all but the last return
+them.  Rows without doc_id pass the stages that name documents by it.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hexfold.llm import decontaminate, factorisation, minhash, packing, repeats
+from hexfold.llm.common import table, written
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine does not reject."""
+    model = factorisation.quality_model(docs, table(spark, sf_dir, "labels"))
+    return factorisation.scored(docs, model, COLUMNS).filter("score >= 0.5").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least doc_id of each group of near-duplicates (five words, 0.8)."""
+    docs = docs.select(*COLUMNS)
+    gone = minhash.near_duplicates(docs).filter("not kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 400 bytes that start elsewhere too; characters cut in half go whole."""
+    out = repeats.cut(docs.withColumn("_text", F.col("text")), "_text", tuple(COLUMNS))
+    left = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
+    out = out.withColumn("text", F.when(F.col("n_removed") > 0, left).otherwise(F.col("text")))
+    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    docs = docs.select(*COLUMNS)
+    leaks = decontaminate.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boundary records of windows of 2048 ids."""
+    return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+
 
-STAGES = []
+STAGES = [
+    ("quality classifier", quality),
+    ("near-duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("benchmark passages", benchmark_passages),
+    ("packing", packed),
+]
+#: learned rejection and hashed sketches have no SQL; tests hold the stages against brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
