@@ -4,19 +4,20 @@ Wanted: every byte covered by a string of ``LENGTH`` bytes that also starts
 anywhere else.  Each window of that length is represented by its least-hashed
 8-byte gram among its first ``REACH`` places; equal windows have equal
 representatives at equal places, so only suffixes that begin at
-representatives need comparing, about ``2 / REACH`` of all.  Each shard (input
-partition) lists its suffixes with what precedes them; the merge refines
-blocks of suffixes that agree to a growing depth, and suffixes alone in their
-block retire:
+representatives need comparing, about ``2 / REACH`` of all.  Each shard (a
+pass over an input partition) lists its suffixes, equal ones as one row with
+their places; the merge refines blocks of suffixes that agree to a growing
+depth, and suffixes alone in their block retire.  A level names a suffix by
 
-1. by the ``LENGTH - REACH + 1`` bytes common to all windows of a suffix,
-2. by its whole context, from its first window's start to its last one's end:
-   where all of a block agree, all their windows are repeated,
-3. where contexts differ, by single windows, one suffix per distinct context.
+- the bytes common to all windows of a cell of it, its block, and
+- the bytes from its first window's start to its last one's end, its context.
 
-Blocks are named by 64-bit hashes, in step 3 by two.  Counting is by partial
-aggregation, so a string in a third of all rows is no large group.  Memory of
-a task is bounded by one pass of texts or one text.
+Where all of a block agree in context, all their windows are repeated, as they
+are for contexts met twice; one suffix per distinct context of a block goes on
+to the next level, with smaller ``CELLS`` of windows, down to single windows.
+Blocks are named by 64-bit hashes, one at every level.  Counting is by partial
+aggregation and equal suffixes of a shard are one row, so a string in a third
+of all rows is no large group.  A task holds one pass of texts or one text.
 
 Null texts are empty; texts shorter than ``LENGTH`` keep all; repeated rows
 are repeats of each other; no rows give no rows; other columns play no part.
@@ -35,6 +36,7 @@ from hexfold.llm.common import mixed, passes, prefix_hash, signed, span_hash, wr
 LENGTH = 400
 REACH = 256
 GRAM = 8
+CELLS = (32, 1)  #: windows of a cell at the levels after the first
 
 
 def representatives(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, reach: int = REACH):
@@ -66,63 +68,91 @@ def _keyed(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return docs.select(F.xxhash64(*keep, F.lit(1), text).alias("k"), F.xxhash64(text, *keep, F.lit(2)).alias("d"), F.col(text).alias("_text"), *keep)
 
 
+PLACE = "k long, d long, at long"
+
+
+def packed(first: np.ndarray, last: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """First window, further windows and distance to the suffix (under 65536 each) as one number."""
+    return first << 32 | (last - first) << 16 | (suffix - first)
+
+
 def suffixes(keyed: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
-    """k, d, first and last window, and the block names by common bytes and by context."""
+    """name, context, n, one place, and all places if there are more, of a shard's distinct suffixes."""
 
     def run(batches):
         for batch, data, offsets in passes(batches, "_text"):
             text, first, last, at = representatives(data, offsets, length, reach)
             prefix = prefix_hash(data)
-            core = span_hash(prefix, at, at + (length - reach + 1))
+            name = span_hash(prefix, at, at + (length - reach + 1))
             context = mixed(span_hash(prefix, first, last + length) + (at - first).astype(np.uint64))
-            rows, base = pa.array(text), offsets[:-1][text]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array((first - base)), pa.array((last - base)), pa.array(signed(core)), pa.array(signed(context))],
-                names=["k", "d", "p", "q", "core", "context"],
-            )
-
-    return keyed.select("k", "d", "_text").mapInArrow(run, "k long, d long, p long, q long, core long, context long")
-
-
-def windows(keyed: DataFrame, wanted: DataFrame, length: int = LENGTH) -> DataFrame:
-    """core, context, single, k, d, p and the name w of every window of the wanted suffixes."""
-    lists = wanted.groupBy("k", "d").agg(F.collect_list(F.struct("p", "q", "core", "context", "single")).alias("runs"))
+            order = np.lexsort((context, name))
+            name, context, text = name[order], context[order], text[order]
+            fresh = np.ones(len(name), bool)
+            fresh[1:] = (name[1:] != name[:-1]) | (context[1:] != context[:-1])
+            head = np.flatnonzero(fresh)
+            n = np.diff(np.append(head, len(name)))
+            base = offsets[:-1][text]
+            place = packed(first[order] - base, last[order] - base, at[order] - base)
+            rows = pa.array(text)
+            k, d, place = batch.column(0).take(rows), batch.column(1).take(rows), pa.array(place)
+            many = np.repeat(n > 1, n)
+            inner = pa.StructArray.from_arrays([x.filter(pa.array(many)) for x in (k, d, place)], names=["k", "d", "at"])
+            bounds = pa.array(np.concatenate(([0], np.cumsum(np.where(n > 1, n, 0)))).astype(np.int32))
+            more = pa.ListArray.from_arrays(bounds, inner, mask=pa.array(n <= 1))
+            one = pa.array(head)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(name[head])), pa.array(signed(context[head])), pa.array(n.astype(np.int64)), k.take(one), d.take(one), place.take(one), more], names=["name", "context", "n", "k", "d", "at", "more"])
+
+    return keyed.select("k", "d", "_text").mapInArrow(run, f"name long, context long, n long, {PLACE}, more array<struct<k: long, d: long, at: long>>")
+
+
+def cells(keyed: DataFrame, wanted: DataFrame, size: int, length: int = LENGTH) -> DataFrame:
+    """The wanted suffixes (places and n) as rows of a level: one per cell of ``size`` windows."""
+    lists = wanted.groupBy("k", "d").agg(F.collect_list(F.struct("at", "n", "name")).alias("runs"))
     source = keyed.join(lists, ["k", "d"]).dropDuplicates(["k", "d"]).select("k", "d", "runs", "_text")
-    schema = "core long, w long, context long, single boolean, k long, d long, p long"
 
     def run(batches):
         for batch, data, offsets in passes(batches, "_text"):
             runs = batch.column("runs")
             each = runs.flatten()
             row = np.repeat(np.arange(batch.num_rows), np.asarray(runs.value_lengths()))
-            p, q = (each.field(f).to_numpy() for f in ("p", "q"))
-            size = q - p + 1
-            which = np.repeat(np.arange(len(p)), size)
-            window = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + p[which]
-            start = window + offsets[:-1][row[which]]
-            name = signed(span_hash(prefix_hash(data), start, start + length))
-            take, rows = pa.array(which), pa.array(row[which])
-            yield pa.RecordBatch.from_arrays(
-                [each.field("core").take(take), pa.array(name), each.field("context").take(take), each.field("single").take(take), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(window)],
-                names=["core", "w", "context", "single", "k", "d", "p"],
-            )
+            at, n, parent = (each.field(f).to_numpy() for f in ("at", "n", "name"))
+            first = (at >> 32) + offsets[:-1][row]
+            last, suffix = first + (at >> 16 & 65535), first + (at & 65535)
+            low, high = (first - suffix) // size, (last - suffix) // size
+            which = np.repeat(np.arange(len(at)), high - low + 1)
+            cell = np.arange(len(which)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[which]
+            start = suffix[which] + cell * size  # of the cell's first window, which may be before the run
+            p, q = np.maximum(start, first[which]), np.minimum(start + size - 1, last[which])
+            prefix = prefix_hash(data)
+            name = mixed(span_hash(prefix, start + size - 1, start + length) ^ parent[which].view(np.uint64) * np.uint64(3) + cell.astype(np.uint64))
+            context = mixed(span_hash(prefix, p, q + length) + (p - start).astype(np.uint64))
+            rows = pa.array(row[which])
+            base = offsets[:-1][row[which]]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(signed(context)), pa.array(n[which]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(p - base << 32 | (q - p) << 16 | (suffix[which] - p))], names=["name", "context", "n", "k", "d", "at"])
+
+    return source.mapInArrow(run, f"name long, context long, n long, {PLACE}")
 
-    return source.mapInArrow(run, schema)
+
+def refined(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of which all windows are repeated, and one row per context of blocks that differ in it."""
+    blocks = rows.groupBy("name").agg(F.sum("n").alias("total"), F.min("context").alias("x"), F.max("context").alias("y")).filter("total > 1")
+    alive = written(rows.join(blocks.select("name", (F.col("x") != F.col("y")).alias("parted")), "name"), "blocks")
+    parted = alive.filter("parted")
+    contexts = written(parted.groupBy("name", "context").agg(F.sum("n").alias("n"), F.min(F.struct("k", "d", "at")).alias("r")).select("name", "context", "n", "r.*"), "contexts")
+    same = parted.join(contexts.filter("n > 1").select("name", "context"), ["name", "context"], "left_semi")
+    return alive.filter("not parted").drop("parted").union(same.drop("parted").select(*alive.drop("parted").columns)), contexts
 
 
 def repeated_runs(keyed: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
     """k, d, p, q: runs of windows that start elsewhere too."""
-    found = written(suffixes(keyed, length, reach), "suffixes")
-    blocks = found.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("x"), F.max("context").alias("y")).filter("n > 1")
-    alive = written(found.join(blocks.select("core", (F.col("x") != F.col("y")).alias("parted")), "core"), "blocks")
-    parted = alive.filter("parted")
-    contexts = written(parted.groupBy("core", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "d", "p", "q")).alias("r")), "contexts")
-    same = parted.join(contexts.filter("n > 1").select("core", "context"), ["core", "context"], "left_semi").select("k", "d", "p", "q")
-    wanted = contexts.select("core", "context", (F.col("n") == 1).alias("single"), "r.*")
-    each = written(windows(keyed, wanted, length), "windows")
-    shared = each.groupBy("core", "w").agg(F.min("context").alias("x"), F.max("context").alias("y")).filter("x <> y").select("core", "w")
-    partly = each.filter("single").join(shared, ["core", "w"], "left_semi").select("k", "d", "p", F.col("p").alias("q"))
-    return alive.filter("not parted").select("k", "d", "p", "q").union(same).union(partly)
+    found, contexts = refined(written(suffixes(keyed, length, reach), "suffixes"))
+    found = found.select(F.explode(F.coalesce("more", F.array(F.struct("k", "d", "at")))).alias("e")).select("e.*")
+    for size in CELLS:
+        # contexts met twice are done, and stay as witnesses for the others
+        done, contexts = refined(written(cells(keyed, contexts.select("k", "d", "at", "n", "name"), size, length), "cells"))
+        found = found.union(done.filter("n = 1").select("k", "d", "at"))
+    p = F.shiftright("at", 32)
+    return found.select("k", "d", p.alias("p"), (p + F.shiftright("at", 16).bitwiseAND(F.lit(65535))).alias("q"))
 
 
 def cut(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), length: int = LENGTH, reach: int = REACH) -> DataFrame:
