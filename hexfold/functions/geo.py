@@ -23,18 +23,28 @@ def utm_meridian(lon: float) -> float:
     return math.floor((lon + 180) / 6) * 6 - 177.0
 
 
-def utm(lon: Column, lat: Column, meridian: float) -> tuple[Column, Column]:
-    """Easting and northing in metres (no southern offset)."""
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def utm(lon: Column, lat: Column, meridian: float) -> Column:
+    """struct(x, y): easting and northing in metres (no southern offset)."""
     e = 2 * math.sqrt(_n) / (1 + _n)
-    sin = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(sin) - e * F.atanh(e * sin))
-    far = F.radians(lon - meridian)
-    xi, eta = F.atan2(t, F.cos(far)), F.atanh(F.sin(far) / F.sqrt(1 + t * t))
-    x, y = eta, xi
-    for j, a in enumerate(ALPHA, 1):
-        x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return EASTING + SCALE * _RADIUS * x, SCALE * _RADIUS * y
+    sin, far = F.sin(F.radians(lat)), F.radians(lon - meridian)
+
+    def series(s):
+        x, y = s["eta"], s["xi"]
+        for j, a in enumerate(ALPHA, 1):
+            x = x + a * F.cos(2 * j * s["xi"]) * F.sinh(2 * j * s["eta"])
+            y = y + a * F.sin(2 * j * s["xi"]) * F.cosh(2 * j * s["eta"])
+        return F.struct((EASTING + SCALE * _RADIUS * x).alias("x"), (SCALE * _RADIUS * y).alias("y"))
+
+    def sphere(s):
+        eta = F.atanh(F.sin(s["far"]) / F.sqrt(1 + s["t"] * s["t"]))
+        return let(F.struct(F.atan2(s["t"], F.cos(s["far"])).alias("xi"), eta.alias("eta")), series)
+
+    return let(F.struct(F.sinh(F.atanh(sin) - e * F.atanh(e * sin)).alias("t"), far.alias("far")), sphere)
 
 
 def from_utm(x: Column, y: Column, meridian: float) -> tuple[Column, Column]:
@@ -64,17 +74,19 @@ def centre(q: Column, r: Column, size: float) -> tuple[Column, Column]:
 def point_to_hex(x: Column, y: Column, size: float) -> Column:
     """struct(q, r) of the nearest centre among the six candidates (ties: least q, r)."""
     pitch = 1.5 * radius(size)
-    q0 = F.round(x / pitch).cast("int")
-    found = []
-    for dq in (-1, 0, 1):
-        q = q0 + dq
-        r0 = F.floor(y / size - F.pmod(q, F.lit(2)) * 0.5).cast("int")
-        for dr in (0, 1):
-            r = r0 + dr
-            cx, cy = centre(q, r, size)
-            found.append(F.struct(((x - cx) * (x - cx) + (y - cy) * (y - cy)).alias("d"), q.alias("q"), r.alias("r")))
-    best = F.least(*found)
-    return F.struct(best["q"].alias("q"), best["r"].alias("r"))
+
+    def nearest(p):
+        found = []
+        for dq in (-1, 0, 1):
+            q = p["q"] + dq
+            r0 = F.floor(p["y"] / size - F.pmod(q, F.lit(2)) * 0.5).cast("int")
+            for dr in (0, 1):
+                cx, cy = centre(q, r0 + dr, size)
+                dx, dy = p["x"] - cx, p["y"] - cy
+                found.append(F.struct((dx * dx + dy * dy).alias("d"), q.alias("q"), (r0 + dr).alias("r")))
+        return let(F.least(*found), lambda b: F.struct(b["q"].alias("q"), b["r"].alias("r")))
+
+    return let(F.struct(x.alias("x"), y.alias("y"), F.round(x / pitch).cast("int").alias("q")), nearest)
 
 
 def vertices(cx: Column, cy: Column, size: float) -> Column:

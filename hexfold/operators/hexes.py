@@ -16,7 +16,7 @@ def hex_grid(spark: SparkSession, box: tuple[float, float, float, float], size:
     x0, y0, x1, y1 = box
     meridian, R = geo.utm_meridian((x0 + x1) / 2), geo.radius(size)
     side = [(x0 + (x1 - x0) * i / 32, y0 + (y1 - y0) * j / 32) for i in range(33) for j in range(33) if i in (0, 32) or j in (0, 32)]
-    edge = spark.createDataFrame(side, "lon double, lat double").select(*[c.alias(n) for c, n in zip(geo.utm(F.col("lon"), F.col("lat"), meridian), "xy", strict=True)])
+    edge = spark.createDataFrame(side, "lon double, lat double").select(geo.utm(F.col("lon"), F.col("lat"), meridian).alias("p")).select("p.x", "p.y")
     a, b, c, d = edge.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
     q0, q1 = math.floor((a - R) / (1.5 * R)), math.ceil((c + R) / (1.5 * R))
     q0 -= (q0 + 1) % 2  # odd, so that column and q have one parity
@@ -34,8 +34,9 @@ def hex_grid(spark: SparkSession, box: tuple[float, float, float, float], size:
 
 def with_hex(points: DataFrame, size: float, meridian: float, lon: str = "lon", lat: str = "lat") -> DataFrame:
     """``points`` with x, y, q and r of the hex that holds each."""
-    x, y = geo.utm(F.col(lon), F.col(lat), meridian)
-    return points.withColumns({"x": x, "y": y}).withColumn("_h", geo.point_to_hex(F.col("x"), F.col("y"), size)).withColumns({"q": F.col("_h.q"), "r": F.col("_h.r")}).drop("_h")
+    at = geo.let(geo.utm(F.col(lon), F.col(lat), meridian), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), geo.point_to_hex(p["x"], p["y"], size).alias("h")))
+    at = points.withColumn("_p", at)
+    return at.withColumns({"x": F.col("_p.x"), "y": F.col("_p.y"), "q": F.col("_p.h.q"), "r": F.col("_p.h.r")}).drop("_p")
 
 
 def neighbors(hexes: DataFrame) -> DataFrame:

@@ -256,7 +256,7 @@ def oracle_sql() -> dict[str, str]:
     country = f"""WITH {pts}, c AS ({layers.COUNTRIES_SQL}), d AS (SELECT k, code, greatest(x0 - x, 0, x - x1) AS dx, greatest(y0 - y, 0, y - y1) AS dy FROM p, c),
  b AS (SELECT k, min_by(code, sqrt(dx * dx + dy * dy)) AS code FROM d WHERE sqrt(dx * dx + dy * dy) < 0.02 GROUP BY k),
  o AS (SELECT k, coalesce(b.code, '') AS code FROM p LEFT JOIN b USING (k))"""
-    occupied = f"{sh}, o AS (SELECT DISTINCT q, r, q * {1.5 * geo.radius(SIZE)!r} AS cx, (r + 0.5 * (q % 2)) * {SIZE} AS cy FROM hx)"
+    occupied = f"{sh}, o AS (SELECT DISTINCT q, r, q * CAST({1.5 * geo.radius(SIZE)!r} AS DOUBLE) AS cx, (r + 0.5e0 * (q % 2)) * CAST({SIZE} AS DOUBLE) AS cy FROM hx)"
     beside = "abs(a.q - b.q) <= 1 AND abs(a.r - b.r) <= 1 AND sqrt((a.cx - b.cx) ^ 2 + (a.cy - b.cy) ^ 2) BETWEEN 1990 AND 2010"
     edge = "CAST(CASE WHEN b.q > a.q THEN CASE WHEN b.cy > a.cy THEN 0 ELSE 5 END WHEN b.q < a.q THEN CASE WHEN b.cy > a.cy THEN 2 ELSE 3 END WHEN b.r > a.r THEN 1 ELSE 4 END AS INT)"
     sup = "SELECT s_suppkey, 4.0e0 + ((s_suppkey * 5791) % 10000) / 1e4 AS lon, 50.5e0 + ((s_suppkey * 7103) % 5000) / 1e4 AS lat FROM supplier"
