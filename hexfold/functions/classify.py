@@ -124,6 +124,58 @@ def is_impassable(biome: Column) -> Column:
     return is_water(biome) | (biome == "glacier")
 
 
+# fixed values: base movement cost (99: impassable), base defence and class of eight of each biome
+BIOMES = {
+    "plains": (1, 0, "clear"),
+    "steppe": (1, 0, "clear"),
+    "forest": (2, 1, "forest"),
+    "jungle": (3, 2, "forest"),
+    "rainforest": (4, 2, "forest"),
+    "desert": (2, 0, "desert"),
+    "badlands": (2, 1, "rough"),
+    "savanna": (1, 0, "clear"),
+    "hill": (2, 1, "rough"),
+    "mountain": (3, 2, "mountain"),
+    "highland_plateau": (2, 1, "rough"),
+    "glacier": (99, 0, "mountain"),
+    "tundra": (2, 0, "rough"),
+    "taiga": (3, 1, "forest"),
+    "marsh": (3, 0, "marsh"),
+    "swamp": (3, 1, "marsh"),
+    "mangrove": (3, 1, "marsh"),
+    "beach": (1, 0, "clear"),
+    "atoll": (1, 0, "clear"),
+    "volcanic_island": (3, 1, "rough"),
+    "water": (99, 0, "water"),
+    "coastal_water": (99, 0, "water"),
+    "lake": (99, 0, "water"),
+    "urban": (1, 2, "urban"),
+}
+# fixed values: movement cost of a class in the class block
+CLASS_COST = {"water": 99, "clear": 1, "rough": 2, "forest": 2, "mountain": 3, "marsh": 3, "desert": 2, "urban": 1}
+
+
+def base_cost(biome: Column) -> Column:
+    """Null for an unknown biome."""
+    return F.create_map(*[F.lit(x) for name, (cost, _, _) in BIOMES.items() for x in (name, cost)])[biome]
+
+
+def base_defense(biome: Column) -> Column:
+    """Null for an unknown biome."""
+    return F.create_map(*[F.lit(x) for name, (_, defense, _) in BIOMES.items() for x in (name, defense)])[biome]
+
+
+def terrain_class(biome: Column) -> Column:
+    """One of eight classes; plains-like and unknown biomes are clear."""
+    return _table(biome, {name: kind for name, (_, _, kind) in BIOMES.items()}, "clear")
+
+
+def class_block(biome: Column) -> Column:
+    """struct(terrain, cost, defense, blocks_los); the defence of this block is always 0."""
+    kind = terrain_class(biome)
+    return F.struct(kind.alias("terrain"), _table(kind, CLASS_COST, 99).alias("cost"), F.lit(0).alias("defense"), kind.isin("forest", "mountain", "urban").alias("blocks_los"))
+
+
 def norm_name(name: Column) -> Column:
     """Small letters without accents, punctuation as spaces; other scripts pass through."""
     plain = F.translate(F.lower(F.replace(name, F.lit("ß"), F.lit("ss"))), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")

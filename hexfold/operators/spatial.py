@@ -62,3 +62,14 @@ def nearest(points: DataFrame, targets: DataFrame, k: int, cell: float = 0.05) -
         if total == 0 or todo.isEmpty():
             return found
         ring *= 2
+
+
+def within(points: DataFrame, targets: DataFrame, degrees: float) -> DataFrame:
+    """Points (pid, x, y) with some target (x, y) nearer than ``degrees``, dx scaled by cos y; strict."""
+    wide = degrees / F.greatest(F.lit(0.01), F.cos(F.radians("y")))
+    span = lambda at, by: F.explode(F.sequence(F.floor((F.col(at) - by) / degrees), F.floor((F.col(at) + by) / degrees)))
+    each = points.select("pid", "x", "y", span("x", wide).alias("i")).select("*", span("y", F.lit(degrees)).alias("j"))
+    placed = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), F.floor(F.col("x") / degrees).alias("i"), F.floor(F.col("y") / degrees).alias("j")).distinct()
+    d = F.sqrt((F.col("ty") - F.col("y")) ** 2 + ((F.col("tx") - F.col("x")) * F.cos(F.radians("y"))) ** 2)
+    hits = each.join(placed, ["i", "j"]).filter(d < degrees).select("pid").distinct()
+    return points.join(hits, "pid", "left_semi")

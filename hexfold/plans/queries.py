@@ -48,6 +48,11 @@ def terrain_classes(spark, sf_dir):
     return terrain(spark, sf_dir).select("k", "biome", classify.elevation_tier(c("elev"), c("slope")).alias("tier"), classify.anthrome(c("biome"), c("landuse"), c("kind")).alias("anthrome"), classify.is_impassable(c("biome")).alias("impassable"))
 
 
+def terrain_costs(spark, sf_dir):
+    c = terrain(spark, sf_dir).withColumn("block", classify.class_block(F.col("biome")))
+    return c.select("k", classify.base_cost(F.col("biome")).alias("cost"), classify.base_defense(F.col("biome")).alias("defense"), F.col("block.terrain").alias("terrain"), F.col("block.cost").alias("class_cost"), F.col("block.blocks_los").alias("blocks_los"))
+
+
 def vegetation_moisture(spark, sf_dir):
     c = F.col
     return terrain(spark, sf_dir).select("k", classify.vegetation(c("landuse"), c("biome")).alias("vegetation"), classify.moisture(c("biome"), c("landuse"), c("elev"), c("lat"), c("lon")).alias("moisture"))
@@ -173,6 +178,12 @@ def nearest_cities(spark, sf_dir):
     return spatial.nearest(s, cities, 3).select("pid", "rank", "tid", F.round("d", 6).alias("d"))
 
 
+def near_bridges(spark, sf_dir):
+    """Settlements within a hexagon's radius of a bridge."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet").select((4.0 + ((F.col("s_suppkey") * 5791) % 10000) / 1e4).alias("x"), (50.5 + ((F.col("s_suppkey") * 7103) % 5000) / 1e4).alias("y"))
+    return spatial.within(points(spark, sf_dir), s, geo.radius(SIZE) / 111_320).select(F.col("pid").alias("k"))
+
+
 def layer_precedence(spark, sf_dir):
     s = settlements(spark, sf_dir)
     return tables.precedence([s.filter("k % 3 = 0").select("k", "kind"), s.select("k", F.col("place_type").alias("kind"))], ["k"], "kind")
@@ -209,9 +220,9 @@ def open_rings(spark, sf_dir):
 
 
 QUERIES = [
-    settlements_per_hex, settlement_classes, terrain_classes, vegetation_moisture, biome_distribution, run_summary, land_slope_p90,
+    settlements_per_hex, settlement_classes, terrain_classes, terrain_costs, vegetation_moisture, biome_distribution, run_summary, land_slope_p90,
     landuse_at_point, landuse_counts, country_at_point, country_rollup, hex_neighbors, coastal_hexes, hex_chains, roads, canal_selection,
-    unit_stacks, movement_paths, forces_by_side, name_scores, nearest_cities, layer_precedence, hex_diff, hex_fingerprint, quality_checks, osm_elements, open_rings,
+    unit_stacks, movement_paths, forces_by_side, name_scores, nearest_cities, near_bridges, layer_precedence, hex_diff, hex_fingerprint, quality_checks, osm_elements, open_rings,
 ]
 
 
@@ -270,6 +281,11 @@ def oracle_sql() -> dict[str, str]:
  CASE WHEN biome <> 'urban' AND kind = 'none' THEN CASE landuse WHEN 'farmland' THEN 'cropland' WHEN 'military' THEN 'fortified' WHEN 'quarry' THEN 'mining' ELSE 'none' END
   WHEN landuse = 'industrial' THEN 'industrial' WHEN kind IN ('metropolis', 'city') THEN 'metro' WHEN kind = 'town' THEN 'residential' ELSE 'none' END AS anthrome,
  {wet} OR biome = 'glacier' AS impassable FROM t""",
+        "terrain_costs": f"""{t} SELECT k, CAST(CASE WHEN {wet} OR biome = 'glacier' THEN 99 WHEN biome IN ('mountain', 'marsh', 'swamp') THEN 3 WHEN biome IN ('forest', 'desert', 'hill', 'highland_plateau', 'tundra') THEN 2 ELSE 1 END AS INT) AS cost,
+ CAST(CASE WHEN biome IN ('mountain', 'urban') THEN 2 WHEN biome IN ('forest', 'hill', 'highland_plateau', 'swamp') THEN 1 ELSE 0 END AS INT) AS defense,
+ CASE WHEN {wet} THEN 'water' WHEN biome IN ('hill', 'highland_plateau', 'tundra') THEN 'rough' WHEN biome IN ('mountain', 'glacier') THEN 'mountain' WHEN biome IN ('marsh', 'swamp') THEN 'marsh' WHEN biome IN ('forest', 'desert', 'urban') THEN biome ELSE 'clear' END AS terrain,
+ CAST(CASE WHEN {wet} THEN 99 WHEN biome IN ('mountain', 'glacier', 'marsh', 'swamp') THEN 3 WHEN biome IN ('hill', 'highland_plateau', 'tundra', 'forest', 'desert') THEN 2 ELSE 1 END AS INT) AS class_cost,
+ biome IN ('forest', 'mountain', 'glacier', 'urban') AS blocks_los FROM t""",
         "vegetation_moisture": f"""{t} SELECT k, CASE WHEN {wet} OR biome IN ('glacier', 'desert', 'beach') THEN 'bare' WHEN biome IN ('forest', 'swamp') OR landuse IN ('forest', 'wetland') THEN 'dense'
  WHEN landuse IN ('farmland', 'grass', 'residential', 'industrial') THEN 'light' WHEN landuse IN ('heath', 'scrub', 'sand') OR biome IN ('tundra', 'steppe') THEN 'sparse' WHEN biome = 'urban' THEN 'bare' ELSE 'light' END AS vegetation,
  CASE WHEN biome IN ('marsh', 'swamp') OR landuse = 'wetland' THEN 'flooded' WHEN biome = 'desert' THEN 'arid' WHEN biome IN ('steppe', 'tundra') THEN 'dry' WHEN lat < 30 AND lon > -5 THEN 'arid'
@@ -302,6 +318,7 @@ def oracle_sql() -> dict[str, str]:
  SELECT k, CAST(CASE WHEN a = b THEN 100 WHEN list_contains(x, b) OR list_contains(y, a) THEN 70 WHEN len(list_filter(list_intersect(x, y), lambda w: length(w) >= 4)) > 0 THEN 50 ELSE 0 END AS INT) AS score FROM x""",
         "nearest_cities": f"""WITH {s}, u AS ({sup}), d AS (SELECT s_suppkey AS pid, k AS tid, sqrt((s.lat - u.lat) ^ 2 + ((s.lon - u.lon) * cos(radians(u.lat))) ^ 2) AS d FROM u, s WHERE kind IN ('city', 'metropolis')),
  z AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY d, tid) AS rank FROM d) SELECT CAST(pid AS BIGINT) AS pid, CAST(rank AS INT) AS rank, tid, round(d, 6) AS d FROM z WHERE rank <= 3""",
+        "near_bridges": f"WITH {pts}, u AS ({sup}) SELECT k FROM p WHERE EXISTS (SELECT 1 FROM u WHERE sqrt((u.lat - y) ^ 2 + ((u.lon - x) * cos(radians(y))) ^ 2) < {geo.radius(SIZE) / 111_320!r})",
         "layer_precedence": f"WITH {s} SELECT k, CASE WHEN k % 3 = 0 THEN kind ELSE place_type END AS kind FROM s",
         "hex_diff": f"""{sh}, a AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE k % 7 <> 0 GROUP BY q, r), b AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE population > 0 GROUP BY q, r),
  j AS (SELECT a.n AS an, b.n AS bn, a.p AS ap, b.p AS bp FROM a FULL JOIN b ON a.q = b.q AND a.r = b.r)
