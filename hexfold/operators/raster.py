@@ -45,3 +45,26 @@ def hillshade(dem: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, ex
     ends = lit.agg(F.min("_l").alias("_a"), F.max("_l").alias("_b"))
     shade = F.when(F.col("_b") > F.col("_a"), (F.col("_l") - F.col("_a")) / (F.col("_b") - F.col("_a"))).otherwise(0.5)
     return lit.join(F.broadcast(ends)).withColumn("shade", shade).drop("_x", "_y", "_l", "_a", "_b")
+
+
+def zonal_p90(boxes: DataFrame, slopes: DataFrame, left: float, top: float, step_x: float, step_y: float, block: int = 64) -> DataFrame:
+    """zid, p90 of the slopes (px_row, px_col, slope) in each box (zid, x0, y0, x1, y1); 0 where there is none.
+
+    The window is floor to ceil of the box in pixels, ends included; the
+    percentile is exact and interpolated.  Boxes and pixels meet in blocks of
+    ``block`` pixels a side.
+    """
+    down = abs(step_y)
+    window = boxes.select(
+        "zid",
+        F.floor((F.col("x0") - left) / step_x).alias("c0"),
+        F.ceil((F.col("x1") - left) / step_x).alias("c1"),
+        F.floor((F.lit(top) - F.col("y1")) / down).alias("r0"),
+        F.ceil((F.lit(top) - F.col("y0")) / down).alias("r1"),
+    )
+    over = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / block), F.floor(F.col(high) / block)))
+    each = window.select("*", over("c0", "c1").alias("i")).select("*", over("r0", "r1").alias("j"))
+    pixels = slopes.filter("slope is not null").select("px_row", "px_col", "slope", F.floor(F.col("px_col") / block).alias("i"), F.floor(F.col("px_row") / block).alias("j"))
+    held = each.join(pixels, ["i", "j"]).filter("px_col between c0 and c1 and px_row between r0 and r1")
+    p90 = held.groupBy("zid").agg(F.percentile("slope", 0.9).alias("p90"))
+    return boxes.select("zid").join(p90, "zid", "left").select("zid", F.coalesce("p90", F.lit(0.0)).alias("p90"))

@@ -84,3 +84,18 @@ def test_elements(spark):
     texts = [way([(0, 0), (1, 0), (1, 1), (0, 0)]), way([(0, 0), (1, 0)]), way([(0, 0)]), '{"type":"relation","id":1,"center":{"lon":1,"lat":2}}', "broken"]
     got = layers.parse_osm_elements(spark.createDataFrame([(t,) for t in texts], "element string")).collect()
     assert sorted((r.osm_id, r.kind, len(r.points)) for r in got) == [("relation/1", "point", 1), ("way/7", "line", 2), ("way/7", "polygon", 4)]
+
+
+def test_zonal_p90(spark):
+    slopes = spark.createDataFrame([(r, c, None if r == c else float(r * 7 + c)) for r in range(9) for c in range(9)], "px_row int, px_col int, slope double")
+    boxes = spark.createDataFrame([(1, 0.15, -0.55, 0.45, -0.25), (2, 5.0, 5.0, 6.0, 6.0), (3, -9.0, -9.0, 9.0, 9.0)], "zid int, x0 double, y0 double, x1 double, y1 double")
+    got = dict(map(tuple, raster.zonal_p90(boxes, slopes, 0.0, 0.0, 0.1, 0.1, block=4).collect()))
+
+    def plain(rows, columns):
+        v = sorted(float(r * 7 + c) for r in rows for c in columns if r != c)
+        at = 0.9 * (len(v) - 1)
+        return v[int(at)] + (at - int(at)) * (v[min(int(at) + 1, len(v) - 1)] - v[int(at)])
+
+    assert got[2] == 0.0
+    assert math.isclose(got[1], plain(range(2, 7), range(1, 6)))
+    assert math.isclose(got[3], plain(range(9), range(9)))
