@@ -155,6 +155,18 @@ BIOMES = {
 CLASS_COST = {"water": 99, "clear": 1, "rough": 2, "forest": 2, "mountain": 3, "marsh": 3, "desert": 2, "urban": 1}
 
 
+# fixed values: the biome of a class, where only the class is known
+CLASS_BIOME = {"clear": "plains", "rough": "hill", "forest": "forest", "mountain": "mountain", "marsh": "marsh", "desert": "desert", "urban": "urban", "water": "water"}
+
+
+def resolve_biome(raw: Column, strict: bool = False) -> Column:
+    """A biome's name, or that of a class; others and null are plains, or an error where ``strict`` (which takes biomes only)."""
+    known = F.when(raw.isin(*BIOMES), raw)
+    if strict:
+        return F.coalesce(known, F.raise_error(F.concat(F.lit("unknown biome: "), F.coalesce(raw, F.lit("null")))).cast("string"))
+    return F.coalesce(known, _table(raw, CLASS_BIOME, "plains"))
+
+
 def base_cost(biome: Column) -> Column:
     """Null for an unknown biome."""
     return F.create_map(*[F.lit(x) for name, (cost, _, _) in BIOMES.items() for x in (name, cost)])[biome]

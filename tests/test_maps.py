@@ -99,3 +99,11 @@ def test_zonal_p90(spark):
     assert got[2] == 0.0
     assert math.isclose(got[1], plain(range(2, 7), range(1, 6)))
     assert math.isclose(got[3], plain(range(9), range(9)))
+
+
+def test_resolve_biome(spark):
+    raw = spark.createDataFrame([("taiga",), ("rough",), ("odd",), (None,)], "raw string")
+    assert [r[0] for r in raw.select(classify.resolve_biome(F.col("raw"))).collect()] == ["taiga", "hill", "plains", "plains"]
+    assert [r[0] for r in raw.filter("raw = 'taiga'").select(classify.resolve_biome(F.col("raw"), strict=True)).collect()] == ["taiga"]
+    with pytest.raises(Exception, match="unknown biome: odd"):
+        raw.filter("raw = 'odd'").select(classify.resolve_biome(F.col("raw"), strict=True)).collect()
