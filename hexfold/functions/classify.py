@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -188,6 +188,20 @@ def class_block(biome: Column) -> Column:
     return F.struct(kind.alias("terrain"), _table(kind, CLASS_COST, 99).alias("cost"), F.lit(0).alias("defense"), kind.isin("forest", "mountain", "urban").alias("blocks_los"))
 
 
+def terrain_effects(spark: SparkSession) -> DataFrame:
+    """terrain, cost, blocks_los and note of the eight classes; water's cost is that of the impassable."""
+    names = spark.createDataFrame([(x,) for x in CLASS_COST], "biome string")
+    block = class_block(_table(F.col("biome"), CLASS_BIOME, "plains"))
+    note = F.when(F.col("b.cost") >= 99, "impassable").when(F.col("b.blocks_los"), "blocks sight").otherwise("open")
+    return names.select(block.alias("b")).select("b.terrain", "b.cost", "b.defense", "b.blocks_los", note.alias("note"))
+
+
+def admin_tier(water: Column, country: Column, province: Column, settled: Column) -> Column:
+    """none on water or outside every country or province, else urban where settled, else rural."""
+    nowhere = water | (F.coalesce(country, F.lit("")) == "") | (F.coalesce(province, F.lit("")) == "")
+    return _rules([(nowhere, "none"), (settled, "urban")], "rural")
+
+
 def norm_name(name: Column) -> Column:
     """Small letters without accents, punctuation as spaces; other scripts pass through."""
     plain = F.translate(F.lower(F.replace(name, F.lit("ß"), F.lit("ss"))), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")

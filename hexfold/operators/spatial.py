@@ -12,17 +12,18 @@ def _cells(low: str, high: str, cell: float):
     return F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
 
 
-def candidates(points: DataFrame, segments: DataFrame, cell: float, pad: float = 0.0) -> DataFrame:
-    """Points (pid, x, y) with the features (fid) whose envelope, padded, holds them."""
-    boxes = segments.groupBy("fid").agg(F.min(F.least("x1", "x2") - pad).alias("bx0"), F.max(F.greatest("x1", "x2") + pad).alias("bx1"), F.min(F.least("y1", "y2") - pad).alias("by0"), F.max(F.greatest("y1", "y2") + pad).alias("by1"))
+def candidates(points: DataFrame, segments: DataFrame, cell: float, pad: float = 0.0, same: str | None = None) -> DataFrame:
+    """Points (pid, x, y) with the features (fid) whose envelope, padded, holds them; a column ``same`` of both sides has to agree."""
+    keys = [same] if same else []
+    boxes = segments.groupBy("fid", *keys).agg(F.min(F.least("x1", "x2") - pad).alias("bx0"), F.max(F.greatest("x1", "x2") + pad).alias("bx1"), F.min(F.least("y1", "y2") - pad).alias("by0"), F.max(F.greatest("y1", "y2") + pad).alias("by1"))
     boxes = boxes.select("*", _cells("bx0", "bx1", cell).alias("i")).select("*", _cells("by0", "by1", cell).alias("j"))
-    near = points.select("pid", "x", "y", F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j")).join(boxes, ["i", "j"])
+    near = points.select("pid", "x", "y", *keys, F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j")).join(boxes, ["i", "j", *keys])
     return near.filter("x between bx0 and bx1 and y between by0 and by1").select("pid", "x", "y", "fid")
 
 
-def point_in_polygon(points: DataFrame, segments: DataFrame, cell: float = 0.02) -> DataFrame:
+def point_in_polygon(points: DataFrame, segments: DataFrame, cell: float = 0.02, same: str | None = None) -> DataFrame:
     """pid, fid of points inside the even-odd bag of ring segments of a feature."""
-    hits = candidates(points, segments, cell).join(segments, "fid").groupBy("pid", "fid").agg(F.sum(geo.crosses(F.col("x"), F.col("y")).cast("int")).alias("n"))
+    hits = candidates(points, segments, cell, same=same).join(segments, "fid").groupBy("pid", "fid").agg(F.sum(geo.crosses(F.col("x"), F.col("y")).cast("int")).alias("n"))
     return hits.filter("n % 2 = 1").select("pid", "fid")
 
 
@@ -31,11 +32,14 @@ def smallest_cover(points: DataFrame, segments: DataFrame, features: DataFrame,
     return point_in_polygon(points, segments, cell).join(features, "fid").groupBy("pid").agg(F.min(F.struct("area", "kind")).alias("m")).select("pid", F.col("m.kind").alias("kind"))
 
 
-def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap: float, cell: float = 0.1) -> DataFrame:
-    """pid, code: the least code that covers a point, else the nearest feature's under ``snap``, else ''."""
-    inside = point_in_polygon(points, segments, cell).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
+def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap: float, cell: float = 0.1, same: str | None = None) -> DataFrame:
+    """pid, code: the least code that covers a point, else the nearest feature's under ``snap``, else ''.
+
+    With ``same``, a column of points and segments, only features that agree in it count.
+    """
+    inside = point_in_polygon(points, segments, cell, same).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
     left = points.join(inside, "pid", "left_anti")
-    near = candidates(left, segments, cell, snap).join(segments, "fid").groupBy("pid", "fid").agg(F.min(geo.segment_distance(F.col("x"), F.col("y"))).alias("d")).filter(F.col("d") < snap)
+    near = candidates(left, segments, cell, snap, same).join(segments, "fid").groupBy("pid", "fid").agg(F.min(geo.segment_distance(F.col("x"), F.col("y"))).alias("d")).filter(F.col("d") < snap)
     near = near.join(codes, "fid").groupBy("pid").agg(F.min(F.struct("d", "code")).alias("m")).select("pid", F.col("m.code").alias("near"))
     return points.select("pid").join(inside, "pid", "left").join(near, "pid", "left").select("pid", F.coalesce("inside", "near", F.lit("")).alias("code"))
 

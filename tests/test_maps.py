@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hexfold.functions import classify, geo
-from hexfold.operators import hexes, raster, tables
-from hexfold.plans import queries
+from hexfold.operators import hexes, lines, raster, tables
+from hexfold.plans import catalog
 from hexfold.sources import layers
 
 SF = "/root/testdata/sf0.001"
@@ -25,11 +25,11 @@ def plain(rows):
     return sorted((tuple(int(v) if isinstance(v, float) and v == int(v) else v for v in r) for r in rows), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
-    got = queries.queries()[name](spark, SF)
+    got = catalog.queries()[name](spark, SF)
     columns = sorted(got.columns)
-    want = con.sql(queries.oracle_sql()[name]).select(*columns).fetchall()
+    want = con.sql(catalog.oracle_sql()[name]).select(*columns).fetchall()
     assert plain(got.select(*columns).collect()) == plain(want)
 
 
@@ -107,3 +107,17 @@ def test_resolve_biome(spark):
     assert [r[0] for r in raw.filter("raw = 'taiga'").select(classify.resolve_biome(F.col("raw"), strict=True)).collect()] == ["taiga"]
     with pytest.raises(Exception, match="unknown biome: odd"):
         raw.filter("raw = 'odd'").select(classify.resolve_biome(F.col("raw"), strict=True)).collect()
+
+
+def test_clip_ends_and_edges(spark):
+    size = 2000.0
+    segments = spark.createDataFrame([(1, 0.0, 0.0, 0.0, 4000.0), (2, 0.0, 100.0, 0.0, 100.0), (3, -100.0, 0.0, 100.0, 0.0), (4, -500.0, 1000.0, 500.0, 1000.0)], "k int, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.k, r.q, r.r): (round(r.metres), r.enter, r.leave) for r in lines.clip(segments, size).collect()}
+    assert got == {(1, 0, 0): (1000, None, 1), (1, 0, 1): (2000, 4, 1), (1, 0, 2): (1000, 4, None), (3, 0, 0): (200, None, None)}
+    assert lines.clip(segments.limit(0), size).count() == 0
+
+
+def test_rivers_without_names(spark):
+    rows = spark.createDataFrame([(0, 0, 1, None, 50.0, None, 1), (0, 0, 2, "", 60.0, 4, 1), (0, 0, 3, "B", 10.0, None, None), (0, 0, 4, "A", 10.0, None, None), (1, 0, 1, None, 5.0, 2, None)], "q int, r int, k int, name string, metres double, enter int, leave int")
+    got = {(r.q, r.r): (r.river_name, r.river_edges) for r in lines.rivers_of_hexes(rows).collect()}
+    assert got == {(0, 0): ("A", [1, 4]), (1, 0): ("", [2])}
