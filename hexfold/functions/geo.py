@@ -49,16 +49,22 @@ def utm(lon: Column, lat: Column, meridian: float) -> Column:
 
 def from_utm(x: Column, y: Column, meridian: float) -> tuple[Column, Column]:
     """Longitude and latitude in degrees."""
-    xi, eta = y / (SCALE * _RADIUS), (x - EASTING) / (SCALE * _RADIUS)
-    a, b = xi, eta
-    for j, c in enumerate(BETA, 1):
-        a = a - c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        b = b - c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(a) / F.cosh(b))
-    lat = chi
-    for j, c in enumerate(DELTA, 1):
-        lat = lat + c * F.sin(2 * j * chi)
-    return meridian + F.degrees(F.atan2(F.sinh(b), F.cos(a))), F.degrees(lat)
+
+    def sphere(p):
+        a, b = p["xi"], p["eta"]
+        for j, c in enumerate(BETA, 1):
+            a = a - c * F.sin(2 * j * p["xi"]) * F.cosh(2 * j * p["eta"])
+            b = b - c * F.cos(2 * j * p["xi"]) * F.sinh(2 * j * p["eta"])
+        return let(F.struct(a.alias("a"), b.alias("b")), lambda s: let(F.struct(F.asin(F.sin(s["a"]) / F.cosh(s["b"])).alias("chi"), F.atan2(F.sinh(s["b"]), F.cos(s["a"])).alias("far")), earth))
+
+    def earth(s):
+        lat = s["chi"]
+        for j, c in enumerate(DELTA, 1):
+            lat = lat + c * F.sin(2 * j * s["chi"])
+        return F.struct((meridian + F.degrees(s["far"])).alias("lon"), F.degrees(lat).alias("lat"))
+
+    at = let(F.struct((y / (SCALE * _RADIUS)).alias("xi"), ((x - EASTING) / (SCALE * _RADIUS)).alias("eta")), sphere)
+    return at["lon"], at["lat"]
 
 
 def radius(size: float) -> float:

@@ -52,11 +52,17 @@ def coastal(hexes: DataFrame) -> DataFrame:
     return hexes.join(wet.withColumn("_beside", F.lit(True)), ["q", "r"], "left").select(*hexes.columns, (~F.col("water") & F.coalesce("_beside", F.lit(False))).alias("coastal"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; a folder of this machine only where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="hexfold-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the session's shared folder; a folder of this machine only where none is set."""
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hexfold-"))
+    """Checkpoint in the session's shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexfold.functions import geo
-from hexfold.operators import hexes, lines
-from hexfold.plans.queries import MERIDIAN, SIZE, _hex_sql
-from hexfold.sources import layers
+from hexfold.functions import classify, geo
+from hexfold.operators import hexes, lines, regions, spatial
+from hexfold.plans import queries as maps
+from hexfold.plans.queries import MERIDIAN, SIZE, _hex_sql, _kind
+from hexfold.sources import layers, sinks
 
 ROAD_LEVELS, RAIL_LEVELS = ["highway", "paved", "dirt"], ["double", "standard", "narrow"]
 
@@ -45,7 +48,94 @@ def top_rivers(spark, sf_dir):
     return found.orderBy(F.desc("n"), "river_name").limit(15)
 
 
-QUERIES = [best_road, best_rail, river_hexes, top_rivers]
+def provinces_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pid, country, province of the settlements' points; provinces are the halves of a country."""
+    c = layers.layer(spark, sf_dir, layers.COUNTRIES_SQL).withColumn("mid", (F.col("x0") + F.col("x1")) / 2)
+    half = lambda name, a, b: F.struct(F.concat("code", F.lit(name)).alias("fid"), F.col(a).alias("a"), F.col(b).alias("b"))
+    h = c.select("code", "y0", "y1", F.explode(F.array(half("_W", "x0", "mid"), half("_E", "mid", "x1"))).alias("h"))
+    mean = lambda a, b, sign: (F.col(b) + sign * F.col(a)) / 2
+    boxes = h.select("h.fid", "code", F.lit("rect").alias("shape"), mean("h.a", "h.b", 1).alias("cx"), mean("y0", "y1", 1).alias("cy"), mean("h.a", "h.b", -1).alias("hw"), mean("y0", "y1", -1).alias("hh"))
+    outlines = layers.rings(boxes).join(boxes.select("fid", F.col("code").alias("country")), "fid")
+    at = maps.points(spark, sf_dir).join(maps.country_at_point(spark, sf_dir).select(F.col("k").alias("pid"), F.col("code").alias("country")), "pid")
+    return at.select("pid", "country").join(regions.assign_province(at, outlines, 0.02), "pid")
+
+
+def province_at_point(spark, sf_dir):
+    return provinces_of_points(spark, sf_dir).select(F.col("pid").alias("k"), "country", "province")
+
+
+def province_rollup(spark, sf_dir):
+    """Points by country and province, with the totals of a country and of all."""
+    return province_at_point(spark, sf_dir).rollup("country", "province").agg(F.count(F.lit(1)).alias("n"))
+
+
+def province_coverage(spark, sf_dir):
+    return regions.coverage(province_at_point(spark, sf_dir))
+
+
+def admin_tiers(spark, sf_dir):
+    """Hexes by province, their tier, and the capital and one sub-capital of each province.
+
+    The capital's name is the least in the province; the sub-capital has the
+    same name, so that its exact match is taken already.
+    """
+    s = maps.in_hexes(spark, sf_dir).join(provinces_of_points(spark, sf_dir), F.col("k") == F.col("pid"))
+    s = hexes.cut_lineage(s.select("k", "q", "r", "name", "population", "kind", "country", "province"))
+    meta = s.filter("province <> ''").groupBy("province").agg(F.array(F.min("name")).alias("names")).select("province", F.explode(F.array(F.lit(0), F.lit(1))).alias("rank"), "names")
+    capitals = regions.designate_capitals(s.filter("province <> ''"), meta)
+    town = F.count_if(F.col("kind") != "village") > 0
+    by = s.groupBy("q", "r", "country", "province").agg(town.alias("settled"), F.min_by("population", "k").alias("first_population"))
+    wet = F.pmod(F.col("q") * 7 + F.col("r") * 3, F.lit(5)) == 0
+    by = by.withColumns({"tier": classify.admin_tier(wet, F.col("country"), F.col("province"), F.col("settled")), "kind": F.when(F.col("settled"), "town").otherwise("none"), "name": F.lit(""), "anthrome": F.lit("none")})
+    return regions.with_capitals(by, capitals).select("q", "r", "province", "tier", "kind", "name", "anthrome")
+
+
+def resources_at_hex(spark, sf_dir):
+    shapes = layers.layer(spark, sf_dir, layers.LANDUSE_SQL).filter("fid % 50 = 0")
+    kind = F.array(*map(F.lit, regions.RESOURCES))[F.floor(F.col("fid") / 50).cast("int") % 4]
+    shapes = shapes.withColumn("kind", kind)
+    spots = hexes.with_hex(shapes.filter("kind in ('steel', 'oil')").select("kind", F.col("cx").alias("lon"), F.col("cy").alias("lat")), SIZE, MERIDIAN)
+    polygons = shapes.filter("kind in ('coal', 'iron')")
+    x, y = geo.centre(F.col("q"), F.col("r"), SIZE)
+    lon, lat = geo.from_utm(F.col("cx"), F.col("cy"), MERIDIAN)
+    centres = maps.occupied(spark, sf_dir).select("q", "r", x.alias("cx"), y.alias("cy")).select("q", "r", lon.alias("x"), lat.alias("y"))
+    return regions.resources_of_hexes(centres, layers.rings(polygons), polygons.select("fid", "kind"), spots)
+
+
+def hex_records(spark, sf_dir):
+    best = maps.settlements_per_hex(spark, sf_dir)
+    return sinks.hex_records(best, {"settlement": ["name", "kind", "population"]})
+
+
+def hex_features(spark, sf_dir):
+    """Features of the occupied hexes; corners to six places, checked by their sums to four."""
+    f = sinks.geojson_features(maps.settlements_per_hex(spark, sf_dir), ["name", "population"], SIZE, MERIDIAN)
+    read = F.from_json("feature", "type string, geometry struct<type: string, coordinates: array<array<array<double>>>>, properties struct<name: string, population: long>")
+    ring = F.col("f.geometry.coordinates")[0]
+    total = lambda i: F.round(F.aggregate(F.slice(ring, 1, 6), F.lit(0.0), lambda a, p: a + p[i]) / 6, 4)
+    closed = F.size(ring).alias("corners"), (ring[0] == ring[6]).alias("closed")
+    return f.select("q", "r", read.alias("f")).select("q", "r", "f.properties.name", *closed, total(0).alias("lon"), total(1).alias("lat"))
+
+
+def map_metadata(spark, sf_dir):
+    one = sinks.map_metadata(maps.in_hexes(spark, sf_dir), "kind")
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("biomes")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), " ")
+    return one.select("min_q", "max_q", "min_r", "max_r", "n", shown.alias("kinds"))
+
+
+def tiled_settlements(spark, sf_dir):
+    """The most significant settlements, written by tiles in two runs, the second of which resumes the first."""
+    rows = maps.settlements_per_hex(spark, sf_dir).select("*", F.floor(F.col("q") / 16).cast("int").alias("tile_lon"), F.floor(F.col("r") / 16).cast("int").alias("tile_lat"))
+    folder = f"{hexes.shared_folder(spark)}/hexfold-tiles-{uuid.uuid4().hex}"
+    key = sinks.run_key("tiled_settlements", SIZE, MERIDIAN)
+    sinks.write_tiles(rows.filter("pmod(tile_lon, 2) = 0"), folder, key)
+    return sinks.write_tiles(rows, folder, key).select("q", "r", "name", "tile_lon", "tile_lat")
+
+
+QUERIES = [
+    best_road, best_rail, river_hexes, top_rivers, province_at_point, province_rollup, province_coverage, admin_tiers,
+    resources_at_hex, hex_records, hex_features, map_metadata, tiled_settlements,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -68,7 +158,26 @@ def _clip_sql(kinds: str) -> str:
  cl AS (SELECT k, q, r, (t1 - t0) * long AS metres, CASE WHEN m0 > 0 THEN e0 END AS enter, CASE WHEN m1 < 1 THEN e1 END AS leave, w.* EXCLUDE (k) FROM c5 JOIN w USING (k) WHERE t0 < t1 AND NOT off AND long > 0)"""
 
 
+def _centre_sql(source: str) -> str:
+    """lon and lat of the centres of hexes q, r."""
+    m, R = geo.SCALE * geo._RADIUS, geo.radius(SIZE)
+    series = lambda f, g: "".join(f" - {c!r} * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, c in enumerate(geo.BETA, 1))
+    lat = "chi" + "".join(f" + {c!r} * sin({2 * j} * chi)" for j, c in enumerate(geo.DELTA, 1))
+    return f"""z1 AS (SELECT *, (r + 0.5e0 * (((q % 2) + 2) % 2)) * {SIZE}::DOUBLE / {m!r} AS xi, (CAST(q AS DOUBLE) * {1.5 * R!r} - {geo.EASTING}) / {m!r} AS eta FROM {source}),
+z2 AS (SELECT *, xi{series('sin', 'cosh')} AS a, eta{series('cos', 'sinh')} AS b FROM z1), z3 AS (SELECT *, asin(sin(a) / cosh(b)) AS chi FROM z2),
+zx AS (SELECT *, {MERIDIAN} + degrees(atan2(sinh(b), cos(a))) AS clon, degrees({lat}) AS clat FROM z3)"""
+
+
 def oracle_sql() -> dict[str, str]:
+    given = maps.oracle_sql()
+    per_hex, country = given["settlements_per_hex"], given["country_at_point"].rsplit("SELECT k, code FROM o", 1)[0]
+    province = f"""{country}, pv AS (SELECT code AS country, concat(code, '_W') AS pc, x0 AS a, (x0 + x1) / 2 AS b, y0, y1 FROM c UNION ALL SELECT code, concat(code, '_E'), (x0 + x1) / 2, x1, y0, y1 FROM c),
+ pd AS (SELECT k, pc, greatest(a - x, 0, x - b) AS dx, greatest(y0 - y, 0, y - y1) AS dy FROM p JOIN o USING (k) JOIN pv ON pv.country = o.code),
+ pb AS (SELECT k, min_by(pc, sqrt(dx * dx + dy * dy)) AS pc FROM pd WHERE sqrt(dx * dx + dy * dy) < 0.02 GROUP BY k),
+ pp AS (SELECT k, code AS country, coalesce(pc, '') AS province FROM o LEFT JOIN pb USING (k))"""
+    s = f"s AS (SELECT *, {_kind()} AS kind FROM ({layers.SETTLEMENTS_SQL}))"
+    other = lambda text: re.sub(r"\bh([0-6x])\b", r"g\1", text)
+    res = f"(SELECT *, CASE fid // 50 % 4 WHEN 0 THEN 'coal' WHEN 1 THEN 'steel' WHEN 2 THEN 'iron' ELSE 'oil' END AS rk FROM ({layers.LANDUSE_SQL}) WHERE fid % 50 = 0)"
     road = "CASE WHEN highway IN ('motorway', 'trunk') THEN 0 WHEN highway IN ('primary', 'secondary', 'tertiary') THEN 1 END"
     rail = "CASE WHEN railway = 'narrow_gauge' OR gauge < 1000 THEN 2 WHEN tracks >= 2 THEN 0 ELSE 1 END"
     best = lambda rank, names: f"SELECT q, r, ({names})[min({rank}) + 1] AS level FROM cl WHERE ({rank}) IS NOT NULL GROUP BY q, r"
@@ -79,4 +188,23 @@ def oracle_sql() -> dict[str, str]:
         "river_hexes": f"""{_clip_sql("kind = 'river'")}, {runs.format('')}, ed AS (SELECT q, r, enter AS e FROM cl UNION SELECT q, r, leave FROM cl),
  es AS (SELECT q, r, string_agg(CAST(e AS VARCHAR), ' ' ORDER BY e) AS edges FROM ed WHERE e IS NOT NULL GROUP BY q, r) SELECT q, r, river_name, coalesce(edges, '') AS edges FROM bs LEFT JOIN es USING (q, r)""",
         "top_rivers": f"{_clip_sql("kind = 'river'")}, {runs.format('WHERE scalerank <= 8')} SELECT river_name, count(*) AS n FROM bs GROUP BY river_name ORDER BY n DESC, river_name LIMIT 15",
+        "province_at_point": f"{province} SELECT k, country, province FROM pp",
+        "province_rollup": f"{province} SELECT country, province, count(*) AS n FROM pp GROUP BY ROLLUP (country, province)",
+        "province_coverage": f"{province} SELECT country, count(*) AS n, count(*) FILTER (province <> '') AS covered, round(count(*) FILTER (province <> '') / count(*), 6) AS share FROM pp WHERE country <> '' GROUP BY country",
+        "admin_tiers": f"""{province}, {s}, {_hex_sql('s')}, nd AS (SELECT hx.k, q, r, name, population, kind, country, province FROM hx JOIN pp USING (k)),
+ mn AS (SELECT province, min(name) AS cap FROM nd WHERE province <> '' GROUP BY province), sc AS (SELECT nd.*, CASE WHEN name = cap THEN 100 ELSE 50 END AS score FROM nd JOIN mn USING (province)),
+ r0 AS (SELECT province, q, r, name, 'capital' AS t FROM sc QUALIFY row_number() OVER (PARTITION BY province ORDER BY score DESC, population DESC, q DESC, r DESC, name DESC) = 1),
+ r1 AS (SELECT province, q, r, name, 'subcapital' AS t FROM sc WHERE (province, q, r) NOT IN (SELECT (province, q, r) FROM r0) QUALIFY row_number() OVER (PARTITION BY province ORDER BY score DESC, population DESC, q DESC, r DESC, name DESC) = 1),
+ cp AS (SELECT * FROM r0 UNION ALL SELECT * FROM r1), hb AS (SELECT q, r, country, province, bool_or(kind <> 'village') AS st, min_by(population, k) AS fp FROM nd GROUP BY q, r, country, province)
+ SELECT q, r, province, coalesce(t, CASE WHEN (((q * 7 + r * 3) % 5) + 5) % 5 = 0 OR country = '' OR province = '' THEN 'none' WHEN st THEN 'urban' ELSE 'rural' END) AS tier,
+ CASE WHEN st THEN 'town' WHEN t IS NULL THEN 'none' WHEN fp >= 50000 THEN 'city' ELSE 'town' END AS kind, coalesce(name, '') AS name, CASE WHEN t IS NOT NULL AND NOT st THEN 'residential' ELSE 'none' END AS anthrome
+ FROM hb LEFT JOIN cp USING (province, q, r)""",
+        "resources_at_hex": f"""WITH {s}, {_hex_sql('s')}, oc AS (SELECT DISTINCT q, r FROM hx), {_centre_sql('oc')}, rs AS {res}, sp AS (SELECT rk, cx AS lon, cy AS lat FROM rs WHERE rk IN ('steel', 'oil')), {other(_hex_sql('sp'))},
+ hl AS (SELECT q, r, rk FROM zx, rs WHERE rk IN ('coal', 'iron') AND CASE shape WHEN 'rect' THEN abs(clon - cx) < hw AND abs(clat - cy) < hh ELSE abs(clon - cx) / hw + abs(clat - cy) / hh < 1 END UNION SELECT q, r, rk FROM gx)
+ SELECT q, r, {', '.join(f"coalesce(bool_or(rk = '{x}'), false) AS {x}" for x in regions.RESOURCES)} FROM oc LEFT JOIN hl USING (q, r) GROUP BY q, r""",
+        "hex_records": f"""SELECT q, r, concat('{{"hex_id":"', q, '_', r, '","settlement":{{"name":"', name, '","kind":"', kind, '","population":', population, '}}}}') AS record FROM ({per_hex})""",
+        "hex_features": f"WITH b AS ({per_hex}), {_centre_sql('b')} SELECT q, r, name, CAST(7 AS INT) AS corners, true AS closed, round(clon, 4) AS lon, round(clat, 4) AS lat FROM zx",
+        "map_metadata": f"""WITH {s}, {_hex_sql('s')}, g AS (SELECT kind, count(*) AS n FROM hx GROUP BY kind)
+ SELECT min(q) AS min_q, max(q) AS max_q, min(r) AS min_r, max(r) AS max_r, count(*) AS n, (SELECT string_agg(concat(kind, '=', n), ' ' ORDER BY kind) FROM g) AS kinds FROM hx""",
+        "tiled_settlements": f"SELECT q, r, name, CAST(floor(q / 16) AS INT) AS tile_lon, CAST(floor(r / 16) AS INT) AS tile_lat FROM ({per_hex})",
     }

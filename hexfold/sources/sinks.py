@@ -32,8 +32,7 @@ def geojson_features(hexes: DataFrame, properties: list[str], size: float, merid
         lon, lat = geo.from_utm(p["x"], p["y"], meridian)
         return F.array(F.round(lon, places), F.round(lat, places))
 
-    ring = F.transform(geo.vertices(cx, cy, size), lambda p, i: F.when(i < 6, corner(p)))
-    ring = geo.let(ring, lambda a: F.concat(F.slice(a, 1, 6), F.slice(a, 1, 1)))
+    ring = geo.let(F.transform(F.slice(geo.vertices(cx, cy, size), 1, 6), corner), lambda a: F.concat(a, F.slice(a, 1, 1)))
     geometry = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates"))
     return hexes.select("q", "r", F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*properties).alias("properties"))).alias("feature"))
 
