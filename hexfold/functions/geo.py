@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,6 +68,63 @@ def from_utm(x: Column, y: Column, meridian: float) -> tuple[Column, Column]:
     return at["lon"], at["lat"]
 
 
+@dataclass(frozen=True)
+class Cone:
+    """A Lambert conformal conic projection with two standard parallels, on WGS84; metres from its origin."""
+
+    meridian: float
+    n: float
+    scale: float
+    origin: float
+
+    def forward(self, lon: Column, lat: Column) -> Column:
+        """struct(x, y)."""
+        e = math.sqrt(FLATTENING * (2 - FLATTENING))
+        sin = F.sin(F.radians(lat))
+        rho = self.scale * F.exp(-self.n * (F.atanh(sin) - e * F.atanh(e * sin)))
+        turn = self.n * F.radians(lon - self.meridian)
+        return let(F.struct(rho.alias("rho"), turn.alias("turn")), lambda s: F.struct((s["rho"] * F.sin(s["turn"])).alias("x"), (self.origin - s["rho"] * F.cos(s["turn"])).alias("y")))
+
+    def inverse(self, x: Column, y: Column) -> tuple[Column, Column]:
+        """Longitude and latitude in degrees."""
+        down = self.origin - y
+        # the isometric latitude gives the conformal one, and its series the latitude
+        chi = F.atan(F.sinh(-F.log(F.hypot(x, down) / self.scale) / self.n))
+
+        def earth(s):
+            lat = s["chi"]
+            for j, c in enumerate(DELTA, 1):
+                lat = lat + c * F.sin(2 * j * s["chi"])
+            return lat
+
+        return self.meridian + F.degrees(F.atan2(x, down)) / self.n, F.degrees(let(F.struct(chi.alias("chi")), earth))
+
+
+def lambert(lon: float, lat: float, south: float, north: float) -> Cone:
+    """The cone of an origin and two different parallels of one hemisphere (the north)."""
+    e = math.sqrt(FLATTENING * (2 - FLATTENING))
+    psi = lambda at: math.atanh(math.sin(math.radians(at))) - e * math.atanh(e * math.sin(math.radians(at)))
+    across = lambda at: math.cos(math.radians(at)) / math.sqrt(1 - (e * math.sin(math.radians(at))) ** 2)
+    n = math.log(across(south) / across(north)) / (psi(north) - psi(south))
+    scale = AXIS * across(south) * math.exp(n * psi(south)) / n
+    return Cone(lon, n, scale, scale * math.exp(-n * psi(lat)))
+
+
+def select_projection(x0: float, y0: float, x1: float, y1: float) -> tuple[str, tuple[float, ...]]:
+    """Kind and parameters for a frame, by the greater of its extents in kilometres.
+
+    Under 200: ("utm", central meridian); under 2000: ("lcc", longitude,
+    latitude, parallels); else ("aeqd", longitude, latitude).
+    """
+    lon, lat = (x0 + x1) / 2, (y0 + y1) / 2
+    extent = max((y1 - y0) * KM_PER_DEGREE, (x1 - x0) * KM_PER_DEGREE * math.cos(math.radians(lat)))
+    if extent < 200:
+        return "utm", (utm_meridian(lon),)
+    if extent < 2000:
+        return "lcc", tuple(round(v, 2) for v in (lon, lat, y0 + (y1 - y0) / 6, y1 - (y1 - y0) / 6))
+    return "aeqd", (round(lon, 2), round(lat, 2))
+
+
 def radius(size: float) -> float:
     """Centre to vertex of a hexagon whose opposite sides are ``size`` apart."""
     return size / math.sqrt(3)

@@ -37,7 +37,7 @@ def clip(parts: DataFrame, size: float) -> DataFrame:
     dx, dy = x2 - x1, y2 - y1
     columns = parts.withColumn("q", _column_range(F.least(x1, x2), F.greatest(x1, x2), 1.5 * R, R))
     # heights of the part of the segment over its column of hexes
-    at = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - x1) / F.nullif(dx, F.lit(0.0))))
+    at = lambda x: F.when(dx != 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - x1) / dx)))
     west, east = F.coalesce(y1 + dy * at(F.col("q") * 1.5 * R - R), y1), F.coalesce(y1 + dy * at(F.col("q") * 1.5 * R + R), y2)
     columns = columns.withColumns({"_a": F.least(west, east), "_b": F.greatest(west, east)})
     up = F.pmod("q", F.lit(2)) * 0.5 * size
