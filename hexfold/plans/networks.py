@@ -108,13 +108,12 @@ def hex_records(spark, sf_dir):
 
 
 def hex_features(spark, sf_dir):
-    """Features of the occupied hexes; corners to six places, checked by their sums to four."""
+    """Features of hexes with a settlement, read back: name, form of the ring and its eastern corner."""
     f = sinks.geojson_features(maps.settlements_per_hex(spark, sf_dir), ["name", "population"], SIZE, MERIDIAN)
     read = F.from_json("feature", "type string, geometry struct<type: string, coordinates: array<array<array<double>>>>, properties struct<name: string, population: long>")
     ring = F.col("f.geometry.coordinates")[0]
-    total = lambda i: F.round(F.aggregate(F.slice(ring, 1, 6), F.lit(0.0), lambda a, p: a + p[i]) / 6, 4)
     closed = F.size(ring).alias("corners"), (ring[0] == ring[6]).alias("closed")
-    return f.select("q", "r", read.alias("f")).select("q", "r", "f.properties.name", *closed, total(0).alias("lon"), total(1).alias("lat"))
+    return f.select("q", "r", read.alias("f")).select("q", "r", "f.properties.name", *closed, ring[0][0].alias("lon"), ring[0][1].alias("lat"))
 
 
 def map_metadata(spark, sf_dir):
@@ -158,12 +157,12 @@ def _clip_sql(kinds: str) -> str:
  cl AS (SELECT k, q, r, (t1 - t0) * long AS metres, CASE WHEN m0 > 0 THEN e0 END AS enter, CASE WHEN m1 < 1 THEN e1 END AS leave, w.* EXCLUDE (k) FROM c5 JOIN w USING (k) WHERE t0 < t1 AND NOT off AND long > 0)"""
 
 
-def _centre_sql(source: str) -> str:
-    """lon and lat of the centres of hexes q, r."""
+def _centre_sql(source: str, east: float = 0.0) -> str:
+    """lon and lat of the points ``east`` metres from the centres of hexes q, r."""
     m, R = geo.SCALE * geo._RADIUS, geo.radius(SIZE)
     series = lambda f, g: "".join(f" - {c!r} * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, c in enumerate(geo.BETA, 1))
     lat = "chi" + "".join(f" + {c!r} * sin({2 * j} * chi)" for j, c in enumerate(geo.DELTA, 1))
-    return f"""z1 AS (SELECT *, (r + 0.5e0 * (((q % 2) + 2) % 2)) * {SIZE}::DOUBLE / {m!r} AS xi, (CAST(q AS DOUBLE) * {1.5 * R!r} - {geo.EASTING}) / {m!r} AS eta FROM {source}),
+    return f"""z1 AS (SELECT *, (r + 0.5e0 * (((q % 2) + 2) % 2)) * {SIZE}::DOUBLE / {m!r} AS xi, (CAST(q AS DOUBLE) * {1.5 * R!r} - {geo.EASTING - east!r}) / {m!r} AS eta FROM {source}),
 z2 AS (SELECT *, xi{series('sin', 'cosh')} AS a, eta{series('cos', 'sinh')} AS b FROM z1), z3 AS (SELECT *, asin(sin(a) / cosh(b)) AS chi FROM z2),
 zx AS (SELECT *, {MERIDIAN} + degrees(atan2(sinh(b), cos(a))) AS clon, degrees({lat}) AS clat FROM z3)"""
 
@@ -203,7 +202,7 @@ def oracle_sql() -> dict[str, str]:
  hl AS (SELECT q, r, rk FROM zx, rs WHERE rk IN ('coal', 'iron') AND CASE shape WHEN 'rect' THEN abs(clon - cx) < hw AND abs(clat - cy) < hh ELSE abs(clon - cx) / hw + abs(clat - cy) / hh < 1 END UNION SELECT q, r, rk FROM gx)
  SELECT q, r, {', '.join(f"coalesce(bool_or(rk = '{x}'), false) AS {x}" for x in regions.RESOURCES)} FROM oc LEFT JOIN hl USING (q, r) GROUP BY q, r""",
         "hex_records": f"""SELECT q, r, concat('{{"hex_id":"', q, '_', r, '","settlement":{{"name":"', name, '","kind":"', kind, '","population":', population, '}}}}') AS record FROM ({per_hex})""",
-        "hex_features": f"WITH b AS ({per_hex}), {_centre_sql('b')} SELECT q, r, name, CAST(7 AS INT) AS corners, true AS closed, round(clon, 4) AS lon, round(clat, 4) AS lat FROM zx",
+        "hex_features": f"WITH b AS ({per_hex}), {_centre_sql('b', geo.radius(SIZE))} SELECT q, r, name, CAST(7 AS INT) AS corners, true AS closed, round(clon, 6) AS lon, round(clat, 6) AS lat FROM zx",
         "map_metadata": f"""WITH {s}, {_hex_sql('s')}, g AS (SELECT kind, count(*) AS n FROM hx GROUP BY kind)
  SELECT min(q) AS min_q, max(q) AS max_q, min(r) AS min_r, max(r) AS max_r, count(*) AS n, (SELECT string_agg(concat(kind, '=', n), ' ' ORDER BY kind) FROM g) AS kinds FROM hx""",
         "tiled_settlements": f"SELECT q, r, name, CAST(floor(q / 16) AS INT) AS tile_lon, CAST(floor(r / 16) AS INT) AS tile_lat FROM ({per_hex})",
