@@ -1,7 +1,10 @@
 """A corpus pipeline: quality, near-duplicates, repeated passages, benchmark passages, packing.
 
 Every stage takes the columns of ``documents`` and all but the last return
-them.  Rows without doc_id pass the stages that name documents by it.
+them.  Rows without doc_id pass the benchmark stage, which names documents by
+it; the near-duplicate stage names rows by a key of doc_id and text, so that
+repeated rows, rows that share a doc_id and rows without one leave one each
+group and the next stage does not cut all copies.
 """
 
 from __future__ import annotations
@@ -23,10 +26,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group of near-duplicates (five words, 0.8)."""
-    docs = docs.select(*COLUMNS)
-    gone = minhash.near_duplicates(docs).filter("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near-duplicates (five words, 0.8): the least doc_id, none last."""
+    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    keyed = docs.select(*COLUMNS).withColumn("_key", key)
+    made = minhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id")
+    ids = keyed.groupBy("_key").agg(F.first("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
+    rows = written(made.distinct().join(ids, "_key"), "rows")
+    order = F.struct(F.col("id").isNull(), "id", "_key")
+    groups = rows.groupBy("component_id").agg(F.min_by("_key", order).alias("_key"), F.count(F.lit(1)).alias("members"))
+    stay = groups.select("_key")
+    gone = rows.join(groups.filter("members > 1").select("component_id"), "component_id", "left_semi").select("_key").join(stay, "_key", "left_anti")
+    again = rows.filter("n > 1").select("_key")
+    once = keyed.join(gone.union(again), "_key", "left_anti")
+    first = keyed.join(again.join(stay, "_key", "left_semi"), "_key", "left_semi").dropDuplicates(["_key"])
+    return once.select(*COLUMNS).union(first.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

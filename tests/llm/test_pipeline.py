@@ -108,3 +108,14 @@ def test_edges(spark, name, stage):
     else:
         assert {r.doc_id for r in made.collect()} >= {1, 2, 3, 4}
     assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_repeated_rows_keep_one_copy(spark, docs_of):
+    """Equal rows, rows without doc_id and rows that share one leave one text, which the next stage keeps whole."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(150)) for x in "abcd")
+    docs = docs_of([(1, a), (1, a), (None, b), (None, b), (None, c), (5, c), (7, d), (7, d + " end"), (8, None), (9, None)])
+    made = pipeline.near_duplicates(spark, docs, SF)
+    assert sorted((r.doc_id or 0, r.text[:1]) for r in made.filter("text is not null").collect()) == [(0, "b"), (1, "a"), (5, "c"), (7, "d")]
+    assert {r.doc_id for r in made.filter("text is null").collect()} == {8, 9}
+    left = pipeline.repeated_passages(spark, written(made, "test"), SF)
+    assert all(len(r.text) > 400 for r in left.filter("text is not null").collect())
