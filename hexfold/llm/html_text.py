@@ -4,9 +4,11 @@ A page is a sequence of text nodes, each under a root-to-leaf path of tags
 (with class and id words).  For every path, text length and punctuation are
 summed and divided by its number of nodes; the two ratios are smoothed along
 the page, fused by their product and thresholded by their deviation.  The
-nodes above it choose the content: the deepest element that holds most of
-their weight.  All blocks of that element are the text, short ones too; only
-parts that are named as no content (menus, adverts, comments ...) stay out.
+nodes above it choose the content: the least element that holds all of them,
+or the whole article around it.  All blocks of that element are the text,
+short ones too; only parts that are no content by their tag, or by a name
+(menu, advert, comments ...), stay out.  A name, or a form, puts nothing out
+that holds most of the page's weight, unless an article stands elsewhere.
 
 A block is what stands between two block-level tags.  References are decoded,
 white space inside a block is one space, empty blocks go, and blocks are
@@ -44,12 +46,12 @@ NO_CONTENT_WORDS = re.compile(
 CONTAINERS = set("article main section div td body html blockquote figure".split())
 MARKS = re.compile(r"[.,;:!?…。，、！？]")
 WIDTH = 2  #: nodes to each side in smoothing
-SHARE = 0.6  #: of the chosen weight that the content element holds
+MOST = 0.5  #: of the chosen weight; what holds more is no menu or advert, whatever its name
 
 
-def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...]]]:
-    """(text, path, element numbers along it) of every content-like block."""
-    stack: list[tuple[str, str, int, bool]] = []  # tag, label, number, no content
+def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...], tuple[int, ...]]]:
+    """(text, path, element numbers along it, those named as no content) of every block outside tags of no content."""
+    stack: list[tuple[str, str, int, bool, bool]] = []  # tag, label, number, no content by tag, by name
     found, held, number, at = [], [], 0, 0
 
     def flush() -> None:
@@ -57,7 +59,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...]]]:
             text = " ".join(references.unescape("".join(held)).split())
             held.clear()
             if text and not any(x[3] for x in stack):
-                found.append((text, tuple(x[1] for x in stack), tuple(x[2] for x in stack)))
+                found.append((text, tuple(x[1] for x in stack), tuple(x[2] for x in stack), tuple(x[2] for x in stack if x[4])))
 
     def close(tags: set[str], barriers: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -91,8 +93,9 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...]]]:
             continue
         named = [w for m in NAMES.finditer(token[4]) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()) if w]
         number += 1
-        out = tag in NO_CONTENT and not (tag == "header" and any(x[0] == "article" for x in stack)) or any(map(NO_CONTENT_WORDS.match, named)) and tag not in ("body", "html", "article", "main")
-        stack.append((tag, ".".join([tag, *named]), number, out))
+        out = tag in NO_CONTENT and tag != "form" and not (tag == "header" and any(x[0] == "article" for x in stack))
+        doubtful = tag == "form" or any(map(NO_CONTENT_WORDS.match, named)) and tag not in ("body", "html", "article", "main")
+        stack.append((tag, ".".join([tag, *named]), number, out, doubtful))
     if at < len(page):
         held.append(page[at:])
     flush()
@@ -109,32 +112,52 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
+def fused(nodes: list[tuple]) -> list[float]:
+    """Length and punctuation ratios of the nodes' paths, smoothed along the page, and their product."""
+    totals: dict[tuple[str, ...], list[int]] = {}
+    for node in nodes:
+        total = totals.setdefault(node[1], [0, 0, 0])
+        total[0] += len(node[0])
+        total[1] += len(MARKS.findall(node[0]))
+        total[2] += 1
+    length = smoothed([totals[n[1]][0] / totals[n[1]][2] for n in nodes])
+    marks = smoothed([totals[n[1]][1] / totals[n[1]][2] for n in nodes])
+    return [a * (1 + b) for a, b in zip(length, marks, strict=True)]
+
+
+def held(nodes: list[tuple]) -> set[int]:
+    """Elements named as no content that hold most of the weight, unless an article is elsewhere and none in them."""
+    values = fused(nodes)
+    least = min(0.5 * pstdev(values), 0.5 * fmean(values))
+    weight: dict[int, int] = {}
+    own, plain, whole = set(), False, 0
+    for (text, path, line, named), value in zip(nodes, values, strict=True):
+        whole += len(text) if value >= least else 0
+        inner = max((n for n, x in zip(line, path, strict=True) if x.split(".")[0] in ("article", "main")), default=0)
+        plain |= inner > 0 and not named
+        for k in named:
+            weight[k] = weight.get(k, 0) + (len(text) if value >= least else 0)
+            if inner > k:
+                own.add(k)
+    return {k for k in weight if weight[k] > MOST * whole and (k in own or not plain)}
+
+
 def main_text(page: str | None) -> str:
     nodes = blocks(page or "")
+    if any(n[3] for n in nodes):
+        stay = held(nodes)
+        nodes = [n for n in nodes if stay.issuperset(n[3])]
     if not nodes:
         return ""
-    totals: dict[tuple[str, ...], list[int]] = {}
-    for text, path, _ in nodes:
-        total = totals.setdefault(path, [0, 0, 0])
-        total[0] += len(text)
-        total[1] += len(MARKS.findall(text))
-        total[2] += 1
-    length = smoothed([totals[p][0] / totals[p][2] for _, p, _ in nodes])
-    marks = smoothed([totals[p][1] / totals[p][2] for _, p, _ in nodes])
-    fused = [a * (1 + b) for a, b in zip(length, marks, strict=True)]
-    least = min(0.5 * pstdev(fused), 0.5 * fmean(fused))
-    weight: dict[int, float] = {}
-    depth: dict[int, int] = {}
-    whole = 0.0
-    for (text, path, line), value in zip(nodes, fused, strict=True):
-        if value >= least:
-            whole += len(text)
-            for k, n in enumerate(line):
-                if path[k].split(".")[0] in CONTAINERS:
-                    weight[n] = weight.get(n, 0.0) + len(text)
-                    depth[n] = k
-    best = max((depth[n], -n) for n in weight if weight[n] >= SHARE * whole) if weight and max(weight.values()) >= SHARE * whole else None
-    return "\n".join(text for text, _, line in nodes if best is None or -best[1] in line)
+    values = fused(nodes)
+    least = min(0.5 * pstdev(values), 0.5 * fmean(values))
+    chosen = [n for n, value in zip(nodes, values, strict=True) if value >= least]
+    common = 0
+    while all(len(n[2]) > common and n[2][common] == chosen[0][2][common] for n in chosen):
+        common += 1
+    labels = [x.split(".")[0] for x in chosen[0][1][:common]]
+    at = labels.index("article") + 1 if "article" in labels else max((k for k, x in enumerate(labels, 1) if x in CONTAINERS), default=0)
+    return "\n".join(n[0] for n in nodes if n[2][:at] == chosen[0][2][:at])
 
 
 def main_texts(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

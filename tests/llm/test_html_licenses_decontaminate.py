@@ -15,6 +15,20 @@ def test_main_text():
     assert html_text.main_text("plain   text") == "plain text"
 
 
+def test_main_text_is_whole():
+    """All of the article, whatever part of it holds most; a name puts out nothing that holds most of the page."""
+    words = "One long sentence, with some words and marks; and more of them. "
+    one, two = (words * 9).strip(), (words * 5).strip()
+    article = f"<article><h1>Head</h1><section><p>{one}</p></section><section><p>{two}</p></section><blockquote>{words * 40}</blockquote><p>End</p></article>"
+    whole = f"Head\n{one}\n{two}\n{(words * 40).strip()}\nEnd"
+    menu = "<nav>Menu</nav><div class='menu'><p>Item</p></div>"
+    assert html_text.main_text(f"<body>{menu}{article}</body>") == whole
+    for wrapper in ("div class='has-sidebar'", "div id='social-page'", "section class='notice'", "form action=x"):
+        assert html_text.main_text(f"<body>{menu}<{wrapper}>{article}</{wrapper.split()[0]}></body>") == whole
+    parts = f"<div><div><p>{one}</p><p>{one}</p></div><div><p>{two}</p></div></div>"
+    assert html_text.main_text(f"<body>{parts}</body>") == f"{one}\n{one}\n{two}"
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (1, "u", "<p>é x</p>"), (1, "u", "<p>é x</p>")], "page_id long, url string, html string")
     assert sorted((r.text, r.n_chars) for r in html_text.main_texts(pages).collect()) == [("", 0), ("é x", 3), ("é x", 3)]
