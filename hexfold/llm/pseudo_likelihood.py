@@ -1,17 +1,20 @@
 """LM scoring by masked pseudo-likelihood: each word predicted from both sides.
 
-Words are counted over all documents; the ``CLASSES * CLASSES`` commonest,
-less one class of hash buckets for the rest, are the vocabulary.  A network in
-numpy sums position-specific embeddings of the two words to the left and the
+Words are counted over all documents.  The ``CLASSES * CLASSES`` commonest,
+less one class of hash buckets for the rest, are what the network names; each
+other word has its bucket's probability times its share of the bucket's counts,
+which are a written table that scoring joins.  One count of every bucket is
+kept for words that no document has.  A network in numpy sums position-specific embeddings of the two words to the left and the
 two to the right, takes tanh, and predicts the masked word's class and then
 the word in its class.  A document's score is the sum of the conditional log
 probabilities of all its words, and their mean.
 
-Training sees every document: each input partition trains on every
-``STRIDE``-th word of its texts from the current network, and the partitions'
+Training sees every document: each input partition trains from the current
+network on every ``ROUNDS``-th word of its texts, from the round's number on,
+so that every word is a target once in all rounds, and the partitions'
 networks are averaged by their word counts, in groups of ``FAN`` at a time, so
 that neither a task nor the driver holds more than that many.  What is
-gathered grows with the input: word counts and one network a partition.
+gathered grows with the input: counts of all words and one network a partition.
 
 Null and empty texts have no words, sum 0 and mean 0; repeated rows get equal
 scores; without any words the network is untrained; no rows give no rows.
@@ -33,13 +36,13 @@ WORDS = CLASSES * CLASSES  # the last class is hash buckets
 PAD = WORDS
 SIZE = 24
 SIDES = (-2, -1, 1, 2)
-STRIDE = 16
 ROUNDS = 2
 BATCH = 256
 RATE = 0.15
 BLOCK = 1 << 14
 FAN = 32
 CHUNK = 1 << 15
+UNIT = 1 << 32  #: of log shares, summed as whole numbers so that no order matters
 
 
 def shapes() -> list[tuple[int, ...]]:
@@ -117,7 +120,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def numbers(known: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
     """Vocabulary numbers of hashed words; others fall into the buckets of the last class."""
-    keys, values = known
+    keys, values = known[:2]
     out = WORDS - CLASSES + (hashes.view(np.uint64) >> np.uint64(58)).astype(np.int64)
     if len(keys):
         at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
@@ -135,24 +138,39 @@ def contexts(word: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([wide[place + s] for s in SIDES], axis=1)
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the commonest words of all documents, and their numbers by rank."""
+def vocabulary(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray, DataFrame, list[int]]:
+    """Sorted hashes of the commonest words and their numbers by rank; counts of all words; counts of each bucket."""
 
     def count(batches):
         for batch, data, offsets in passes(batches, "_text", 1 << 22):
             words, counts = np.unique(word_hashes(data, offsets)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["w", "n"])
 
-    counts = docs.select(F.col(text).alias("_text")).mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    top = [r.w for r in counts.orderBy(F.desc("n"), "w").limit(WORDS - CLASSES).collect()]
-    keys = np.array(top, np.int64)
+    counts = written(docs.select(F.col(text).alias("_text")).mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
+    top = counts.orderBy(F.desc("n"), "w").limit(WORDS - CLASSES).collect()
+    keys = np.array([r.w for r in top], np.int64)
     order = np.argsort(keys)
-    return keys[order], order
+    totals = [0] * CLASSES
+    for r in counts.groupBy(bucket("w").alias("b")).agg(F.sum("n").alias("n")).collect():
+        totals[r.b] = r.n
+    for r in top:
+        totals[(r.w & (1 << 64) - 1) >> 58] -= r.n
+    return keys[order], order, counts, totals
 
 
-def averaged(docs: DataFrame, known, net: Network, text: str) -> Network:
+def bucket(w: str) -> F.Column:
+    """The hash bucket of a word, as ``numbers`` has it."""
+    return F.shiftrightunsigned(F.col(w), 58)
+
+
+def targets(n: int, turn: int) -> np.ndarray:
+    """The words of a pass of ``n`` that a round trains on, in mixed order."""
+    return np.random.default_rng(n).permutation(np.arange(turn, n, ROUNDS))
+
+
+def averaged(docs: DataFrame, known, net: Network, text: str, turn: int) -> Network:
     """One round: every partition trains, and the networks are averaged block by block."""
-    shared = docs.sparkSession.sparkContext.broadcast((known, net.flat))
+    shared = docs.sparkSession.sparkContext.broadcast((known[:2], net.flat))
     schema = "part long, block int, weight double, x binary"
 
     def train(batches):
@@ -164,7 +182,7 @@ def averaged(docs: DataFrame, known, net: Network, text: str) -> Network:
             if not len(word):
                 continue
             context = contexts(word, first)
-            at = np.random.default_rng(len(word)).permutation(np.arange(0, len(word), STRIDE))
+            at = targets(len(word), turn)
             for i in range(0, len(at), BATCH):
                 step(own, squares, context[at[i : i + BATCH]], word[at[i : i + BATCH]])
             seen += len(at)
@@ -187,18 +205,20 @@ def averaged(docs: DataFrame, known, net: Network, text: str) -> Network:
     return Network(np.frombuffer(b"".join(blocks[b] for b in sorted(blocks)), np.float32).copy()) if blocks else net
 
 
-def trained(docs: DataFrame, text: str = "text") -> tuple[tuple[np.ndarray, np.ndarray], Network]:
+def trained(docs: DataFrame, text: str = "text") -> tuple[tuple, Network]:
     known, net = vocabulary(docs, text), Network()
-    for _ in range(ROUNDS):
-        net = averaged(docs, known, net, text)
+    for turn in range(ROUNDS):
+        net = averaged(docs, known, net, text, turn)
     return known, net
 
 
 def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, n_words, log_likelihood (sum) and score (mean) of every row."""
     source = docs.select(*keep, F.col(text).alias("_text"))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast((model[0], model[1].flat))
+    rare = T.ArrayType(T.StructType([T.StructField("w", T.LongType()), T.StructField("c", T.LongType())]))
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()), T.StructField("_rare", rare)])
+    *known, counts, totals = model[0]
+    shared = docs.sparkSession.sparkContext.broadcast((known, model[1].flat))
 
     def run(batches):
         known, flat = shared.value
@@ -209,11 +229,25 @@ def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: st
             context = contexts(word, first)
             value = np.concatenate([log_probabilities(net, context[i : i + CHUNK], word[i : i + CHUNK]) for i in range(0, len(word), CHUNK)] or [np.zeros(0)])
             n = np.diff(first)
-            total = np.bincount(np.repeat(np.arange(len(n)), n), value, len(n)).astype(np.float64)
+            text = np.repeat(np.arange(len(n)), n)
+            total = np.bincount(text, value, len(n)).astype(np.float64)
+            others = word >= WORDS - CLASSES
+            text, hashes = text[others], hashes[others]
+            order = np.lexsort((hashes, text))
+            text, hashes = text[order], hashes[order]
+            head = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])))[: len(text)])
+            each = pa.StructArray.from_arrays([pa.array(hashes[head]), pa.array(np.diff(np.append(head, len(text))).astype(np.int64))], names=["w", "c"])
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[head], np.arange(len(n) + 1)).astype(np.int32)), each)
             held = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(n.astype(np.int64)), pa.array(total), pa.array(total / np.maximum(n, 1))], names=schema.names)
-
-    return source.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*held, pa.array(n.astype(np.int64)), pa.array(total), lists], names=schema.names)
+
+    made = written(source.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "sums")
+    log_total = F.array(*[F.lit(float(np.log(t + 1))) for t in totals])[bucket("w")]
+    share = F.round((F.log(F.coalesce("n", F.lit(1)).cast("double")) - log_total) * UNIT).cast("long")
+    found = made.select("_row", F.explode("_rare").alias("e")).select("_row", "e.*").join(counts, "w", "left")
+    shares = found.groupBy("_row").agg((F.sum(F.col("c") * share) / UNIT).alias("_shares"))
+    total = F.col("_sum") + F.coalesce("_shares", F.lit(0.0))
+    return made.drop("_rare").join(shares, "_row", "left").select(*keep, F.col("_n").alias("n_words"), total.alias("log_likelihood"), (total / F.greatest(F.col("_n"), F.lit(1))).alias("score"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:

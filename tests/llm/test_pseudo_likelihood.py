@@ -43,3 +43,24 @@ def test_scores(spark, docs_of):
     untrained = sorted(pl.scored(docs_of([text]), (model[0], pl.Network())).collect())
     assert rows[0].score > untrained[0].score + 1
     assert pl.pseudo_likelihood(docs_of([])).count() == 0
+
+
+def test_every_word_is_a_target_once():
+    for n in (0, 1, 37):
+        assert sorted(np.concatenate([pl.targets(n, r) for r in range(pl.ROUNDS)]).tolist()) == list(range(n))
+
+
+def test_words_of_a_bucket_have_their_own_probabilities(spark, docs_of):
+    """The bucket's probability times the word's share of its counts; one count is for unseen words."""
+    rare = [f"r{i}" for i in range(400)]
+    raw = " ".join(rare).encode()
+    hashes, _ = pl.word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    of = hashes.view(np.uint64) >> np.uint64(58)
+    one, two, unseen = np.array(rare)[of == of[0]][:3].tolist()
+    seen = [w for w in rare if w != unseen] + [two]
+    docs = docs_of([" ".join(f"c{i}" for i in range(pl.WORDS - pl.CLASSES)) + " "] * 3 + [" ".join(seen)])
+    got = [r.log_likelihood for r in sorted(pl.scored(docs_of([one, two, unseen]), (pl.vocabulary(docs), pl.Network())).collect())]
+    total = sum(int(n == of[0]) for n in of) - 1 + 1 + 1  # without the unseen word, one twice, one count kept
+    net = pl.Network()
+    bucket = pl.log_probabilities(net, np.full((1, 4), pl.PAD), np.array([pl.WORDS - pl.CLASSES + int(of[0])]))[0]
+    assert np.allclose(got, bucket + np.log(np.array([1, 2, 1]) / total), atol=1e-4)
