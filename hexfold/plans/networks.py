@@ -41,6 +41,11 @@ def river_hexes(spark, sf_dir):
     return found.select("q", "r", "river_name", F.array_join(F.transform("river_edges", lambda e: e.cast("string")), " ").alias("edges"))
 
 
+def river_chains(spark, sf_dir):
+    """Chains of all hexes that a river crosses; no SQL, tests hold it against brute force."""
+    return hexes.chains(river_hexes(spark, sf_dir).select("q", "r").distinct())
+
+
 def top_rivers(spark, sf_dir):
     """The report of the fifteen names that most hexes have, of rivers up to rank 8."""
     named = lines.ranked_rivers(ways_in_hexes(spark, sf_dir, "kind = 'river'"), 8)
@@ -132,7 +137,7 @@ def tiled_settlements(spark, sf_dir):
 
 
 QUERIES = [
-    best_road, best_rail, river_hexes, top_rivers, province_at_point, province_rollup, province_coverage, admin_tiers,
+    best_road, best_rail, river_hexes, river_chains, top_rivers, province_at_point, province_rollup, province_coverage, admin_tiers,
     resources_at_hex, hex_records, hex_features, map_metadata, tiled_settlements,
 ]
 

@@ -52,6 +52,17 @@ def test_license_scan(docs_of):
     assert licenses.license_scan(docs_of([])).count() == 0
 
 
+def test_all_licenses_are_found(docs_of):
+    body, full = "filler words of some kind " * 100, licenses.full_texts()
+    two = licenses.TEMPLATES["MIT-full"] + body + licenses.TEMPLATES["Apache-2.0"]
+    texts = ["Licensed under CC BY-NC 4.0.", two, "// SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)", body + re.sub("freedom", "liberty", full["GPL-2-text"]) + body]
+    rows = sorted(licenses.license_scan(docs_of(texts)).collect())
+    best = [{f.license for f in r.found if f.best} for r in rows]
+    assert best[:3] == [{"CC-BY-NC-4.0-short"}, {"MIT-full", "Apache-2.0"}, {"SPDX:GPL-2.0-only", "SPDX:BSD-3-Clause"}]
+    assert all(f.coverage >= licenses.LEAST for r in rows for f in r.found) and {"MIT", "MIT-full", "Apache-2.0"} <= {f.license for f in rows[1].found}
+    assert next(f.coverage for f in rows[3].found if f.license == "GPL-2-text") > 0.98
+
+
 def test_containment(spark, docs_of):
     item = "a passage of words that the test set holds, with an end"
     texts = ["x " * 3000 + item.upper().replace(",", " -") + " y" * 3000, item.rsplit(" ", 3)[0], item.rsplit(" ", 1)[0], None, "", (2, item), (None, item)]

@@ -121,3 +121,24 @@ def test_rivers_without_names(spark):
     rows = spark.createDataFrame([(0, 0, 1, None, 50.0, None, 1), (0, 0, 2, "", 60.0, 4, 1), (0, 0, 3, "B", 10.0, None, None), (0, 0, 4, "A", 10.0, None, None), (1, 0, 1, None, 5.0, 2, None)], "q int, r int, k int, name string, metres double, enter int, leave int")
     got = {(r.q, r.r): (r.river_name, r.river_edges) for r in lines.rivers_of_hexes(rows).collect()}
     assert got == {(0, 0): ("A", [1, 4]), (1, 0): ("", [2])}
+
+
+def test_river_chains_cover_all_river_hexes(spark):
+    queries = catalog.queries()
+    left = {(r.q, r.r) for r in queries["river_hexes"](spark, SF).collect()}
+    pairs = hexes.neighbors(spark.createDataFrame(sorted(left), "q int, r int")).collect()
+    beside = {}
+    for r in pairs:
+        beside.setdefault((r.q, r.r), []).append((r.nq, r.nr))
+    want = []
+    while left:
+        root = min(left)
+        todo = [root]
+        left.remove(root)
+        while todo:
+            at = todo.pop()
+            want.append((*at, *root))
+            todo += [n for n in beside.get(at, []) if n in left]
+            left -= set(todo)
+    got = [(r.q, r.r, r.root_q, r.root_r) for r in queries["river_chains"](spark, SF).collect()]
+    assert want and sorted(got) == sorted(want)
