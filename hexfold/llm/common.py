@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 #: bytes of text that one numpy pass works on; a longer text is a pass alone
 PASS_BYTES = 1 << 21
@@ -31,9 +31,11 @@ _powers: list[np.ndarray] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``)."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``); one of this machine only in local mode."""
     set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_to:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         set_to = tempfile.mkdtemp(prefix="hexfold-")
         spark.sparkContext.setCheckpointDir(set_to)
     return set_to.rstrip("/")
@@ -47,6 +49,31 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """A folder of written tables that goes when its block ends; what outlives it is ``written`` before."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{shared_dir(spark)}/hexfold-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def held(df: DataFrame, keep: Iterable[str], made: Iterable[str]) -> list[Column]:
+    """Columns to keep beside those that an operator makes; one with a made column's name becomes ``<name>_in``."""
+    taken = {*made, "_text"}
+    return [df[c].alias(f"{c}_in" if c in taken else c) for c in keep]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -76,13 +103,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def prefix_hash(data: np.ndarray, codes: np.ndarray = BYTE_CODES) -> np.ndarray:
-    """Prefix sums of a polynomial hash; see ``span_hash``."""
-    power, _ = powers(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    term = codes[data]
-    term *= power[: len(data)]
-    np.cumsum(term, out=out[1:])
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of a polynomial hash of bytes; see ``span_hash``."""
+    return prefix_sums(BYTE_CODES[data])
+
+
+def prefix_sums(codes: np.ndarray) -> np.ndarray:
+    """The same of any 64-bit codes, which it overwrites."""
+    power, _ = powers(len(codes) + 1)
+    out = np.zeros(len(codes) + 1, np.uint64)
+    codes *= power[: len(codes)]
+    np.cumsum(codes, out=out[1:])
     return out
 
 

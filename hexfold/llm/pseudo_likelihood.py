@@ -17,7 +17,8 @@ that neither a task nor the driver holds more than that many.  What is
 gathered grows with the input: counts of all words and one network a partition.
 
 Null and empty texts have no words, sum 0 and mean 0; repeated rows get equal
-scores; without any words the network is untrained; no rows give no rows.
+scores; without any words the network is untrained; no rows give no rows; a kept
+column with a made one's name becomes ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hexfold.llm.common import LOWER, passes, prefix_hash, signed, span_hash, word_spans, written
+from hexfold.llm.common import LOWER, held, passes, prefix_hash, signed, span_hash, word_spans, written
 
 CLASSES = 64
 WORDS = CLASSES * CLASSES  # the last class is hash buckets
@@ -37,7 +38,7 @@ PAD = WORDS
 SIZE = 24
 SIDES = (-2, -1, 1, 2)
 ROUNDS = 2
-BATCH = 256
+BATCH = 4096
 RATE = 0.15
 BLOCK = 1 << 14
 FAN = 32
@@ -78,37 +79,48 @@ def log_probabilities(net: Network, context: np.ndarray, word: np.ndarray) -> np
     return out
 
 
+def move(value: np.ndarray, square: np.ndarray, gradient: np.ndarray) -> None:
+    """An Adagrad step, in place."""
+    square += gradient * gradient
+    value -= RATE * gradient / np.sqrt(square + 1e-6)
+
+
+def errors(logit: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Softmax less one at the right places, over the logits."""
+    logit -= logit.max(axis=1, keepdims=True)
+    np.exp(logit, out=logit)
+    logit /= logit.sum(axis=1, keepdims=True)
+    logit[np.arange(len(right)), right] -= 1
+    return logit
+
+
 def step(net: Network, squares: Network, context: np.ndarray, word: np.ndarray) -> None:
     """One Adagrad step on the mean negative log probability."""
-    n = len(word)
+    order = np.argsort(word // CLASSES, kind="stable")  # a class is a slice
+    context, word = context[order], word[order]
+    n, kind, place = len(word), word // CLASSES, word % CLASSES
     hidden = np.tanh(sum(net.embed[k][context[:, k]] for k in range(len(SIDES))))
-    kind, place = word // CLASSES, word % CLASSES
-    logit = hidden @ net.top + net.top_bias
-    error = np.exp(logit - logit.max(axis=1, keepdims=True))
-    error /= error.sum(axis=1, keepdims=True)
-    error[np.arange(n), kind] -= 1
+    error = errors(hidden @ net.top + net.top_bias, kind)
     back = error @ net.top.T
-
-    def move(value, square, gradient):
-        square += gradient * gradient
-        value -= RATE * gradient / np.sqrt(square + 1e-6)
-
     move(net.top, squares.top, hidden.T @ error / n)
-    move(net.top_bias, squares.top_bias, error.mean(axis=0))
-    for c in np.unique(kind).tolist():
-        at = np.flatnonzero(kind == c)
-        logit = hidden[at] @ net.low[c] + net.low_bias[c]
-        error = np.exp(logit - logit.max(axis=1, keepdims=True))
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(at)), place[at]] -= 1
-        back[at] += error @ net.low[c].T
-        move(net.low[c], squares.low[c], hidden[at].T @ error / n)
-        move(net.low_bias[c], squares.low_bias[c], error.sum(axis=0) / n)
+    move(net.top_bias, squares.top_bias, error.sum(axis=0) / n)
+    bounds = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    low, low_bias = np.zeros_like(net.low), np.zeros_like(net.low_bias)
+    for c, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        if a < b:
+            error = errors(hidden[a:b] @ net.low[c] + net.low_bias[c], place[a:b])
+            back[a:b] += error @ net.low[c].T
+            low[c] = hidden[a:b].T @ error
+            low_bias[c] = error.sum(axis=0)
+    move(net.low, squares.low, low / n)
+    move(net.low_bias, squares.low_bias, low_bias / n)
     back *= (1 - hidden * hidden) / n
     for k in range(len(SIDES)):
-        used, where = np.unique(context[:, k], return_inverse=True)
-        order = np.argsort(where, kind="stable")
-        gradient = np.add.reduceat(back[order], np.searchsorted(where[order], np.arange(len(used))), axis=0)
+        order = np.argsort(context[:, k], kind="stable")
+        at = context[order, k]
+        head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        used = at[head]
+        gradient = np.add.reduceat(back[order], head, axis=0)
         squares.embed[k][used] += gradient * gradient
         net.embed[k][used] -= RATE * gradient / np.sqrt(squares.embed[k][used] + 1e-6)
 
@@ -147,7 +159,7 @@ def vocabulary(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndar
             yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts.astype(np.int64))], names=["w", "n"])
 
     counts = written(docs.select(F.col(text).alias("_text")).mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
-    top = counts.orderBy(F.desc("n"), "w").limit(WORDS - CLASSES).collect()
+    top = commonest(counts, WORDS - CLASSES)
     keys = np.array([r.w for r in top], np.int64)
     order = np.argsort(keys)
     totals = [0] * CLASSES
@@ -158,6 +170,17 @@ def vocabulary(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndar
     return keys[order], order, counts, totals
 
 
+def commonest(counts: DataFrame, most: int) -> list:
+    """The ``most`` words of most counts (w, n), ties by w: a histogram of counts bounds what is sorted and sent."""
+    level = F.floor(F.log2("n") * 64)
+    found, least = 0, 0
+    for r in sorted(counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r.l):
+        found, least = found + r.words, r.l
+        if found >= most:
+            break
+    return counts.filter(level >= least).orderBy(F.desc("n"), "w").limit(most).collect()
+
+
 def bucket(w: str) -> F.Column:
     """The hash bucket of a word, as ``numbers`` has it."""
     return F.shiftrightunsigned(F.col(w), 58)
@@ -214,7 +237,7 @@ def trained(docs: DataFrame, text: str = "text") -> tuple[tuple, Network]:
 
 def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, n_words, log_likelihood (sum) and score (mean) of every row."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source = docs.select(*held(docs, keep, ("n_words", "log_likelihood", "score")), F.col(text).alias("_text"))
     rare = T.ArrayType(T.StructType([T.StructField("w", T.LongType()), T.StructField("c", T.LongType())]))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()), T.StructField("_rare", rare)])
     *known, counts, totals = model[0]
@@ -238,8 +261,8 @@ def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: st
             head = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])))[: len(text)])
             each = pa.StructArray.from_arrays([pa.array(hashes[head]), pa.array(np.diff(np.append(head, len(text))).astype(np.int64))], names=["w", "c"])
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[head], np.arange(len(n) + 1)).astype(np.int32)), each)
-            held = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(n.astype(np.int64)), pa.array(total), lists], names=schema.names)
+            own = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(total), lists], names=schema.names)
 
     made = written(source.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "sums")
     log_total = F.array(*[F.lit(float(np.log(t + 1))) for t in totals])[bucket("w")]
@@ -247,7 +270,7 @@ def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: st
     found = made.select("_row", F.explode("_rare").alias("e")).select("_row", "e.*").join(counts, "w", "left")
     shares = found.groupBy("_row").agg((F.sum(F.col("c") * share) / UNIT).alias("_shares"))
     total = F.col("_sum") + F.coalesce("_shares", F.lit(0.0))
-    return made.drop("_rare").join(shares, "_row", "left").select(*keep, F.col("_n").alias("n_words"), total.alias("log_likelihood"), (total / F.greatest(F.col("_n"), F.lit(1))).alias("score"))
+    return made.drop("_rare").join(shares, "_row", "left").select(*source.columns[:-1], F.col("_n").alias("n_words"), total.alias("log_likelihood"), (total / F.greatest(F.col("_n"), F.lit(1))).alias("score"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from hexfold.llm import pseudo_likelihood as pl
 
@@ -27,6 +28,55 @@ def test_step_follows_the_numeric_gradient():
     assert pl.log_probabilities(net, context, word).mean() > before + 1
 
 
+def test_step_is_the_gradient_of_the_loss():
+    """One step moves every parameter by RATE against the sign of its numeric gradient (Adagrad's first step)."""
+    rng = np.random.default_rng(4)
+    context, word = rng.integers(0, 300, (50, 4)), rng.integers(0, 300, 50)
+    net = pl.Network()
+    net.flat += rng.normal(0, 0.3, len(net.flat)).astype(np.float32)
+    loss = lambda flat: -pl.log_probabilities(pl.Network(flat), context, word).astype(float).mean()
+    before = net.flat.copy()
+    squares = pl.Network(np.zeros_like(net.flat))
+    pl.step(net, squares, context, word)
+    gradient = np.sqrt(squares.flat) * np.sign(before - net.flat)
+    for k in rng.choice(np.flatnonzero(np.abs(gradient) > 2e-3), 25, replace=False).tolist():
+        up, down = before.copy(), before.copy()
+        up[k] += 1e-2
+        down[k] -= 1e-2
+        assert np.isclose((loss(up) - loss(down)) / 2e-2, gradient[k], rtol=0.05, atol=2e-4)
+
+
+def test_commonest(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(w), int(n)) for w, n in enumerate(rng.integers(1, 90, 3000))]
+    counts = spark.createDataFrame(rows, "w long, n long").repartition(5)
+    for most in (1, 100, 2999, 5000):
+        assert [tuple(r) for r in pl.commonest(counts, most)] == sorted(rows, key=lambda r: (-r[1], r[0]))[:most]
+    assert pl.commonest(counts.limit(0), 5) == []
+
+
+def test_a_documents_score_by_brute_force(spark, docs_of):
+    """Sum over its words of the plain softmax of the network, times the share of a bucket's word."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    known, net = pl.trained(docs)
+    counts = {r.w: r.n for r in known[2].collect()}
+    number = {int(w): int(v) for w, v in zip(known[0], known[1], strict=True)}
+    text = "The and of thre UNSEENWORD ingly the " + docs.filter("length(text) > 200").orderBy("doc_id").first().text[:400]
+    raw = np.frombuffer(text.encode(), np.uint8)
+    hashes, _ = pl.word_hashes(raw, np.array([0, len(raw)]))
+    words = [number.get(int(h), pl.WORDS - pl.CLASSES + ((int(h) & (1 << 64) - 1) >> 58)) for h in hashes]
+    total = 0.0
+    for i, w in enumerate(words):
+        around = [words[i + s] if 0 <= i + s < len(words) else pl.PAD for s in pl.SIDES]
+        hidden = np.tanh(sum(net.embed[k][c].astype(float) for k, c in enumerate(around)))
+        for logit, at in ((hidden @ net.top + net.top_bias, w // pl.CLASSES), (hidden @ net.low[w // pl.CLASSES] + net.low_bias[w // pl.CLASSES], w % pl.CLASSES)):
+            total += logit[at] - np.log(np.exp(logit).sum())
+        if w >= pl.WORDS - pl.CLASSES:
+            total += np.log(counts.get(int(hashes[i]), 1) / (known[3][w % pl.CLASSES] + 1))
+    (row,) = pl.scored(docs_of([text]).withColumn("score", F.lit("own")), (known, net), keep=("doc_id", "score")).collect()
+    assert row.score_in == "own" and row.n_words == len(words) and np.isclose(row.log_likelihood, total, rtol=1e-4)
+
+
 def test_contexts_stay_in_their_text():
     got = pl.contexts(np.array([5, 6, 7, 8]), np.array([0, 3, 3, 4]))
     p = pl.PAD
