@@ -5,11 +5,15 @@ samples, strips and tiles, no compression, PackBits, LZW and deflate, and the
 horizontal predictor.  ``media_pages`` maps them over a binary column: every
 image directory gives one row, a null image gives none, and an image that
 cannot be read gives one row with ``page`` -1 and the reason in ``error``.
-Other columns are dropped but those named in ``keep``.
+Other columns are dropped but those named in ``keep`` (one with a made
+column's name becomes ``<name>_in``); a null key stays null, equal rows give
+equal rows, no rows none.  A page is allocated only where its stored bytes can
+fill it, so a false size is an error in its row and no failure of the job.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 
@@ -20,12 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hexfold.llm.common import held
+
 # fixed values of the TIFF 6.0 format
 NONE, LZW, ADOBE_DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES, PLANAR, PREDICTOR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317
 TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_BYTES = 322, 323, 324, 325
 UNITS = {1: "B", 3: "H", 4: "I", 16: "Q"}
 
+#: bytes that one stored byte can stand for at most
+MOST = {NONE: 1, PACKBITS: 64, LZW: 4096, ADOBE_DEFLATE: 1040, OLD_DEFLATE: 1040}
 ROW = 192  #: bytes of a row: 64 pixels of three samples
 STRIP_ROWS = 128
 
@@ -147,7 +155,7 @@ def _pack(data: bytes, compression: int) -> bytes:
 
 def _unpack(data: bytes, compression: int, size: int) -> bytes:
     if compression in (ADOBE_DEFLATE, OLD_DEFLATE):
-        out = zlib.decompress(data)
+        out = zlib.decompressobj().decompress(data, size)  # no more than is wanted
     elif compression in (NONE, PACKBITS, LZW):
         out = {NONE: bytes, PACKBITS: unpackbits, LZW: unlzw}[compression](data)
     else:
@@ -230,12 +238,21 @@ def decode(data: bytes):
         compression, predictor = fields.get(COMPRESSION, [NONE])[0], fields.get(PREDICTOR, [1])[0]
         if set(fields.get(BITS, [1])) != {8} or fields.get(PLANAR, [1])[0] != 1 or predictor not in (1, 2):
             raise ValueError("only chunky 8-bit samples with predictor 1 or 2 are read")
+        if min(width, height, samples) < 1:
+            raise ValueError("a page without samples")
         tiled = TILE_OFFSETS in fields
         tall = fields[TILE_HEIGHT][0] if tiled else min(height, fields.get(ROWS_PER_STRIP, [height])[0])
         wide = fields[TILE_WIDTH][0] if tiled else width
+        if min(tall, wide) < 1:
+            raise ValueError("strips or tiles without samples")
         across = -(-width // wide)
-        page = np.empty((-(-height // tall) * tall if tiled else height, across * wide, samples), np.uint8)
         places, sizes = (fields[TILE_OFFSETS], fields[TILE_BYTES]) if tiled else (fields[STRIP_OFFSETS], fields[STRIP_BYTES])
+        if len(places) != across * -(-height // tall):
+            raise ValueError("strips or tiles that do not cover the page")
+        shape = (-(-height // tall) * tall if tiled else height, across * wide, samples)
+        if sum(sizes) > len(data) or math.prod(shape) > MOST.get(compression, 0) * sum(sizes):
+            raise ValueError("a page larger than its bytes can hold")
+        page = np.empty(shape, np.uint8)
         for i, (place, size) in enumerate(zip(places, sizes, strict=True)):
             y, x = i // across * tall, i % across * wide
             rows = tall if tiled else min(tall, height - y)
@@ -264,7 +281,7 @@ def text_media(docs: DataFrame, text: str, keep: list[str], compression: int = A
     The UTF-8 bytes, with spaces up to a positive multiple of 192, are the
     samples of one RGB page 64 pixels wide.  A null text is stored as an empty one.
     """
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source = docs.select(*held(docs, keep, ["n_bytes", "media"]), F.col(text).alias("_text"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("n_bytes", T.LongType()), T.StructField("media", T.BinaryType())])
 
     def store(batches):
@@ -283,8 +300,8 @@ def text_media(docs: DataFrame, text: str, keep: list[str], compression: int = A
 
 def media_pages(df: DataFrame, media: str, keep: list[str]) -> DataFrame:
     """One row per TIFF page: ``keep``, page, width, height, samples, compression, predictor, pixels, feature, error."""
-    source = df.select(*keep, F.col(media).alias("_media"))
     made = [("page", T.IntegerType()), ("width", T.IntegerType()), ("height", T.IntegerType()), ("samples", T.IntegerType()), ("compression", T.IntegerType()), ("predictor", T.IntegerType()), ("pixels", T.BinaryType()), ("feature", T.StringType()), ("error", T.StringType())]
+    source = df.select(*held(df, keep, [n for n, _ in made]), F.col(media).alias("_media"))
     schema = T.StructType([*source.schema.fields[:-1], *[T.StructField(*x) for x in made]])
     kinds = [pa.int32()] * 6 + [pa.binary(), pa.string(), pa.string()]
 
@@ -298,12 +315,12 @@ def media_pages(df: DataFrame, media: str, keep: list[str]) -> DataFrame:
                 try:
                     for k, (fields, page) in enumerate(decode(value.as_py())):
                         rows.append((k, page.shape[1], page.shape[0], page.shape[2], fields.get(COMPRESSION, [NONE])[0], fields.get(PREDICTOR, [1])[0], page.tobytes(), features(page), None))
-                except (ValueError, KeyError, IndexError, struct.error, zlib.error) as problem:
+                except (ValueError, KeyError, IndexError, OverflowError, MemoryError, struct.error, zlib.error) as problem:
                     del rows[first:]
                     rows.append((-1, None, None, None, None, None, None, None, f"{type(problem).__name__}: {problem}"))
                 at += [i] * (len(rows) - first)
-            held = [batch.column(i).take(pa.array(at, pa.int64())) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*held, *[pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]], names=schema.names)
+            own = [batch.column(i).take(pa.array(at, pa.int64())) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)]], names=schema.names)
 
     return source.mapInArrow(walk, schema)
 

@@ -53,3 +53,30 @@ def test_bad_and_null_media(spark):
     df = spark.createDataFrame([(1, None), (2, bytearray(b"no")), (3, bytearray(tiff.encode([np.ones((2, 2, 1), np.uint8)] * 2)))], "page long, _media binary")
     rows = sorted((tuple(r)[0], tuple(r)[1], tuple(r)[-1] is None) for r in tiff.media_pages(df.withColumnRenamed("page", "k"), "_media", ["k"]).collect())
     assert rows == [(2, -1, False), (3, 0, True), (3, 1, True)]
+
+
+def single(fields, data=b"xy"):
+    """A little-endian TIFF of one directory; 273 points at ``data``."""
+    out = struct.pack("<2sHI", b"II", 42, 8 + len(data)) + data + struct.pack("<H", len(fields))
+    for tag, value in sorted(fields.items()):
+        out += struct.pack("<HHII", tag, 4, 1, value)
+    return out + bytes(4)
+
+
+@pytest.mark.parametrize("change", [{256: 0}, {257: 0}, {277: 0}, {256: 200_000, 257: 200_000}, {278: 0}, {279: 1 << 30}, {256: (1 << 32) - 1}, {322: 0, 323: 0, 324: 8, 325: 2}])
+@pytest.mark.parametrize("compression", [1, 5, 8, 32773])
+def test_false_sizes_are_errors_of_their_row(spark, change, compression):
+    fields = {256: 2, 257: 1, 258: 8, 259: compression, 273: 8, 277: 1, 278: 1, 279: 2} | change
+    df = spark.createDataFrame([(1, bytearray(single(fields))), (2, bytearray(single({**fields, **{256: 2, 257: 1, 277: 1, 278: 1, 279: 2, 259: 1, 322: 2, 323: 1, 324: 8, 325: 2}})))], "page long, _media binary")
+    rows = {r.page_in: (r.page, r.error is None) for r in tiff.media_pages(df, "_media", ["page"]).collect()}
+    assert rows == {1: (-1, False), 2: (0, True)}
+
+
+def test_deflate_stops_at_the_wanted_size():
+    bomb = zlib.compress(bytes(50_000_000))
+    assert tiff._unpack(bomb, tiff.ADOBE_DEFLATE, 10) == bytes(10)
+
+
+def test_kept_columns_that_clash(docs_of):
+    rows = tiff.text_media(docs_of([(None, "a")]).withColumnRenamed("n_chars", "media"), "text", ["doc_id", "media"]).collect()
+    assert [(r.doc_id, r.media_in, r.n_bytes) for r in rows] == [(None, None, 1)]
