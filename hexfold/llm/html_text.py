@@ -1,19 +1,26 @@
 """Main text of web pages by tag-path ratios.
 
-A page is a sequence of text nodes, each under a root-to-leaf path of tags
-(with class and id words).  For every path, text length and punctuation are
-summed and divided by its number of nodes; the two ratios are smoothed along
-the page, fused by their product and thresholded by their deviation.  The
-nodes above it choose the content: the least element that holds all of them,
-or the whole article around it.  All blocks of that element are the text,
-short ones too; only parts that are no content by their tag, or by a name
-(menu, advert, comments ...), stay out.  A name, or a form, puts nothing out
-that holds most of the page's weight, unless an article stands elsewhere.
-
-A block is what stands between two block-level tags.  References are decoded,
-white space inside a block is one space, empty blocks go, and blocks are
-joined in page order by one line feed.  A null page has empty text; unclosed
-tags, comments and scripts end where browsers end them; no rows give no rows.
+A page is a sequence of text nodes (what stands between two block-level tags),
+each under a root-to-leaf path of tags with their class and id words.  For
+every path, text length outside links and punctuation are summed and divided
+by its number of nodes; the two ratios are smoothed along the page, fused by
+their product and thresholded by their deviation.  A path is content where the
+nodes above the threshold hold most of its text, and its nodes are selected.
+
+The main element is the article (or main) with most of the selected text, or
+the least element that holds ``WHOLE`` of it.  The text is every selected node
+of it, and what stands between them.  What stands before the first or after
+the last of them is kept too where the element is marked off from the rest of
+the page (it is no body), unless most of it is links; in a body only headings
+before the text are.  Tags that are no content (menus, footers, forms ...) stay
+out; names (menu, advert, comments ...) are evidence, which puts out no element
+that holds ``MOST`` of the selected text, unless an article stands elsewhere.
+
+References are decoded, white space inside a node is one space, empty nodes
+go, and nodes are joined in page order by one line feed.  A null page has
+empty text; unclosed tags, comments and scripts end where browsers end them;
+equal rows give equal texts, a null page_id or url stays null, no rows give no
+rows, and a kept column with a made one's name becomes ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -22,12 +29,15 @@ import html as references
 import math
 import re
 from statistics import fmean, pstdev
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hexfold.llm.common import held
+
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.S | re.I,
@@ -45,21 +55,41 @@ NO_CONTENT_WORDS = re.compile(
 )
 CONTAINERS = set("article main section div td body html blockquote figure".split())
 MARKS = re.compile(r"[.,;:!?…。，、！？]")
-WIDTH = 2  #: nodes to each side in smoothing
-MOST = 0.5  #: of the chosen weight; what holds more is no menu or advert, whatever its name
+WIDTH = 1  #: nodes to each side in smoothing
+MOST = 0.5  #: of the selected text; what holds more is no menu or advert, whatever its name
+WHOLE = 0.9  #: of the selected text that the main element holds
+LINKS = 0.5  #: of a node's characters; one with more in links is no text where text begins or ends
+HEADING = re.compile(r"h[1-6](?:\.|$)")
+
+
+class Node(NamedTuple):
+    """A text node: its text, its path, the numbers of the elements along it and of those named as no content, characters in links."""
 
+    text: str
+    path: tuple[str, ...]
+    line: tuple[int, ...]
+    named: tuple[int, ...]
+    links: int
 
-def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...], tuple[int, ...]]]:
-    """(text, path, element numbers along it, those named as no content) of every block outside tags of no content."""
+
+def blocks(page: str) -> list[Node]:
+    """Every text node outside tags of no content."""
     stack: list[tuple[str, str, int, bool, bool]] = []  # tag, label, number, no content by tag, by name
-    found, held, number, at = [], [], 0, 0
+    found, pieces, linked, number, at = [], [], [], 0, 0
+
+    def take(piece: str) -> None:
+        pieces.append(piece)
+        if any(x[0] == "a" for x in stack):
+            linked.append(piece)
 
     def flush() -> None:
-        if held:
-            text = " ".join(references.unescape("".join(held)).split())
-            held.clear()
+        if pieces:
+            text = " ".join(references.unescape("".join(pieces)).split())
+            links = len(" ".join(references.unescape(" ".join(linked)).split()))
+            pieces.clear()
+            linked.clear()
             if text and not any(x[3] for x in stack):
-                found.append((text, tuple(x[1] for x in stack), tuple(x[2] for x in stack), tuple(x[2] for x in stack if x[4])))
+                found.append(Node(text, tuple(x[1] for x in stack), tuple(x[2] for x in stack), tuple(x[2] for x in stack if x[4]), min(links, len(text))))
 
     def close(tags: set[str], barriers: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -72,13 +102,13 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...], tuple
 
     for token in TOKEN.finditer(page):
         if token.start() > at:
-            held.append(page[at : token.start()])
+            take(page[at : token.start()])
         at = token.end()
         tag = (token[3] or "").lower()
         if not tag:
             continue
         if tag == "br":
-            held.append(" ")
+            pieces.append(" ")
             continue
         if tag in BLOCK:
             flush()
@@ -97,7 +127,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], tuple[int, ...], tuple
         doubtful = tag == "form" or any(map(NO_CONTENT_WORDS.match, named)) and tag not in ("body", "html", "article", "main")
         stack.append((tag, ".".join([tag, *named]), number, out, doubtful))
     if at < len(page):
-        held.append(page[at:])
+        take(page[at:])
     flush()
     return found
 
@@ -112,63 +142,92 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def fused(nodes: list[tuple]) -> list[float]:
+def fused(nodes: list[Node]) -> list[float]:
     """Length and punctuation ratios of the nodes' paths, smoothed along the page, and their product."""
     totals: dict[tuple[str, ...], list[int]] = {}
     for node in nodes:
-        total = totals.setdefault(node[1], [0, 0, 0])
-        total[0] += len(node[0])
-        total[1] += len(MARKS.findall(node[0]))
+        total = totals.setdefault(node.path, [0, 0, 0])
+        total[0] += len(node.text) - node.links
+        total[1] += len(MARKS.findall(node.text)) if node.links < len(node.text) else 0
         total[2] += 1
-    length = smoothed([totals[n[1]][0] / totals[n[1]][2] for n in nodes])
-    marks = smoothed([totals[n[1]][1] / totals[n[1]][2] for n in nodes])
+    length = smoothed([totals[n.path][0] / totals[n.path][2] for n in nodes])
+    marks = smoothed([totals[n.path][1] / totals[n.path][2] for n in nodes])
     return [a * (1 + b) for a, b in zip(length, marks, strict=True)]
 
 
-def held(nodes: list[tuple]) -> set[int]:
-    """Elements named as no content that hold most of the weight, unless an article is elsewhere and none in them."""
+def selected(nodes: list[Node]) -> list[bool]:
+    """Whether each node is on a content path: nodes above the threshold hold most of the path's text."""
     values = fused(nodes)
     least = min(0.5 * pstdev(values), 0.5 * fmean(values))
+    above: dict[tuple[str, ...], int] = {}
+    for node, value in zip(nodes, values, strict=True):
+        above[node.path] = above.get(node.path, 0) + (len(node.text) if value >= least else -len(node.text))
+    return [above[n.path] > 0 for n in nodes]
+
+
+def unnamed(nodes: list[Node]) -> list[Node]:
+    """Nodes outside elements named as no content; a name does not put out what holds most, unless an article is elsewhere and none in it."""
     weight: dict[int, int] = {}
     own, plain, whole = set(), False, 0
-    for (text, path, line, named), value in zip(nodes, values, strict=True):
-        whole += len(text) if value >= least else 0
-        inner = max((n for n, x in zip(line, path, strict=True) if x.split(".")[0] in ("article", "main")), default=0)
-        plain |= inner > 0 and not named
-        for k in named:
-            weight[k] = weight.get(k, 0) + (len(text) if value >= least else 0)
+    for node, chosen in zip(nodes, selected(nodes), strict=True):
+        size = len(node.text) if chosen else 0
+        whole += size
+        inner = max((n for n, x in zip(node.line, node.path, strict=True) if x.split(".")[0] in ("article", "main")), default=0)
+        plain |= inner > 0 and not node.named
+        for k in node.named:
+            weight[k] = weight.get(k, 0) + size
             if inner > k:
                 own.add(k)
-    return {k for k in weight if weight[k] > MOST * whole and (k in own or not plain)}
+    stay = {k for k in weight if weight[k] > MOST * whole and (k in own or not plain)}
+    return [n for n in nodes if stay.issuperset(n.named)]
+
+
+def main_element(nodes: list[Node], chosen: list[bool]) -> tuple[int, bool]:
+    """Number of the element that holds the main text (0: the page), and whether it is marked off from the page."""
+    weight: dict[int, int] = {}
+    tags: dict[int, str] = {}
+    for node, take in zip(nodes, chosen, strict=True):
+        for k, label in zip(node.line, node.path, strict=True):
+            tags[k] = label.split(".")[0]
+            weight[k] = weight.get(k, 0) + (len(node.text) if take else 0)
+    whole = sum(len(n.text) for n, take in zip(nodes, chosen, strict=True) if take)
+    articles = [k for k in weight if tags[k] in ("article", "main")]
+    if articles:
+        best = max(articles, key=lambda k: (weight[k], k))
+        if weight[best] > MOST * whole:
+            return best, True
+    held = [k for k in weight if tags[k] in CONTAINERS and weight[k] >= WHOLE * whole]
+    best = max(held, default=0)  # elements are numbered as they open: the last is the least
+    return best, tags.get(best, "body") not in ("body", "html")
 
 
 def main_text(page: str | None) -> str:
     nodes = blocks(page or "")
-    if any(n[3] for n in nodes):
-        stay = held(nodes)
-        nodes = [n for n in nodes if stay.issuperset(n[3])]
+    if any(n.named for n in nodes):
+        nodes = unnamed(nodes)
     if not nodes:
         return ""
-    values = fused(nodes)
-    least = min(0.5 * pstdev(values), 0.5 * fmean(values))
-    chosen = [n for n, value in zip(nodes, values, strict=True) if value >= least]
-    common = 0
-    while all(len(n[2]) > common and n[2][common] == chosen[0][2][common] for n in chosen):
-        common += 1
-    labels = [x.split(".")[0] for x in chosen[0][1][:common]]
-    at = labels.index("article") + 1 if "article" in labels else max((k for k, x in enumerate(labels, 1) if x in CONTAINERS), default=0)
-    return "\n".join(n[0] for n in nodes if n[2][:at] == chosen[0][2][:at])
+    chosen = selected(nodes)
+    element, apart = main_element(nodes, chosen)
+    inside = [(n, take) for n, take in zip(nodes, chosen, strict=True) if not element or element in n.line]
+    at = [i for i, (_, take) in enumerate(inside) if take]
+    kept = []
+    for i, (node, take) in enumerate(inside):
+        heading = any(HEADING.match(x) for x in node.path) and i < at[0]
+        if take or at[0] < i < at[-1] or ((apart or heading) and node.links <= LINKS * len(node.text)):
+            kept.append(node.text)
+    return "\n".join(kept)
 
 
 def main_texts(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep``, text and n_chars of every page."""
-    source = pages.select(*keep, F.col(html).alias("_html"))
+    source = pages.select(*held(pages, keep, ["_html", "text", "n_chars"]), F.col(html).alias("_html"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches):
         for batch in batches:
             texts = [main_text(x) for x in batch.column("_html").to_pylist()]
-            held = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=schema.names)
+            own = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=schema.names)
 
     return source.mapInArrow(run, schema)

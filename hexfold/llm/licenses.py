@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hexfold.llm.common import held
+
 LEAST = 0.8
 LONG = 600  #: words; longer templates are aligned from every eighth of their length on
 WORD = re.compile(r"[a-z0-9]+")
@@ -175,11 +177,11 @@ def scan(text: str | None, templates: list[tuple], least: float = LEAST) -> list
 def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), templates: dict[str, str] | None = None) -> DataFrame:
     """``keep``, license, coverage, first_word, last_word and found of every row."""
     wanted = prepared(templates or TEMPLATES | full_texts())
-    source = docs.select(*keep, F.col(text).alias("_text"))
     made = [("license", T.StringType()), ("coverage", T.DoubleType()), ("first_word", T.LongType()), ("last_word", T.LongType())]
     each = T.StructType([T.StructField(*x) for x in [*made, ("best", T.BooleanType())]])
     made.append(("found", T.ArrayType(each)))
     kind = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("best", pa.bool_())]))
+    source = docs.select(*held(docs, keep, [n for n, _ in made]), F.col(text).alias("_text"))
     schema = T.StructType([*source.schema.fields[:-1], *[T.StructField(*x) for x in made]])
 
     def run(batches):
@@ -187,8 +189,8 @@ def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
             found = [scan(x, wanted) for x in batch.column("_text").to_pylist()]
             rows = [f[0] if f else (0.0, None, None, None, None) for f in found]
             lists = [[{"license": f[2], "coverage": f[0], "first_word": f[3], "last_word": f[4], "best": f[5]} for f in x] for x in found]
-            held = [batch.column(i) for i in range(batch.num_columns - 1)]
+            own = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns = [pa.array([r[c] for r in rows], of) for c, of in ((2, pa.string()), (0, pa.float64()), (3, pa.int64()), (4, pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*held, *columns, pa.array(lists, kind)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*own, *columns, pa.array(lists, kind)], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -1,6 +1,10 @@
+import math
+import random
 import re
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from hexfold.llm import decontaminate, html_text, licenses
 
 
@@ -29,6 +33,85 @@ def test_main_text_is_whole():
     assert html_text.main_text(f"<body>{parts}</body>") == f"{one}\n{one}\n{two}"
 
 
+def test_names_are_evidence_only():
+    """A name that holds the only text puts nothing out; links and notes beside the text go by their ratios, without any name."""
+    line = "One long sentence, with some words and marks; and more of them. " * 3
+    for name in ("story related-coverage-story", "text-widget entry"):
+        assert html_text.main_text(f"<body><div class='{name}'><p>{line}</p></div></body>") == line.strip()
+    want = f"{line.strip()}\n{line.strip()}"
+    text = f"<p>{line}</p><p>{line}</p>"
+    assert html_text.main_text(f"<body><a href=/>Home</a>{text}Privacy Terms</body>") == want
+    assert html_text.main_text(f"<body><div><a href=/>Home</a> <a>News</a></div><div>{text}</div><div>Privacy Terms</div></body>") == want
+    assert html_text.main_text(f"<body><table><tr><td><a>One</a><td><a>Two</a></table><h2>Title</h2>{text}<ul><li><a>x</a></ul></body>") == f"Title\n{want}"
+    # lists and short lines within the text, and at its end in its own element, stay
+    assert html_text.main_text(f"<body><div><p>{line}</p><ul><li>a<li>b</ul><p>{line}</p><div>End</div></div><div>x</div></body>") == f"{line.strip()}\na\nb\n{line.strip()}\nEnd"
+
+
+def test_thresholded_paths_select(monkeypatch):
+    line = "One long sentence, with some words and marks; and more of them."
+    page = f"<body><div>Home News</div><div><p>{line}</p><p>{line}</p></div><div>Privacy Terms</div></body>"
+    with_paths = html_text.main_text(page)
+    monkeypatch.setattr(html_text, "selected", lambda nodes: [True] * len(nodes))
+    assert html_text.main_text(page) == f"Home News\n{with_paths}\nPrivacy Terms"
+
+
+def test_ratios_by_brute_force():
+    rng = random.Random(7)
+    for _ in range(20):
+        nodes = [html_text.Node("word, " * rng.randrange(1, 30), tuple(rng.choices("abc", k=2)), (1, 2), (), rng.randrange(6)) for _ in range(rng.randrange(1, 40))]
+        length, marks = [], []
+        for n in nodes:
+            same = [m for m in nodes if m.path == n.path]
+            length.append(sum(len(m.text) - m.links for m in same) / len(same))
+            marks.append(sum(m.text.count(",") if m.links < len(m.text) else 0 for m in same) / len(same))
+        for i, value in enumerate(html_text.fused(nodes)):
+            near = [(math.exp(-2 * (i - j) ** 2), j) for j in range(max(0, i - 1), min(len(nodes), i + 2))]
+            mean = lambda v: sum(w * v[j] for w, j in near) / sum(w for w, _ in near)  # noqa: B023, E731
+            assert math.isclose(value, mean(length) * (1 + mean(marks)))
+
+
+def test_long_page_is_whole():
+    page = "<article>" + "<p>Some words, and a mark.</p><div>x</div>" * 20_000 + "</article>"
+    assert html_text.main_text(page) == "\n".join(["Some words, and a mark.\nx"] * 20_000)
+
+
+def test_kept_columns_that_clash(spark, docs_of):
+    """A kept column with a made one's name becomes <name>_in; null keys stay."""
+    pages = spark.createDataFrame([(None, "t", 5, "<p>x</p>")], "page_id long, text string, n_chars long, html string")
+    assert html_text.main_texts(pages, keep=("page_id", "text", "n_chars")).collect() == [(None, "t", 5, "x", 1)]
+    docs = docs_of([(None, "a b"), (1, None)]).withColumns({c: F.lit(c) for c in ("license", "found", "coverage")})
+    rows = licenses.license_scan(docs, keep=("doc_id", "license", "found", "coverage")).collect()
+    assert sorted(tuple(r)[1:5] for r in rows) == [("license", "found", "coverage", None)] * 2
+
+
+def brute_coverage(words, template):
+    """Longest common subsequence of the template with any stretch of the text, over the template's length."""
+    best = [0] * (len(template) + 1)
+    for w in words:
+        row = best[:]
+        for j, t in enumerate(template, 1):
+            row[j] = max(best[j], row[j - 1], best[j - 1] + 1 if w == t else 0)
+        best = row
+    return best[-1] / len(template)
+
+
+def test_coverage_against_common_subsequence():
+    """Patience alignment covers no more than the longest common subsequence, and all of it where words are unique or edits few."""
+    rng = random.Random(3)
+    template = licenses.WORD.findall(licenses.TEMPLATES["ISC"].lower())
+    for cuts in range(0, 7):
+        words = template[:]
+        for _ in range(cuts):
+            k = rng.randrange(len(words))
+            words[k : k + 1] = rng.choice([[], ["changed"], [words[k], "more"]])
+        words = ["before"] * 50 + words + ["after"] * 50
+        got, most = licenses.best_match(words, template, 0.5)[0], brute_coverage(words, template)
+        assert most - 0.05 <= got <= most
+    unique = [f"w{i}" for i in range(40)]
+    shuffled = unique[:10] + unique[20:30] + unique[10:20] + unique[30:]
+    assert licenses.best_match(shuffled, unique, 0.5)[0] == brute_coverage(shuffled, unique) == 0.75
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (1, "u", "<p>é x</p>"), (1, "u", "<p>é x</p>")], "page_id long, url string, html string")
     assert sorted((r.text, r.n_chars) for r in html_text.main_texts(pages).collect()) == [("", 0), ("é x", 3), ("é x", 3)]
