@@ -10,6 +10,8 @@ The model is fitted on the driver from the vectors of at most ``SAMPLE``
 labelled rows (those with the smallest hash of doc_id); every document is then
 scored over its whole text.  Null texts are empty ones, a null ``n_chars`` is
 the text's own length, and without any labelled row all scores are 0.5.
+Equal rows get equal scores, a null doc_id is never learned from, no rows give
+no rows, and a kept column named score becomes score_in.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hexfold.llm.common import LOWER, passes, prefix_hash, span_hash, word_spans
+from hexfold.llm.common import LOWER, held, passes, prefix_hash, span_hash, word_spans
 
 SAMPLE = 6000
 BUCKETS = 1 << 15
@@ -149,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Machine:
                 names=["doc_id", "label", "at", "x"],
             )
 
-    got = source.mapInArrow(encode, "doc_id long, label int, at binary, x binary").limit(2 * SAMPLE).collect()
+    got = source.mapInArrow(encode, "doc_id long, label int, at binary, x binary").orderBy("doc_id", F.xxhash64("at", "x")).limit(2 * SAMPLE).collect()
     rows = [(np.frombuffer(r.at, "<i4"), np.frombuffer(r.x, "<f4"), int(r.label)) for r in sorted(got, key=lambda r: (r.doc_id, r.x))]
     return fit(rows)
 
@@ -157,14 +159,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> Machine:
 def scored(docs: DataFrame, model: Machine, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and ``score`` of every row."""
     chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    source = docs.select(*keep, F.col(text).alias("_text"), chars.alias("_n_chars"))
+    source = docs.select(*held(docs, keep, ["score", "_n_chars"]), F.col(text).alias("_text"), chars.alias("_n_chars"))
     schema = T.StructType([*source.schema.fields[:-2], T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch, starts, index, value in _batches(batches):
-            held = [batch.column(i) for i in range(batch.num_columns - 2)]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(score(shared.value, starts, index, value).astype(np.float64))], names=schema.names)
+            own = [batch.column(i) for i in range(batch.num_columns - 2)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(score(shared.value, starts, index, value).astype(np.float64))], names=schema.names)
 
     return source.mapInArrow(run, schema)
 

@@ -13,7 +13,9 @@ Training takes whole texts of about ``PER_LANGUAGE`` labelled documents per
 language (chosen by a hash of doc_id), cut into stretches that are strung
 together across languages, so that switches occur and transitions have
 evidence.  A null text, one without a letter, or any text when nothing was
-learned gives ``und`` with score 0.
+learned gives ``und`` with score 0.  Equal texts get equal labels, rows without doc_id
+are labelled like others, no rows give no rows, and a kept column with a made
+one's name becomes ``<name>_in``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hexfold.llm.common import LOWER, passes, prefix_hash, span_hash
+from hexfold.llm.common import LOWER, held, passes, prefix_hash, span_hash
 
 PER_LANGUAGE = 150
 CHAIN = 128
@@ -234,14 +236,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
         return None
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     rate = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))])[F.col("lang")]
-    rows = labelled.filter(share < rate).limit(4 * per_language * len(counts)).collect()
+    rows = labelled.filter(share < rate).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(4 * per_language * len(counts)).collect()
     return fit([(r.lang, r.text) for r in sorted(rows, key=lambda r: (r.doc_id or 0, r.text))])
 
 
 def labelled(docs: DataFrame, model: Field | None, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` and lang_pred, score, n_words, n_switches (changes of language along chains)."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
     made = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("n_words", T.LongType()), ("n_switches", T.LongType())]
+    source = docs.select(*held(docs, keep, [n for n, _ in made]), F.col(text).alias("_text"))
     schema = T.StructType([*source.schema.fields[:-1], *[T.StructField(*x) for x in made]])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -273,8 +275,8 @@ def labelled(docs: DataFrame, model: Field | None, keep: list[str], text: str =
             top = mass.argmax(axis=1)
             langs = [field.languages[k] if ok else "und" for k, ok in zip(top.tolist(), letters.tolist(), strict=True)] if field else ["und"] * n
             value = np.where(letters, mass[np.arange(n), top] / total, 0.0).clip(0, 1)
-            held = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(langs, pa.string()), pa.array(value), pa.array(n_words.astype(np.int64)), pa.array(switches)], names=schema.names)
+            own = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(langs, pa.string()), pa.array(value), pa.array(n_words.astype(np.int64)), pa.array(switches)], names=schema.names)
 
     return source.mapInArrow(run, schema)
 

@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hexfold.llm.common import written
+from hexfold.llm.common import held, written
 
 WINDOW = 2048
 END_ID = 1
+MADE = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 CACHE_WORDS = 1_500_000
 _caches: dict[str, Words] = {}
 
@@ -78,7 +79,7 @@ def words(path: str) -> Words:
 
 def tokenised(docs: DataFrame, text: str, keep: list[str], vocabulary: str) -> DataFrame:
     """Pass one: ``keep`` and _part, _before (ids earlier in the partition), _n, _ids (uint16 bytes, end id included)."""
-    source = docs.select(*keep, F.col(text).alias("_text"))
+    source = docs.select(*held(docs, keep, MADE), F.col(text).alias("_text"))
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("_part", T.IntegerType()), T.StructField("_before", T.LongType()), T.StructField("_n", T.LongType()), T.StructField("_ids", T.BinaryType())])
     end = np.array([END_ID], "<u2").tobytes()
 
@@ -89,8 +90,8 @@ def tokenised(docs: DataFrame, text: str, keep: list[str], vocabulary: str) -> D
             sizes = np.array([len(x) // 2 for x in ids], np.int64)
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
-            held = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*held, pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), pa.array(sizes), pa.array(ids, pa.binary())], names=schema.names)
+            own = [batch.column(i) for i in range(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), pa.array(sizes), pa.array(ids, pa.binary())], names=schema.names)
 
     return source.mapInArrow(tokens, schema)
 
@@ -101,8 +102,7 @@ def pieces(tokens: DataFrame, keep: list[str], window: int = WINDOW) -> DataFram
     ends = np.cumsum([n for _, n in totals], dtype=np.int64)
     base = tokens.sparkSession.sparkContext.broadcast({p: int(e - n) for (p, n), e in zip(totals, ends, strict=True)})
     source = tokens.select(*keep, "_part", "_before", "_n", "_ids")
-    made = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    schema = T.StructType([*source.schema.fields[:-4], *[T.StructField(x, T.LongType()) for x in made]])
+    schema = T.StructType([*source.schema.fields[:-4], *[T.StructField(x, T.LongType()) for x in MADE]])
 
     def cut(batches):
         bases = base.value
@@ -120,8 +120,8 @@ def pieces(tokens: DataFrame, keep: list[str], window: int = WINDOW) -> DataFram
                     row.append(i)
                     start += length
             held = [batch.column(i).take(pa.array(row, pa.int64())) for i in range(batch.num_columns - 4)]
-            columns = np.array(out, np.int64).reshape(-1, len(made))
-            yield pa.RecordBatch.from_arrays([*held, *[pa.array(np.ascontiguousarray(columns[:, k])) for k in range(len(made))]], names=schema.names)
+            columns = np.array(out, np.int64).reshape(-1, len(MADE))
+            yield pa.RecordBatch.from_arrays([*held, *[pa.array(np.ascontiguousarray(columns[:, k])) for k in range(len(MADE))]], names=schema.names)
 
     return source.mapInArrow(cut, schema)
 
@@ -132,4 +132,5 @@ def packed(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str
     A null or empty text is its end id alone; equal rows are packed each;
     no rows give no pieces.  Only the last window is short of ``window`` ids.
     """
-    return pieces(written(tokenised(docs, text, list(keep), vocabulary), "tokens"), list(keep), window)
+    tokens = written(tokenised(docs, text, list(keep), vocabulary), "tokens")
+    return pieces(tokens, [c for c in tokens.columns if c not in ("_part", "_before", "_n", "_ids")], window)
