@@ -25,29 +25,62 @@ are repeats of each other; no rows give no rows; other columns play no part.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hexfold.llm.common import mixed, passes, prefix_hash, signed, span_hash, written
+from hexfold.llm.common import Scratch, mixed, passes, prefix_hash, prefix_sums, signed, span_hash, word_spans, written
 
 LENGTH = 400
 REACH = 256
 GRAM = 8
-CELLS = (32, 1)  #: windows of a cell at the levels after the first
+PASSAGE = 51  #: words
+
+
+@dataclass(frozen=True)
+class Unit:
+    """What windows are made of, how long they are, and how many places a representative is chosen from."""
+
+    length: int = LENGTH
+    reach: int = REACH  #: a power of two; a gram at its last place must end within the window
+    words: bool = False
+    cells: tuple[int, ...] = (32, 1)  #: windows of a cell at the levels after the first
+
+    def symbols(self, data: np.ndarray, offsets: np.ndarray):
+        """Of a pass: where each text's symbols begin, prefix hashes of the symbols, their grams."""
+        if not self.words:
+            grams = np.ndarray((max(len(data) - GRAM + 1, 0),), "<u8", data.tobytes(), 0, (1,)).copy()
+            return offsets, prefix_hash(data), mixed(grams)
+        starts, ends, first = word_spans(data, offsets)
+        codes = span_hash(prefix_hash(data), starts, ends)
+        grams = mixed(codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:])  # of two words
+        return first, prefix_sums(codes), grams
+
+    def spans(self, data: np.ndarray, offsets: np.ndarray, p: np.ndarray, q: np.ndarray, row: np.ndarray):
+        """Bytes from the start of each text's window ``p`` to the end of its window ``q``."""
+        if not self.words:
+            return p + offsets[:-1][row], q + offsets[:-1][row] + self.length
+        starts, ends, first = word_spans(data, offsets)
+        return (starts[p + first[:-1][row]], ends[q + first[:-1][row] + self.length - 1]) if len(row) else (p, q)
+
 
+BYTES = Unit()
+PASSAGES = Unit(PASSAGE, 32, True, (4, 1))
 
-def representatives(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, reach: int = REACH):
+
+def representatives(grams: np.ndarray, offsets: np.ndarray, length: int = LENGTH, reach: int = REACH):
     """For each run of windows with one representative: text, first and last window, representative."""
     none = np.zeros(0, np.int64)
-    if len(data) < length:
+    if not len(grams):
         return none, none, none, none
-    grams = mixed(np.ndarray((len(data) - GRAM + 1,), "<u8", data.tobytes(), 0, (1,)).copy())
     least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
     step = 1
-    while step < reach:
+    while step < reach and step < len(least):
         least = np.minimum(least[: len(least) - step], least[step:])
         step *= 2
     sizes = np.maximum(np.diff(offsets) - length + 1, 0)
@@ -76,15 +109,15 @@ def packed(first: np.ndarray, last: np.ndarray, suffix: np.ndarray) -> np.ndarra
     return first << 32 | (last - first) << 16 | (suffix - first)
 
 
-def suffixes(keyed: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
+def suffixes(keyed: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """name, context, n, one place, and all places if there are more, of a shard's distinct suffixes."""
 
     def run(batches):
         for batch, data, offsets in passes(batches, "_text"):
-            text, first, last, at = representatives(data, offsets, length, reach)
-            prefix = prefix_hash(data)
-            name = span_hash(prefix, at, at + (length - reach + 1))
-            context = mixed(span_hash(prefix, first, last + length) + (at - first).astype(np.uint64))
+            offsets, prefix, grams = unit.symbols(data, offsets)
+            text, first, last, at = representatives(grams, offsets, unit.length, unit.reach)
+            name = span_hash(prefix, at, at + (unit.length - unit.reach + 1))
+            context = mixed(span_hash(prefix, first, last + unit.length) + (at - first).astype(np.uint64))
             order = np.lexsort((context, name))
             name, context, text = name[order], context[order], text[order]
             fresh = np.ones(len(name), bool)
@@ -105,13 +138,14 @@ def suffixes(keyed: DataFrame, length: int = LENGTH, reach: int = REACH) -> Data
     return keyed.select("k", "d", "_text").mapInArrow(run, f"name long, context long, n long, {PLACE}, more array<struct<k: long, d: long, at: long>>")
 
 
-def cells(keyed: DataFrame, wanted: DataFrame, size: int, length: int = LENGTH) -> DataFrame:
+def cells(keyed: DataFrame, wanted: DataFrame, size: int, unit: Unit = BYTES) -> DataFrame:
     """The wanted suffixes (places and n) as rows of a level: one per cell of ``size`` windows."""
     lists = wanted.groupBy("k", "d").agg(F.collect_list(F.struct("at", "n", "name")).alias("runs"))
     source = keyed.join(lists, ["k", "d"]).dropDuplicates(["k", "d"]).select("k", "d", "runs", "_text")
 
     def run(batches):
         for batch, data, offsets in passes(batches, "_text"):
+            offsets, prefix, _ = unit.symbols(data, offsets)
             runs = batch.column("runs")
             each = runs.flatten()
             row = np.repeat(np.arange(batch.num_rows), np.asarray(runs.value_lengths()))
@@ -123,9 +157,8 @@ def cells(keyed: DataFrame, wanted: DataFrame, size: int, length: int = LENGTH)
             cell = np.arange(len(which)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[which]
             start = suffix[which] + cell * size  # of the cell's first window, which may be before the run
             p, q = np.maximum(start, first[which]), np.minimum(start + size - 1, last[which])
-            prefix = prefix_hash(data)
-            name = mixed(span_hash(prefix, start + size - 1, start + length) ^ parent[which].view(np.uint64) * np.uint64(3) + cell.astype(np.uint64))
-            context = mixed(span_hash(prefix, p, q + length) + (p - start).astype(np.uint64))
+            name = mixed(span_hash(prefix, start + size - 1, start + unit.length) ^ parent[which].view(np.uint64) * np.uint64(3) + cell.astype(np.uint64))
+            context = mixed(span_hash(prefix, p, q + unit.length) + (p - start).astype(np.uint64))
             rows = pa.array(row[which])
             base = offsets[:-1][row[which]]
             yield pa.RecordBatch.from_arrays([pa.array(signed(name)), pa.array(signed(context)), pa.array(n[which]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(p - base << 32 | (q - p) << 16 | (suffix[which] - p))], names=["name", "context", "n", "k", "d", "at"])
@@ -133,59 +166,78 @@ def cells(keyed: DataFrame, wanted: DataFrame, size: int, length: int = LENGTH)
     return source.mapInArrow(run, f"name long, context long, n long, {PLACE}")
 
 
-def refined(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def refined(rows: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Rows of which all windows are repeated, and one row per context of blocks that differ in it."""
     blocks = rows.groupBy("name").agg(F.sum("n").alias("total"), F.min("context").alias("x"), F.max("context").alias("y")).filter("total > 1")
-    alive = written(rows.join(blocks.select("name", (F.col("x") != F.col("y")).alias("parted")), "name"), "blocks")
+    alive = scratch.written(rows.join(blocks.select("name", (F.col("x") != F.col("y")).alias("parted")), "name"), "blocks")
     parted = alive.filter("parted")
-    contexts = written(parted.groupBy("name", "context").agg(F.sum("n").alias("n"), F.min(F.struct("k", "d", "at")).alias("r")).select("name", "context", "n", "r.*"), "contexts")
+    contexts = scratch.written(parted.groupBy("name", "context").agg(F.sum("n").alias("n"), F.min(F.struct("k", "d", "at")).alias("r")).select("name", "context", "n", "r.*"), "contexts")
     same = parted.join(contexts.filter("n > 1").select("name", "context"), ["name", "context"], "left_semi")
     return alive.filter("not parted").drop("parted").union(same.drop("parted").select(*alive.drop("parted").columns)), contexts
 
 
-def repeated_runs(keyed: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
-    """k, d, p, q: runs of windows that start elsewhere too."""
-    found, contexts = refined(written(suffixes(keyed, length, reach), "suffixes"))
-    found = found.select(F.explode(F.coalesce("more", F.array(F.struct("k", "d", "at")))).alias("e")).select("e.*")
-    for size in CELLS:
-        # contexts met twice are done, and stay as witnesses for the others
-        done, contexts = refined(written(cells(keyed, contexts.select("k", "d", "at", "n", "name"), size, length), "cells"))
-        found = found.union(done.filter("n = 1").select("k", "d", "at"))
-    p = F.shiftright("at", 32)
-    return found.select("k", "d", p.alias("p"), (p + F.shiftright("at", 16).bitwiseAND(F.lit(65535))).alias("q"))
+def repeated_runs(keyed: DataFrame, unit: Unit = BYTES) -> DataFrame:
+    """k, d, p, q: runs of windows that start elsewhere too, as a written table."""
+    with Scratch(keyed.sparkSession) as scratch:
+        found, contexts = refined(scratch.written(suffixes(keyed, unit), "suffixes"), scratch)
+        found = found.select(F.explode(F.coalesce("more", F.array(F.struct("k", "d", "at")))).alias("e")).select("e.*")
+        for size in unit.cells:
+            # contexts met twice are done, and stay as witnesses for the others
+            done, contexts = refined(scratch.written(cells(keyed, contexts.select("k", "d", "at", "n", "name"), size, unit), "cells"), scratch)
+            found = found.union(done.filter("n = 1").select("k", "d", "at"))
+        p = F.shiftright("at", 32)
+        return written(found.select("k", "d", p.alias("p"), (p + F.shiftright("at", 16).bitwiseAND(F.lit(65535))).alias("q")), "runs")
 
 
-def cut(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), length: int = LENGTH, reach: int = REACH) -> DataFrame:
-    """``keep``, kept (the bytes that stay), n_bytes, n_removed, n_spans of every row."""
+def covered(docs: DataFrame, units: tuple[Unit, ...], text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep``, kept (bytes outside the first unit's repeats), n_bytes, n_removed, n_spans, n_words_<i>.
+
+    The last are the words that touch the repeats of the units after the first,
+    which are counted and not removed.
+    """
     keyed = _keyed(docs, text, list(keep))
-    runs = repeated_runs(keyed, length, reach).groupBy("k", "d").agg(F.collect_set(F.struct("p", "q")).alias("runs"))
+    runs = [repeated_runs(keyed, unit).select("k", "d", F.struct(F.lit(u).alias("u"), "p", "q").alias("run")) for u, unit in enumerate(units)]
+    runs = reduce(DataFrame.union, runs).groupBy("k", "d").agg(F.collect_set("run").alias("runs"))
     source = keyed.join(runs, ["k", "d"], "left").select("_text", "runs", *keep)
-    schema = T.StructType([*source.schema.fields[2:], T.StructField("kept", T.BinaryType()), *[T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")]])
+    counts = ["n_bytes", "n_removed", "n_spans", *[f"n_words_{u}" for u in range(1, len(units))]]
+    schema = T.StructType([*source.schema.fields[2:], T.StructField("kept", T.BinaryType()), *[T.StructField(x, T.LongType()) for x in counts]])
 
     def run(batches):
         for batch, data, offsets in passes(batches, "_text"):
             runs, n = batch.column("runs"), batch.num_rows
             each = runs.flatten()
             row = np.repeat(np.arange(n), np.asarray(runs.value_lengths().fill_null(0)))
-            p, q = ((each.field(f).to_numpy() if len(row) else np.zeros(0, np.int64)) + offsets[:-1][row] for f in ("p", "q"))
-            change = np.zeros(len(data) + 1, np.int32)
-            np.add.at(change, p, 1)
-            np.add.at(change, q + length, -1)
-            gone = np.cumsum(change[:-1]) > 0
-            left = np.concatenate(([False], gone[:-1])) if len(gone) else gone
-            edge = np.zeros(len(data) + 1, bool)
-            edge[offsets] = True
-            starts = gone & (~left | edge[:-1])
-            totals = [np.concatenate(([0], np.cumsum(x)))[offsets] for x in (gone, starts)]
-            kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            which, p, q = (each.field(f).to_numpy() if len(row) else np.zeros(0, np.int64) for f in ("u", "p", "q"))
+            totals, kept = [], []
+            for u, unit in enumerate(units):
+                own = which == u
+                start, end = unit.spans(data, offsets, p[own], q[own], row[own])
+                change = np.zeros(len(data) + 1, np.int32)
+                np.add.at(change, start, 1)
+                np.add.at(change, end, -1)
+                gone = np.cumsum(change[:-1]) > 0
+                if u:
+                    starts, _, first = word_spans(data, offsets)
+                    totals.append(np.concatenate(([0], np.cumsum(gone[starts])))[first])
+                    continue
+                left = np.concatenate(([False], gone[:-1])) if len(gone) else gone
+                edge = np.zeros(len(data) + 1, bool)
+                edge[offsets] = True
+                starts = gone & (~left | edge[:-1])
+                totals += [np.concatenate(([0], np.cumsum(x)))[offsets] for x in (gone, starts)]
+                kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             held = [batch.column(i) for i in range(2, batch.num_columns)]
             yield pa.RecordBatch.from_arrays([*held, pa.array(kept, pa.binary()), pa.array(np.diff(offsets)), *[pa.array(np.diff(t).astype(np.int64)) for t in totals]], names=schema.names)
 
     return source.mapInArrow(run, schema)
 
 
-def digest(docs: DataFrame) -> DataFrame:
-    """The contract's row per document."""
-    return cut(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+def cut(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), unit: Unit = BYTES) -> DataFrame:
+    """``keep``, kept (the bytes that stay), n_bytes, n_removed, n_spans of every row."""
+    return covered(docs, (unit,), text, keep)
 
 
+def digest(docs: DataFrame) -> DataFrame:
+    """The contract's row per document, and the words that passages of over 50 words, met elsewhere too, cover."""
+    made = covered(docs, (BYTES, PASSAGES)).withColumnRenamed("n_words_1", "n_passage_words")
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passage_words")

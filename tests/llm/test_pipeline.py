@@ -1,8 +1,11 @@
+import string
+
 import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
 from test_minhash import brute as near
+from test_repeats import covered_words
 
 import corpus_pipeline as pipeline
 from hexfold.llm import factorisation
@@ -53,22 +56,17 @@ def test_near_duplicates(stages):
 
 def test_repeated_passages(stages):
     before, after = stages["repeated passages"]
-    places = {}
-    for i, t in texts(before).items():
-        raw = (t or "").encode()
-        for p in range(len(raw) - 399):
-            places.setdefault(raw[p : p + 400], []).append((i, p))
-    gone = {}
-    for found in places.values():
-        if len(found) > 1:
-            for i, p in found:
-                gone.setdefault(i, set()).update(range(p, p + 400))
-    assert len(after) == len(before)
-    for r in after:
-        t = texts(before)[r.doc_id]
-        if r.doc_id in gone:
-            t = bytes(c for p, c in enumerate(t.encode()) if p not in gone[r.doc_id]).decode(errors="ignore")
-        assert r.text == t and r.n_chars == len(t)
+    want = {i: kept.decode() for i, _, kept in covered_words([(r.doc_id, r.text) for r in before], 51)}
+    assert {r.doc_id: r.text or "" for r in after} == want and len(after) == len(before)
+    assert all(r.n_chars == len(r.text) for r in after if r.text is not None)
+
+
+def test_short_words_are_a_passage(spark, docs_of):
+    """51 words of two letters, far below 400 bytes, go from every document; 50 words stay."""
+    long, less = ("".join(f" {x}{c}" for c in string.ascii_letters[:n]) for x, n in (("a", 51), ("b", 50)))
+    docs = docs_of([f"one{i}{long} two{i}{less} three{i}" for i in range(5)])
+    got = {r.doc_id: r.text for r in pipeline.repeated_passages(spark, docs, SF).collect()}
+    assert got == {i: f"one{i}  two{i}{less} three{i}" for i in range(5)}
 
 
 def shingles(text):
