@@ -43,11 +43,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 400 bytes that start elsewhere too; characters cut in half go whole."""
-    out = repeats.cut(docs.withColumn("_text", F.col("text")), "_text", tuple(COLUMNS))
-    left = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
-    out = out.withColumn("text", F.when(F.col("n_removed") > 0, left).otherwise(F.col("text")))
-    return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    """Texts without the passages of over 50 words that start elsewhere too, whatever their bytes."""
+    out = repeats.cut(docs.withColumn("_text", F.col("text")), "_text", tuple(COLUMNS), repeats.PASSAGES)
+    cut = F.col("n_removed") > 0
+    out = out.withColumn("text", F.when(cut, F.col("kept").cast("string")).otherwise(F.col("text")))
+    return out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
