@@ -79,25 +79,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def passes(batches: Iterator[pa.RecordBatch], column: str, size: int = PASS_BYTES):
-    """Yield ``(slice of the batch, bytes, offsets)``; a null text is empty."""
+    """Yield ``(slice of the batch, bytes, offsets)``; a null text is empty.  The bytes are those of the batch, uncopied."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = batch.column(column).cast(pa.large_binary())
+        texts = batch.column(column)
         if texts.null_count:
-            texts = pc.fill_null(texts, b"")
-        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        wide = pa.types.is_large_binary(texts.type) or pa.types.is_large_string(texts.type)
+        ends = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
         raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
         at = 0
         while at < len(texts):
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
             yield batch.slice(at, to - at), raw[ends[at] : ends[to]], ends[at : to + 1] - ends[at]
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        n = max(n, PASS_BYTES + 1024)
+        n = 1 << n.bit_length()
         with np.errstate(over="ignore"):
             _powers[:] = [np.concatenate(([np.uint64(1)], np.cumprod(np.full(n, b, np.uint64)))) for b in (_BASE, _BASE_INV)]
     return _powers[0], _powers[1]

@@ -39,6 +39,7 @@ from hexfold.llm.common import Scratch, mixed, passes, prefix_hash, prefix_sums,
 LENGTH = 400
 REACH = 256
 GRAM = 8
+SIZE = 1 << 20  #: bytes of text of a pass: the arrays of one are about 60 times as large
 PASSAGE = 51  #: words
 
 
@@ -113,7 +114,7 @@ def suffixes(keyed: DataFrame, unit: Unit = BYTES) -> DataFrame:
     """name, context, n, one place, and all places if there are more, of a shard's distinct suffixes."""
 
     def run(batches):
-        for batch, data, offsets in passes(batches, "_text"):
+        for batch, data, offsets in passes(batches, "_text", SIZE):
             offsets, prefix, grams = unit.symbols(data, offsets)
             text, first, last, at = representatives(grams, offsets, unit.length, unit.reach)
             name = span_hash(prefix, at, at + (unit.length - unit.reach + 1))
@@ -144,7 +145,7 @@ def cells(keyed: DataFrame, wanted: DataFrame, size: int, unit: Unit = BYTES) ->
     source = keyed.join(lists, ["k", "d"]).dropDuplicates(["k", "d"]).select("k", "d", "runs", "_text")
 
     def run(batches):
-        for batch, data, offsets in passes(batches, "_text"):
+        for batch, data, offsets in passes(batches, "_text", SIZE):
             offsets, prefix, _ = unit.symbols(data, offsets)
             runs = batch.column("runs")
             each = runs.flatten()
@@ -203,7 +204,7 @@ def covered(docs: DataFrame, units: tuple[Unit, ...], text: str = "text", keep:
     schema = T.StructType([*source.schema.fields[2:], T.StructField("kept", T.BinaryType()), *[T.StructField(x, T.LongType()) for x in counts]])
 
     def run(batches):
-        for batch, data, offsets in passes(batches, "_text"):
+        for batch, data, offsets in passes(batches, "_text", SIZE):
             runs, n = batch.column("runs"), batch.num_rows
             each = runs.flatten()
             row = np.repeat(np.arange(n), np.asarray(runs.value_lengths().fill_null(0)))
