@@ -3,7 +3,8 @@
 Words are counted over all documents.  The ``CLASSES * CLASSES`` commonest,
 less one class of hash buckets for the rest, are what the network names; each
 other word has its bucket's probability times its share of the bucket's counts,
-which are a written table that scoring joins.  One count of every bucket is
+which are a written table: the commonest ``HELD`` are broadcast to the scoring
+tasks, it is joined for all others.  One count of every bucket is
 kept for words that no document has.  A network in numpy sums position-specific embeddings of the two words to the left and the
 two to the right, takes tanh, and predicts the masked word's class and then
 the word in its class.  A document's score is the sum of the conditional log
@@ -38,11 +39,14 @@ PAD = WORDS
 SIZE = 24
 SIDES = (-2, -1, 1, 2)
 ROUNDS = 2
-BATCH = 4096
+BATCH = 8192
 RATE = 0.15
 BLOCK = 1 << 14
 FAN = 32
-CHUNK = 1 << 15
+CHUNK = 1 << 13
+LIMIT = np.float32(60)  #: of a logit, so that no exponential overflows
+ONES = np.ones(CLASSES, np.float32)
+HELD = 1 << 19  #: words whose shares are broadcast (16 bytes each); rarer ones are joined
 UNIT = 1 << 32  #: of log shares, summed as whole numbers so that no order matters
 
 
@@ -65,18 +69,26 @@ class Network:
 
 def log_probabilities(net: Network, context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Of each word given its context (words by side)."""
+    order = np.argsort(word // CLASSES, kind="stable")  # a class is a slice
+    context, word = context[order], word[order]
+    n, kind, place = len(word), word // CLASSES, word % CLASSES
     hidden = np.tanh(sum(net.embed[k][context[:, k]] for k in range(len(SIDES))))
-    kind, place = word // CLASSES, word % CLASSES
     logit = hidden @ net.top + net.top_bias
-    out = logit[np.arange(len(word)), kind] - np.log(np.exp(logit).sum(axis=1))
-    order = np.argsort(kind, kind="stable")
-    bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[bounds[c] : bounds[c + 1]]
-        if len(at):
-            logit = hidden[at] @ net.low[c] + net.low_bias[c]
-            out[at] += logit[np.arange(len(at)), place[at]] - np.log(np.exp(logit).sum(axis=1))
-    return out
+    out = logit[np.arange(n), kind] - log_sums(logit)
+    bounds = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    for c, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        if a < b:
+            logit = hidden[a:b] @ net.low[c] + net.low_bias[c]
+            out[a:b] += logit[np.arange(b - a), place[a:b]] - log_sums(logit)
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def log_sums(logit: np.ndarray) -> np.ndarray:
+    """Logarithms of the rows' sums of exponentials, over the logits."""
+    np.exp(np.minimum(logit, LIMIT, out=logit), out=logit)
+    return np.log(logit @ ONES)
 
 
 def move(value: np.ndarray, square: np.ndarray, gradient: np.ndarray) -> None:
@@ -87,9 +99,8 @@ def move(value: np.ndarray, square: np.ndarray, gradient: np.ndarray) -> None:
 
 def errors(logit: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Softmax less one at the right places, over the logits."""
-    logit -= logit.max(axis=1, keepdims=True)
-    np.exp(logit, out=logit)
-    logit /= logit.sum(axis=1, keepdims=True)
+    np.exp(np.minimum(logit, LIMIT, out=logit), out=logit)
+    logit *= (1 / (logit @ ONES))[:, None]
     logit[np.arange(len(right)), right] -= 1
     return logit
 
@@ -170,15 +181,43 @@ def vocabulary(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndar
     return keys[order], order, counts, totals
 
 
+def level() -> F.Column:
+    """A fine logarithm of n."""
+    return F.floor(F.log2("n") * 64)
+
+
+def levels(counts: DataFrame) -> list[tuple[int, int]]:
+    """(level, words) of a histogram of counts on a fine scale of logarithms, highest first."""
+    return sorted(((r.l, r.words) for r in counts.groupBy(level().alias("l")).agg(F.count(F.lit(1)).alias("words")).collect()), reverse=True)
+
+
 def commonest(counts: DataFrame, most: int) -> list:
     """The ``most`` words of most counts (w, n), ties by w: a histogram of counts bounds what is sorted and sent."""
-    level = F.floor(F.log2("n") * 64)
     found, least = 0, 0
-    for r in sorted(counts.groupBy(level.alias("l")).agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r.l):
-        found, least = found + r.words, r.l
+    for least, words in levels(counts):
+        found += words
         if found >= most:
             break
-    return counts.filter(level >= least).orderBy(F.desc("n"), "w").limit(most).collect()
+    return counts.filter(level() >= least).orderBy(F.desc("n"), "w").limit(most).collect()
+
+
+def shares(counts: DataFrame, log_total: list[float], most: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """A level, and hashes (sorted) and shares of all words from it on, at most ``most``; words below it are to be joined."""
+    found, least = 0, 1 << 30
+    for low, words in levels(counts):
+        if found + words > most:
+            break
+        found, least = found + words, low
+    table = counts.filter(level() >= least).select("w", share(log_total).alias("s")).toArrow()
+    words, values = table.column("w").to_numpy(), table.column("s").to_numpy()
+    order = np.argsort(words)
+    return least, words[order], values[order]
+
+
+def share(log_total: list[float]) -> F.Column:
+    """The logarithm of a word's share of its bucket (w, n; n null: unseen), as a whole number of 1 / UNIT."""
+    total = F.array(*map(F.lit, log_total))[bucket("w")]
+    return F.round((F.log(F.coalesce("n", F.lit(1)).cast("double")) - total) * UNIT).cast("long")
 
 
 def bucket(w: str) -> F.Column:
@@ -235,16 +274,18 @@ def trained(docs: DataFrame, text: str = "text") -> tuple[tuple, Network]:
     return known, net
 
 
-def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", most: int = HELD) -> DataFrame:
     """``keep``, n_words, log_likelihood (sum) and score (mean) of every row."""
     source = docs.select(*held(docs, keep, ("n_words", "log_likelihood", "score")), F.col(text).alias("_text"))
     rare = T.ArrayType(T.StructType([T.StructField("w", T.LongType()), T.StructField("c", T.LongType())]))
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()), T.StructField("_rare", rare)])
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("_n", T.LongType()), T.StructField("_sum", T.DoubleType()), T.StructField("_shares", T.LongType()), T.StructField("_rare", rare)])
     *known, counts, totals = model[0]
-    shared = docs.sparkSession.sparkContext.broadcast((known, model[1].flat))
+    log_total = [float(np.log(t + 1)) for t in totals]
+    _, *common = shares(counts, log_total, most)
+    shared = docs.sparkSession.sparkContext.broadcast((known, model[1].flat, common))
 
     def run(batches):
-        known, flat = shared.value
+        known, flat, (common, values) = shared.value
         net = Network(flat)
         for batch, data, offsets in passes(batches, "_text"):
             hashes, first = word_hashes(data, offsets)
@@ -256,21 +297,24 @@ def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: st
             total = np.bincount(text, value, len(n)).astype(np.float64)
             others = word >= WORDS - CLASSES
             text, hashes = text[others], hashes[others]
+            at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+            there = common[at] == hashes if len(common) else np.zeros(len(hashes), bool)
+            sums = np.concatenate(([0], np.cumsum(values[at[there]])))
+            part = np.diff(sums[np.searchsorted(text[there], np.arange(len(n) + 1))])
+            text, hashes = text[~there], hashes[~there]
             order = np.lexsort((hashes, text))
             text, hashes = text[order], hashes[order]
             head = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])))[: len(text)])
             each = pa.StructArray.from_arrays([pa.array(hashes[head]), pa.array(np.diff(np.append(head, len(text))).astype(np.int64))], names=["w", "c"])
             lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text[head], np.arange(len(n) + 1)).astype(np.int32)), each)
             own = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(total), lists], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), pa.array(total), pa.array(part.astype(np.int64)), lists], names=schema.names)
 
     made = written(source.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "sums")
-    log_total = F.array(*[F.lit(float(np.log(t + 1))) for t in totals])[bucket("w")]
-    share = F.round((F.log(F.coalesce("n", F.lit(1)).cast("double")) - log_total) * UNIT).cast("long")
     found = made.select("_row", F.explode("_rare").alias("e")).select("_row", "e.*").join(counts, "w", "left")
-    shares = found.groupBy("_row").agg((F.sum(F.col("c") * share) / UNIT).alias("_shares"))
-    total = F.col("_sum") + F.coalesce("_shares", F.lit(0.0))
-    return made.drop("_rare").join(shares, "_row", "left").select(*source.columns[:-1], F.col("_n").alias("n_words"), total.alias("log_likelihood"), (total / F.greatest(F.col("_n"), F.lit(1))).alias("score"))
+    joined = found.groupBy("_row").agg(F.sum(F.col("c") * share(log_total)).alias("_joined"))
+    total = F.col("_sum") + (F.col("_shares") + F.coalesce("_joined", F.lit(0))) / UNIT
+    return made.drop("_rare").join(joined, "_row", "left").select(*source.columns[:-1], F.col("_n").alias("n_words"), total.alias("log_likelihood"), (total / F.greatest(F.col("_n"), F.lit(1))).alias("score"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:

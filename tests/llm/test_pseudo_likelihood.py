@@ -111,6 +111,8 @@ def test_words_of_a_bucket_have_their_own_probabilities(spark, docs_of):
     docs = docs_of([" ".join(f"c{i}" for i in range(pl.WORDS - pl.CLASSES)) + " "] * 3 + [" ".join(seen)])
     got = [r.log_likelihood for r in sorted(pl.scored(docs_of([one, two, unseen]), (pl.vocabulary(docs), pl.Network())).collect())]
     total = sum(int(n == of[0]) for n in of) - 1 + 1 + 1  # without the unseen word, one twice, one count kept
+    again = [r.log_likelihood for r in sorted(pl.scored(docs_of([one, two, unseen]), (pl.vocabulary(docs), pl.Network()), most=0).collect())]
+    assert got == again  # whether shares are broadcast or joined
     net = pl.Network()
     bucket = pl.log_probabilities(net, np.full((1, 4), pl.PAD), np.array([pl.WORDS - pl.CLASSES + int(of[0])]))[0]
     assert np.allclose(got, bucket + np.log(np.array([1, 2, 1]) / total), atol=1e-4)
