@@ -197,8 +197,12 @@ def covered(docs: DataFrame, units: tuple[Unit, ...], text: str = "text", keep:
     which are counted and not removed.
     """
     keyed = _keyed(docs, text, list(keep))
-    runs = [repeated_runs(keyed, unit).select("k", "d", F.struct(F.lit(u).alias("u"), "p", "q").alias("run")) for u, unit in enumerate(units)]
-    runs = reduce(DataFrame.union, runs).groupBy("k", "d").agg(F.collect_set("run").alias("runs"))
+    runs = reduce(DataFrame.union, [repeated_runs(keyed, unit).select("k", "d", F.lit(u).alias("u"), "p", "q") for u, unit in enumerate(units)])
+    # single windows, of which a text can have as many as bytes, as bits of blocks of 64
+    base, bit = F.shiftleft(F.shiftright("p", 6), 6), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
+    single = runs.filter("p = q").groupBy("k", "d", "u", base.alias("p")).agg(F.bit_or(bit).alias("bits"))
+    runs = runs.filter("p < q").distinct().select("k", "d", F.struct("u", "p", "q", F.lit(0).cast("long").alias("bits")).alias("run")).union(single.select("k", "d", F.struct("u", "p", F.col("p").alias("q"), "bits")))
+    runs = runs.groupBy("k", "d").agg(F.collect_list("run").alias("runs"))
     source = keyed.join(runs, ["k", "d"], "left").select("_text", "runs", *keep)
     counts = ["n_bytes", "n_removed", "n_spans", *[f"n_words_{u}" for u in range(1, len(units))]]
     schema = T.StructType([*source.schema.fields[2:], T.StructField("kept", T.BinaryType()), *[T.StructField(x, T.LongType()) for x in counts]])
@@ -208,7 +212,12 @@ def covered(docs: DataFrame, units: tuple[Unit, ...], text: str = "text", keep:
             runs, n = batch.column("runs"), batch.num_rows
             each = runs.flatten()
             row = np.repeat(np.arange(n), np.asarray(runs.value_lengths().fill_null(0)))
-            which, p, q = (each.field(f).to_numpy() if len(row) else np.zeros(0, np.int64) for f in ("u", "p", "q"))
+            which, p, q, bits = (each.field(f).to_numpy() if len(row) else np.zeros(0, np.int64) for f in ("u", "p", "q", "bits"))
+            blocks = np.flatnonzero(bits)
+            block, at = np.nonzero(np.unpackbits(np.ascontiguousarray(bits[blocks]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+            block, whole = blocks[block], bits == 0
+            row, which = (np.concatenate((v[whole], v[block])) for v in (row, which))
+            p, q = (np.concatenate((v[whole], v[block] + at)) for v in (p, q))
             totals, kept = [], []
             for u, unit in enumerate(units):
                 own = which == u
