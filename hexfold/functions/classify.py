@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,10 @@ def _rules(rules, default) -> Column:
     return out.otherwise(default)
 
 
+# The rules of has_tree_cover, biome, vegetation, moisture, elevation_tier, settlement_type,
+# sprawl_radius_km and anthrome are fixed values: names, thresholds and their order.
+
+
 def has_tree_cover(elev: Column, lat: Column) -> Column:
     return (elev <= 1800) & (lat <= 68)
 
@@ -71,8 +77,8 @@ def vegetation(landuse: Column, biome: Column) -> Column:
 def moisture(biome, landuse, elev, lat, lon) -> Column:
     return _rules(
         [
-            (biome.isin("marsh", "swamp", "mangrove") | (landuse == "wetland"), "flooded"),
             (biome.isin("marsh", "swamp", "mangrove"), "flooded"),
+            (landuse == "wetland", "flooded"),
             (biome == "desert", "arid"),
             (biome.isin("steppe", "tundra"), "dry"),
             ((lat < 30) & (lon > -5), "arid"),
@@ -188,12 +194,22 @@ def class_block(biome: Column) -> Column:
     return F.struct(kind.alias("terrain"), _table(kind, CLASS_COST, 99).alias("cost"), F.lit(0).alias("defense"), kind.isin("forest", "mountain", "urban").alias("blocks_los"))
 
 
+# fixed values: movement cost, defence, whether sight is blocked, and description of the eight classes
+EFFECTS = {
+    "water": (99, 0, False, "Impassable except by naval/amphibious movement"),
+    "clear": (1, 0, False, "Open terrain, no obstacles"),
+    "rough": (2, 1, False, "Uneven ground, scrub, broken terrain"),
+    "forest": (2, 1, True, "Wooded terrain, limited visibility"),
+    "mountain": (3, 2, True, "High elevation, steep slopes"),
+    "marsh": (3, 0, False, "Wetlands, bogs, swamps"),
+    "desert": (2, 0, False, "Arid terrain, sand, limited water"),
+    "urban": (1, 2, True, "Cities, towns, built-up areas"),
+}
+
+
 def terrain_effects(spark: SparkSession) -> DataFrame:
-    """terrain, cost, blocks_los and note of the eight classes; water's cost is that of the impassable."""
-    names = spark.createDataFrame([(x,) for x in CLASS_COST], "biome string")
-    block = class_block(_table(F.col("biome"), CLASS_BIOME, "plains"))
-    note = F.when(F.col("b.cost") >= 99, "impassable").when(F.col("b.blocks_los"), "blocks sight").otherwise("open")
-    return names.select(block.alias("b")).select("b.terrain", "b.cost", "b.defense", "b.blocks_los", note.alias("note"))
+    """terrain, cost, defense, blocks_los and note of the eight classes."""
+    return spark.createDataFrame([(k, *v) for k, v in EFFECTS.items()], "terrain string, cost int, defense int, blocks_los boolean, note string")
 
 
 def admin_tier(water: Column, country: Column, province: Column, settled: Column) -> Column:
@@ -202,10 +218,39 @@ def admin_tier(water: Column, country: Column, province: Column, settled: Column
     return _rules([(nowhere, "none"), (settled, "urban")], "rural")
 
 
+def admin_tier_default(water: Column, country: Column, kind: Column) -> Column:
+    """The tier where no provinces are known: none on water or without a country, urban where settled, else rural."""
+    return _rules([(water | (F.coalesce(country, F.lit("")) == ""), "none"), (~F.coalesce(kind, F.lit("none")).isin("none", ""), "urban")], "rural")
+
+
+# fixed values: land use by the natural tag, which goes first, and by the landuse tag
+NATURAL = {"wood": "forest", "wetland": "wetland", "heath": "heath", "scrub": "scrub", "grassland": "grass", "sand": "sand", "bare_rock": "sand", "glacier": "glacier", "beach": "beach", "water": "water"}
+LANDUSE = {
+    "forest": "forest", "farmland": "farmland", "farmyard": "farmland", "meadow": "grass", "grass": "grass", "village_green": "grass", "allotments": "farmland",
+    "residential": "residential", "industrial": "industrial", "commercial": "residential", "retail": "residential", "military": "military", "quarry": "quarry", "wetland": "wetland",
+}
+
+
+def landuse_tag(tags: Column) -> Column:
+    """Land use of a map of tags; null where neither tag is known."""
+    known = lambda names, tag: F.create_map(*[F.lit(x) for e in names.items() for x in e])[F.coalesce(tags[tag], F.lit(""))]
+    return F.coalesce(known(NATURAL, "natural"), known(LANDUSE, "landuse"))
+
+
+def _plain_letters() -> tuple[str, str]:
+    """Letters with accents and the letters they decompose to, by the compatibility decomposition."""
+    found = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for c in range(0xC0, 0x2000)]
+    pairs = [(c, d[0]) for c, d in found if len(d) > 1 and d[0].isalpha() and all(map(unicodedata.combining, d[1:]))]
+    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
+
+
+LETTERS, PLAIN = _plain_letters()
+
+
 def norm_name(name: Column) -> Column:
-    """Small letters without accents, punctuation as spaces; other scripts pass through."""
-    plain = F.translate(F.lower(F.replace(name, F.lit("ß"), F.lit("ss"))), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, r"[^\p{L}\p{N} ]", " "), " +", " "))
+    """Small letters without accents (as single characters or combining marks), punctuation as spaces."""
+    plain = F.regexp_replace(F.translate(F.replace(name, F.lit("ß"), F.lit("ss")), LETTERS, PLAIN), r"\p{Mn}", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N} ]", " "), " +", " "))
 
 
 def match_score(a: Column, b: Column) -> Column:

@@ -6,7 +6,6 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 VOID = -32768  #: fixed value: missing elevation
 
@@ -15,17 +14,29 @@ def mask_void(dem: DataFrame) -> DataFrame:
     return dem.withColumn("elev", F.nullif(F.col("elev").cast("double"), F.lit(float(VOID))))
 
 
+def around(dem: DataFrame, k: int) -> DataFrame:
+    """px_row, px_col, elev and the elevations ``k`` pixels to the west, east, north and south; null where there is no pixel or a void.
+
+    Pixels find each other by number, in one shuffle, so missing rows shift nothing.
+    """
+    steps = [("elev", 0, 0), ("west", 0, 1), ("east", 0, -1), ("north", 1, 0), ("south", -1, 0)]
+    sent = F.explode(F.array(*[F.struct(F.lit(name).alias("to"), F.lit(dr * k).alias("dr"), F.lit(dc * k).alias("dc")) for name, dr, dc in steps])).alias("s")
+    each = mask_void(dem).select("px_row", "px_col", F.col("elev").alias("_e"), sent)
+    each = each.select((F.col("px_row") + F.col("s.dr")).alias("px_row"), (F.col("px_col") + F.col("s.dc")).alias("px_col"), "s.to", "_e")
+    got = each.groupBy("px_row", "px_col").agg(*[F.max(F.when(F.col("to") == name, F.col("_e"))).alias(name) for name, _, _ in steps], F.bool_or(F.col("to") == "elev").alias("_there"))
+    return got.filter("_there").drop("_there")
+
+
 def slope_deg(dem: DataFrame, step_x: float, step_y: float, top: float, scale_m: float = 90.0) -> DataFrame:
-    """Slope by central differences over k pixels; null in the outer k and beside voids.
+    """px_row, px_col, elev, slope by central differences over k pixels; null in the outer k and beside voids.
 
     ``step_x``, ``step_y``: degrees a pixel; ``top``: latitude of the upper edge.
     """
     k = max(1, round(scale_m / (abs(step_y) * 111_320)))
-    row, col = W.partitionBy("px_row").orderBy("px_col"), W.partitionBy("px_col").orderBy("px_row")
     lat = F.lit(top) - (F.col("px_row") + 0.5) * abs(step_y)
-    dx = (F.lead("elev", k).over(row) - F.lag("elev", k).over(row)) / (2 * k * step_x * 111_320 * F.cos(F.radians(lat)))
-    dy = (F.lead("elev", k).over(col) - F.lag("elev", k).over(col)) / (2 * k * abs(step_y) * 111_320)
-    return mask_void(dem).withColumns({"_dx": dx, "_dy": dy}).withColumn("slope", F.degrees(F.atan(F.hypot("_dx", "_dy")))).drop("_dx", "_dy")
+    dx = (F.col("east") - F.col("west")) / (2 * k * step_x * 111_320 * F.cos(F.radians(lat)))
+    dy = (F.col("south") - F.col("north")) / (2 * k * abs(step_y) * 111_320)
+    return around(dem, k).select("px_row", "px_col", "elev", F.degrees(F.atan(F.hypot(dx, dy))).alias("slope"))
 
 
 def sample(points: DataFrame, dem: DataFrame, left: float, top: float, step_x: float, step_y: float) -> DataFrame:
@@ -35,16 +46,31 @@ def sample(points: DataFrame, dem: DataFrame, left: float, top: float, step_x: f
 
 
 def hillshade(dem: DataFrame, azimuth: float = 315.0, altitude: float = 45.0, exaggeration: float = 2.0) -> DataFrame:
-    """shade from 0 to 1, stretched over the raster; 0.5 where the raster is flat."""
-    row, col = W.partitionBy("px_row").orderBy("px_col"), W.partitionBy("px_col").orderBy("px_row")
-    gx = (F.coalesce(F.lead("elev").over(row), F.col("elev")) - F.coalesce(F.lag("elev").over(row), F.col("elev"))) / 2 * exaggeration
-    gy = (F.coalesce(F.lag("elev").over(col), F.col("elev")) - F.coalesce(F.lead("elev").over(col), F.col("elev"))) / 2 * exaggeration
+    """px_row, px_col, shade from 0 to 1, stretched over the raster; 0.5 where the raster is flat, null on voids."""
+    at = lambda side: F.coalesce(F.col(side), F.col("elev"))
+    gx, gy = (at("east") - at("west")) / 2 * exaggeration, (at("north") - at("south")) / 2 * exaggeration
     a, h = math.radians(90 - azimuth), math.radians(altitude)
     light = (math.cos(a) * math.cos(h), math.sin(a) * math.cos(h), math.sin(h))
-    lit = mask_void(dem).withColumns({"_x": gx, "_y": gy}).withColumn("_l", (light[2] - F.col("_x") * light[0] - F.col("_y") * light[1]) / F.sqrt(1 + F.col("_x") ** 2 + F.col("_y") ** 2))
-    ends = lit.agg(F.min("_l").alias("_a"), F.max("_l").alias("_b"))
-    shade = F.when(F.col("_b") > F.col("_a"), (F.col("_l") - F.col("_a")) / (F.col("_b") - F.col("_a"))).otherwise(0.5)
-    return lit.join(F.broadcast(ends)).withColumn("shade", shade).drop("_x", "_y", "_l", "_a", "_b")
+    lit = around(dem, 1).withColumns({"_x": gx, "_y": gy})
+    lit = lit.withColumn("_l", F.when(F.col("elev").isNotNull(), (light[2] - F.col("_x") * light[0] - F.col("_y") * light[1]) / F.sqrt(1 + F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y"))))
+    low, high = lit.agg(F.min("_l")).scalar(), lit.agg(F.max("_l")).scalar()
+    shade = F.when(F.col("elev").isNull(), None).when(high > low, (F.col("_l") - low) / (high - low)).otherwise(0.5)
+    return lit.select("px_row", "px_col", shade.alias("shade"))
+
+
+def window(dem: DataFrame, box: tuple[float, float, float, float], left: float, top: float, step_x: float, step_y: float, block: int = 64) -> tuple[DataFrame, float, float]:
+    """The pixels of a lon/lat box, renumbered, and the window's left and top; block columns of ``dem`` prune what is read.
+
+    ``dem``: px_row, px_col, elev and block_row, block_col (pixel numbers over
+    ``block``, as a raster is partitioned).
+    """
+    x0, y0, x1, y1 = box
+    c0, c1 = math.floor((x0 - left) / step_x), math.ceil((x1 - left) / step_x) - 1
+    r0, r1 = math.floor((top - y1) / abs(step_y)), math.ceil((top - y0) / abs(step_y)) - 1
+    held = dem.filter(F.col("block_col").between(c0 // block, c1 // block) & F.col("block_row").between(r0 // block, r1 // block))
+    held = held.filter(F.col("px_col").between(c0, c1) & F.col("px_row").between(r0, r1))
+    c0, r0 = max(c0, 0), max(r0, 0)
+    return held.select((F.col("px_row") - r0).alias("px_row"), (F.col("px_col") - c0).alias("px_col"), "elev"), left + c0 * step_x, top - r0 * abs(step_y)
 
 
 def zonal_p90(boxes: DataFrame, slopes: DataFrame, left: float, top: float, step_x: float, step_y: float, block: int = 64) -> DataFrame:

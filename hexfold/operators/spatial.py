@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexfold.functions import geo
+from hexfold.operators.hexes import cut_lineage
 
 
 def _cells(low: str, high: str, cell: float):
@@ -22,11 +23,37 @@ def candidates(points: DataFrame, segments: DataFrame, cell: float, pad: float =
 
 
 def point_in_polygon(points: DataFrame, segments: DataFrame, cell: float = 0.02, same: str | None = None) -> DataFrame:
-    """pid, fid of points inside the even-odd bag of ring segments of a feature."""
-    hits = candidates(points, segments, cell, same=same).join(segments, "fid").groupBy("pid", "fid").agg(F.sum(geo.crosses(F.col("x"), F.col("y")).cast("int")).alias("n"))
+    """pid, fid of points inside the even-odd bag of ring segments of a feature.
+
+    A point meets the segments of a feature that cross its band of latitude
+    only, so a large outline is no single group.
+    """
+    bands = segments.select("fid", "x1", "y1", "x2", "y2", F.explode(F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell))).alias("j"))
+    near = candidates(points, segments, cell, same=same).withColumn("j", F.floor(F.col("y") / cell))
+    hits = near.join(bands, ["fid", "j"]).groupBy("pid", "fid").agg(F.sum(geo.crosses(F.col("x"), F.col("y")).cast("int")).alias("n"))
     return hits.filter("n % 2 = 1").select("pid", "fid")
 
 
+def in_any(points: DataFrame, segments: DataFrame, cell: float = 0.02) -> DataFrame:
+    """The points (pid, x, y) inside some feature."""
+    return points.join(point_in_polygon(points, segments, cell).select("pid").distinct(), "pid", "left_semi")
+
+
+def flag_land_lake(points: DataFrame, land: DataFrame | None, lakes: DataFrame, elev: str = "elev", cell: float = 0.1) -> DataFrame:
+    """``points`` (pid, x, y ...) with water and lake.
+
+    Water is what lies outside all land, or where no land layer is given what
+    has no elevation above 0; only what is no water can be in a lake.
+    """
+    if land is None:
+        wet = points.withColumn("water", F.coalesce(F.col(elev) <= 0, F.lit(True)))
+    else:
+        dry = in_any(points, land, cell).select("pid", F.lit(True).alias("_dry"))
+        wet = points.join(dry, "pid", "left").withColumn("water", F.col("_dry").isNull()).drop("_dry")
+    inside = in_any(points, lakes, cell).select("pid", F.lit(True).alias("_in"))
+    return wet.join(inside, "pid", "left").withColumn("lake", ~F.col("water") & F.col("_in").isNotNull()).drop("_in")
+
+
 def smallest_cover(points: DataFrame, segments: DataFrame, features: DataFrame, cell: float = 0.02) -> DataFrame:
     """pid, kind of the least-area feature (fid, area, kind) over each point; ties by kind."""
     return point_in_polygon(points, segments, cell).join(features, "fid").groupBy("pid").agg(F.min(F.struct("area", "kind")).alias("m")).select("pid", F.col("m.kind").alias("kind"))
@@ -39,7 +66,10 @@ def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap
     """
     inside = point_in_polygon(points, segments, cell, same).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
     left = points.join(inside, "pid", "left_anti")
-    near = candidates(left, segments, cell, snap, same).join(segments, "fid").groupBy("pid", "fid").agg(F.min(geo.segment_distance(F.col("x"), F.col("y"))).alias("d")).filter(F.col("d") < snap)
+    span = lambda u, v: F.explode(F.sequence(F.floor((F.least(u, v) - snap) / cell), F.floor((F.greatest(u, v) + snap) / cell)))
+    placed = segments.select("fid", "x1", "y1", "x2", "y2", *([same] if same else []), span("x1", "x2").alias("i")).select("*", span("y1", "y2").alias("j"))
+    here = left.select("pid", "x", "y", *([same] if same else []), F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j"))
+    near = here.join(placed, ["i", "j", *([same] if same else [])]).groupBy("pid", "fid").agg(F.min(geo.segment_distance(F.col("x"), F.col("y"))).alias("d")).filter(F.col("d") < snap)
     near = near.join(codes, "fid").groupBy("pid").agg(F.min(F.struct("d", "code")).alias("m")).select("pid", F.col("m.code").alias("near"))
     return points.select("pid").join(inside, "pid", "left").join(near, "pid", "left").select("pid", F.coalesce("inside", "near", F.lit("")).alias("code"))
 
@@ -47,25 +77,36 @@ def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap
 def nearest(points: DataFrame, targets: DataFrame, k: int, cell: float = 0.05) -> DataFrame:
     """pid, rank, tid, d: the ``k`` nearest targets (tid, x, y) by hypot(dy, dx cos y); ties by tid.
 
-    Cells around a point are searched in growing rings until ``k`` targets are
-    nearer than anything outside can be, so sparse places cost more, dense none.
+    Points are compared with the targets of 3 x 3 cells; those whose ``k``
+    targets may not be the nearest go on with cells twice as wide, so a far
+    point takes rounds that grow with the logarithm of its distance.  The
+    window keeps ``k`` rows of a point before the shuffle.  Rows without a
+    coordinate (null or no number) have no neighbours and are none.
     """
-    spread = F.cos(F.radians(F.col("y")))
-    todo, ring, found = points.select("pid", "x", "y"), 1, None
-    placed = targets.select("tid", F.col("x").alias("tx"), F.col("y").alias("ty"), F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j")).cache()
-    total = placed.count()
+    known = lambda df: df.filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    todo, targets = known(points).select("pid", "x", "y"), known(targets).select("tid", F.col("x").alias("tx"), F.col("y").alias("ty"))
+    total, x0, x1, y0, y1 = targets.agg(F.count(F.lit(1)), F.min("tx"), F.max("tx"), F.min("ty"), F.max("ty")).first()
+    spread, found = F.cos(F.radians(F.col("y"))), None
+    around = F.array(*[F.lit(a) for a in (-1, 0, 1)])
     while True:
-        around = F.sequence(F.lit(-ring), F.lit(ring))
-        each = todo.select("*", F.explode(around).alias("a")).select("*", F.explode(around).alias("b")).select("pid", "x", "y", (F.floor(F.col("x") / cell) + F.col("a")).alias("i"), (F.floor(F.col("y") / cell) + F.col("b")).alias("j"))
+        at = lambda v: F.floor(v / cell)  # noqa: B023, E731
+        each = todo.select("*", F.explode(around).alias("a")).select("*", F.explode(around).alias("b")).select("pid", "x", "y", (at(F.col("x")) + F.col("a")).alias("i"), (at(F.col("y")) + F.col("b")).alias("j"))
+        placed = targets.select("*", at(F.col("tx")).alias("i"), at(F.col("ty")).alias("j"))
         d = F.sqrt((F.col("ty") - F.col("y")) ** 2 + ((F.col("tx") - F.col("x")) * spread) ** 2)
-        best = each.join(placed, ["i", "j"]).withColumn("d", d).groupBy("pid", "x", "y").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "tid"))), 1, k).alias("best"), F.count(F.lit(1)).alias("n"))
-        sure = (F.size("best") == min(k, total)) & ((F.element_at("best", -1)["d"] <= cell * ring * spread) | (F.col("n") == total))
-        got = best.filter(sure).select("pid", F.posexplode("best").alias("rank", "m")).select("pid", (F.col("rank") + 1).alias("rank"), F.col("m.tid").alias("tid"), F.col("m.d").alias("d"))
+        order = Window.partitionBy("pid").orderBy("d", "tid")
+        best = each.join(placed, ["i", "j"]).withColumn("d", d).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        last = best.groupBy("pid", "x", "y").agg(F.max("d").alias("far"), F.count(F.lit(1)).alias("n"))
+        if total:
+            all_seen = (at(F.lit(x0)) >= at(F.col("x")) - 1) & (at(F.lit(x1)) <= at(F.col("x")) + 1) & (at(F.lit(y0)) >= at(F.col("y")) - 1) & (at(F.lit(y1)) <= at(F.col("y")) + 1)
+            sure = last.filter(((F.col("n") == k) & (F.col("far") <= cell * spread)) | all_seen).select("pid")
+        else:
+            sure = last.select("pid")
+        got = best.join(sure, "pid", "left_semi").select("pid", "rank", "tid", "d")
         found = got if found is None else found.union(got)
-        todo = todo.join(best.filter(sure).select("pid"), "pid", "left_anti")
-        if total == 0 or todo.isEmpty():
+        todo = todo.join(sure, "pid", "left_anti")
+        if not total or todo.isEmpty():
             return found
-        ring *= 2
+        todo, cell = cut_lineage(todo), cell * 2
 
 
 def within(points: DataFrame, targets: DataFrame, degrees: float) -> DataFrame:

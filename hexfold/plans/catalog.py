@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexfold.plans import networks
+from hexfold.plans import elements, enrichment, networks, records, terrain
 from hexfold.plans import queries as maps
 
+MODULES = (maps, networks, records, terrain, elements, enrichment)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return maps.queries() | networks.queries()
+    return {name: query for module in MODULES for name, query in module.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return maps.oracle_sql() | networks.oracle_sql()
+    return {name: sql for module in MODULES for name, sql in module.oracle_sql().items()}

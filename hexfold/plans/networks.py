@@ -182,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
     s = f"s AS (SELECT *, {_kind()} AS kind FROM ({layers.SETTLEMENTS_SQL}))"
     other = lambda text: re.sub(r"\bh([0-6x])\b", r"g\1", text)
     res = f"(SELECT *, CASE fid // 50 % 4 WHEN 0 THEN 'coal' WHEN 1 THEN 'steel' WHEN 2 THEN 'iron' ELSE 'oil' END AS rk FROM ({layers.LANDUSE_SQL}) WHERE fid % 50 = 0)"
-    road = "CASE WHEN highway IN ('motorway', 'trunk') THEN 0 WHEN highway IN ('primary', 'secondary', 'tertiary') THEN 1 END"
+    road = "CASE WHEN highway IN ('motorway', 'trunk') THEN 0 WHEN highway IN ('primary', 'secondary') THEN 1 END"
     rail = "CASE WHEN railway = 'narrow_gauge' OR gauge < 1000 THEN 2 WHEN tracks >= 2 THEN 0 ELSE 1 END"
     best = lambda rank, names: f"SELECT q, r, ({names})[min({rank}) + 1] AS level FROM cl WHERE ({rank}) IS NOT NULL GROUP BY q, r"
     runs = "rn AS (SELECT q, r, k, min(name) AS name, round(sum(metres), 3) AS m FROM cl {0} GROUP BY q, r, k), bs AS (SELECT q, r, name AS river_name FROM rn QUALIFY row_number() OVER (PARTITION BY q, r ORDER BY m DESC, name) = 1)"

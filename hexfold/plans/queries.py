@@ -304,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
         "hex_chains": f"""{occupied.replace('WITH ', 'WITH RECURSIVE ', 1)}, n AS (SELECT * FROM o WHERE (q * 5 + r * 3) % 7 > 2), e AS (SELECT a.q, a.r, b.q AS nq, b.r AS nr FROM n a JOIN n b ON {beside}),
  z AS (SELECT q, r, q AS root_q, r AS root_r FROM n UNION SELECT e.nq, e.nr, z.root_q, z.root_r FROM z JOIN e ON z.q = e.q AND z.r = e.r WHERE (z.root_q, z.root_r) < (e.nq, e.nr)),
  m AS (SELECT q, r, min((root_q, root_r)) AS x FROM z GROUP BY q, r) SELECT q, r, x[1] AS root_q, x[2] AS root_r FROM m""",
-        "roads": f"""SELECT k, CASE kind WHEN 'road' THEN CASE WHEN highway IN ('motorway', 'trunk') THEN 'highway' WHEN highway IN ('primary', 'secondary', 'tertiary') THEN 'paved' ELSE 'none' END
+        "roads": f"""SELECT k, CASE kind WHEN 'road' THEN CASE WHEN highway IN ('motorway', 'trunk') THEN 'highway' WHEN highway IN ('primary', 'secondary') THEN 'paved' ELSE 'none' END
  WHEN 'rail' THEN CASE WHEN railway = 'narrow_gauge' OR gauge < 1000 THEN 'narrow' WHEN tracks >= 2 THEN 'double' ELSE 'standard' END ELSE 'water' END AS level FROM ({layers.WAYS_SQL})""",
         "canal_selection": f"""WITH p AS ({layers.WAY_POINTS_SQL}), g AS (SELECT *, lead(lon) OVER (PARTITION BY k ORDER BY seq) AS lon2, lead(lat) OVER (PARTITION BY k ORDER BY seq) AS lat2 FROM p),
  c AS (SELECT k, name FROM ({layers.WAYS_SQL}) WHERE kind = 'canal'), m AS (SELECT name, 2 * 6371008.8 * asin(sqrt(sin(radians(lat2 - lat) / 2) ^ 2 + cos(radians(lat)) * cos(radians(lat2)) * sin(radians(lon2 - lon) / 2) ^ 2)) AS d FROM g JOIN c USING (k) WHERE lon2 IS NOT NULL)

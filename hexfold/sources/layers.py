@@ -67,7 +67,8 @@ def rings(shapes: DataFrame) -> DataFrame:
 
 
 def road_level(highway: Column) -> Column:
-    return F.when(highway.isin("motorway", "trunk"), "highway").when(highway.isin("primary", "secondary", "tertiary"), "paved").otherwise("none")
+    """The tags of highways and of paved roads."""
+    return F.when(highway.isin("motorway", "trunk", "motorway_link", "trunk_link"), "highway").when(highway.isin("primary", "secondary", "primary_link", "secondary_link"), "paved").otherwise("none")
 
 
 def rail_level(railway: Column, gauge: Column, tracks: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from hexfold.functions import geo
+from hexfold.functions import classify, geo
 
 
 def require_complete(grid: DataFrame, hexes: DataFrame) -> None:
@@ -75,3 +75,51 @@ def write_tiles(rows: DataFrame, path: str, key: str) -> DataFrame:
     done = whole.select(*parts).distinct().join(finished_tiles(spark, path, key), ["tile_lon", "tile_lat"], "left_anti")
     done.select(*parts).write.mode("append").parquet(f"{path}/finished")
     return whole.drop("run_key").select(*rows.columns)
+
+
+SCHEMA_VERSION = "1.0.5"  #: fixed value: of the record
+
+
+def full_records(hexes: DataFrame) -> DataFrame:
+    """col, row and the whole nested record (a struct) of every hex; derived tiers, flags and costs, numbers rounded half to even.
+
+    ``hexes``: col, row, lat, lon, elev, slope, biome, vegetation, moisture,
+    coastal, river_edges, has_river, river_name, country, province, kind, name,
+    population_class, anthrome, parent_city, km, tier, road, rail, bridge, port,
+    airfield, fortification, oil, coal, steel, iron, landuse.  Missing values
+    take the defaults of the record; only km stays null.
+    """
+    c, text = F.col, lambda name, default="": F.coalesce(F.col(name), F.lit(default)).alias(name)
+    flag = lambda name: F.coalesce(F.col(name), F.lit(False)).alias(name)
+    biome = classify.resolve_biome(c("biome"))
+    rows = hexes.withColumns({"biome": biome, "kind": F.coalesce("kind", F.lit("none")), "elev": F.coalesce("elev", F.lit(0.0)), "slope": F.coalesce("slope", F.lit(0.0))})
+    wet, coastal = classify.is_water(c("biome")), F.coalesce("coastal", F.lit(False))
+    return rows.select(
+        "col",
+        "row",
+        F.struct(
+            geo.hex_id(c("col"), c("row")).alias("id"),
+            F.struct("col", "row").alias("coords"),
+            F.struct(F.bround("lat", 6).alias("center_lat"), F.bround("lon", 6).alias("center_lon"), F.bround("elev", 1).alias("elevation_m"), F.bround("slope", 2).alias("slope_deg")).alias("geo"),
+            F.struct(
+                "biome", classify.elevation_tier(c("elev"), c("slope")).alias("elevation_tier"), text("vegetation", "sparse"), text("moisture", "temperate"),
+                coastal.alias("is_coastal"), F.coalesce("river_edges", F.array().cast("array<int>")).alias("river_edges"),
+            ).alias("terrain"),
+            F.struct(flag("has_river"), text("river_name")).alias("rivers"),
+            F.struct(text("country").alias("country_at_start"), text("province").alias("province_at_start")).alias("political"),
+            F.struct(
+                c("kind").alias("type"), text("name"), F.coalesce("population_class", classify.population_class(c("kind"))).alias("population_class"), text("anthrome", "none"), text("parent_city"),
+                F.bround("km", 1).alias("distance_from_centroid_km"), F.coalesce("tier", classify.admin_tier_default(wet, c("country"), c("kind"))).alias("admin_tier"),
+            ).alias("settlement"),
+            F.struct(text("road", "none"), text("rail", "none"), flag("bridge"), flag("port"), flag("airfield"), text("fortification", "none")).alias("infrastructure"),
+            F.struct(*map(flag, ("oil", "coal", "steel", "iron")), F.coalesce(c("landuse") == "farmland", F.lit(False)).alias("agriculture"), F.coalesce((c("landuse") == "industrial").cast("int"), F.lit(0)).alias("industry_level")).alias("resources"),
+            F.struct(F.coalesce(classify.base_cost(c("biome")), F.lit(1)).alias("base_cost"), F.coalesce(classify.base_defense(c("biome")), F.lit(0)).alias("base_defense")).alias("movement"),
+            F.struct(wet.alias("is_water"), classify.is_impassable(c("biome")).alias("is_impassable"), coastal.alias("is_coastal")).alias("flags"),
+        ).alias("record"),
+    )
+
+
+def write_records(grid: DataFrame, hexes: DataFrame, path: str) -> None:
+    """Write the records as JSON lines, sorted by (col, row) over all files; fails where a hex of the grid has none."""
+    require_complete(grid, hexes)
+    full_records(hexes).orderBy("col", "row").select("record.*").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
