@@ -43,7 +43,8 @@ BATCH = 8192
 RATE = 0.15
 BLOCK = 1 << 14
 FAN = 32
-CHUNK = 1 << 13
+CHUNK = 1 << 15
+PART = 1 << 11  #: rows of one product, whose logits stay in cache
 LIMIT = np.float32(60)  #: of a logit, so that no exponential overflows
 ONES = np.ones(CLASSES, np.float32)
 HELD = 1 << 19  #: words whose shares are broadcast (16 bytes each); rarer ones are joined
@@ -51,38 +52,53 @@ UNIT = 1 << 32  #: of log shares, summed as whole numbers so that no order matte
 
 
 def shapes() -> list[tuple[int, ...]]:
-    return [(len(SIDES), WORDS + 1, SIZE), (SIZE, CLASSES), (CLASSES,), (CLASSES, SIZE, CLASSES), (CLASSES, CLASSES)]
+    return [(len(SIDES), WORDS + 1, SIZE), (SIZE + 1, CLASSES), (CLASSES, SIZE + 1, CLASSES)]
 
 
 class Network:
-    """Embeddings by side, class weights and biases, word weights and biases by class."""
+    """Embeddings by side, class weights, word weights by class; the last row of weights are biases."""
 
     def __init__(self, flat: np.ndarray | None = None):
         sizes = [int(np.prod(s)) for s in shapes()]
         if flat is None:
             rng = np.random.default_rng(17)
-            flat = np.concatenate([rng.normal(0, 0.1, n) if k in (0, 1, 3) else np.zeros(n) for k, n in enumerate(sizes)]).astype(np.float32)
+            flat = np.concatenate([rng.normal(0, 0.1, n) for n in sizes]).astype(np.float32)
+            for weights in np.split(flat, np.cumsum(sizes)[:-1])[1:]:
+                weights.reshape(-1, SIZE + 1, CLASSES)[:, SIZE] = 0
         self.flat = flat
         parts = np.split(flat, np.cumsum(sizes)[:-1])
-        self.embed, self.top, self.top_bias, self.low, self.low_bias = (p.reshape(s) for p, s in zip(parts, shapes(), strict=True))
+        self.embed, self.top, self.low = (p.reshape(s) for p, s in zip(parts, shapes(), strict=True))
+
+
+def hidden_layer(net: Network, context: np.ndarray) -> np.ndarray:
+    """tanh of the summed embeddings, and a one for the biases."""
+    out = np.ones((len(context), SIZE + 1), np.float32)
+    np.tanh(sum(net.embed[k][context[:, k]] for k in range(len(SIDES))), out=out[:, :SIZE])
+    return out
+
+
+def classes_of(word: np.ndarray):
+    """The class and the slice of every class that occurs, of words sorted by class."""
+    bounds = np.searchsorted(word, np.arange(CLASSES + 1) * CLASSES).tolist()
+    return [(c, slice(a, b)) for c, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)) if a < b]
 
 
 def log_probabilities(net: Network, context: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Of each word given its context (words by side)."""
-    order = np.argsort(word // CLASSES, kind="stable")  # a class is a slice
+    order = np.argsort((word // CLASSES).astype(np.uint8), kind="stable")
     context, word = context[order], word[order]
-    n, kind, place = len(word), word // CLASSES, word % CLASSES
-    hidden = np.tanh(sum(net.embed[k][context[:, k]] for k in range(len(SIDES))))
-    logit = hidden @ net.top + net.top_bias
-    out = logit[np.arange(n), kind] - log_sums(logit)
-    bounds = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-    for c, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        if a < b:
-            logit = hidden[a:b] @ net.low[c] + net.low_bias[c]
-            out[a:b] += logit[np.arange(b - a), place[a:b]] - log_sums(logit)
-    back = np.empty_like(out)
-    back[order] = out
-    return back
+    hidden, kind, place = hidden_layer(net, context), word // CLASSES, word % CLASSES
+    value = np.empty(len(word), np.float32)
+    for at in range(0, len(word), PART):
+        part = slice(at, at + PART)
+        logit = hidden[part] @ net.top
+        value[part] = logit[np.arange(len(logit)), kind[part]] - log_sums(logit)
+    for c, part in classes_of(kind * CLASSES):
+        logit = hidden[part] @ net.low[c]
+        value[part] += logit[np.arange(len(logit)), place[part]] - log_sums(logit)
+    out = np.empty_like(value)
+    out[order] = value
+    return out
 
 
 def log_sums(logit: np.ndarray) -> np.ndarray:
@@ -107,27 +123,25 @@ def errors(logit: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def step(net: Network, squares: Network, context: np.ndarray, word: np.ndarray) -> None:
     """One Adagrad step on the mean negative log probability."""
-    order = np.argsort(word // CLASSES, kind="stable")  # a class is a slice
+    order = np.argsort((word // CLASSES).astype(np.uint8), kind="stable")
     context, word = context[order], word[order]
-    n, kind, place = len(word), word // CLASSES, word % CLASSES
-    hidden = np.tanh(sum(net.embed[k][context[:, k]] for k in range(len(SIDES))))
-    error = errors(hidden @ net.top + net.top_bias, kind)
-    back = error @ net.top.T
-    move(net.top, squares.top, hidden.T @ error / n)
-    move(net.top_bias, squares.top_bias, error.sum(axis=0) / n)
-    bounds = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-    low, low_bias = np.zeros_like(net.low), np.zeros_like(net.low_bias)
-    for c, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-        if a < b:
-            error = errors(hidden[a:b] @ net.low[c] + net.low_bias[c], place[a:b])
-            back[a:b] += error @ net.low[c].T
-            low[c] = hidden[a:b].T @ error
-            low_bias[c] = error.sum(axis=0)
+    n, hidden, kind, place = len(word), hidden_layer(net, context), word // CLASSES, word % CLASSES
+    back, top, low = np.empty((n, SIZE), np.float32), np.zeros_like(net.top), np.zeros_like(net.low)
+    for at in range(0, n, PART):
+        part = slice(at, at + PART)
+        error = errors(hidden[part] @ net.top, kind[part])
+        np.matmul(error, net.top[:SIZE].T, out=back[part])
+        top += hidden[part].T @ error
+    for c, part in classes_of(kind * CLASSES):
+        error = errors(hidden[part] @ net.low[c], place[part])
+        back[part] += error @ net.low[c, :SIZE].T
+        np.matmul(hidden[part].T, error, out=low[c])
+    move(net.top, squares.top, top / n)
     move(net.low, squares.low, low / n)
-    move(net.low_bias, squares.low_bias, low_bias / n)
+    hidden = hidden[:, :SIZE]
     back *= (1 - hidden * hidden) / n
     for k in range(len(SIDES)):
-        order = np.argsort(context[:, k], kind="stable")
+        order = np.argsort(context[:, k].astype(np.uint16), kind="stable")  # by radix
         at = context[order, k]
         head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         used = at[head]

@@ -11,9 +11,9 @@ def test_probabilities_sum_to_one_and_equal_the_plain_formula():
     every = np.arange(pl.WORDS)
     got = pl.log_probabilities(net, np.repeat(context, pl.WORDS, axis=0), every)
     assert np.isclose(np.exp(got.astype(float)).sum(), 1, atol=1e-3)
-    hidden = np.tanh(sum(net.embed[k][context[0, k]] for k in range(4)))
+    hidden = np.append(np.tanh(sum(net.embed[k][context[0, k]] for k in range(4))), 1)
     for w in (0, 77, 4095):
-        top, low = hidden @ net.top + net.top_bias, hidden @ net.low[w // 64] + net.low_bias[w // 64]
+        top, low = hidden @ net.top, hidden @ net.low[w // 64]
         assert np.isclose(got[w], top[w // 64] - np.log(np.exp(top).sum()) + low[w % 64] - np.log(np.exp(low).sum()), atol=1e-4)
 
 
@@ -68,8 +68,8 @@ def test_a_documents_score_by_brute_force(spark, docs_of):
     total = 0.0
     for i, w in enumerate(words):
         around = [words[i + s] if 0 <= i + s < len(words) else pl.PAD for s in pl.SIDES]
-        hidden = np.tanh(sum(net.embed[k][c].astype(float) for k, c in enumerate(around)))
-        for logit, at in ((hidden @ net.top + net.top_bias, w // pl.CLASSES), (hidden @ net.low[w // pl.CLASSES] + net.low_bias[w // pl.CLASSES], w % pl.CLASSES)):
+        hidden = np.append(np.tanh(sum(net.embed[k][c].astype(float) for k, c in enumerate(around))), 1)
+        for logit, at in ((hidden @ net.top, w // pl.CLASSES), (hidden @ net.low[w // pl.CLASSES], w % pl.CLASSES)):
             total += logit[at] - np.log(np.exp(logit).sum())
         if w >= pl.WORDS - pl.CLASSES:
             total += np.log(counts.get(int(hashes[i]), 1) / (known[3][w % pl.CLASSES] + 1))
