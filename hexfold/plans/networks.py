@@ -96,7 +96,8 @@ def admin_tiers(spark, sf_dir):
 
 
 def resources_at_hex(spark, sf_dir):
-    shapes = layers.layer(spark, sf_dir, layers.LANDUSE_SQL).filter("fid % 50 = 0")
+    """Every land use shape as a deposit: polygons of coal and iron, points of steel and oil."""
+    shapes = layers.layer(spark, sf_dir, layers.LANDUSE_SQL)
     kind = F.array(*map(F.lit, regions.RESOURCES))[F.floor(F.col("fid") / 50).cast("int") % 4]
     shapes = shapes.withColumn("kind", kind)
     spots = hexes.with_hex(shapes.filter("kind in ('steel', 'oil')").select("kind", F.col("cx").alias("lon"), F.col("cy").alias("lat")), SIZE, MERIDIAN)
@@ -181,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
  pp AS (SELECT k, code AS country, coalesce(pc, '') AS province FROM o LEFT JOIN pb USING (k))"""
     s = f"s AS (SELECT *, {_kind()} AS kind FROM ({layers.SETTLEMENTS_SQL}))"
     other = lambda text: re.sub(r"\bh([0-6x])\b", r"g\1", text)
-    res = f"(SELECT *, CASE fid // 50 % 4 WHEN 0 THEN 'coal' WHEN 1 THEN 'steel' WHEN 2 THEN 'iron' ELSE 'oil' END AS rk FROM ({layers.LANDUSE_SQL}) WHERE fid % 50 = 0)"
+    res = f"(SELECT *, CASE fid // 50 % 4 WHEN 0 THEN 'coal' WHEN 1 THEN 'steel' WHEN 2 THEN 'iron' ELSE 'oil' END AS rk FROM ({layers.LANDUSE_SQL}))"
     road = "CASE WHEN highway IN ('motorway', 'trunk') THEN 0 WHEN highway IN ('primary', 'secondary') THEN 1 END"
     rail = "CASE WHEN railway = 'narrow_gauge' OR gauge < 1000 THEN 2 WHEN tracks >= 2 THEN 0 ELSE 1 END"
     best = lambda rank, names: f"SELECT q, r, ({names})[min({rank}) + 1] AS level FROM cl WHERE ({rank}) IS NOT NULL GROUP BY q, r"

@@ -68,18 +68,9 @@ def run_summary(spark, sf_dir):
 
 
 def land_slope_p90(spark, sf_dir):
-    """The lower nearest rank, from counts by slope, so that no task sorts all rows."""
-    land = terrain(spark, sf_dir).filter(~classify.is_water(F.col("biome"))).groupBy("slope").agg(F.count(F.lit(1)).alias("n"))
-    n = land.agg(F.sum("n")).first()[0] or 0
-    return land.select(F.sort_array(F.collect_list(F.struct("slope", "n")).over(_all())).alias("a")).limit(1).select(
-        F.aggregate("a", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("p90")), lambda s, x: F.struct((s["seen"] + x["n"]).alias("seen"), F.when(s["seen"] <= math.floor(0.9 * (n - 1)), x["slope"]).otherwise(s["p90"]).alias("p90")))["p90"].alias("p90")
-    )
-
-
-def _all():
-    from pyspark.sql import Window
-
-    return Window.partitionBy()
+    """The slope of the lower nearest rank at 0.9 among land."""
+    land = terrain(spark, sf_dir).filter(~classify.is_water(F.col("biome")))
+    return spark.createDataFrame([(tables.order_statistic(land, "slope", 0.9),)], "p90 double")
 
 
 def points(spark, sf_dir):
@@ -126,8 +117,7 @@ def coastal_hexes(spark, sf_dir):
 
 
 def hex_chains(spark, sf_dir):
-    thin = occupied(spark, sf_dir).filter(F.pmod(F.col("q") * 5 + F.col("r") * 3, F.lit(7)) > 2)
-    return hexes.chains(thin)
+    return hexes.chains(occupied(spark, sf_dir))
 
 
 def roads(spark, sf_dir):
@@ -272,7 +262,7 @@ def oracle_sql() -> dict[str, str]:
     edge = "CAST(CASE WHEN b.q > a.q THEN CASE WHEN b.cy > a.cy THEN 0 ELSE 5 END WHEN b.q < a.q THEN CASE WHEN b.cy > a.cy THEN 2 ELSE 3 END WHEN b.r > a.r THEN 1 ELSE 4 END AS INT)"
     sup = "SELECT s_suppkey, 4.0e0 + ((s_suppkey * 5791) % 10000) / 1e4 AS lon, 50.5e0 + ((s_suppkey * 7103) % 5000) / 1e4 AS lat FROM supplier"
     norm = lambda x: f"trim(regexp_replace(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}} ]', ' ', 'g'), ' +', ' ', 'g'))"
-    return {
+    sql = {
         "settlements_per_hex": f"""{sh}, v AS (SELECT *, CASE kind WHEN 'metropolis' THEN 3 WHEN 'city' THEN 2 WHEN 'town' THEN CASE WHEN population >= 20000 THEN 1 END END AS tier FROM hx)
  SELECT q, r, name, kind, population FROM v WHERE tier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY q, r ORDER BY tier DESC, population DESC, k) = 1""",
         "settlement_classes": f"""WITH {s} SELECT k, kind, CAST(CASE kind WHEN 'village' THEN 1 WHEN 'town' THEN 2 WHEN 'city' THEN 3 ELSE 5 END AS INT) AS class,
@@ -301,7 +291,7 @@ def oracle_sql() -> dict[str, str]:
         "country_rollup": f"{country} SELECT code, count(*) AS n FROM o GROUP BY code",
         "hex_neighbors": f"{occupied} SELECT a.q, a.r, {edge} AS edge, b.q AS nq, b.r AS nr FROM o a JOIN o b ON {beside}",
         "coastal_hexes": f"{occupied}, w AS (SELECT *, (q * 7 + r * 3) % 5 = 0 AS water FROM o) SELECT q, r, water, NOT water AND EXISTS (SELECT 1 FROM w b WHERE b.water AND {beside}) AS coastal FROM w a",
-        "hex_chains": f"""{occupied.replace('WITH ', 'WITH RECURSIVE ', 1)}, n AS (SELECT * FROM o WHERE (q * 5 + r * 3) % 7 > 2), e AS (SELECT a.q, a.r, b.q AS nq, b.r AS nr FROM n a JOIN n b ON {beside}),
+        "hex_chains": f"""{occupied.replace('WITH ', 'WITH RECURSIVE ', 1)}, n AS (SELECT * FROM o), e AS (SELECT a.q, a.r, b.q AS nq, b.r AS nr FROM n a JOIN n b ON {beside}),
  z AS (SELECT q, r, q AS root_q, r AS root_r FROM n UNION SELECT e.nq, e.nr, z.root_q, z.root_r FROM z JOIN e ON z.q = e.q AND z.r = e.r WHERE (z.root_q, z.root_r) < (e.nq, e.nr)),
  m AS (SELECT q, r, min((root_q, root_r)) AS x FROM z GROUP BY q, r) SELECT q, r, x[1] AS root_q, x[2] AS root_r FROM m""",
         "roads": f"""SELECT k, CASE kind WHEN 'road' THEN CASE WHEN highway IN ('motorway', 'trunk') THEN 'highway' WHEN highway IN ('primary', 'secondary') THEN 'paved' ELSE 'none' END
@@ -323,8 +313,10 @@ def oracle_sql() -> dict[str, str]:
         "hex_diff": f"""{sh}, a AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE k % 7 <> 0 GROUP BY q, r), b AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE population > 0 GROUP BY q, r),
  j AS (SELECT a.n AS an, b.n AS bn, a.p AS ap, b.p AS bp FROM a FULL JOIN b ON a.q = b.q AND a.r = b.r)
  SELECT 'only_a' AS field, count(*) FILTER (bn IS NULL) AS n FROM j UNION ALL SELECT 'only_b', count(*) FILTER (an IS NULL) FROM j UNION ALL SELECT 'n', count(*) FILTER (an <> bn) FROM j UNION ALL SELECT 'people', count(*) FILTER (ap <> bp) FROM j""",
+        "hex_fingerprint": f"""WITH per_hex AS (PER_HEX) SELECT count(*) AS n, bit_xor(CAST(concat('0x', substr(sha256(concat_ws('|', kind, name, population, q, r)), 1, 15)) AS BIGINT)) AS mark FROM per_hex""",
         "quality_checks": f"""{t}, c AS (SELECT count(*) FILTER (NOT elev BETWEEN -120 AND 3000) AS a, count(*) FILTER (NOT slope BETWEEN 0 AND 60) AS b, count(*) FILTER (water AND NOT ({wet})) AS c, count(*) FILTER (kind <> 'none' AND population <= 0) AS d FROM t)
  SELECT 'elevation' AS name, a = 0 AS ok, a AS bad FROM c UNION ALL SELECT 'slope', b = 0, b FROM c UNION ALL SELECT 'water', c = 0, c FROM c UNION ALL SELECT 'settled', d = 0, d FROM c""",
         "osm_elements": "SELECT concat('node/', CAST(CASE WHEN event_id % 10 = 9 THEN event_id // 2 ELSE event_id END AS VARCHAR)) AS osm_id, 'point' AS kind, min(event_type) AS place FROM events GROUP BY 1",
         "open_rings": f"SELECT fid, CAST(2 AS BIGINT) AS ends FROM ({layers.LANDUSE_SQL}) WHERE fid % 5 = 0",
     }
+    return sql | {"hex_fingerprint": sql["hex_fingerprint"].replace("PER_HEX", sql["settlements_per_hex"])}
