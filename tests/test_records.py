@@ -132,7 +132,7 @@ def test_gates_fail_where_they_should(spark):
 
 
 def test_records_take_defaults_and_are_sorted(spark, tmp_path):
-    rows = records.records(spark, SF).filter("k <= 60").withColumns({c: F.lit(None).cast(t) for c, t in (("country", "string"), ("road", "string"), ("river_edges", "array<int>"), ("bridge", "boolean"), ("elev", "double"))})
+    rows = records.records(spark, SF).filter("k between 1 and 60").withColumns({c: F.lit(None).cast(t) for c, t in (("country", "string"), ("road", "string"), ("river_edges", "array<int>"), ("bridge", "boolean"), ("elev", "double"))})
     rows = rows.withColumns({"q": F.col("col"), "r": F.col("row")}).repartition(4)
     sinks.write_records(rows.select("q", "r"), rows, str(tmp_path / "out"))
     lines = [json.loads(x) for p in sorted((tmp_path / "out").glob("*.json")) for x in p.read_text().splitlines()]
