@@ -37,7 +37,7 @@ from hexfold.llm.common import LOWER, mixed, passes, prefix_hash, signed, span_h
 from hexfold.llm.components import components
 
 K = 32
-ROUNDS = 2
+ROUNDS = 3
 BITS = 512
 _MULTIPLIERS = np.random.default_rng(23).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
