@@ -83,3 +83,10 @@ def coverage(hexes: DataFrame) -> DataFrame:
     """country, n, covered, share: hexes (country, province) of a country and those with a province."""
     has = F.count_if(F.coalesce("province", F.lit("")) != "")
     return hexes.filter("country <> ''").groupBy("country").agg(F.count(F.lit(1)).alias("n"), has.alias("covered")).withColumn("share", F.round(F.col("covered") / F.col("n"), 6))
+
+
+def overlaps(covers: DataFrame) -> DataFrame:
+    """a, b, n: places (pid) that two codes cover, by pair; few outlines cover one place, so a place's list is short."""
+    lists = covers.distinct().groupBy("pid").agg(F.array_sort(F.collect_list("code")).alias("codes")).filter(F.size("codes") > 1)
+    first = lists.select("codes", F.posexplode("codes").alias("i", "a"))
+    return first.select("a", F.explode(F.slice("codes", F.col("i") + 2, F.size("codes"))).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))

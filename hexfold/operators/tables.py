@@ -20,6 +20,16 @@ def diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).alias("n")) for n, _ in sums])).alias("e")).select("e.field", "e.n")
 
 
+def first_differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """field, n, ``keys``: every column in which rows of both differ, how often, and the least key of them."""
+    fields = [c for c in a.columns if c not in keys]
+    pick = lambda df, s: df.select(*keys, *[F.col(c).alias(f"{s}_{c}") for c in fields])
+    both = pick(a, "a").join(pick(b, "b"), keys)
+    changed = F.filter(F.array(*[F.when(~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")), F.lit(c)) for c in fields]), lambda c: c.isNotNull())
+    each = both.select(F.struct(*keys).alias("_key"), F.explode(changed).alias("field"))
+    return each.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("_key")).select("field", "n", "_key.*")
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: count, and the exclusive or of 60 bits of every row's SHA-256 (columns by name, as text, null as nothing)."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)])

@@ -53,6 +53,14 @@ def top_rivers(spark, sf_dir):
     return found.orderBy(F.desc("n"), "river_name").limit(15)
 
 
+def river_selection(spark, sf_dir):
+    """Waterways that count: named rivers up to rank 8, and the canals of names with a long total, as rank 7."""
+    ways = layers.layer(spark, sf_dir, layers.WAYS_SQL)
+    rivers = lines.ranked_rivers(ways.filter("kind = 'river'"), 8).select("k", "name", "scalerank")
+    canals = ways.filter("kind = 'canal'").join(maps.canal_selection(spark, sf_dir).select("name"), "name", "left_semi")
+    return rivers.unionByName(canals.select("k", "name", F.lit(7).alias("scalerank")))
+
+
 def provinces_of_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pid, country, province of the settlements' points; provinces are the halves of a country."""
     c = layers.layer(spark, sf_dir, layers.COUNTRIES_SQL).withColumn("mid", (F.col("x0") + F.col("x1")) / 2)
@@ -78,6 +86,13 @@ def province_coverage(spark, sf_dir):
     return regions.coverage(province_at_point(spark, sf_dir))
 
 
+def country_overlaps(spark, sf_dir):
+    """Points that two countries cover, by pair, of outlines that reach 0.03 degrees over their borders."""
+    wide = maps.country_boxes(spark, sf_dir).withColumns({"hw": F.col("hw") + 0.03, "hh": F.col("hh") + 0.03})
+    over = spatial.point_in_polygon(maps.points(spark, sf_dir), layers.rings(wide), 0.1)
+    return regions.overlaps(over.select("pid", F.col("fid").alias("code")))
+
+
 def admin_tiers(spark, sf_dir):
     """Hexes by province, their tier, and the capital and one sub-capital of each province.
 
@@ -138,7 +153,7 @@ def tiled_settlements(spark, sf_dir):
 
 
 QUERIES = [
-    best_road, best_rail, river_hexes, river_chains, top_rivers, province_at_point, province_rollup, province_coverage, admin_tiers,
+    best_road, best_rail, river_hexes, river_chains, top_rivers, river_selection, country_overlaps, province_at_point, province_rollup, province_coverage, admin_tiers,
     resources_at_hex, hex_records, hex_features, map_metadata, tiled_settlements,
 ]
 
@@ -193,6 +208,10 @@ def oracle_sql() -> dict[str, str]:
         "river_hexes": f"""{_clip_sql("kind = 'river'")}, {runs.format('')}, ed AS (SELECT q, r, enter AS e FROM cl UNION SELECT q, r, leave FROM cl),
  es AS (SELECT q, r, string_agg(CAST(e AS VARCHAR), ' ' ORDER BY e) AS edges FROM ed WHERE e IS NOT NULL GROUP BY q, r) SELECT q, r, river_name, coalesce(edges, '') AS edges FROM bs LEFT JOIN es USING (q, r)""",
         "top_rivers": f"{_clip_sql("kind = 'river'")}, {runs.format('WHERE scalerank <= 8')} SELECT river_name, count(*) AS n FROM bs GROUP BY river_name ORDER BY n DESC, river_name LIMIT 15",
+        "river_selection": f"""WITH c AS ({given['canal_selection']}), w AS (SELECT * FROM ({layers.WAYS_SQL})) SELECT k, name, scalerank FROM w WHERE kind = 'river' AND scalerank <= 8
+ UNION ALL SELECT k, name, CAST(7 AS INT) FROM w WHERE kind = 'canal' AND name IN (SELECT name FROM c)""",
+        "country_overlaps": f"""WITH p AS (SELECT k, lon + 3.7e-5 AS x, lat + 2.3e-5 AS y FROM ({layers.SETTLEMENTS_SQL})), c AS ({layers.COUNTRIES_SQL}),
+ o AS (SELECT k, code FROM p JOIN c ON x > x0 - 0.03 AND x < x1 + 0.03 AND y > y0 - 0.03 AND y < y1 + 0.03) SELECT a.code AS a, b.code AS b, count(*) AS n FROM o a JOIN o b ON a.k = b.k AND a.code < b.code GROUP BY ALL""",
         "province_at_point": f"{province} SELECT k, country, province FROM pp",
         "province_rollup": f"{province} SELECT country, province, count(*) AS n FROM pp GROUP BY ROLLUP (country, province)",
         "province_coverage": f"{province} SELECT country, count(*) AS n, count(*) FILTER (province <> '') AS covered, round(count(*) FILTER (province <> '') / count(*), 6) AS share FROM pp WHERE country <> '' GROUP BY country",

@@ -79,6 +79,16 @@ def settlement_listing(spark, sf_dir):
     return r.select("kind", place.alias("place"), "name", "k").filter("place <= 8")
 
 
+def record_shares(spark, sf_dir):
+    """Biomes in per cent of land, and shares of river hexes, settled hexes and the largest biome."""
+    r = records(spark, sf_dir)
+    land, n = F.count_if(~classify.is_water(F.col("biome"))), F.count(F.lit(1))
+    by = r.groupBy("biome").agg(n.alias("n"), F.count_if(F.col("has_river")).alias("rivers"), F.count_if(F.col("kind") != "none").alias("settled"), land.alias("land"))
+    whole = by.agg(F.sum("n").alias("_n"), F.sum("land").alias("_land"), F.sum("rivers").alias("_r"), F.sum("settled").alias("_s"), F.max("n").alias("_top"), F.collect_list(F.struct("biome", "n")).alias("b"))
+    share = lambda a, b: F.round(F.col(a) / F.col(b), 6)
+    return whole.select("*", F.inline("b")).select("biome", F.round(100 * F.col("n") / F.col("_land"), 4).alias("pct_of_land"), share("_r", "_n").alias("river_share"), share("_s", "_n").alias("settled_share"), share("_top", "_n").alias("top_share"))
+
+
 def resource_counts(spark, sf_dir):
     r = records(spark, sf_dir)
     return r.agg(*[F.count_if(F.col(x)).alias(x) for x in ("coal", "steel", "iron", "oil")])
@@ -111,7 +121,7 @@ def region_remap(spark, sf_dir):
     return boundaries.remapped(units, names).groupBy("province").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = [full_records, admin_defaults, footprint_mix, settlement_listing, resource_counts, record_checks, region_remap]
+QUERIES = [full_records, admin_defaults, footprint_mix, settlement_listing, record_shares, resource_counts, record_checks, region_remap]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -163,6 +173,8 @@ def oracle_sql() -> dict[str, str]:
         "footprint_mix": f"""WITH r AS ({RECORDS_SQL}) SELECT parent_city, count(*) AS n, {', '.join(f"count(*) FILTER (anthrome = '{a}') AS {a}" for a in quality.FOOTPRINT)},
  count(*) FILTER (lon BETWEEN 4.2 AND 4.8 AND lat BETWEEN 50.6 AND 50.9) AS in_box, count(*) > 1 AS several FROM r WHERE parent_city <> '' GROUP BY parent_city""",
         "settlement_listing": f"WITH r AS ({RECORDS_SQL}), p AS (SELECT kind, CAST(row_number() OVER (PARTITION BY kind ORDER BY name, k) AS INT) AS place, name, k FROM r WHERE kind <> 'none' AND name <> '') SELECT * FROM p WHERE place <= 8",
+        "record_shares": f"""WITH r AS ({RECORDS_SQL}), b AS (SELECT biome, count(*) AS n FROM r GROUP BY biome), w AS (SELECT count(*) AS n, count(*) FILTER (NOT {wet}) AS land, count(*) FILTER (has_river) AS rv, count(*) FILTER (kind <> 'none') AS st FROM r)
+ SELECT biome, round(100 * b.n / land, 4) AS pct_of_land, round(rv / w.n, 6) AS river_share, round(st / w.n, 6) AS settled_share, round((SELECT max(n) FROM b) / w.n, 6) AS top_share FROM b, w""",
         "resource_counts": f"WITH r AS ({RECORDS_SQL}) SELECT {', '.join(f'count(*) FILTER ({x}) AS {x}' for x in ('coal', 'steel', 'iron', 'oil'))} FROM r",
         "record_checks": _checks_sql(),
         "region_remap": """WITH u AS (SELECT concat('N', c_nationkey) AS c, c_custkey % 4 AS m, 4.0e0 + ((c_custkey * 7919) % 10000) / 1e4 AS lon, 50.5e0 + ((c_custkey * 10427) % 5000) / 1e4 AS lat FROM customer)
