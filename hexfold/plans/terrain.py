@@ -88,11 +88,11 @@ def landuse_slice(spark, sf_dir):
 
 
 def hex_distances(spark, sf_dir):
-    """Metres between each hex with a settlement and the one two steps to the east, infinite where that has none."""
+    """Metres between each hex with a settlement and the one two steps to the east, and whether that has none (infinitely far)."""
     h = maps.occupied(spark, sf_dir)
     x, y = geo.centre(F.col("q"), F.col("r"), SIZE)
     pairs = h.select("q", "r", (F.col("q") + 2).alias("nq"), F.col("r").alias("nr"))
-    return hexes.distances(pairs, h.select("q", "r", x.alias("cx"), y.alias("cy"))).select("q", "r", F.round("metres", 3).alias("metres"))
+    return hexes.distances(pairs, h.select("q", "r", x.alias("cx"), y.alias("cy"))).select("q", "r", F.when(F.col("metres") < float("inf"), F.round("metres", 3)).alias("metres"), (F.col("metres") == float("inf")).alias("absent"))
 
 
 def display_numbers(spark, sf_dir):
@@ -213,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
  CASE WHEN round(greatest(w, h), 6) < 200 THEN 'utm' WHEN round(greatest(w, h), 6) < 2000 THEN 'lcc' ELSE 'aeqd' END AS kind, lon - a <= 5 AND lon + a >= 4 AND lat - c <= 51 AND lat + c >= 50.5 AS meets FROM b""",
         "landuse_slice": f"""SELECT fid, CAST(floor((cx - hw) * 4) AS INT) AS tile_lon, CAST(floor((cy - hh) * 4) AS INT) AS tile_lat FROM ({layers.LANDUSE_SQL})
  WHERE cx - hw <= 4.6e0 + 0.1e0 AND cx + hw >= 4.4e0 - 0.1e0 AND cy - hh <= 50.7e0 + 0.1e0 AND cy + hh >= 50.6e0 - 0.1e0""",
-        "hex_distances": f"{occupied} SELECT a.q, a.r, CASE WHEN b.q IS NULL THEN 'inf'::DOUBLE ELSE round(3 * {geo.radius(SIZE)!r}, 3) END AS metres FROM o a LEFT JOIN o b ON b.q = a.q + 2 AND b.r = a.r",
+        "hex_distances": f"{occupied} SELECT a.q, a.r, CASE WHEN b.q IS NOT NULL THEN round(3e0 * {geo.radius(SIZE)!r}::DOUBLE, 3) END AS metres, b.q IS NULL AS absent FROM o a LEFT JOIN o b ON b.q = a.q + 2 AND b.r = a.r",
         "display_numbers": """WITH o AS (SELECT CAST(c_custkey % 140 + 1 AS INT) AS col, CAST(floor(c_custkey / 140) + 1 AS INT) AS row FROM customer)
  SELECT col, row, concat(col, '_', row) AS id, printf('%03d%03d', col, row) AS wide, printf('%02d%02d', col % 100, row % 100) AS short FROM o""",
         "resolved_biomes": f"{terrain} SELECT CASE k % 4 WHEN 0 THEN biome WHEN 1 THEN {back} ELSE 'plains' END AS biome, count(*) AS n FROM t GROUP BY 1",
