@@ -74,6 +74,11 @@ def held(df: DataFrame, keep: Iterable[str], made: Iterable[str]) -> list[Column
     return [df[c].alias(f"{c}_in" if c in taken else c) for c in keep]
 
 
+def kept_name(name: str, made: Iterable[str]) -> str:
+    """The name of a kept column beside those that an operator makes."""
+    return f"{name}_in" if name in {*made} else name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
