@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexfold.functions import geo
+from hexfold.operators.scratch import written
 
 
 def hex_grid(spark: SparkSession, box: tuple[float, float, float, float], size: float, projection: tuple | None = None) -> DataFrame:
@@ -66,36 +66,18 @@ def beaches(hexes: DataFrame) -> DataFrame:
     return hexes.withColumn("biome", F.when(F.col("coastal") & (F.col("biome") == "plains") & (F.col("landuse") == "beach"), "beach").otherwise(F.col("biome")))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a folder of this machine only in local mode where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="hexfold-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the session's shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def chains(hexes: DataFrame) -> DataFrame:
     """q, r and the least (root_q, root_r) reachable through neighbours of the table.
 
     Least labels of neighbours, then the label's own label, until none moves.
     """
-    links = cut_lineage(neighbors(hexes).select("q", "r", "nq", "nr"))
+    links = written(neighbors(hexes).select("q", "r", "nq", "nr"))
     label = hexes.select("q", "r", F.struct("q", "r").alias("l")).distinct()
     while True:
         near = links.join(label.select(F.col("q").alias("nq"), F.col("r").alias("nr"), "l"), ["nq", "nr"]).groupBy("q", "r").agg(F.min("l").alias("m"))
         low = label.join(near, ["q", "r"], "left").select("q", "r", "l", F.least("l", "m").alias("m"))
         jump = label.select(F.struct("q", "r").alias("m"), F.col("l").alias("j"))
-        new = cut_lineage(low.join(jump, "m").select("q", "r", F.least("m", "j").alias("l"), (F.least("m", "j") < F.col("l")).alias("moved")))
+        new = written(low.join(jump, "m").select("q", "r", F.least("m", "j").alias("l"), (F.least("m", "j") < F.col("l")).alias("moved")))
         label = new.select("q", "r", "l")
         if new.filter("moved").isEmpty():
             return label.select("q", "r", F.col("l.q").alias("root_q"), F.col("l.r").alias("root_r"))
@@ -131,12 +113,12 @@ def sprawl(hexes: DataFrame, seeds: DataFrame, size: float, near_km: float = 11.
     (ax, ay), (bx, by) = geo.centre(F.col("sq"), F.col("sr"), size), geo.centre(F.col("hq"), F.col("hr"), size)
     around = around.withColumn("km", F.sqrt((ax - bx) ** 2 + (ay - by) ** 2) / 1000).filter("km <= radius_km")
     able = around.join(hexes.select(F.col("q").alias("hq"), F.col("r").alias("hr"), "built", "open"), ["hq", "hr"])
-    able = cut_lineage(able.filter(F.col("built") | (F.col("open") & (F.col("km") <= near_km)) | ((F.col("hq") == F.col("sq")) & (F.col("hr") == F.col("sr")))).select("sq", "sr", F.col("hq").alias("q"), F.col("hr").alias("r"), "km"))
+    able = written(able.filter(F.col("built") | (F.col("open") & (F.col("km") <= near_km)) | ((F.col("hq") == F.col("sq")) & (F.col("hr") == F.col("sr")))).select("sq", "sr", F.col("hq").alias("q"), F.col("hr").alias("r"), "km"))
     front = reached = able.filter("q = sq and r = sr")
     while not front.isEmpty():
         step = front.select("sq", "sr", "q", "r", F.explode(geo.neighbour_steps(F.col("q"))).alias("s")).select("sq", "sr", (F.col("q") + F.col("s.dq")).alias("q"), (F.col("r") + F.col("s.dr")).alias("r")).distinct()
-        front = cut_lineage(able.join(step, ["sq", "sr", "q", "r"], "left_semi").join(reached, ["sq", "sr", "q", "r"], "left_anti"))
-        reached = cut_lineage(reached.union(front))
+        front = written(able.join(step, ["sq", "sr", "q", "r"], "left_semi").join(reached, ["sq", "sr", "q", "r"], "left_anti"))
+        reached = written(reached.union(front))
     return reached.groupBy("q", "r").agg(F.min(F.struct("km", "sq", "sr")).alias("m")).select("q", "r", "m.sq", "m.sr", "m.km")
 
 

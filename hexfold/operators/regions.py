@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hexfold.functions import classify
 from hexfold.operators import spatial
-from hexfold.operators.hexes import cut_lineage
+from hexfold.operators.scratch import written
 
 RESOURCES = ["coal", "steel", "iron", "oil"]  #: fixed values: the types that count
 
@@ -38,14 +38,14 @@ def designate_capitals(nodes: DataFrame, meta: DataFrame) -> DataFrame:
     known = meta.select("province", "rank", F.transform("names", classify.norm_name).alias("names"))
     nodes = nodes.withColumns({"population": F.coalesce("population", F.lit(0)), "_name": classify.norm_name(F.col("name"))})
     scored = nodes.join(known, "province").withColumn("score", best_score(F.col("_name"), F.col("names"))).filter("score > 0")
-    scored = cut_lineage(scored.select("province", "rank", "score", "population", "q", "r", "name"))
+    scored = written(scored.select("province", "rank", "score", "population", "q", "r", "name"))
     taken = None
     for (rank,) in meta.select("rank").distinct().orderBy("rank").collect():
         free = scored.filter(F.col("rank") == rank)
         if taken is not None:
             free = free.join(taken, ["province", "q", "r"], "left_anti")
         best = free.groupBy("province", "rank").agg(F.max(F.struct("score", "population", "q", "r", "name")).alias("m")).select("province", "rank", "m.q", "m.r", "m.name", "m.population")
-        taken = cut_lineage(best if taken is None else taken.union(best))
+        taken = written(best if taken is None else taken.union(best))
     return scored.limit(0).select("province", "rank", "q", "r", "name", "population") if taken is None else taken
 
 

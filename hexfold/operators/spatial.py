@@ -6,40 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hexfold.functions import geo
-from hexfold.operators.hexes import cut_lineage
+from hexfold.operators.cover import point_in_polygon
+from hexfold.operators.scratch import written
 
 
-def _cells(low: str, high: str, cell: float):
-    return F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell)))
-
-
-def candidates(points: DataFrame, segments: DataFrame, cell: float, pad: float = 0.0, same: str | None = None) -> DataFrame:
-    """Points (pid, x, y) with the features (fid) whose envelope, padded, holds them; a column ``same`` of both sides has to agree."""
-    keys = [same] if same else []
-    boxes = segments.groupBy("fid", *keys).agg(F.min(F.least("x1", "x2") - pad).alias("bx0"), F.max(F.greatest("x1", "x2") + pad).alias("bx1"), F.min(F.least("y1", "y2") - pad).alias("by0"), F.max(F.greatest("y1", "y2") + pad).alias("by1"))
-    boxes = boxes.select("*", _cells("bx0", "bx1", cell).alias("i")).select("*", _cells("by0", "by1", cell).alias("j"))
-    near = points.select("pid", "x", "y", *keys, F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j")).join(boxes, ["i", "j", *keys])
-    return near.filter("x between bx0 and bx1 and y between by0 and by1").select("pid", "x", "y", "fid")
-
-
-def point_in_polygon(points: DataFrame, segments: DataFrame, cell: float = 0.02, same: str | None = None) -> DataFrame:
-    """pid, fid of points inside the even-odd bag of ring segments of a feature.
-
-    A point meets the segments of a feature that cross its band of latitude
-    only, so a large outline is no single group.
-    """
-    bands = segments.select("fid", "x1", "y1", "x2", "y2", F.explode(F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell))).alias("j"))
-    near = candidates(points, segments, cell, same=same).withColumn("j", F.floor(F.col("y") / cell))
-    hits = near.join(bands, ["fid", "j"]).groupBy("pid", "fid").agg(F.sum(geo.crosses(F.col("x"), F.col("y")).cast("int")).alias("n"))
-    return hits.filter("n % 2 = 1").select("pid", "fid")
-
-
-def in_any(points: DataFrame, segments: DataFrame, cell: float = 0.02) -> DataFrame:
+def in_any(points: DataFrame, segments: DataFrame) -> DataFrame:
     """The points (pid, x, y) inside some feature."""
-    return points.join(point_in_polygon(points, segments, cell).select("pid").distinct(), "pid", "left_semi")
+    return points.join(point_in_polygon(points, segments).select("pid").distinct(), "pid", "left_semi")
 
 
-def flag_land_lake(points: DataFrame, land: DataFrame | None, lakes: DataFrame, elev: str = "elev", cell: float = 0.1) -> DataFrame:
+def flag_land_lake(points: DataFrame, land: DataFrame | None, lakes: DataFrame, elev: str = "elev") -> DataFrame:
     """``points`` (pid, x, y ...) with water and lake.
 
     Water is what lies outside all land, or where no land layer is given what
@@ -48,26 +24,32 @@ def flag_land_lake(points: DataFrame, land: DataFrame | None, lakes: DataFrame,
     if land is None:
         wet = points.withColumn("water", F.coalesce(F.col(elev) <= 0, F.lit(True)))
     else:
-        dry = in_any(points, land, cell).select("pid", F.lit(True).alias("_dry"))
+        dry = in_any(points, land).select("pid", F.lit(True).alias("_dry"))
         wet = points.join(dry, "pid", "left").withColumn("water", F.col("_dry").isNull()).drop("_dry")
-    inside = in_any(points, lakes, cell).select("pid", F.lit(True).alias("_in"))
+    inside = in_any(points, lakes).select("pid", F.lit(True).alias("_in"))
     return wet.join(inside, "pid", "left").withColumn("lake", ~F.col("water") & F.col("_in").isNotNull()).drop("_in")
 
 
-def smallest_cover(points: DataFrame, segments: DataFrame, features: DataFrame, cell: float = 0.02) -> DataFrame:
+def smallest_cover(points: DataFrame, segments: DataFrame, features: DataFrame) -> DataFrame:
     """pid, kind of the least-area feature (fid, area, kind) over each point; ties by kind."""
-    return point_in_polygon(points, segments, cell).join(features, "fid").groupBy("pid").agg(F.min(F.struct("area", "kind")).alias("m")).select("pid", F.col("m.kind").alias("kind"))
+    return point_in_polygon(points, segments).join(features, "fid").groupBy("pid").agg(F.min(F.struct("area", "kind")).alias("m")).select("pid", F.col("m.kind").alias("kind"))
 
 
 def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap: float, cell: float = 0.1, same: str | None = None) -> DataFrame:
     """pid, code: the least code that covers a point, else the nearest feature's under ``snap``, else ''.
 
-    With ``same``, a column of points and segments, only features that agree in it count.
+    With ``same``, a column of points and segments, only features that agree in
+    it count.  For the snap a segment stands in the cells near its parts of one
+    cell's length, so in cells by its length and not by its envelope.
     """
-    inside = point_in_polygon(points, segments, cell, same).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
+    inside = point_in_polygon(points, segments, same).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
     left = points.join(inside, "pid", "left_anti")
-    span = lambda u, v: F.explode(F.sequence(F.floor((F.least(u, v) - snap) / cell), F.floor((F.greatest(u, v) + snap) / cell)))
-    placed = segments.select("fid", "x1", "y1", "x2", "y2", *([same] if same else []), span("x1", "x2").alias("i")).select("*", span("y1", "y2").alias("j"))
+    keys, ends = ["fid", *([same] if same else [])], ["x1", "y1", "x2", "y2"]
+    parts = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))) / cell)).cast("int")
+    cut = segments.select(*keys, *ends, parts.alias("_n")).select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k"))
+    to = lambda a, b, k: F.col(a) + (F.col(b) - F.col(a)) * k / F.col("_n")
+    span = lambda a, b: F.explode(F.sequence(*[F.floor((f(to(a, b, F.col("_k")), to(a, b, F.col("_k") + 1)) + d) / cell) for f, d in ((F.least, -snap), (F.greatest, snap))]))
+    placed = cut.select("*", span("x1", "x2").alias("i")).select(*keys, *ends, "i", span("y1", "y2").alias("j"))
     here = left.select("pid", "x", "y", *([same] if same else []), F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j"))
     near = here.join(placed, ["i", "j", *([same] if same else [])]).groupBy("pid", "fid").agg(F.min(geo.segment_distance(F.col("x"), F.col("y"))).alias("d")).filter(F.col("d") < snap)
     near = near.join(codes, "fid").groupBy("pid").agg(F.min(F.struct("d", "code")).alias("m")).select("pid", F.col("m.code").alias("near"))
@@ -106,7 +88,7 @@ def nearest(points: DataFrame, targets: DataFrame, k: int, cell: float = 0.05) -
         todo = todo.join(sure, "pid", "left_anti")
         if not total or todo.isEmpty():
             return found
-        todo, cell = cut_lineage(todo), cell * 2
+        todo, cell = written(todo), cell * 2
 
 
 def within(points: DataFrame, targets: DataFrame, degrees: float) -> DataFrame:

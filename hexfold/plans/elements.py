@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexfold.operators import hexes, spatial
+from hexfold.operators import spatial
+from hexfold.operators.scratch import new_folder
 from hexfold.plans import queries as maps
 from hexfold.sources import boundaries, elements, layers
 
@@ -92,7 +92,7 @@ def city_places(spark, sf_dir):
 
 def boundary_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Folders of feature collections of countries, one file a nation, and of province metadata."""
-    folder = f"{hexes.shared_folder(spark)}/hexfold-boundaries-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "boundaries")
     c = layers.layer(spark, sf_dir, layers.COUNTRIES_SQL)
     x0, y0, x1, y1 = (F.col(x) for x in ("x0", "y0", "x1", "y1"))
     pair = lambda x, y: F.array(x, y)
@@ -113,7 +113,7 @@ def boundary_countries(spark, sf_dir):
     """Settlements by country, from outlines read back from files."""
     read = boundaries.read_geojson(spark, boundary_files(spark, sf_dir)[0], "country_code string")
     rings = boundaries.outlines(read, "country_code")
-    over = spatial.point_in_polygon(maps.points(spark, sf_dir), rings, 0.1)
+    over = spatial.point_in_polygon(maps.points(spark, sf_dir), rings)
     return over.groupBy(F.col("fid").alias("code")).agg(F.count(F.lit(1)).alias("n"))
 
 

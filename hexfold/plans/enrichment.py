@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hexfold.functions import classify, geo
 from hexfold.operators import hexes, lines, quality, raster, regions, spatial
-from hexfold.operators.hexes import cut_lineage
+from hexfold.operators.scratch import written
 from hexfold.plans import elements as staged
 from hexfold.plans import queries as maps
 from hexfold.plans import terrain
@@ -49,12 +49,12 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     """Every hex of a frame with what ``sinks.full_records`` takes."""
     projection = geo.select_projection(*box)
     parsed = lambda df: layers.parse_osm_elements(df)
-    grid = cut_lineage(hexes.hex_grid(spark, box, size, projection).withColumn("pid", F.struct("q", "r")))
+    grid = written(hexes.hex_grid(spark, box, size, projection).withColumn("pid", F.struct("q", "r")))
     centres = grid.select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
 
     # water, elevation and slope
     countries = boundaries.read_geojson(spark, staged.boundary_files(spark, sf_dir)[0], "country_code string")
-    outlines = cut_lineage(boundaries.outlines(countries, "country_code"))
+    outlines = written(boundaries.outlines(countries, "country_code"))
     land = layers.rings(spark.createDataFrame([("land", "rect", (box[0] + 0.04 + box[2]) / 2, (box[1] + box[3]) / 2, (box[2] - box[0]) / 2 + 0.06, (box[3] - box[1]) / 2 + 0.1)], "fid string, shape string, cx double, cy double, hw double, hh double"))
     lakes = layers.rings(spark.read.parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").alias("fid"), F.lit("diamond").alias("shape"), (4.2 + F.col("r_regionkey") * 0.15).alias("cx"), F.lit(50.75).alias("cy"), F.lit(0.03).alias("hw"), F.lit(0.02).alias("hh")))
     wet = spatial.flag_land_lake(centres, land, lakes).select("pid", "water", "lake")
@@ -63,7 +63,7 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     wide = half / F.cos(F.radians("y"))
     zones = centres.select(F.col("pid").alias("zid"), (F.col("x") - wide).alias("x0"), (F.col("y") - half).alias("y0"), (F.col("x") + wide).alias("x1"), (F.col("y") + half).alias("y1"))
     slope = raster.zonal_p90(zones, terrain.slopes(spark, sf_dir), **terrain.PLACE).select(F.col("zid").alias("pid"), F.col("p90").alias("slope"))
-    base = cut_lineage(reduce(lambda a, b: a.join(b, "pid", "left"), (wet, elev, slope), grid))
+    base = written(reduce(lambda a, b: a.join(b, "pid", "left"), (wet, elev, slope), grid))
     dry = base.filter("not water and not lake")
     dry_centres = dry.select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
 
@@ -73,9 +73,9 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     features = uses.select(F.col("osm_id").alias("fid"), F.col("landuse_type").alias("kind")).join(elements.ring_areas(rings), "fid")
     landuse = spatial.smallest_cover(dry_centres, rings, features).select("pid", F.col("kind").alias("landuse"))
     places = geo.place_in_hex(geo.project(elements.settlement_layer(parsed(staged.places(spark, sf_dir))), projection), size)
-    best, nodes = settlement_of_hexes(cut_lineage(places))
+    best, nodes = settlement_of_hexes(written(places))
     country = spatial.cover_or_snap(dry_centres, outlines, outlines.select("fid", F.col("fid").alias("code")).distinct(), SNAP).select("pid", F.col("code").alias("country"))
-    country = cut_lineage(country)
+    country = written(country)
     halves = outlines.groupBy("fid").agg(F.min("x1").alias("x0"), F.max("x1").alias("x1"), F.min("y1").alias("y0"), F.max("y1").alias("y1")).withColumn("mid", (F.col("x0") + F.col("x1")) / 2)
     part = lambda name, a, b: F.struct(F.concat("fid", F.lit(name)).alias("fid"), ((F.col(a) + F.col(b)) / 2).alias("cx"), ((F.col(b) - F.col(a)) / 2).alias("hw"))
     shapes = halves.select(F.col("fid").alias("country"), "y0", "y1", F.inline(F.array(part("_W", "x0", "mid"), part("_E", "mid", "x1"))))
@@ -84,11 +84,11 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     province = regions.assign_province(dry_centres.join(country, "pid"), province_rings, SNAP).select("pid", "province")
 
     # lines
-    ways = cut_lineage(parsed(staged.ways(spark, sf_dir)))
+    ways = written(parsed(staged.ways(spark, sf_dir)))
     road = lines.best_level(in_projection(elements.road_layer(ways), projection, size, "road_level"), "road_level", ROAD_LEVELS).select("q", "r", F.col("road_level").alias("road"))
     rail = lines.best_level(in_projection(elements.rail_layer(ways), projection, size, "rail_level"), "rail_level", RAIL_LEVELS).select("q", "r", F.col("rail_level").alias("rail"))
     rivers = lines.rivers_of_hexes(in_projection(elements.waterway_layer(ways).filter("waterway_type = 'river'"), projection, size, "name"), "osm_id").withColumn("has_river", F.lit(True))
-    rivers = cut_lineage(rivers)
+    rivers = written(rivers)
     crossed = rivers.filter(F.size("river_edges") > 0).join(base, ["q", "r"]).select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
     bridges = elements.bridge_layer(parsed(staged.crossings(spark, sf_dir))).select(F.col("lon").alias("x"), F.col("lat").alias("y"))
     bridge = spatial.within(crossed, bridges, geo.radius(size) / 111_320).select("pid", F.lit(True).alias("bridge"))
@@ -110,16 +110,16 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     h = h.withColumns({"kind": F.coalesce("kind", F.lit("none")), "name": F.coalesce("name", F.lit("")), "country": F.coalesce("country", F.lit("")), "province": F.coalesce("province", F.lit(""))})
     h = h.withColumn("biome", classify.biome(c("water"), c("lake"), F.lit(False), c("landuse"), c("elev"), c("slope"), c("lat"), c("lon"), c("place_type")))
     h = h.withColumns({"vegetation": classify.vegetation(c("landuse"), c("biome")), "moisture": classify.moisture(c("biome"), c("landuse"), c("elev"), c("lat"), c("lon")), "anthrome": classify.anthrome(c("biome"), c("landuse"), c("kind")), "population_class": classify.population_class(c("kind"))})
-    h = cut_lineage(h.drop("water", "lake", "pid"))
+    h = written(h.drop("water", "lake", "pid"))
 
     # passes over neighbours: coast, footprints, tiers and capitals
     wet = classify.is_water(c("biome"))
     h = hexes.beaches(h.join(hexes.coastal(h.select("q", "r", wet.alias("water"))), ["q", "r"]).drop("water"))
-    h = cut_lineage(h)
+    h = written(h)
     built = (c("biome") == "urban") | F.coalesce(c("landuse").isin("residential", "industrial"), F.lit(False))
     seeds = h.filter("kind in ('city', 'metropolis')").select("q", "r", classify.sprawl_radius_km(c("kind"), F.coalesce("population", F.lit(0))).alias("radius_km"))
     h = hexes.footprint(h, hexes.sprawl(h.select("q", "r", built.alias("built"), c("biome").isin("plains", "steppe").alias("open")), seeds, size))
-    h = cut_lineage(h.withColumn("tier", classify.admin_tier(wet, c("country"), c("province"), c("kind") != "none")))
+    h = written(h.withColumn("tier", classify.admin_tier(wet, c("country"), c("province"), c("kind") != "none")))
     people = nodes.select("q", "r", "osm_id", "name", "population").join(h.filter("province <> ''").select("q", "r", "province"), ["q", "r"])
     meta = people.filter("name <> ''").groupBy("province").agg(F.min("name").alias("a"), F.max("name").alias("b")).select("province", F.posexplode(F.array(F.array("a"), F.array("b"))).alias("rank", "names"))
     capitals = regions.designate_capitals(people, meta)
@@ -127,7 +127,7 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     done = regions.with_capitals(h.join(first, ["q", "r"], "left"), capitals)
     classes = F.when((c("kind") == "city") & (c("population_class") == 0), 3).when((c("kind") == "town") & (c("population_class") == 0), 2).otherwise(c("population_class"))
     inert = {"port": F.lit(False), "airfield": F.lit(False), "fortification": F.lit("none"), "population_class": classes, "tier": F.when(c("tier") == "subcapital", "sub_capital").otherwise(c("tier"))}
-    return cut_lineage(done.withColumns(inert))
+    return written(done.withColumns(inert))
 
 
 def hex_enrichment(spark, sf_dir):

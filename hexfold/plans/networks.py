@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hexfold.functions import classify, geo
 from hexfold.operators import hexes, lines, regions, spatial
+from hexfold.operators.scratch import new_folder, written
 from hexfold.plans import queries as maps
 from hexfold.plans.queries import MERIDIAN, SIZE, _hex_sql, _kind
 from hexfold.sources import layers, sinks
@@ -89,7 +89,7 @@ def province_coverage(spark, sf_dir):
 def country_overlaps(spark, sf_dir):
     """Points that two countries cover, by pair, of outlines that reach 0.03 degrees over their borders."""
     wide = maps.country_boxes(spark, sf_dir).withColumns({"hw": F.col("hw") + 0.03, "hh": F.col("hh") + 0.03})
-    over = spatial.point_in_polygon(maps.points(spark, sf_dir), layers.rings(wide), 0.1)
+    over = spatial.point_in_polygon(maps.points(spark, sf_dir), layers.rings(wide))
     return regions.overlaps(over.select("pid", F.col("fid").alias("code")))
 
 
@@ -100,7 +100,7 @@ def admin_tiers(spark, sf_dir):
     same name, so that its exact match is taken already.
     """
     s = maps.in_hexes(spark, sf_dir).join(provinces_of_points(spark, sf_dir), F.col("k") == F.col("pid"))
-    s = hexes.cut_lineage(s.select("k", "q", "r", "name", "population", "kind", "country", "province"))
+    s = written(s.select("k", "q", "r", "name", "population", "kind", "country", "province"))
     meta = s.filter("province <> ''").groupBy("province").agg(F.array(F.min("name")).alias("names")).select("province", F.explode(F.array(F.lit(0), F.lit(1))).alias("rank"), "names")
     capitals = regions.designate_capitals(s.filter("province <> ''"), meta)
     town = F.count_if(F.col("kind") != "village") > 0
@@ -146,7 +146,7 @@ def map_metadata(spark, sf_dir):
 def tiled_settlements(spark, sf_dir):
     """The most significant settlements, written by tiles in two runs, the second of which resumes the first."""
     rows = maps.settlements_per_hex(spark, sf_dir).select("*", F.floor(F.col("q") / 16).cast("int").alias("tile_lon"), F.floor(F.col("r") / 16).cast("int").alias("tile_lat"))
-    folder = f"{hexes.shared_folder(spark)}/hexfold-tiles-{uuid.uuid4().hex}"
+    folder = new_folder(spark, "tiles")
     key = sinks.run_key("tiled_settlements", SIZE, MERIDIAN)
     sinks.write_tiles(rows.filter("pmod(tile_lon, 2) = 0"), folder, key)
     return sinks.write_tiles(rows, folder, key).select("q", "r", "name", "tile_lon", "tile_lat")

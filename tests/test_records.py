@@ -95,7 +95,7 @@ def test_read_geojson_kinds(spark, tmp_path):
     read = boundaries.read_geojson(spark, str(tmp_path / "x.geojson"), "name string")
     lines = boundaries.outlines(read.filter("rings is not null"), "name")
     points = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 10.9, 0.5), (4, 20.9, 0.5)], "pid long, x double, y double")
-    assert sorted((r.pid, r.fid) for r in spatial.point_in_polygon(points, lines, 0.7).collect()) == [(1, "a"), (3, "b"), (4, "b")]
+    assert sorted((r.pid, r.fid) for r in spatial.point_in_polygon(points, lines).collect()) == [(1, "a"), (3, "b"), (4, "b")]
     assert [(r.lon, r.lat) for r in read.filter("kind = 'Point'").collect()] == [(5.0, 6.0)]
 
 
