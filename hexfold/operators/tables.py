@@ -31,26 +31,39 @@ def first_differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: count, and the exclusive or of 60 bits of every row's SHA-256 (columns by name, as text, null as nothing)."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(df.columns)])
-    mark = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
-    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(mark), F.lit(0)).alias("mark"))
+    """One row: count and two marks, the same for the same rows in any order and number.
+
+    A row's columns, by name and as text, are written with their lengths before
+    them, null as a mark of its own; two parts of 60 bits of the SHA-256 of that
+    are added up over all rows, modulo 2**60.  So rows that occur twice count
+    twice, and no two ways of dividing a text into columns are alike.
+    """
+    own = lambda c: F.concat(F.length(c).cast("string"), F.lit(":"), c)
+    text = F.concat(F.lit("-"), *[F.coalesce(own(F.col(c).cast("string")), F.lit("-")) for c in sorted(df.columns)])
+    part = lambda at: F.conv(F.substring(F.sha2(text, 256), at, 15), 16, 10).cast("decimal(38,0)")
+    total = lambda at: F.coalesce(F.sum(part(at)) % F.lit(1 << 60).cast("decimal(38,0)"), F.lit(0)).cast("long")
+    return df.agg(F.count(F.lit(1)).alias("n"), total(1).alias("mark_a"), total(16).alias("mark_b"))
 
 
 def order_statistic(df: DataFrame, value: str, share: float, parts: int = 1024) -> float | None:
-    """The value of rank floor(share (n - 1)) in order, nulls left out; None where there is none.
+    """The value of rank floor(share (n - 1)) in order, nulls and what is no number left out; None where there is none.
 
     A range of values is counted in ``parts``, and the part that holds the rank
     is the next range, until it is one value; no task sorts and no more than
-    ``parts`` rows are sent.
+    ``parts`` rows are sent.  Infinite values are counted beside the ranges.
     """
-    known = df.select(F.col(value).cast("double").alias("v")).filter("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    low, high, n = known.agg(F.min("v"), F.max("v"), F.sum("n")).first()
-    if low is None:
+    inf = float("inf")
+    known = df.select(F.col(value).cast("double").alias("v")).filter("v is not null and not isnan(v)").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    finite = (F.col("v") > -inf) & (F.col("v") < inf)
+    low, high, n, least, most = known.agg(F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v"))), F.sum("n"), *[F.coalesce(F.sum(F.when(F.col("v") == e, F.col("n"))), F.lit(0)) for e in (-inf, inf)]).first()
+    if not n:
         return None
     rank = math.floor(share * (n - 1))
+    if rank < least or rank >= n - most:
+        return -inf if rank < least else inf
+    rank -= least
     while low < high:
-        part = F.floor((F.col("v") - low) / (high - low) * (parts - 1))
+        part = F.floor((F.col("v") / 2 - low / 2) / (high / 2 - low / 2) * (parts - 1))
         for r in sorted(known.filter(F.col("v").between(low, high)).groupBy(part.alias("p")).agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()):
             if rank < r.n:
                 low, high = r.low, r.high

@@ -2,8 +2,7 @@
 
 Layers come from staged elements and boundary files, as they would on a map of
 any size; each join is one of the library's operators.  Hexes, settlements and
-what is found per hex are cut off (checkpointed) where several later steps
-read them.
+what is found per hex are written where several later steps read them.
 """
 
 from __future__ import annotations
@@ -58,11 +57,12 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     land = layers.rings(spark.createDataFrame([("land", "rect", (box[0] + 0.04 + box[2]) / 2, (box[1] + box[3]) / 2, (box[2] - box[0]) / 2 + 0.06, (box[3] - box[1]) / 2 + 0.1)], "fid string, shape string, cx double, cy double, hw double, hh double"))
     lakes = layers.rings(spark.read.parquet(f"{sf_dir}/region.parquet").select(F.col("r_regionkey").alias("fid"), F.lit("diamond").alias("shape"), (4.2 + F.col("r_regionkey") * 0.15).alias("cx"), F.lit(50.75).alias("cy"), F.lit(0.03).alias("hw"), F.lit(0.02).alias("hh")))
     wet = spatial.flag_land_lake(centres, land, lakes).select("pid", "water", "lake")
-    elev = raster.sample(centres, terrain.dem(spark, sf_dir), **terrain.PLACE).select("pid", "elev")
+    dem = terrain.stored_dem(spark, sf_dir)
+    elev = raster.sample(centres, dem, **terrain.PLACE).select("pid", "elev")
     half = size / 2 / 111_320
     wide = half / F.cos(F.radians("y"))
     zones = centres.select(F.col("pid").alias("zid"), (F.col("x") - wide).alias("x0"), (F.col("y") - half).alias("y0"), (F.col("x") + wide).alias("x1"), (F.col("y") + half).alias("y1"))
-    slope = raster.zonal_p90(zones, terrain.slopes(spark, sf_dir), **terrain.PLACE).select(F.col("zid").alias("pid"), F.col("p90").alias("slope"))
+    slope = raster.zonal_p90(zones, terrain.slopes(dem), **terrain.PLACE).select(F.col("zid").alias("pid"), F.col("p90").alias("slope"))
     base = written(reduce(lambda a, b: a.join(b, "pid", "left"), (wet, elev, slope), grid))
     dry = base.filter("not water and not lake")
     dry_centres = dry.select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
@@ -94,7 +94,8 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     bridge = spatial.within(crossed, bridges, geo.radius(size) / 111_320).select("pid", F.lit(True).alias("bridge"))
 
     # resources
-    marked = layers.layer(spark, sf_dir, layers.LANDUSE_SQL).withColumn("kind", F.get(F.array(*map(F.lit, regions.RESOURCES)), F.pmod(F.xxhash64("fid"), F.lit(80)).cast("int"))).filter("kind is not null")
+    bearing = F.create_map(*[F.lit(x) for pair in zip(("quarry", "industrial", "sand", "beach"), regions.RESOURCES, strict=True) for x in pair])
+    marked = layers.layer(spark, sf_dir, layers.LANDUSE_SQL).withColumn("kind", bearing[F.col("landuse_type")]).filter("kind is not null")
     spots = geo.place_in_hex(geo.project(marked.filter("kind in ('steel', 'oil')").select("kind", F.col("cx").alias("lon"), F.col("cy").alias("lat")), projection), size)
     fields = marked.filter("kind in ('coal', 'iron')")
     found = regions.resources_of_hexes(base.select("q", "r", F.col("lon").alias("x"), F.col("lat").alias("y")), layers.rings(fields), fields.select("fid", "kind"), spots.select("q", "r", "kind"))

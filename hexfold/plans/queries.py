@@ -182,13 +182,13 @@ def layer_precedence(spark, sf_dir):
 def hex_diff(spark, sf_dir):
     h = in_hexes(spark, sf_dir)
     count = lambda df: df.groupBy("q", "r").agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("people"))
-    return tables.diff(count(h.filter("k % 7 <> 0")), count(h.filter("population > 0")), ["q", "r"])
+    return tables.diff(count(h.filter("kind <> 'village'")), count(h.filter("population > 0")), ["q", "r"])
 
 
 def hex_first_differences(spark, sf_dir):
     h = in_hexes(spark, sf_dir)
     count = lambda df: df.groupBy("q", "r").agg(F.count(F.lit(1)).alias("n"), F.sum("population").alias("people"), F.min("kind").alias("kind"))
-    return tables.first_differences(count(h.filter("k % 7 <> 0")), count(h.filter("population > 0")), ["q", "r"])
+    return tables.first_differences(count(h.filter("kind <> 'village'")), count(h.filter("population > 0")), ["q", "r"])
 
 
 def hex_fingerprint(spark, sf_dir):
@@ -316,13 +316,14 @@ def oracle_sql() -> dict[str, str]:
  z AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY d, tid) AS rank FROM d) SELECT CAST(pid AS BIGINT) AS pid, CAST(rank AS INT) AS rank, tid, round(d, 6) AS d FROM z WHERE rank <= 3""",
         "near_bridges": f"WITH {pts}, u AS ({sup}) SELECT k FROM p WHERE EXISTS (SELECT 1 FROM u WHERE sqrt((u.lat - y) ^ 2 + ((u.lon - x) * cos(radians(y))) ^ 2) < {geo.radius(SIZE) / 111_320!r})",
         "layer_precedence": f"WITH {s} SELECT k, CASE WHEN k % 3 = 0 THEN kind ELSE place_type END AS kind FROM s",
-        "hex_diff": f"""{sh}, a AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE k % 7 <> 0 GROUP BY q, r), b AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE population > 0 GROUP BY q, r),
+        "hex_diff": f"""{sh}, a AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE kind <> 'village' GROUP BY q, r), b AS (SELECT q, r, count(*) AS n, sum(population) AS p FROM hx WHERE population > 0 GROUP BY q, r),
  j AS (SELECT a.n AS an, b.n AS bn, a.p AS ap, b.p AS bp FROM a FULL JOIN b ON a.q = b.q AND a.r = b.r)
  SELECT 'only_a' AS field, count(*) FILTER (bn IS NULL) AS n FROM j UNION ALL SELECT 'only_b', count(*) FILTER (an IS NULL) FROM j UNION ALL SELECT 'n', count(*) FILTER (an <> bn) FROM j UNION ALL SELECT 'people', count(*) FILTER (ap <> bp) FROM j""",
-        "hex_first_differences": f"""{sh}, a AS (SELECT q, r, count(*) AS n, sum(population) AS p, min(kind) AS t FROM hx WHERE k % 7 <> 0 GROUP BY q, r), b AS (SELECT q, r, count(*) AS n, sum(population) AS p, min(kind) AS t FROM hx WHERE population > 0 GROUP BY q, r),
+        "hex_first_differences": f"""{sh}, a AS (SELECT q, r, count(*) AS n, sum(population) AS p, min(kind) AS t FROM hx WHERE kind <> 'village' GROUP BY q, r), b AS (SELECT q, r, count(*) AS n, sum(population) AS p, min(kind) AS t FROM hx WHERE population > 0 GROUP BY q, r),
  j AS (SELECT q, r, unnest([CASE WHEN a.n <> b.n THEN 'n' END, CASE WHEN a.p <> b.p THEN 'people' END, CASE WHEN a.t <> b.t THEN 'kind' END]) AS field FROM a JOIN b USING (q, r))
  SELECT field, count(*) AS n, min((q, r))[1] AS q, min((q, r))[2] AS r FROM j WHERE field IS NOT NULL GROUP BY field""",
-        "hex_fingerprint": f"""WITH per_hex AS (PER_HEX) SELECT count(*) AS n, bit_xor(CAST(concat('0x', substr(sha256(concat_ws('|', kind, name, population, q, r)), 1, 15)) AS BIGINT)) AS mark FROM per_hex""",
+        "hex_fingerprint": f"""WITH per_hex AS (PER_HEX), m AS (SELECT sha256(concat('-', {', '.join(f"concat(length(CAST({c} AS VARCHAR)), ':', {c})" for c in ('kind', 'name', 'population', 'q', 'r'))})) AS h FROM per_hex)
+ SELECT count(*) AS n, CAST(sum(CAST(concat('0x', substr(h, 1, 15)) AS BIGINT)) % 1152921504606846976 AS BIGINT) AS mark_a, CAST(sum(CAST(concat('0x', substr(h, 16, 15)) AS BIGINT)) % 1152921504606846976 AS BIGINT) AS mark_b FROM m""",
         "quality_checks": f"""{t}, c AS (SELECT count(*) FILTER (NOT elev BETWEEN -120 AND 3000) AS a, count(*) FILTER (NOT slope BETWEEN 0 AND 60) AS b, count(*) FILTER (water AND NOT ({wet})) AS c, count(*) FILTER (kind <> 'none' AND population <= 0) AS d FROM t)
  SELECT 'elevation' AS name, a = 0 AS ok, a AS bad FROM c UNION ALL SELECT 'slope', b = 0, b FROM c UNION ALL SELECT 'water', c = 0, c FROM c UNION ALL SELECT 'settled', d = 0, d FROM c""",
         "osm_elements": "SELECT concat('node/', CAST(CASE WHEN event_id % 10 = 9 THEN event_id // 2 ELSE event_id END AS VARCHAR)) AS osm_id, 'point' AS kind, min(event_type) AS place FROM events GROUP BY 1",

@@ -26,28 +26,32 @@ def dem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.layer(spark, sf_dir, DEM_SQL)
 
 
-def slopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raster.slope_deg(dem(spark, sf_dir), STEP, -STEP, TOP)
+def stored_dem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster as a table of blocks."""
+    return raster.store(raster.blocks(dem(spark, sf_dir)))
+
+
+def slopes(stored: DataFrame) -> DataFrame:
+    return raster.slope_deg(stored, STEP, -STEP, TOP)
 
 
 def dem_slope(spark, sf_dir):
-    return slopes(spark, sf_dir).select("px_row", "px_col", F.round("slope", 6).alias("slope"))
+    return raster.pixels(slopes(stored_dem(spark, sf_dir)), "slope").withColumn("slope", F.round("slope", 6))
 
 
 def hillshade(spark, sf_dir):
-    return raster.hillshade(dem(spark, sf_dir)).select("px_row", "px_col", F.round("shade", 6).alias("shade"))
+    return raster.pixels(raster.hillshade(stored_dem(spark, sf_dir)), "shade").withColumn("shade", F.round("shade", 6))
 
 
 def point_elevation(spark, sf_dir):
     """Elevation of the pixel of every settlement."""
-    return raster.sample(maps.points(spark, sf_dir), dem(spark, sf_dir), **PLACE).select(F.col("pid").alias("k"), "elev")
+    return raster.sample(maps.points(spark, sf_dir), stored_dem(spark, sf_dir), **PLACE).select(F.col("pid").alias("k"), "elev")
 
 
 def dem_window(spark, sf_dir):
     """The pixels of a box of the raster, renumbered, with the window's corner."""
-    blocks = dem(spark, sf_dir).withColumns({"block_row": F.floor(F.col("px_row") / 64), "block_col": F.floor(F.col("px_col") / 64)})
-    held, left, top = raster.window(blocks, (4.211, 50.5, 4.629, 50.991), **PLACE)
-    return held.select("px_row", "px_col", F.nullif("elev", F.lit(-32768.0)).alias("elev"), F.lit(round(left, 4)).alias("left"), F.lit(round(top, 4)).alias("top"))
+    held, left, top = raster.window(stored_dem(spark, sf_dir), (4.211, 50.5, 4.629, 50.991), **PLACE)
+    return held.select("px_row", "px_col", "elev", F.lit(round(left, 4)).alias("left"), F.lit(round(top, 4)).alias("top"))
 
 
 def zone_slope_p90(spark, sf_dir):
@@ -55,7 +59,7 @@ def zone_slope_p90(spark, sf_dir):
     s = layers.layer(spark, sf_dir, layers.LANDUSE_SQL)
     at = lambda a, b, sign: F.col(a) + sign * F.col(b)
     boxes = s.select(F.col("fid").alias("zid"), at("cx", "hw", -1).alias("x0"), at("cy", "hh", -1).alias("y0"), at("cx", "hw", 1).alias("x1"), at("cy", "hh", 1).alias("y1"))
-    return raster.zonal_p90(boxes, slopes(spark, sf_dir), **PLACE).select("zid", F.round("p90", 6).alias("p90"))
+    return raster.zonal_p90(boxes, slopes(stored_dem(spark, sf_dir)), **PLACE).select("zid", F.round("p90", 6).alias("p90"))
 
 
 def grid_population(spark, sf_dir):

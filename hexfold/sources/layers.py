@@ -26,7 +26,7 @@ LANDUSE_SQL = """SELECT p_partkey AS fid, CASE WHEN p_partkey % 2 = 0 THEN 'rect
 COUNTRIES_SQL = """SELECT concat('C', CASE WHEN n_nationkey < 10 THEN '0' ELSE '' END, CAST(n_nationkey AS STRING)) AS code,
  4.0e0 + (n_nationkey % 5) * 0.2e0 + 0.02e0 AS x0, 50.5e0 + CAST(floor(n_nationkey / 5e0) AS INT) * 0.1e0 + 0.01e0 AS y0,
  4.0e0 + (n_nationkey % 5) * 0.2e0 + 0.18e0 AS x1, 50.5e0 + CAST(floor(n_nationkey / 5e0) AS INT) * 0.1e0 + 0.09e0 AS y1
- FROM nation WHERE n_nationkey % 7 <> 6"""
+ FROM nation"""
 
 TERRAIN_SQL = """SELECT p_partkey AS k, CAST((p_partkey * 37) % 3300 - 50 AS DOUBLE) AS elev, CAST((p_partkey * 13) % 260 AS DOUBLE) / 10e0 AS slope,
  CAST(25 + (p_partkey * 7) % 48 AS DOUBLE) AS lat, CAST((p_partkey * 11) % 50 - 10 AS DOUBLE) AS lon,

@@ -1,5 +1,6 @@
 import math
 import os
+import random
 
 import duckdb
 import pytest
@@ -62,13 +63,43 @@ def test_sprawl_needs_touching_hexes(spark):
 
 def test_raster(spark):
     dem = spark.createDataFrame([(r, c, -32768 if (r, c) == (2, 2) else c * 10) for r in range(5) for c in range(5)], "px_row int, px_col int, elev int")
-    slopes = {(r.px_row, r.px_col): r.slope for r in raster.slope_deg(dem, 0.001, 0.001, 0.0).collect()}
+    dem = raster.store(raster.blocks(dem))
+    slopes = {(r.px_row, r.px_col): r.slope for r in raster.pixels(raster.slope_deg(dem, 0.001, 0.001, 0.0), "slope").collect()}
     assert slopes[(0, 0)] is None and slopes[(2, 1)] is None
     assert math.isclose(slopes[(1, 1)], math.degrees(math.atan(10 / 111.32)), rel_tol=1e-4)
     points = spark.createDataFrame([(0.002, -0.002), (0.0031, -0.0009), (9.0, 9.0)], "x double, y double")
     assert [r.elev for r in sorted(raster.sample(points, dem, 0.0, 0.0, 0.001, 0.001).collect())] == [0.0, 30.0, 0.0]
     flat = spark.createDataFrame([(0, 0, 5), (0, 1, 5)], "px_row int, px_col int, elev int")
-    assert {r.shade for r in raster.hillshade(flat).collect()} == {0.5}
+    assert [r.shade for r in raster.pixels(raster.hillshade(raster.store(raster.blocks(flat))), "shade").collect()] == [0.5, 0.5]
+    assert raster.pixels(raster.slope_deg(raster.store(raster.blocks(flat.limit(0))), 0.001, 0.001, 0.0), "slope").count() == 0
+
+
+def test_blocks_are_sent_their_borders_alone(spark):
+    """Slopes over many blocks with voids and missing pixels, against every pixel by itself; what is shuffled and read."""
+    rng, size, k, step = random.Random(9), 16, 3, 0.00027
+    given = {(r, c): -32768.0 if rng.random() < 0.02 else float(rng.randrange(900)) for r in range(-20, 61) for c in range(-9, 70) if rng.random() > 0.03}
+    dem = spark.createDataFrame([(*at, e) for at, e in given.items()] + [(0, 0, None)] * ((0, 0) in given), "px_row int, px_col int, elev double")
+    stored = raster.store(raster.blocks(dem, size))
+    slopes = raster.slope_deg(stored, step, -step, 51.0)
+    got = {(r.px_row, r.px_col): r.slope for r in raster.pixels(slopes, "slope").collect()}
+    at = lambda r, c: None if given.get((r, c), -32768.0) == -32768.0 else given[r, c]
+    assert got.keys() == given.keys()
+    for (r, c), slope in got.items():
+        near = [at(r, c - k), at(r, c + k), at(r - k, c), at(r + k, c)]
+        if None in near:
+            assert slope is None
+            continue
+        w, e, n, s = near
+        dx, dy = (e - w) / (2 * k * step * 111_320 * math.cos(math.radians(51.0 - (r + 0.5) * step))), (s - n) / (2 * k * step * 111_320)
+        assert math.isclose(slope, math.degrees(math.atan(math.hypot(dx, dy))), rel_tol=1e-9)
+    plan = slopes._jdf.queryExecution().executedPlan().toString()
+    own = plan[plan.index("SortMergeJoin") :] if "SortMergeJoin" in plan else plan
+    assert "Bucketed: true" in own and plan.count("Exchange hashpartitioning") == 1  # of the strips
+    far = dem.filter("px_row between 0 and 9 and px_col between 0 and 9").selectExpr("px_row * 100 as px_row", "px_col * 100 as px_col", "elev")
+    held, _, _ = raster.window(raster.store(raster.blocks(far, size)), (0.0, -2.5, 2.5, 0.0), 0.0, 0.0, 0.01, -0.01, size)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tile_" in plan and "tile_row" in plan
+    assert held.count() == sum(0 <= r < 3 and 0 <= c < 3 for r, c in given)
 
 
 def test_names_and_dates(spark):
@@ -89,7 +120,7 @@ def test_elements(spark):
 def test_zonal_p90(spark):
     slopes = spark.createDataFrame([(r, c, None if r == c else float(r * 7 + c)) for r in range(9) for c in range(9)], "px_row int, px_col int, slope double")
     boxes = spark.createDataFrame([(1, 0.15, -0.55, 0.45, -0.25), (2, 5.0, 5.0, 6.0, 6.0), (3, -9.0, -9.0, 9.0, 9.0)], "zid int, x0 double, y0 double, x1 double, y1 double")
-    got = dict(map(tuple, raster.zonal_p90(boxes, slopes, 0.0, 0.0, 0.1, 0.1, block=4).collect()))
+    got = dict(map(tuple, raster.zonal_p90(boxes, raster.blocks(slopes.withColumnRenamed("slope", "elev"), 4), 0.0, 0.0, 0.1, 0.1, block=4).collect()))
 
     def plain(rows, columns):
         v = sorted(float(r * 7 + c) for r in rows for c in columns if r != c)

@@ -59,7 +59,7 @@ def test_nearest_ends_on_missing_and_far_coordinates(spark):
 def test_a_missing_pixel_shifts_nothing(spark):
     rows = [(r, c, float(10 * c + r)) for r in range(5) for c in range(6) if (r, c) != (2, 2)]
     dem = spark.createDataFrame(rows, "px_row int, px_col int, elev double")
-    found = {(r.px_row, r.px_col): r.slope for r in raster.slope_deg(dem, 1 / 111_320, 1 / 111_320, 0.0, 1.0).collect()}
+    found = {(r.px_row, r.px_col): r.slope for r in raster.pixels(raster.slope_deg(raster.store(raster.blocks(dem)), 1 / 111_320, 1 / 111_320, 0.0, 1.0), "slope").collect()}
     assert len(found) == 29 and found[2, 1] is None and found[2, 3] is None and found[1, 2] is None and found[0, 3] is None
     lat = math.cos(math.radians(1.5 / 111_320))
     assert math.isclose(found[1, 3], math.degrees(math.atan(math.hypot(10 / lat, 1))), rel_tol=1e-6)
@@ -67,8 +67,7 @@ def test_a_missing_pixel_shifts_nothing(spark):
 
 def test_window_of_a_raster(spark):
     dem = spark.range(10_000).select((F.col("id") / 100).cast("int").alias("px_row"), (F.col("id") % 100).cast("int").alias("px_col"), F.col("id").cast("double").alias("elev"))
-    dem = dem.withColumns({"block_row": F.floor(F.col("px_row") / 64), "block_col": F.floor(F.col("px_col") / 64)})
-    held, left, top = raster.window(dem, (0.205, -0.405, 0.755, -0.1), 0.0, 0.0, 0.01, -0.01)
+    held, left, top = raster.window(raster.store(raster.blocks(dem, 64)), (0.205, -0.405, 0.755, -0.1), 0.0, 0.0, 0.01, -0.01, 64)
     assert held.count() == 56 * 31 and (round(left, 6), round(top, 6)) == (0.2, -0.1) and held.filter("px_row = 0 and px_col = 0").first().elev == 1020
 
 
@@ -118,6 +117,20 @@ def test_order_statistic(spark):
     for share in (0, 0.5, 0.9, 1):
         assert tables.order_statistic(rows.repartition(3), "v", share, 7) == want[int(share * 998)]
     assert tables.order_statistic(rows.limit(0), "v", 0.9) is None
+    inf, nan = float("inf"), float("nan")
+    of = lambda values, share: tables.order_statistic(spark.createDataFrame([(v,) for v in values], "v double"), "v", share)
+    assert of([1.0, 2.0, inf], 0.5) == 2.0 and of([1.0, 2.0, inf], 1.0) == inf and of([-inf, 1.0, 2.0], 0.0) == -inf
+    assert of([1.0, 2.0, 3.0, nan, None], 0.9) == 2.0 and of([nan], 0.5) is None and of([-inf, -inf, inf], 0.5) == -inf
+    assert of([-1.7e308, 0.0, 1.7e308], 0.5) == 0.0
+
+
+def test_fingerprint_of_rows_in_any_order(spark):
+    mark = lambda rows: tuple(tables.fingerprint(spark.createDataFrame(rows, "a string, b string")).first())
+    one = mark([("x", "1"), ("y", "2"), ("y", "2")])
+    assert one == mark([("y", "2"), ("x", "1"), ("y", "2")]) and one[0] == 3
+    others = [[("x", "1"), ("x", "1"), ("y", "2")], [("x", "1"), ("x", "1")], [("y", "2"), ("y", "2")], [("a|", "b")], [("a", "|b")], [(None, "b")], [("", "b")], [("-", "b")]]
+    assert len({mark(o) for o in others} | {one}) == len(others) + 1
+    assert mark([("", "")])[1:] != mark([(None, None)])[1:] and tuple(tables.fingerprint(spark.createDataFrame([], "a string")).first()) == (0, 0, 0)
 
 
 def test_gates_fail_where_they_should(spark):
