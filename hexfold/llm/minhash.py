@@ -18,9 +18,13 @@ with too many words of its own is in no list of these.  There, members outside
 their list's largest component are compared with all members of other
 components, so no link between components is missed.
 
+A pair that shares several lists is met in the first of them, by the ``EARLY``
+values that each member brings along from the lists before.
+
 Empty and null texts have no shingle and no links.  A row without doc_id is
 returned with null component and kept false, and links nothing; rows that
-share a doc_id are one node.  No rows give no rows.
+share a doc_id are one node, so all classes that a doc_id is in are linked,
+and its rows without shingles go with them.  No rows give no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ from hexfold.llm.components import components
 K = 32
 ROUNDS = 3
 BITS = 512
+EARLY = 64
 _MULTIPLIERS = np.random.default_rng(23).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -70,6 +75,17 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(signed(values)))
 
 
+def _marks(values: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """Two sums over each set, which tell sets apart."""
+    sums = [np.concatenate(([np.uint64(0)], np.cumsum(v))) for v in (values, mixed(values ^ _MULTIPLIERS[63]))]
+    return [pa.array((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64)) for s in sums]
+
+
+def class_number() -> F.Column:
+    """A class's number, of its sums and size."""
+    return F.xxhash64("f1", "f2", "n")
+
+
 def sketches(docs: DataFrame, size: int, text: str = "text", k: int = K) -> DataFrame:
     """doc_id, n, two fingerprints of the set, and the sketch (least values, ascending)."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
@@ -79,11 +95,10 @@ def sketches(docs: DataFrame, size: int, text: str = "text", k: int = K) -> Data
             values, bounds = shingle_sets(data, offsets, size)
             n = np.diff(bounds)
             text_of = np.repeat(np.arange(len(n)), n)
-            sums = [np.concatenate(([np.uint64(0)], np.cumsum(v))) for v in (values, mixed(values ^ _MULTIPLIERS[63]))]
             low = np.arange(len(values)) - bounds[:-1][text_of] < k
             cut = np.concatenate(([0], np.cumsum(np.minimum(n, k))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n.astype(np.int64)), *[pa.array((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64)) for s in sums], _lists(values[low], cut)],
+                [batch.column(0), pa.array(n.astype(np.int64)), *_marks(values, bounds), _lists(values[low], cut)],
                 names=["doc_id", "n", "f1", "f2", "sketch"],
             )
 
@@ -91,7 +106,7 @@ def sketches(docs: DataFrame, size: int, text: str = "text", k: int = K) -> Data
 
 
 def full_sets(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """cid (the doc_id), its full set, and a bitmap of which hash remainders occur oddly often in it."""
+    """cid (the class), its full set, and a bitmap of which hash remainders occur oddly often in it."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text"))
 
     def run(batches):
@@ -102,9 +117,9 @@ def full_sets(docs: DataFrame, size: int, text: str = "text") -> DataFrame:
             odd = np.bincount(text_of * BITS + (values & np.uint64(BITS - 1)).astype(np.int64), minlength=n * BITS) & 1
             bits = np.packbits(odd.astype(np.uint8).reshape(n, BITS), axis=1).view(np.int64)
             bitmaps = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * (BITS // 64)), pa.array(bits.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(values, bounds), bitmaps], names=["cid", "shingles", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.diff(bounds).astype(np.int64)), *_marks(values, bounds), _lists(values, bounds), bitmaps], names=["n", "f1", "f2", "shingles", "bits"])
 
-    return source.mapInArrow(run, "cid long, shingles array<long>, bits array<long>")
+    return source.mapInArrow(run, "n long, f1 long, f2 long, shingles array<long>, bits array<long>").select(class_number().alias("cid"), "shingles", "bits")
 
 
 def least_overlap(percent: int, k: int = K) -> tuple[int, int]:
@@ -113,19 +128,23 @@ def least_overlap(percent: int, k: int = K) -> tuple[int, int]:
     return int(k * share) - 1, max(1, int(k * share - 5.3 * math.sqrt(k * share * (1 - share))))
 
 
-def prefixes(each: DataFrame, length: F.Column, size: F.Column) -> DataFrame:
+def prefixes(each: DataFrame, length: F.Column, size: F.Column, early: int = 0) -> DataFrame:
     """v, cid, n, common of the first values of each cid, rarest first; lists of one left out.
 
+    With ``early``, up to so many of the values that come before v, first ones
+    first: two cids of a list that have one of them in common meet there too.
+
     ``each`` has cid, n and v; of the ``size`` values that a cid has, those
     held by no other come first and are counted, not listed.
     """
     shared = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     held = each.join(shared, "v").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("h"), F.sum("df").alias("common"))
     left = F.greatest(F.lit(0), length - (size - F.size("h"))).cast("int")
-    index = held.select("cid", "n", "common", F.explode(F.slice("h", F.lit(1), left)).alias("e")).select(F.col("e.v").alias("v"), "cid", "n", "common")
+    before = [F.transform(F.slice("h", F.lit(1), F.least(F.col("p"), F.lit(early))), lambda e: e["v"]).alias("early")] if early else []
+    index = held.select("cid", "n", "common", "h", F.posexplode(F.slice("h", F.lit(1), left)).alias("p", "e")).select(F.col("e.v").alias("v"), "cid", "n", "common", *before)
     index = written(index, "prefixes")
     lists = index.groupBy("v").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return written(index.join(lists, "v").select("v", "cid", "n", "common"), "index")
+    return written(index.join(lists, "v").select(*index.columns), "index")
 
 
 def inverted(classes: DataFrame, percent: int, k: int = K) -> DataFrame:
@@ -141,7 +160,7 @@ def exact(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     apart = members.groupBy("v").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x <> y").select("v")
     wanted = members.join(apart, "v").select("cid").distinct()
     each = sets.join(wanted, "cid", "left_semi").select("cid", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("v"))
-    return prefixes(each, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1, F.col("n"))
+    return prefixes(each, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1, F.col("n"), EARLY)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, k: int = K) -> DataFrame:
@@ -158,18 +177,20 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int
     return full.filter(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter)).select("a", "b")
 
 
-def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int, text: str = "text") -> DataFrame:
-    """node, component of the classes (by cid) that are linked with others."""
+def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int, given: DataFrame, text: str = "text") -> DataFrame:
+    """node, component of the classes (by cid) that are linked with others, or by links ``given``."""
     index = inverted(classes, percent)
-    needed = index.select(F.col("cid").alias("doc_id")).distinct()
-    sets = written(full_sets(docs.join(needed, "doc_id", "left_semi"), size, text).distinct(), "sets")
+    wanted = classes.join(index.select("cid").distinct(), "cid", "left_semi").select("cid", "doc_id")
+    sets = full_sets(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), size, text)
+    sets = written(sets.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
     close = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    label = tested = links = None
+    tested, links = None, given
+    label = None if given.isEmpty() else components(given)
 
     def placed(lists: DataFrame) -> DataFrame:
         if label is None:
             return lists.withColumn("c", F.col("cid"))
-        return lists.join(label, lists.cid == label.node, "left").select("v", "cid", "n", "common", F.coalesce("component", "cid").alias("c"))
+        return lists.join(label, lists.cid == label.node, "left").select(*lists.columns, F.coalesce("component", "cid").alias("c"))
 
     for turn in range(ROUNDS + 1):
         members = placed(index)
@@ -182,32 +203,38 @@ def class_links(docs: DataFrame, classes: DataFrame, size: int, percent: int, te
             members = written(members, "members")
             sizes = members.groupBy("v", "c").agg(F.count(F.lit(1)).alias("size"))
             main = sizes.groupBy("v").agg(F.max(F.struct("size", "c")).alias("m"), F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("v", F.col("m.c").alias("mc"))
-            rest = members.join(main, "v").filter("c <> mc").select("v", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("bits").alias("xbits"), "mc")
+            rest = members.join(main, "v").filter("c <> mc").select("v", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"), F.col("bits").alias("xbits"), F.col("early").alias("xearly"), "mc")
             # two sets differ in at least as many shingles as their bitmaps in bits
             apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("xbits")[i])) for i in range(BITS // 64)), F.lit(0))
             alike = apart * (100 + percent) <= (100 - percent) * (F.col("n") + F.col("xn"))
             # of two members outside the largest component, one direction is enough
-            pairs = members.join(rest, "v").filter((F.col("c") != F.col("xc")) & ((F.col("c") == F.col("mc")) | (F.col("cid") < F.col("x"))) & close(F.col("n"), F.col("xn")) & alike)
+            pairs = members.join(rest, "v").filter((F.col("c") != F.col("xc")) & ((F.col("c") == F.col("mc")) | (F.col("cid") < F.col("x"))) & close(F.col("n"), F.col("xn")) & alike & ~F.arrays_overlap("early", "xearly"))
         pairs = pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         found = written(verified(pairs, classes, sets, percent), "found")
         tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
+        links = links.union(found)
         label = components(links)
     return label
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs``."""
-    made = written(sketches(docs, size, text), "sketches")
-    classes = written(
-        made.filter("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("cid"), F.first("sketch").alias("sketch")),
-        "classes",
-    )
-    label = class_links(docs, classes, size, percent, text)
-    roots = classes.join(label, classes.cid == label.node, "left").select("f1", "f2", "n", F.coalesce("component", "cid").alias("root"))
-    out = made.select("doc_id", "n", "f1", "f2").join(roots, ["f1", "f2", "n"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    made = written(sketches(docs, size, text).withColumn("cid", F.when(F.col("n") > 0, class_number())), "sketches")
+    known = made.filter("cid is not null and doc_id is not null")
+    classes = written(known.groupBy("cid", "n").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")), "classes")
+    several = known.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).filter("a <> b").select("doc_id", "a")
+    shared = written(known.join(several, "doc_id").filter("cid <> a").select("a", F.col("cid").alias("b")).distinct(), "shared")
+    label = class_links(docs, classes, size, percent, shared, text)
+    roots = classes.join(label, classes.cid == label.node, "left").select("cid", "doc_id", F.coalesce("component", "cid").alias("c"))
+    least = roots.groupBy("c").agg(F.min("doc_id").alias("root"))
+    roots = written(roots.join(least, "c").select("cid", "root"), "roots")
+    out = made.select("doc_id", "n", "cid").join(roots, "cid", "left")
+    # rows without shingles of a doc_id that has others
+    empty = made.filter("cid is null and doc_id is not null").select("doc_id").distinct()
+    others = known.join(empty, "doc_id", "left_semi").join(roots, "cid").groupBy("doc_id").agg(F.min("root").alias("other"))
+    out = out.join(others, "doc_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "other", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))

@@ -68,3 +68,12 @@ def test_components(spark):
             root[y] = x
     got = {tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {(i, find(i)) for i in list(root)}
+
+
+def test_rows_that_share_an_id_are_one_node(spark, docs_of):
+    rng = random.Random(1)
+    x, y, z = (" ".join(f"{c}{rng.randrange(999)}" for _ in range(40)) for c in "xyz")
+    rows = [(5, x), (5, y), (9, x), (3, y), (7, z), (8, z + " more"), (5, ""), (6, None), (6, ""), (None, x)]
+    got = minhash.near_duplicates(docs_of(rows), 3, 85).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id) == [(3, 3), (5, 3), (5, 3), (5, 3), (6, 6), (6, 6), (7, 7), (8, 7), (9, 3)]
+    assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, False)]
