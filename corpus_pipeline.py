@@ -1,16 +1,15 @@
 """A corpus pipeline: quality, near-duplicates, repeated passages, benchmark passages, packing.
 
 Every stage takes the columns of ``documents`` and all but the last return
-them.  Rows without doc_id pass the benchmark stage, which names documents by
-it; the near-duplicate stage names rows by a key of doc_id and text, so that
-repeated rows, rows that share a doc_id and rows without one leave one each
-group and the next stage does not cut all copies.
+them.  The near-duplicate and the benchmark stage name rows by a key of doc_id
+and text, so that rows that share a doc_id, and rows without one, are judged
+each by its own text.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexfold.llm import decontaminate, factorisation, minhash, packing, repeats
@@ -25,10 +24,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return factorisation.scored(docs, model, COLUMNS).filter("score >= 0.5").select(*COLUMNS)
 
 
+def row_key() -> Column:
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (five words, 0.8): the least doc_id, none last."""
-    key = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
-    keyed = docs.select(*COLUMNS).withColumn("_key", key)
+    keyed = docs.select(*COLUMNS).withColumn("_key", row_key())
     made = minhash.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id")
     ids = keyed.groupBy("_key").agg(F.first("doc_id").alias("id"), F.count(F.lit(1)).alias("n"))
     rows = written(made.distinct().join(ids, "_key"), "rows")
@@ -52,9 +54,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    docs = docs.select(*COLUMNS)
-    leaks = decontaminate.contained(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*COLUMNS)
+    keyed = docs.select(*COLUMNS).withColumn("_key", row_key())
+    leaks = decontaminate.contained(keyed.select(F.col("_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return keyed.join(leaks.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -117,3 +117,11 @@ def test_repeated_rows_keep_one_copy(spark, docs_of):
     assert {r.doc_id for r in made.filter("text is null").collect()} == {8, 9}
     left = pipeline.repeated_passages(spark, written(made, "test"), SF)
     assert all(len(r.text) > 400 for r in left.filter("text is not null").collect())
+
+
+def test_benchmark_texts_without_an_id_go(spark):
+    item = next(r.text for r in table(spark, SF, "benchmark").collect() if len(shingles(r.text)) > 5)
+    rows = [(None, f"Before. {item} After.", None, None, None), (1, item, None, None, None), (1, "A clean text of the same number.", None, None, None), (None, "Clean too.", None, None, None), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = pipeline.benchmark_passages(spark, docs, SF).collect()
+    assert sorted(str(r.text) for r in left) == ["A clean text of the same number.", "Clean too.", "None"]
