@@ -28,6 +28,7 @@ from __future__ import annotations
 import html as references
 import math
 import re
+from bisect import bisect_left
 from statistics import fmean, pstdev
 from typing import NamedTuple
 
@@ -38,10 +39,9 @@ from pyspark.sql import types as T
 
 from hexfold.llm.common import held
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|svg|iframe)\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
-    re.S | re.I,
-)
+NAME = re.compile(r"""[a-zA-Z][^\s/>"']*""")
+SPECIAL = re.compile(r"""[>"']""")
+RAW = {x: re.compile(rf"</{x}\s*>", re.I) for x in "script style noscript template textarea svg iframe".split()}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # fixed values: elements of HTML
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -63,23 +63,99 @@ HEADING = re.compile(r"h[1-6](?:\.|$)")
 
 
 class Node(NamedTuple):
-    """A text node: its text, its path, the numbers of the elements along it and of those named as no content, characters in links."""
+    """A text node: its text, the numbers of its path and of its innermost element (0: none), characters in links."""
 
     text: str
-    path: tuple[str, ...]
-    line: tuple[int, ...]
-    named: tuple[int, ...]
+    path: int
+    element: int
     links: int
 
 
-def blocks(page: str) -> list[Node]:
-    """Every text node outside tags of no content."""
-    stack: list[tuple[str, str, int, bool, bool]] = []  # tag, label, number, no content by tag, by name
-    found, pieces, linked, number, at = [], [], [], 0, 0
+class Page:
+    """Text nodes and the elements above them, by number in the order in which they open; 0 is the page itself.
+
+    An element knows the one around it, and by that all above it.  Paths are
+    numbers too, one for each sequence of labels.
+    """
+
+    def __init__(self) -> None:
+        self.nodes: list[Node] = []
+        self.parent, self.last, self.tag, self.path = [0], [0], [""], [0]
+        self.named, self.doubtful, self.article, self.heading = [0], [False], [0], [False]
+        self.paths: dict[tuple[int, str], int] = {}
+
+    def open(self, above: int, tag: str, label: str, doubtful: bool) -> int:
+        number = len(self.parent)
+        self.parent.append(above)
+        self.last.append(number)
+        self.tag.append(tag)
+        self.path.append(self.paths.setdefault((self.path[above], label), len(self.paths) + 1))
+        self.doubtful.append(doubtful)
+        self.named.append(number if doubtful else self.named[above])  # the innermost doubtful element
+        self.article.append(number if tag in ("article", "main") else self.article[above])
+        self.heading.append(self.heading[above] or bool(HEADING.match(label)))
+        return number
+
+    def gathered(self, own: list[int]) -> list[int]:
+        """Sums over all that is inside each element."""
+        out = list(own)
+        for k in range(len(out) - 1, 0, -1):
+            out[self.parent[k]] += out[k]
+        return out
+
+
+def tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of ``>``, ``"`` and ``'``, and for each where a tag ends whose attributes go on there; -1: nowhere."""
+    places = [m.start() for m in SPECIAL.finditer(page)]
+    ends, after = [-1] * len(places), {'"': -1, "'": -1}  # after: number of the next quote of the kind
+    for k in range(len(places) - 1, -1, -1):
+        mark = page[places[k]]
+        if mark == ">":
+            ends[k] = places[k]
+            continue
+        shut = after[mark]
+        ends[k] = ends[shut + 1] if 0 <= shut < len(places) - 1 else -1
+        after[mark] = k
+    return places, ends
+
+
+def tokens(page: str):
+    """Start and end of everything that is no text, with slash, tag name and attributes of tags ("" and "" for others)."""
+    places, ends = tag_ends(page)
+    at = page.find("<")
+    while at >= 0:
+        to, slash, tag, rest = -1, "", "", ""
+        if page.startswith("<!--", at):
+            to = page.find("-->", at + 4)
+            to = to + 3 if to >= 0 else len(page)
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            to = page.find(">", at + 1) + 1 or -1
+        else:
+            begin = at + 1 + page.startswith("/", at + 1)
+            k = bisect_left(places, begin)
+            end = ends[k] if k < len(places) else -1
+            name = NAME.match(page, begin, end) if end >= 0 else None
+            if name:
+                slash, tag, rest, to = page[at + 1 : begin], name[0].lower(), page[name.end() : end], end + 1
+                if not slash and tag in RAW:
+                    shut = RAW[tag].search(page, to)
+                    tag, to = "", shut.end() if shut else len(page)
+        if to >= 0:
+            yield at, to, slash, tag, rest
+        at = page.find("<", max(to, at + 1))
+
+
+def parsed(page: str) -> Page:
+    """Every text node outside tags of no content, in time that grows with the page's length."""
+    made = Page()
+    stack: list[tuple[str, int, bool]] = []  # tag, number, no content by tag
+    places: dict[str, list[int]] = {}  # of each tag's open elements in the stack
+    hidden = 0
+    pieces, linked, at = [], [], 0
 
     def take(piece: str) -> None:
         pieces.append(piece)
-        if any(x[0] == "a" for x in stack):
+        if places.get("a"):
             linked.append(piece)
 
     def flush() -> None:
@@ -88,23 +164,27 @@ def blocks(page: str) -> list[Node]:
             links = len(" ".join(references.unescape(" ".join(linked)).split()))
             pieces.clear()
             linked.clear()
-            if text and not any(x[3] for x in stack):
-                found.append(Node(text, tuple(x[1] for x in stack), tuple(x[2] for x in stack), tuple(x[2] for x in stack if x[4]), min(links, len(text))))
+            if text and not hidden:
+                element = stack[-1][1] if stack else 0
+                made.nodes.append(Node(text, made.path[element], element, min(links, len(text))))
 
     def close(tags: set[str], barriers: set[str]) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in tags:
-                flush()
-                del stack[k:]
-                return
-            if stack[k][0] in barriers:
-                return
-
-    for token in TOKEN.finditer(page):
-        if token.start() > at:
-            take(page[at : token.start()])
-        at = token.end()
-        tag = (token[3] or "").lower()
+        nonlocal hidden
+        deepest = lambda names: max((places[x][-1] for x in names if places.get(x)), default=-1)
+        k = deepest(tags)
+        if k < 0 or deepest(barriers - tags) > k:
+            return
+        flush()
+        while len(stack) > k:
+            tag, number, out = stack.pop()
+            places[tag].pop()
+            hidden -= out
+            made.last[number] = len(made.parent) - 1
+
+    for start, end, slash, tag, rest in tokens(page):
+        if start > at:
+            take(page[at:start])
+        at = end
         if not tag:
             continue
         if tag == "br":
@@ -112,24 +192,29 @@ def blocks(page: str) -> list[Node]:
             continue
         if tag in BLOCK:
             flush()
-        if token[2]:
+        if slash:
             close({tag}, set() if tag in BLOCK else CONTAINERS)
             continue
         if tag in CLOSES_P:
             close({"p"}, CONTAINERS)
         if tag in SIBLINGS:
             close(SIBLINGS[tag], {"ul", "ol", "table", "dl", "select", "menu"})
-        if tag in VOID or token[4].endswith("/") and tag not in BLOCK:
+        if tag in VOID or rest.endswith("/") and tag not in BLOCK:
             continue
-        named = [w for m in NAMES.finditer(token[4]) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()) if w]
-        number += 1
-        out = tag in NO_CONTENT and tag != "form" and not (tag == "header" and any(x[0] == "article" for x in stack))
+        named = [w for m in NAMES.finditer(rest) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()) if w]
+        out = tag in NO_CONTENT and tag != "form" and not (tag == "header" and bool(places.get("article")))
         doubtful = tag == "form" or any(map(NO_CONTENT_WORDS.match, named)) and tag not in ("body", "html", "article", "main")
-        stack.append((tag, ".".join([tag, *named]), number, out, doubtful))
+        number = made.open(stack[-1][1] if stack else 0, tag, ".".join([tag, *named]), doubtful)
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, number, out))
+        hidden += out
     if at < len(page):
         take(page[at:])
     flush()
-    return found
+    for _, number, _ in stack:
+        made.last[number] = len(made.parent) - 1
+    made.last[0] = len(made.parent) - 1
+    return made
 
 
 def smoothed(values: list[float]) -> list[float]:
@@ -144,7 +229,7 @@ def smoothed(values: list[float]) -> list[float]:
 
 def fused(nodes: list[Node]) -> list[float]:
     """Length and punctuation ratios of the nodes' paths, smoothed along the page, and their product."""
-    totals: dict[tuple[str, ...], list[int]] = {}
+    totals: dict[int, list[int]] = {}
     for node in nodes:
         total = totals.setdefault(node.path, [0, 0, 0])
         total[0] += len(node.text) - node.links
@@ -159,61 +244,64 @@ def selected(nodes: list[Node]) -> list[bool]:
     """Whether each node is on a content path: nodes above the threshold hold most of the path's text."""
     values = fused(nodes)
     least = min(0.5 * pstdev(values), 0.5 * fmean(values))
-    above: dict[tuple[str, ...], int] = {}
+    above: dict[int, int] = {}
     for node, value in zip(nodes, values, strict=True):
         above[node.path] = above.get(node.path, 0) + (len(node.text) if value >= least else -len(node.text))
     return [above[n.path] > 0 for n in nodes]
 
 
-def unnamed(nodes: list[Node]) -> list[Node]:
+def unnamed(page: Page) -> list[Node]:
     """Nodes outside elements named as no content; a name does not put out what holds most, unless an article is elsewhere and none in it."""
-    weight: dict[int, int] = {}
-    own, plain, whole = set(), False, 0
-    for node, chosen in zip(nodes, selected(nodes), strict=True):
-        size = len(node.text) if chosen else 0
-        whole += size
-        inner = max((n for n, x in zip(node.line, node.path, strict=True) if x.split(".")[0] in ("article", "main")), default=0)
-        plain |= inner > 0 and not node.named
-        for k in node.named:
-            weight[k] = weight.get(k, 0) + size
-            if inner > k:
-                own.add(k)
-    stay = {k for k in weight if weight[k] > MOST * whole and (k in own or not plain)}
-    return [n for n in nodes if stay.issuperset(n.named)]
-
-
-def main_element(nodes: list[Node], chosen: list[bool]) -> tuple[int, bool]:
+    size, plain = [0] * len(page.parent), False
+    for node, chosen in zip(page.nodes, selected(page.nodes), strict=True):
+        size[node.element] += len(node.text) if chosen else 0
+        plain |= page.article[node.element] > 0 and not page.named[node.element]
+    # the innermost article above a node, of the nodes inside each element: the greatest number
+    inner = [0] * len(page.parent)
+    for node in page.nodes:
+        inner[node.element] = page.article[node.element]
+    for k in range(len(inner) - 1, 0, -1):
+        inner[page.parent[k]] = max(inner[page.parent[k]], inner[k])
+    weight = page.gathered(size)
+    out = [False] * len(page.parent)
+    for k in range(1, len(out)):
+        stays = weight[k] > MOST * weight[0] and (inner[k] > k or not plain)
+        out[k] = out[page.parent[k]] or page.doubtful[k] and not stays
+    return [n for n in page.nodes if not out[n.element]]
+
+
+def main_element(page: Page, nodes: list[Node], chosen: list[bool]) -> tuple[int, bool]:
     """Number of the element that holds the main text (0: the page), and whether it is marked off from the page."""
-    weight: dict[int, int] = {}
-    tags: dict[int, str] = {}
+    size, there = [0] * len(page.parent), [0] * len(page.parent)
     for node, take in zip(nodes, chosen, strict=True):
-        for k, label in zip(node.line, node.path, strict=True):
-            tags[k] = label.split(".")[0]
-            weight[k] = weight.get(k, 0) + (len(node.text) if take else 0)
-    whole = sum(len(n.text) for n, take in zip(nodes, chosen, strict=True) if take)
-    articles = [k for k in weight if tags[k] in ("article", "main")]
+        there[node.element] = 1
+        size[node.element] += len(node.text) if take else 0
+    weight, there = page.gathered(size), page.gathered(there)
+    held = [k for k in range(1, len(weight)) if there[k]]
+    articles = [k for k in held if page.tag[k] in ("article", "main")]
     if articles:
         best = max(articles, key=lambda k: (weight[k], k))
-        if weight[best] > MOST * whole:
+        if weight[best] > MOST * weight[0]:
             return best, True
-    held = [k for k in weight if tags[k] in CONTAINERS and weight[k] >= WHOLE * whole]
-    best = max(held, default=0)  # elements are numbered as they open: the last is the least
-    return best, tags.get(best, "body") not in ("body", "html")
+    # elements are numbered as they open: the last is the least
+    best = max((k for k in held if page.tag[k] in CONTAINERS and weight[k] >= WHOLE * weight[0]), default=0)
+    return best, (page.tag[best] or "body") not in ("body", "html")
 
 
-def main_text(page: str | None) -> str:
-    nodes = blocks(page or "")
-    if any(n.named for n in nodes):
-        nodes = unnamed(nodes)
+def main_text(text: str | None) -> str:
+    page = parsed(text or "")
+    nodes = page.nodes
+    if any(page.named[n.element] for n in nodes):
+        nodes = unnamed(page)
     if not nodes:
         return ""
     chosen = selected(nodes)
-    element, apart = main_element(nodes, chosen)
-    inside = [(n, take) for n, take in zip(nodes, chosen, strict=True) if not element or element in n.line]
+    element, apart = main_element(page, nodes, chosen)
+    inside = [(n, take) for n, take in zip(nodes, chosen, strict=True) if element <= n.element <= page.last[element]]
     at = [i for i, (_, take) in enumerate(inside) if take]
     kept = []
     for i, (node, take) in enumerate(inside):
-        heading = any(HEADING.match(x) for x in node.path) and i < at[0]
+        heading = page.heading[node.element] and i < at[0]
         if take or at[0] < i < at[-1] or ((apart or heading) and node.links <= LINKS * len(node.text)):
             kept.append(node.text)
     return "\n".join(kept)
