@@ -4,8 +4,9 @@ Words unique in both a stretch of text and the template are anchors; the
 longest increasing run of them is kept and the gaps between are aligned in the
 same way, after equal words at both ends.  Coverage is the share of the
 template's words that are aligned.  A template is tried wherever the text has
-enough of its words within one and a half template lengths, so every place
-that could reach ``LEAST`` is aligned, whatever stands around it.
+enough of its words within one and a half template lengths, from every eighth
+of its length on and with as many words more, so every place that could reach
+``LEAST`` is in a stretch that is aligned, whatever the template's size.
 
 Templates are the notices below, short forms too, and the full texts in
 ``license_texts`` (by file name, as Debian's common-licenses has them).  SPDX
@@ -21,8 +22,9 @@ else null and coverage 0.  Null and empty texts have none; no rows give no rows.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 from pathlib import Path
 
 import pyarrow as pa
@@ -33,7 +35,7 @@ from pyspark.sql import types as T
 from hexfold.llm.common import held
 
 LEAST = 0.8
-LONG = 600  #: words; longer templates are aligned from every eighth of their length on
+STEPS = 8  #: a template is aligned from every eighth of its length on
 WORD = re.compile(r"[a-z0-9]+")
 SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
 IDENTIFIER = re.compile(r"[A-Za-z0-9][A-Za-z0-9.+:-]*")
@@ -115,7 +117,7 @@ def best_match(words: list[str], template: list[str], least: float = LEAST) -> t
     """Best coverage of the template in the text, with the first and last word of the match."""
     need = -int(-least * len(template) // 1)
     vocabulary, heads = set(template), set(template[: len(template) - need + 1])
-    step = len(template) // 8 if len(template) > LONG else 0
+    step = len(template) // STEPS
     hits = [i for i, w in enumerate(words) if w in vocabulary]
     if len(hits) < need:
         return None
@@ -163,15 +165,33 @@ def scan(text: str | None, templates: list[tuple], least: float = LEAST) -> list
         common = present & vocabulary
         if len(common) >= distinct and sum(w in common for w in template) >= least * len(template) and (match := best_match(words, template, least)):
             found.append((match[0], len(template), name, match[1], match[2]))
+    text = text or ""
+    lower = text.lower()
+    starts = [m.start() for m in WORD.finditer(lower)]
+    # places of the text in lower case, where letters may be two
+    place = None if len(lower) == len(text) else [0, *accumulate(len(c.lower()) for c in text)]
     tags = {}
-    for m in SPDX.finditer(text or ""):
+    for m in SPDX.finditer(text):
         for x in IDENTIFIER.finditer(m[1]):
-            size = len(WORD.findall(x[0].lower()))
-            at = len(WORD.findall(text[: m.start(1) + x.start()].lower()))
-            if x[0].upper() not in ("AND", "OR", "WITH") and size:
-                tags.setdefault(x[0], (1.0, size, f"SPDX:{x[0]}", at, at + size - 1))
+            if x[0] in tags or x[0].upper() in ("AND", "OR", "WITH"):
+                continue
+            size, at = len(WORD.findall(x[0].lower())), m.start(1) + x.start()
+            at = bisect_left(starts, place[at] if place else at)
+            tags[x[0]] = (1.0, size, f"SPDX:{x[0]}", at, at + size - 1)
     found = sorted([*found, *tags.values()], key=lambda f: (f[0] >= 1, f[1], f[0], f[2]), reverse=True)
-    return [(*f, not any(g[3] <= f[4] and f[3] <= g[4] for g in found[:k])) for k, f in enumerate(found)]
+    return [(*f, alone) for f, alone in zip(found, apart([(f[3], f[4]) for f in found]), strict=True)]
+
+
+def apart(spans: list[tuple[int, int]]) -> list[bool]:
+    """Whether each span meets none before it in the list; what they cover is kept as runs in order."""
+    heads, tails, out = [], [], []
+    for first, last in spans:
+        low, high = bisect_left(tails, first), bisect_right(heads, last)  # the runs that it meets
+        out.append(low >= high)
+        if low < high:
+            first, last = min(first, heads[low]), max(last, tails[high - 1])
+        heads[low:high], tails[low:high] = [first], [last]
+    return out
 
 
 def license_scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), templates: dict[str, str] | None = None) -> DataFrame:

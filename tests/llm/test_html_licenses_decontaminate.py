@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import re
 from itertools import combinations
 
@@ -58,7 +59,7 @@ def test_thresholded_paths_select(monkeypatch):
 def test_ratios_by_brute_force():
     rng = random.Random(7)
     for _ in range(20):
-        nodes = [html_text.Node("word, " * rng.randrange(1, 30), tuple(rng.choices("abc", k=2)), (1, 2), (), rng.randrange(6)) for _ in range(rng.randrange(1, 40))]
+        nodes = [html_text.Node("word, " * rng.randrange(1, 30), rng.randrange(9), 1, rng.randrange(6)) for _ in range(rng.randrange(1, 40))]
         length, marks = [], []
         for n in nodes:
             same = [m for m in nodes if m.path == n.path]
@@ -155,3 +156,24 @@ def test_containment(spark, docs_of):
     assert got == [(0, 1, 8), (2, 1, 7), (2, 1, 8)]
     assert decontaminate.contained(docs, items.limit(0)).count() == 0
     assert decontaminate.contained(docs_of([]), items).count() == 0
+
+
+def test_hostile_pages_take_time_by_their_length():
+    began = time.time()
+    assert html_text.main_text("<div>word, text." * 8000).count("word") >= 7200
+    for page in ("<a " * 60_000, '<a "x' * 30_000, "<p><section>" + "<h1>x" * 8000, "<b>x" * 20_000, "<b>" * 20_000 + "</x>" * 20_000, '<a b="' * 30_000, "<" * 100_000):
+        html_text.main_text(page)
+    assert time.time() - began < 20
+    assert html_text.main_text("<p>a <b>b <") == "a b <" and html_text.main_text('<p>1 < 2 and "3 > 2"</p>') == '1 < 2 and "3 > 2"'
+
+
+def test_many_license_tags():
+    wanted, n = licenses.prepared(licenses.TEMPLATES), 20_000
+    began = time.time()
+    found = licenses.scan("".join(f"SPDX-License-Identifier: L-{i}\n" for i in range(n)), wanted)
+    assert len(found) == n and all(f[5] for f in found) and sorted(f[3] for f in found)[:2] == [3, 8]
+    assert time.time() - began < 20
+    (one,) = licenses.scan("İİ x. SPDX-License-Identifier: MIT\n" * 500, wanted)
+    assert one[2:5] == ("SPDX:MIT", 6, 6)
+    spans = [(5, 9), (1, 4), (9, 12), (20, 22), (0, 30), (23, 25), (13, 13)]
+    assert licenses.apart(spans) == [not any(a <= y and x <= b for x, y in spans[:k]) for k, (a, b) in enumerate(spans)]
