@@ -110,8 +110,10 @@ def sprawl(hexes: DataFrame, seeds: DataFrame, size: float, near_km: float = 11.
     dq, dr = math.ceil(reach / (1.5 * geo.radius(size))), math.ceil(reach / size) + 1
     grid = F.explode(F.sequence(F.col("q") - dq, F.col("q") + dq)).alias("hq")
     around = seeds.select(F.col("q").alias("sq"), F.col("r").alias("sr"), "radius_km", grid).select("*", F.explode(F.sequence(F.col("sr") - dr, F.col("sr") + dr)).alias("hr"))
-    (ax, ay), (bx, by) = geo.centre(F.col("sq"), F.col("sr"), size), geo.centre(F.col("hq"), F.col("hr"), size)
-    around = around.withColumn("km", F.sqrt((ax - bx) ** 2 + (ay - by) ** 2) / 1000).filter("km <= radius_km")
+    # of whole steps, so that equal distances are equal numbers
+    dx = (F.col("hq") - F.col("sq")) * (1.5 * geo.radius(size))
+    dy = ((F.col("hr") - F.col("sr")) + (F.pmod("hq", F.lit(2)) - F.pmod("sq", F.lit(2))) * 0.5) * size
+    around = around.withColumn("km", F.sqrt(dx * dx + dy * dy) / 1000).filter("km <= radius_km")
     able = around.join(hexes.select(F.col("q").alias("hq"), F.col("r").alias("hr"), "built", "open"), ["hq", "hr"])
     able = written(able.filter(F.col("built") | (F.col("open") & (F.col("km") <= near_km)) | ((F.col("hq") == F.col("sq")) & (F.col("hr") == F.col("sr")))).select("sq", "sr", F.col("hq").alias("q"), F.col("hr").alias("r"), "km"))
     front = reached = able.filter("q = sq and r = sr")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexfold.plans import elements, enrichment, networks, records, terrain
+from hexfold.plans import elements, enrichment, networks, records, terrain, tiled
 from hexfold.plans import queries as maps
 
-MODULES = (maps, networks, records, terrain, elements, enrichment)
+MODULES = (maps, networks, records, terrain, elements, enrichment, tiled)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
