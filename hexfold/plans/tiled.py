@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from hexfold.functions import classify, geo
 from hexfold.operators import tables, tiles
 from hexfold.operators import hexes as plain
+from hexfold.operators.scratch import new_folder
 from hexfold.plans import queries as maps
-from hexfold.plans.queries import SIZE
+from hexfold.plans.queries import MERIDIAN, SIZE, _hex_sql, _kind
+from hexfold.sources import layers
+from hexfold.streaming import ingest
 
 SIDE = 8
 
@@ -48,7 +51,25 @@ def passes_equal_whole(spark, sf_dir):
     return tables.diff(whole, tiled_passes(spark, sf_dir), ["q", "r"])
 
 
-QUERIES = [tiled_passes, tiled_chains, passes_equal_whole]
+def staged_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place nodes with the part that they land in; some have the id of one in another part."""
+    s = layers.layer(spark, sf_dir, layers.SETTLEMENTS_SQL)
+    k = F.col("k")
+    tags = F.create_map(F.lit("name"), F.col("name"), F.lit("place"), F.col("place_type"), F.lit("population"), F.col("population").cast("string"))
+    number = F.when(k % 10 == 9, F.floor(k / 2)).otherwise(k)
+    return s.select((k % 4).alias("part"), F.to_json(F.struct(F.lit("node").alias("type"), number.alias("id"), "lon", "lat", tags.alias("tags"))).alias("value"))
+
+
+def incremental_records(spark, sf_dir):
+    """Settled hexes after four parts have landed one after the other, each taken in by the stream when it does."""
+    staged, folder = staged_places(spark, sf_dir), new_folder(spark, "ingest")
+    for part in range(4):
+        staged.filter(F.col("part") == part).select("value").write.mode("append").text(f"{folder}/parts")
+        ingest.ingest_settlements(spark, f"{folder}/parts", f"{folder}/layer", f"{folder}/records", f"{folder}/checkpoint", SIZE, MERIDIAN)
+    return spark.read.parquet(f"{folder}/records").select("q", "r", "name", "kind", "n", "people", "crowd")
+
+
+QUERIES = [tiled_passes, tiled_chains, passes_equal_whole, incremental_records]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -78,7 +99,12 @@ def footprint_sql(water: str) -> str:
 def oracle_sql() -> dict[str, str]:
     chains = """c AS (SELECT q, r, q AS root_q, r AS root_r FROM h WHERE NOT water UNION SELECT nb.nq, nb.nr, c.root_q, c.root_r FROM c JOIN nb ON c.q = nb.q AND c.r = nb.r WHERE NOT nb.wet AND (c.root_q, c.root_r) < (nb.nq, nb.nr)),
  l AS (SELECT q, r, min((root_q, root_r)) AS x FROM c GROUP BY q, r)"""
+    beside = maps.oracle_sql()["hex_neighbors"].rsplit(" ON ", 1)[1]
     return {
+        "incremental_records": f"""WITH s AS (SELECT *, {_kind()} AS kind, CASE WHEN k % 10 = 9 THEN k // 2 ELSE k END AS id FROM ({layers.SETTLEMENTS_SQL}) QUALIFY row_number() OVER (PARTITION BY CASE WHEN k % 10 = 9 THEN k // 2 ELSE k END ORDER BY k % 4) = 1), {_hex_sql('s')},
+ h AS (SELECT q, r, arg_min(name, (-population, concat('node/', id))) AS name, arg_min(kind, (-population, concat('node/', id))) AS kind, count(*) AS n, CAST(sum(population) AS BIGINT) AS people, q * CAST({1.5 * geo.radius(SIZE)!r} AS DOUBLE) AS cx, (r + 0.5e0 * (q % 2)) * CAST({SIZE} AS DOUBLE) AS cy FROM hx GROUP BY q, r),
+ c AS (SELECT a.q, a.r, sum(b.n) AS n FROM h a JOIN h b ON {beside} GROUP BY 1, 2)
+ SELECT h.q, h.r, name, kind, h.n, people, CAST(h.n + coalesce(c.n, 0) AS BIGINT) AS crowd FROM h LEFT JOIN c USING (q, r)""",
         "tiled_passes": f"""{footprint_sql("(q * 7 + r * 3) % 5 = 4")}, {chains}
  SELECT g.q, g.r, NOT g.water AND EXISTS (SELECT 1 FROM nb WHERE nb.q = g.q AND nb.r = g.r AND nb.wet) AS coastal, kind, anthrome, population_class, parent_city, km, x[1] AS root_q, x[2] AS root_r FROM g LEFT JOIN l USING (q, r)""",
         "tiled_chains": maps.oracle_sql()["hex_chains"],

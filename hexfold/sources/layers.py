@@ -89,13 +89,13 @@ def layer_slice(parts: DataFrame, x0: float, y0: float, x1: float, y1: float, ma
 OSM_ELEMENT = "type string, id long, lon double, lat double, center struct<lon: double, lat: double>, geometry array<struct<lon: double, lat: double>>, tags map<string, string>"
 
 
-def parse_osm_elements(staged: DataFrame, text: str = "element") -> DataFrame:
-    """osm_id, kind (point, line, polygon), points and tags of staged JSON elements; others drop out."""
+def parse_osm_elements(staged: DataFrame, text: str = "element", *keep: str) -> DataFrame:
+    """osm_id, kind (point, line, polygon), points, tags and ``keep`` of staged JSON elements; others drop out."""
     e = F.from_json(text, OSM_ELEMENT)
-    got = staged.select(e.alias("e")).select("e.*")
+    got = staged.select(e.alias("e"), *keep).select("e.*", *keep)
     ring, n = F.col("geometry"), F.size("geometry")
     closed = (n >= 4) & (F.element_at(ring, 1) == F.element_at(ring, -1))
     one = lambda lon, lat: F.array(F.struct(F.col(lon).alias("lon"), F.col(lat).alias("lat")))
     kind = F.when((F.col("type") == "node") & F.col("lon").isNotNull(), "point").when((F.col("type") == "way") & (n >= 2), F.when(closed, "polygon").otherwise("line")).when(F.col("center.lon").isNotNull(), "point")
     points = F.when(kind == "point", F.when(F.col("type") == "node", one("lon", "lat")).otherwise(one("center.lon", "center.lat"))).otherwise(ring)
-    return got.select(F.concat_ws("/", "type", F.col("id").cast("string")).alias("osm_id"), kind.alias("kind"), points.alias("points"), "tags").filter("kind is not null")
+    return got.select(F.concat_ws("/", "type", F.col("id").cast("string")).alias("osm_id"), kind.alias("kind"), points.alias("points"), "tags", *keep).filter("kind is not null")
