@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 
 #: bytes of text that one numpy pass works on; a longer text is a pass alone
-PASS_BYTES = 1 << 21
+PASS_BYTES = 1 << 19
 
 _rng = np.random.default_rng(20250101)
 BYTE_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

@@ -140,8 +140,10 @@ def prefixes(each: DataFrame, length: F.Column, size: F.Column, early: int = 0)
     shared = each.groupBy("v").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     held = each.join(shared, "v").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("h"), F.sum("df").alias("common"))
     left = F.greatest(F.lit(0), length - (size - F.size("h"))).cast("int")
-    before = [F.transform(F.slice("h", F.lit(1), F.least(F.col("p"), F.lit(early))), lambda e: e["v"]).alias("early")] if early else []
-    index = held.select("cid", "n", "common", "h", F.posexplode(F.slice("h", F.lit(1), left)).alias("p", "e")).select(F.col("e.v").alias("v"), "cid", "n", "common", *before)
+    firsts = [F.transform(F.slice("h", F.lit(1), F.lit(early)), lambda e: e["v"]).alias("firsts")] if early else []
+    index = held.select("cid", "n", "common", *firsts, F.posexplode(F.slice("h", F.lit(1), left)).alias("p", "e"))
+    before = [F.slice("firsts", F.lit(1), F.least(F.col("p"), F.lit(early))).alias("early")] if early else []
+    index = index.select(F.col("e.v").alias("v"), "cid", "n", "common", *before)
     index = written(index, "prefixes")
     lists = index.groupBy("v").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     return written(index.join(lists, "v").select(*index.columns), "index")

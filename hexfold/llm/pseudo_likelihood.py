@@ -252,7 +252,7 @@ def averaged(docs: DataFrame, known, net: Network, text: str, turn: int) -> Netw
     def train(batches):
         known, flat = shared.value
         own, squares, seen = Network(flat.copy()), Network(np.zeros_like(flat)), 0
-        for _, data, offsets in passes(batches, "_text"):
+        for _, data, offsets in passes(batches, "_text", 1 << 21):
             hashes, first = word_hashes(data, offsets)
             word = numbers(known, hashes)
             if not len(word):
@@ -301,7 +301,7 @@ def scored(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: st
     def run(batches):
         known, flat, (common, values) = shared.value
         net = Network(flat)
-        for batch, data, offsets in passes(batches, "_text"):
+        for batch, data, offsets in passes(batches, "_text", 1 << 21):
             hashes, first = word_hashes(data, offsets)
             word = numbers(known, hashes)
             context = contexts(word, first)
