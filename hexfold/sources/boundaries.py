@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -9,22 +11,52 @@ from pyspark.sql.utils import AnalysisException
 RINGS = "array<array<array<double>>>"
 
 
+MARK = r'\{\s*"type"\s*:\s*"Feature"'  # how a feature begins, however it is spaced
+
+
+def _texts(spark: SparkSession, path: str) -> DataFrame | None:
+    """feature: the text of each feature of collections, in several tasks a file; None where a feature does not begin with its type.
+
+    A file is cut by how its features begin, as lines are by their ends: an
+    exact text, taken from the file, which no string in it can hold, as quotes
+    in strings are escaped.  A task reads the features that begin in its bytes.
+    What another spacing leaves in one piece is cut inside it.
+    """
+    read = lambda mark: spark.read.option("lineSep", mark).text(path)
+    head = read('"Feature"').limit(1).collect()
+    begins = re.search(r"""\{\s*"type"\s*:\s*$""", head[0].value) if head else None
+    if not begins:
+        return None
+    mark = begins[0] + '"Feature"'
+    parts = read(mark).select(F.split("value", MARK).alias("parts"))
+    # what stands before a file's first feature is the collection itself
+    goes_on = F.ltrim(F.col("parts")[0]).substr(1, 1).isin(",", "}")
+    each = parts.select(F.explode(F.when(goes_on, F.col("parts")).otherwise(F.slice("parts", F.lit(2), F.size("parts")))).alias("part"))
+    stray = F.col("part").rlike(r"""[^\\]"type"\s*:\s*"Feature\"""")
+    return each.select(F.concat(F.lit(mark), F.when(stray, F.raise_error(F.lit("a feature does not begin with its type"))).otherwise(F.col("part"))).alias("feature"))
+
+
 def read_geojson(spark: SparkSession, path: str, properties: str, optional: bool = False) -> DataFrame:
     """The ``properties`` (name type, ...), kind, rings and lon, lat of every feature of one file or a folder of them.
 
     Rings are those of all parts of a polygon, as pairs of lon and lat; a point
     has lon and lat.  Coordinates nest to a depth that depends on the kind, so
     they are read as text first.  A missing file fails, or is an empty table
-    where it is ``optional``.  A file is read by one task.
+    where it is ``optional``.  Files whose features begin with their type are
+    read by ranges of bytes, others by one task each.
     """
-    schema = f"features array<struct<properties: struct<{', '.join(': '.join(p.split()) for p in properties.split(','))}>, geometry: struct<type: string, coordinates: string>>>"
+    feature = f"properties: struct<{', '.join(': '.join(p.split()) for p in properties.split(','))}>, geometry: struct<type: string, coordinates: string>"
     try:
-        read = spark.read.schema(schema).option("multiLine", True).json(path)
+        texts = _texts(spark, path)
+        if texts is None:
+            read = spark.read.schema(f"features array<struct<{feature}>>").option("multiLine", True).json(path).select(F.explode("features").alias("f"))
+        else:
+            read = texts.select(F.from_json("feature", f"struct<{feature}>").alias("f"))
     except AnalysisException as e:
         if not optional or e.getCondition() != "PATH_NOT_FOUND":
             raise
-        read = spark.createDataFrame([], schema)
-    each = read.select(F.explode("features").alias("f")).select("f.properties.*", F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("_c"))
+        read = spark.createDataFrame([], f"f struct<{feature}>")
+    each = read.select("f.properties.*", F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("_c"))
     rings = F.when(F.col("kind") == "Polygon", F.from_json("_c", RINGS)).when(F.col("kind") == "MultiPolygon", F.flatten(F.from_json("_c", f"array<{RINGS}>")))
     at = F.when(F.col("kind") == "Point", F.from_json("_c", "array<double>"))
     return each.withColumns({"rings": rings, "lon": at[0], "lat": at[1]}).drop("_c")

@@ -1,5 +1,6 @@
 import json
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,39 @@ def test_read_geojson_kinds(spark, tmp_path):
     assert [(r.lon, r.lat) for r in read.filter("kind = 'Point'").collect()] == [(5.0, 6.0)]
 
 
+def test_a_feature_file_is_read_by_several_tasks(spark, tmp_path):
+    """Features across the ends of ranges, with braces, quotes and marks inside strings, in several spacings."""
+    rng, features = random.Random(3), []
+    for i in range(3000):
+        n = rng.choice([3, 4, 60, 900 if i % 500 == 0 else 5])
+        ring = [[round(rng.uniform(0, 9), 6), round(rng.uniform(0, 9), 6)] for _ in range(n)]
+        name = rng.choice(["plain", 'a "quoted" }, {', '{"type": "Feature", "x": 1}', "\\ back", "é 漢", None, '"Feature"'])
+        features.append({"type": "Feature", "properties": {"name": name, "n": i}, "geometry": {"type": "Polygon", "coordinates": [ring + ring[:1]]} if i % 7 else None})
+    texts = {
+        "line.geojson": '{"type": "FeatureCollection", "name": "x", "features": [\n' + ",\n".join(map(json.dumps, features)) + "\n]}\n",
+        "tight.geojson": json.dumps({"type": "FeatureCollection", "features": features}, separators=(",", ":"), ensure_ascii=False),
+        "wide.geojson": json.dumps({"features": features, "type": "FeatureCollection"}, indent=1),
+        "mixed.geojson": '{"features": [' + ", ".join(json.dumps(f, separators=(",", ":") if i % 3 else None) for i, f in enumerate(features)) + "]}",
+        "last.geojson": json.dumps({"type": "FeatureCollection", "features": [dict(reversed(f.items())) for f in features]}),
+    }
+    want = sorted((f["properties"]["n"], f["properties"]["name"], f["geometry"] and len(f["geometry"]["coordinates"][0])) for f in features)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        for name, text in texts.items():
+            (tmp_path / name).write_text(text)
+            read = boundaries.read_geojson(spark, str(tmp_path / name), "name string, n int")
+            got = sorted((r.n, r.name, r.rings and len(r.rings[0])) for r in read.collect())
+            assert got == want, name
+            assert (read.rdd.getNumPartitions() > 3) == (name != "last.geojson")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "none.json").write_text('{"type": "FeatureCollection", "features": []}')
+    assert boundaries.read_geojson(spark, str(tmp_path / "none.json"), "name string").count() == 0
+    (tmp_path / "odd.json").write_text('{"features": [{"type": "Feature", "properties": {"name": "a"}, "geometry": null}, {"id": 1, "type": "Feature", "properties": {"name": "b"}, "geometry": null}]}')
+    with pytest.raises(Exception, match="does not begin with its type"):
+        boundaries.read_geojson(spark, str(tmp_path / "odd.json"), "name string").collect()
+
+
 def test_remapped(spark):
     units = spark.createDataFrame([("A", "x", 1.0, 1.0), ("A", "y", 7.3, 1.0), ("A", "y", 7.4, 1.0), ("A", "z", 0.0, 0.0)], "country string, name string, lon double, lat double")
     names = spark.createDataFrame([("A", "x", "P", None, None, False), ("A", "y", "W", "lon", 7.3, False), ("A", "y", "E", "lon", 7.3, True)], "country string, name string, province string, axis string, cut double, upper boolean")
