@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,6 +31,46 @@ def first_differences(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return each.groupBy("field").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("_key")).select("field", "n", "_key.*")
 
 
+def leaves(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, path, value: every leaf of every row, as text, null as null.
+
+    Fields of structs are named with dots, places of arrays and keys of maps in
+    brackets; an empty array or map is a leaf too.  The walk is over the
+    schema, so one pass makes all leaves.
+    """
+    leaf = lambda path, value: F.array(F.struct(path.alias("path"), value.cast("string").alias("value")))
+
+    def walk(value: Column, kind: T.DataType, path: Column) -> Column:
+        if isinstance(kind, T.StructType):
+            own = F.concat(*[walk(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind.fields])
+            return F.when(value.isNull(), leaf(path, F.lit(None))).otherwise(own)
+        if isinstance(kind, T.ArrayType):
+            each = F.flatten(F.transform(value, lambda x, i: walk(x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+            return F.when(F.coalesce(F.size(value) > 0, F.lit(False)), each).otherwise(leaf(path, F.when(value.isNotNull(), "[]")))
+        if isinstance(kind, T.MapType):
+            each = F.flatten(F.transform(F.map_entries(value), lambda e: walk(e["value"], kind.valueType, F.concat(path, F.lit("["), e["key"].cast("string"), F.lit("]")))))
+            return F.when(F.coalesce(F.size(value) > 0, F.lit(False)), each).otherwise(leaf(path, F.when(value.isNotNull(), "{}")))
+        return leaf(path, value)
+
+    fields = [f for f in df.schema.fields if f.name not in keys]
+    every = F.concat(*[walk(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in fields])
+    return df.select(*keys, F.explode(every).alias("l")).select(*keys, "l.path", "l.value")
+
+
+def diff_leaves(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """path, n, ``keys``, a, b: the leaves in which rows of both tables differ, how often, and the first example (least keys).
+
+    Rows that only one table has count under the paths ``only a`` and ``only b``
+    once each.  A leaf that only one row has (a longer array, another key) is
+    null in the other.
+    """
+    there = a.select(*keys).withColumn("_a", F.lit(True)).join(b.select(*keys).withColumn("_b", F.lit(True)), keys, "full_outer")
+    alone = there.filter("_a is null or _b is null").select(*keys, F.when(F.col("_a").isNull(), "only b").otherwise("only a").alias("path"), F.lit(None).cast("string").alias("va"), F.lit(None).cast("string").alias("vb"))
+    side = lambda df, other, name: leaves(df.join(other.select(*keys), keys, "left_semi"), keys).withColumnRenamed("value", name)
+    both = side(a, b, "va").join(side(b, a, "vb"), [*keys, "path"], "full_outer").filter("not va <=> vb").select(*keys, "path", "va", "vb")
+    return both.union(alone).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*keys, "va", "vb")).alias("m")).select("path", "n", *[F.col(f"m.{k}").alias(k) for k in keys], F.col("m.va").alias("a"), F.col("m.vb").alias("b"))
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: count and two marks, the same for the same rows in any order and number.
 

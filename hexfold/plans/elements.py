@@ -123,7 +123,32 @@ def province_metadata(spark, sf_dir):
     return read.select("province", "country", F.col("rank").cast("int").alias("rank"), "city_name", F.array_join("names", "|").alias("names"))
 
 
-QUERIES = [settlement_elements, landuse_elements, way_elements, bridge_elements, city_places, boundary_countries, province_metadata]
+def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapes of land use as relations: an outer ring of two ways, one of them backwards, and a hole; one in ten lacks a way."""
+    s = layers.layer(spark, sf_dir, layers.LANDUSE_SQL)
+    cx, cy, hw, hh = (F.col(c) for c in ("cx", "cy", "hw", "hh"))
+
+    def ring(share: float) -> list[F.Column]:
+        w, h = hw * share, hh * share
+        rect, diamond = [(cx - w, cy - h), (cx + w, cy - h), (cx + w, cy + h), (cx - w, cy + h)], [(cx - w, cy), (cx, cy - h), (cx + w, cy), (cx, cy + h)]
+        at = lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))
+        return [F.when(F.col("shape") == "rect", at(a)).otherwise(at(b)) for a, b in zip(rect, diamond, strict=True)]
+
+    outer, inner = ring(1.0), ring(0.5)
+    way = lambda role, points: F.struct(F.lit("way").alias("type"), F.col("fid").alias("ref"), F.lit(role).alias("role"), F.array(*points).alias("geometry"))
+    ways = F.array(way("inner", [*inner, inner[0]]), way("outer", outer[:3]), way("outer", [outer[0], outer[3], outer[2]]))
+    ways = F.when(F.col("fid") % 10 == 9, F.slice(ways, 1, 2)).otherwise(ways)
+    tags = F.create_map(F.lit("type"), F.when(F.col("fid") % 10 == 8, "route").otherwise("multipolygon"))
+    return s.select(F.to_json(F.struct(F.lit("relation").alias("type"), F.col("fid").alias("id"), ways.alias("members"), tags.alias("tags"))).alias("element"))
+
+
+def relation_covers(spark, sf_dir):
+    """Settlements inside each multipolygon relation and outside its hole; those that do not close are left out."""
+    rings = elements.closed(elements.relation_segments(relations(spark, sf_dir)))
+    return spatial.point_in_polygon(maps.points(spark, sf_dir), rings).groupBy(F.col("fid").alias("osm_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES = [relation_covers, settlement_elements, landuse_elements, way_elements, bridge_elements, city_places, boundary_countries, province_metadata]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -133,6 +158,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     roads = maps.oracle_sql()["roads"]
     return {
+        "relation_covers": f"""WITH p AS (SELECT lon + 3.7e-5 AS x, lat + 2.3e-5 AS y FROM ({layers.SETTLEMENTS_SQL})), d AS (SELECT fid, CASE shape WHEN 'rect' THEN greatest(abs(x - cx) / hw, abs(y - cy) / hh) ELSE abs(x - cx) / hw + abs(y - cy) / hh END AS d FROM p, ({layers.LANDUSE_SQL}) WHERE fid % 10 < 8)
+ SELECT concat('relation/', fid) AS osm_id, count(*) AS n FROM d WHERE d < 1 AND d >= 0.5 GROUP BY fid""",
         "settlement_elements": f"""WITH s AS ({layers.SETTLEMENTS_SQL}), t AS (SELECT *, CASE WHEN k % 9 IN (0, 1) THEN 0 WHEN k % 10 = 7 THEN k % 700 ELSE population END AS people FROM s WHERE k % 40 <> 3)
  SELECT concat('node/', k) AS osm_id, lon, lat, CASE WHEN k % 6 > 0 THEN name WHEN k % 12 > 0 THEN concat('En ', name) ELSE '' END AS name, place_type, people AS population FROM t WHERE NOT (place_type = 'village' AND people BETWEEN 1 AND 499)""",
         "landuse_elements": f"SELECT concat('way/', fid) AS osm_id, landuse_type, round(CASE shape WHEN 'rect' THEN 4 ELSE 2 END * hw * hh, 9) AS area FROM ({layers.LANDUSE_SQL}) WHERE fid % 10 <> 9 AND landuse_type <> 'quarry'",

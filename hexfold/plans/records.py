@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexfold.functions import classify
-from hexfold.operators import quality, spatial
+from hexfold.operators import quality, spatial, tables
 from hexfold.sources import boundaries, layers, sinks
 
 RECORDS_SQL = """SELECT c_custkey AS k, CAST((c_custkey - 1) % 40 + 1 AS INT) AS col, CAST(floor((c_custkey - 1) / 40e0) AS INT) + 1 AS row,
@@ -121,7 +121,16 @@ def region_remap(spark, sf_dir):
     return boundaries.remapped(units, names).groupBy("province").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = [full_records, admin_defaults, footprint_mix, settlement_listing, record_shares, resource_counts, record_checks, region_remap]
+def record_differences(spark, sf_dir):
+    """Leaves of whole records in which a changed copy differs: names, roads, a river's edges, and towns that it does not have."""
+    r = records(spark, sf_dir)
+    name, road = F.when(F.col("k") % 9 == 4, F.upper("name")).otherwise(F.col("name")), F.when(F.col("road") == "paved", "dirt").otherwise(F.col("road"))
+    edges = F.when(F.col("k") % 6 == 1, F.concat("river_edges", F.array(F.lit(5)))).otherwise(F.col("river_edges"))
+    other = r.filter("kind <> 'town'").withColumns({"name": name, "road": road, "river_edges": edges})
+    return tables.diff_leaves(sinks.full_records(r), sinks.full_records(other), ["col", "row"])
+
+
+QUERIES = [record_differences, full_records, admin_defaults, footprint_mix, settlement_listing, record_shares, resource_counts, record_checks, region_remap]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -169,6 +178,11 @@ def oracle_sql() -> dict[str, str]:
  km AS distance_from_centroid_km, coalesce(tier, {tier}) AS admin_tier, road, coalesce(landuse = 'farmland', false) AS agriculture, CAST(coalesce(landuse = 'industrial', false) AS INT) AS industry_level,
  CAST(CASE WHEN {wet} OR biome = 'glacier' THEN 99 WHEN biome IN ('mountain', 'marsh') THEN 3 WHEN biome IN ('forest', 'hill') THEN 2 ELSE 1 END AS INT) AS base_cost,
  CAST(CASE WHEN biome IN ('mountain', 'urban') THEN 2 WHEN biome IN ('forest', 'hill') THEN 1 ELSE 0 END AS INT) AS base_defense, {wet} AS is_water, {wet} OR biome = 'glacier' AS is_impassable FROM r""",
+        "record_differences": f"""WITH r AS ({RECORDS_SQL}), o AS (SELECT * FROM r WHERE kind <> 'town'), d AS (SELECT 'record.settlement.name' AS path, col, row, name AS a, upper(name) AS b FROM o WHERE k % 9 = 4 AND name <> ''
+ UNION ALL SELECT 'record.infrastructure.road', col, row, 'paved', 'dirt' FROM o WHERE road = 'paved' UNION ALL SELECT 'record.terrain.river_edges[1]', col, row, NULL, '5' FROM o WHERE k % 6 = 1 AND has_river
+ UNION ALL SELECT 'record.terrain.river_edges[0]', col, row, NULL, '5' FROM o WHERE k % 6 = 1 AND NOT has_river UNION ALL SELECT 'record.terrain.river_edges', col, row, '[]', NULL FROM o WHERE k % 6 = 1 AND NOT has_river
+ UNION ALL SELECT 'only a', col, row, NULL, NULL FROM r WHERE kind = 'town')
+ SELECT path, count(*) OVER (PARTITION BY path) AS n, col, row, a, b FROM d QUALIFY row_number() OVER (PARTITION BY path ORDER BY col, row) = 1""",
         "admin_defaults": f"WITH r AS ({RECORDS_SQL}) SELECT {tier} AS tier, kind, count(*) AS n FROM r GROUP BY 1, 2",
         "footprint_mix": f"""WITH r AS ({RECORDS_SQL}) SELECT parent_city, count(*) AS n, {', '.join(f"count(*) FILTER (anthrome = '{a}') AS {a}" for a in quality.FOOTPRINT)},
  count(*) FILTER (lon BETWEEN 4.2 AND 4.8 AND lat BETWEEN 50.6 AND 50.9) AS in_box, count(*) > 1 AS several FROM r WHERE parent_city <> '' GROUP BY parent_city""",

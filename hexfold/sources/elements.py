@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexfold.functions import classify
+from hexfold.operators import tables
 from hexfold.sources import layers
 
 
@@ -78,3 +79,32 @@ def ring_areas(segments: DataFrame) -> DataFrame:
     """fid, area in square degrees, from the segments of one ring in order round it."""
     twice = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))
     return segments.groupBy("fid").agg((F.abs(twice) / 2).alias("area"))
+
+
+RELATION = "type string, id long, tags map<string, string>, members array<struct<type: string, ref: long, role: string, geometry: array<struct<lon: double, lat: double>>>>"
+
+
+def relation_segments(staged: DataFrame, text: str = "element") -> DataFrame:
+    """fid (the osm_id), role, x1, y1, x2, y2 of the member ways of staged multipolygon and boundary relations.
+
+    Ways need no order and no direction, outer and inner ones no assembly: the
+    bag of their segments has the relation's parity if all its rings close.
+    ``parse_osm_elements`` leaves relations out; this is how they are asked for.
+    """
+    e = staged.select(F.from_json(text, RELATION).alias("e")).select("e.*").filter("type = 'relation'")
+    e = e.filter(F.col("tags")["type"].isin("multipolygon", "boundary"))
+    way = e.select(F.concat_ws("/", "type", F.col("id").cast("string")).alias("fid"), F.explode("members").alias("m")).filter("m.type = 'way' and size(m.geometry) >= 2")
+    points = F.col("m.geometry")
+    pairs = F.arrays_zip(F.slice(points, F.lit(1), F.size(points) - 1).alias("a"), F.slice(points, F.lit(2), F.size(points) - 1).alias("b"))
+    each = way.select("fid", F.coalesce("m.role", F.lit("")).alias("role"), F.explode(pairs).alias("p"))
+    return each.select("fid", "role", F.col("p.a.lon").alias("x1"), F.col("p.a.lat").alias("y1"), F.col("p.b.lon").alias("x2"), F.col("p.b.lat").alias("y2"))
+
+
+def closed(segments: DataFrame, strict: bool = False) -> DataFrame:
+    """The segments of features whose rings all close; with ``strict`` any other is an error, so that no territory is lost unseen."""
+    open_ = tables.open_ends(segments).select("fid").distinct()
+    if strict:
+        lost = [r[0] for r in open_.orderBy("fid").limit(5).collect()]
+        if lost:
+            raise ValueError(f"rings that do not close, such as those of {lost}")
+    return segments.join(open_, "fid", "left_anti")

@@ -132,6 +132,29 @@ def test_a_feature_file_is_read_by_several_tasks(spark, tmp_path):
         boundaries.read_geojson(spark, str(tmp_path / "odd.json"), "name string").collect()
 
 
+def test_relations_and_rings_that_do_not_close(spark):
+    way = lambda role, *at: {"type": "way", "ref": 1, "role": role, "geometry": [{"lon": x, "lat": y} for x, y in at]}
+    whole = [way("outer", (0, 0), (4, 0), (4, 4)), way("outer", (0, 0), (0, 4), (4, 4)), way("inner", (1, 1), (3, 1), (3, 3), (1, 3), (1, 1))]
+    rows = [{"type": "relation", "id": i, "tags": {"type": t}, "members": m} for i, t, m in ((1, "multipolygon", whole), (2, "boundary", whole[:1]), (3, "route", whole), (4, "multipolygon", []), (5, "multipolygon", [way("outer", (9, 9)), {"type": "node", "ref": 2, "role": ""}]))]
+    staged = spark.createDataFrame([(json.dumps(r),) for r in rows] + [("broken",), (None,)], "element string")
+    assert layers.parse_osm_elements(staged).count() == 0  # off unless asked for
+    segments = elements.relation_segments(staged)
+    assert {(r.fid, r.role) for r in segments.collect()} == {("relation/1", "outer"), ("relation/1", "inner"), ("relation/2", "outer")}
+    rings = elements.closed(segments)
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 2.0, 2.0), (3, 5.0, 5.0)], "pid long, x double, y double")
+    assert [(r.pid, r.fid) for r in spatial.point_in_polygon(points, rings).collect()] == [(1, "relation/1")]
+    with pytest.raises(ValueError, match="relation/2"):
+        elements.closed(segments, strict=True)
+
+
+def test_differences_of_leaves(spark):
+    kind = "k int, s struct<x: int, l: array<struct<y: string>>>, m map<string, int>, t string"
+    a = [(1, (1, [("p",), ("q",)]), {"u": 1}, "same"), (2, None, None, None), (3, (0, []), {}, "gone")]
+    b = [(1, (2, [("p",)]), {"u": 1, "v": 2}, "same"), (2, (None, None), {}, None), (4, (0, []), {}, "new")]
+    got = {r.path: (r.n, r.k, r.a, r.b) for r in tables.diff_leaves(spark.createDataFrame(a, kind), spark.createDataFrame(b, kind), ["k"]).collect()}
+    assert got == {"s.x": (1, 1, "1", "2"), "s.l[1].y": (1, 1, "q", None), "m[v]": (1, 1, None, "2"), "m": (1, 2, None, "{}"), "only a": (1, 3, None, None), "only b": (1, 4, None, None)}
+
+
 def test_remapped(spark):
     units = spark.createDataFrame([("A", "x", 1.0, 1.0), ("A", "y", 7.3, 1.0), ("A", "y", 7.4, 1.0), ("A", "z", 0.0, 0.0)], "country string, name string, lon double, lat double")
     names = spark.createDataFrame([("A", "x", "P", None, None, False), ("A", "y", "W", "lon", 7.3, False), ("A", "y", "E", "lon", 7.3, True)], "country string, name string, province string, axis string, cut double, upper boolean")
