@@ -5,12 +5,14 @@ that of the five-word shingles.  An item of n shingles is contained in a
 document that holds at least ``percent`` of them, so such a document holds one
 of the item's ``n - ceil(percent n) + 1`` least-hashed shingles: these are its
 sketch, and no contained item is missed.  Items are partitioned by size (powers
-of two); a partition's largest sketch value bounds which of a document's
-shingles can matter to it, and only those under some bound are looked up.
-Candidates are then verified on the shingles themselves.
+of two).  A document asks only the partitions whose items it is long enough to
+contain, and asks each of them only for its shingles under the largest sketch
+value of that partition: long items have narrow sketches, so few shingles are
+looked up there, whatever short items need.  Candidates are then verified on
+the shingles themselves.
 
 The sketch table is broadcast when it has at most ``BROADCAST_ROWS`` rows (24
-bytes each), else joined by shuffle.  Items of fewer than five words have no
+bytes each), else joined by shuffle; there are at most 32 partitions.  Items of fewer than five words have no
 shingle and are found nowhere; null texts are empty; documents and items
 without an id are left out; rows that repeat an id and text count once.
 """
@@ -60,16 +62,22 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT, text: s
     docs = docs.select("doc_id", F.col(text).alias("text")).filter("doc_id is not null")
     items = items.filter("item_id is not null").select("item_id", words(F.col("text")).alias("words"))
     table = written(sketch(items, percent), "sketch")
-    bounds = table.groupBy("part").agg(F.max("h").alias("bound"), F.count(F.lit(1)).alias("rows")).collect()
-    rows = sum(r["rows"] for r in bounds)
-    small = F.broadcast if rows <= BROADCAST_ROWS else (lambda df: df)
-    each = docs.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", F.explode(hashes(F.col("w"))).alias("h"))
-    each = each.filter(F.col("h") <= max((r.bound for r in bounds), default=-(1 << 63)))
-    found = written(each.join(small(table.select("h", "item_id")), "h").select("doc_id", "item_id").distinct(), "candidates")
+    parts = sorted(tuple(r) for r in table.groupBy("part").agg(F.max("h").alias("bound"), F.count(F.lit(1)).alias("rows")).collect())
+    if not parts:
+        parts = [(0, -(1 << 63), 0)]
+    small = F.broadcast if sum(rows for _, _, rows in parts) <= BROADCAST_ROWS else (lambda df: df)
+    # part, the bound of its sketches, and how many shingles hold the least of its items
+    asked = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(bound).cast("long").alias("bound"), F.lit(-(-(1 << p) * percent // 100)).alias("least")) for p, bound, _ in parts])
+    each = docs.select("doc_id", words(F.col("text")).alias("w"))
+    each = each.select("doc_id", F.filter(asked, lambda p: p["least"] <= F.size("w") - SHINGLE + 1).alias("parts"), F.explode(hashes(F.col("w"))).alias("h"))
+    each = each.filter(F.col("h") <= max(bound for _, bound, _ in parts))
+    each = each.select("doc_id", "h", F.explode(F.filter("parts", lambda p: p["bound"] >= F.col("h"))["part"]).alias("part"))
+    found = written(each.join(small(table.select("part", "h", "item_id")), ["part", "h"]).select("doc_id", "item_id").distinct(), "candidates")
     held = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
     held = held.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", shingles(F.col("w")).alias("ds"))
-    wanted = items.select("item_id", shingles(F.col("words")).alias("qs"))
-    both = held.join(found, "doc_id").join(small(wanted), "item_id")
+    # written, so that its own bytes decide how it is joined
+    wanted = written(items.select("item_id", shingles(F.col("words")).alias("qs")), "items")
+    both = held.join(found, "doc_id").join(wanted, "item_id")
     shared = F.size(F.array_intersect("ds", "qs")).cast("long")
     out = both.select("doc_id", "item_id", F.size("qs").cast("long").alias("n_item"), shared.alias("n_shared"))
     out = out.filter(F.col("n_shared") * 100 >= F.col("n_item") * percent).distinct()
