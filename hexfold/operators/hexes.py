@@ -89,7 +89,11 @@ def chain_sizes(hexes: DataFrame, grid: DataFrame) -> DataFrame:
     A chain of one hex is isolated, and interior too where all six of its
     neighbours are in ``grid``.
     """
-    labels = chains(hexes)
+    return sizes_of(chains(hexes), grid)
+
+
+def sizes_of(labels: DataFrame, grid: DataFrame) -> DataFrame:
+    """The same of chains that are found already (q, r, root_q, root_r)."""
     n = labels.groupBy("root_q", "root_r").agg(F.count(F.lit(1)).alias("n"))
     one = n.filter("n = 1").select(F.col("root_q").alias("q"), F.col("root_r").alias("r"))
     steps = one.select("q", "r", F.explode(geo.neighbour_steps(F.col("q"))).alias("s")).select("q", "r", (F.col("q") + F.col("s.dq")).alias("nq"), (F.col("r") + F.col("s.dr")).alias("nr"))

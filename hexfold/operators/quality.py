@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexfold.functions import classify
+from hexfold.operators import hexes, tables
+from hexfold.operators.scratch import written
 
 FOOTPRINT = ["metro", "industrial", "residential", "outskirts"]  #: fixed values: anthromes of a footprint
 
@@ -47,7 +49,8 @@ def record_gates(expect: dict) -> list:
 
     ``expect``: schema, hex_count, countries {code: (low, high)}, water_min,
     biome_bands {biome: (pct or count, low, high)}, river_hexes, cities_min,
-    sprawl {name part: least}, resources {kind: least}.
+    sprawl {name part: least}, resources {kind: least}, and if wanted
+    industrial {name part, '' for any: least} of industrial footprint hexes.
     """
     c = F.col
     land, river, settled = ~classify.is_water(c("biome")), c("has_river"), c("kind") != "none"
@@ -78,6 +81,8 @@ def record_gates(expect: dict) -> list:
     gates += [gate(f"country {code}", count(c("country") == code), band(*b)) for code, b in expect["countries"].items()]
     gates += [gate(f"biome {b}", 100 * share(count(c("biome") == b), count(land)) if kind == "pct" else count(c("biome") == b), band(low, high)) for b, (kind, low, high) in expect["biome_bands"].items()]
     gates += [gate(f"footprint {part}", count(F.contains(F.lower("parent_city"), F.lit(part.lower()))), at_least(n)) for part, n in expect["sprawl"].items()]
+    industrial = (c("parent_city") != "") & (c("anthrome") == "industrial")
+    gates += [gate(f"industrial {part or 'footprints'}", count(industrial & F.contains(F.lower("parent_city"), F.lit(part.lower()))), at_least(n)) for part, n in expect.get("industrial", {}).items()]
     return gates + [gate(f"resource {kind}", count(c(kind)), at_least(n)) for kind, n in expect["resources"].items()]
 
 
@@ -106,6 +111,37 @@ def group_gates(rows: DataFrame, expect: dict) -> DataFrame:
     return out
 
 
+def slope_gate(rows: DataFrame, low: float, high: float) -> DataFrame:
+    """Whether the slope of the lower nearest rank at 0.9 among land is in a band; without land it is 0."""
+    p90 = tables.order_statistic(rows.filter(~classify.is_water(F.col("biome"))), "slope", 0.9) or 0.0
+    return checks(rows.limit(1), [gate("land slope p90", F.coalesce(F.max(F.lit(p90)), F.lit(0.0)), band(low, high))])
+
+
+def chain_gates(rows: DataFrame, points: DataFrame, near: DataFrame, least: int = 3, share: float = 0.03) -> DataFrame:
+    """Gates on chains of river hexes: none alone inside the map, few alone at all, and long ones at given points.
+
+    ``rows``: col, row (of one parity with q and r) and has_river; ``points``:
+    pid, name; ``near``: pid, col, row of the hex that is nearest to each.
+    """
+    river = rows.filter("has_river").select(F.col("col").alias("q"), F.col("row").alias("r"))
+    labels = written(hexes.chains(river), "chains")
+    sizes = hexes.sizes_of(labels, rows.select(F.col("col").alias("q"), F.col("row").alias("r")))
+    isolated = F.count_if("isolated") / F.greatest(F.sum("n"), F.lit(1))
+    alone = checks(sizes, [gate("interior isolated rivers", F.count_if(F.col("isolated") & F.col("interior")), none), gate("isolated river share", F.coalesce(isolated, F.lit(0.0)), lambda v: v <= share)])
+    long = labels.join(sizes.select("root_q", "root_r", "n"), ["root_q", "root_r"]).select(F.col("q").alias("col"), F.col("r").alias("row"), "n")
+    at = points.join(near.select("pid", "col", "row"), "pid", "left").join(long, ["col", "row"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return alone.union(at.select(F.concat(F.lit("river chain at "), "name").alias("name"), (F.col("n") >= least).alias("ok"), F.col("n").cast("double").alias("detail")))
+
+
+def total_gates(rows: DataFrame, authored: DataFrame) -> DataFrame:
+    """Whether each country has the provinces that its layer has: ``authored`` is country, province; a country without any hex is left out."""
+    made = rows.filter("province <> ''").select("country", "province").distinct().groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    there = rows.filter("country <> ''").select("country").distinct()
+    want = authored.select("country", "province").distinct().groupBy("country").agg(F.count(F.lit(1)).alias("want")).join(there, "country")
+    both = want.join(made, "country", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return both.select(F.concat(F.lit("provinces of "), "country").alias("name"), (F.col("n") == F.col("want")).alias("ok"), F.col("n").cast("double").alias("detail"))
+
+
 def order_gate(rows: DataFrame, position: str) -> DataFrame:
     """Whether the rows stand by (col, row) in the order of ``position``: rows whose successor comes before them.
 

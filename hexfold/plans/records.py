@@ -130,7 +130,21 @@ def record_differences(spark, sf_dir):
     return tables.diff_leaves(sinks.full_records(r), sinks.full_records(other), ["col", "row"])
 
 
-QUERIES = [record_differences, full_records, admin_defaults, footprint_mix, settlement_listing, record_shares, resource_counts, record_checks, region_remap]
+def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    return n.select(F.col("n_nationkey").cast("long").alias("pid"), F.col("n_name").alias("name"), (4.0 + (F.col("n_nationkey") % 5) * 0.2 + 0.1).alias("x"), (50.5 + F.floor(F.col("n_nationkey") / 5) * 0.1 + 0.05).alias("y"))
+
+
+def map_checks(spark, sf_dir):
+    """Gates on chains of rivers, on the slope of land, and on the provinces of each country against those that were authored."""
+    r, at = records(spark, sf_dir), spots(spark, sf_dir)
+    near = spatial.nearest(at, r.select(F.col("k").alias("tid"), F.col("lon").alias("x"), F.col("lat").alias("y")), 1).join(r.select(F.col("k").alias("tid"), "col", "row"), "tid")
+    authored = spark.range(9).select(F.concat(F.lit("C"), F.col("id").cast("string")).alias("country"), F.explode(F.array(*map(F.lit, "012"))).alias("p")).select("country", F.concat_ws("_", "country", "p").alias("province"))
+    gates = quality.chain_gates(r, at, near).union(quality.slope_gate(r, 30, 60)).union(quality.total_gates(r.filter("country = substr(province, 1, 2) or province = ''"), authored))
+    return gates.select("name", "ok", F.round("detail", 4).alias("detail"))
+
+
+QUERIES = [map_checks, record_differences, full_records, admin_defaults, footprint_mix, settlement_listing, record_shares, resource_counts, record_checks, region_remap]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -168,6 +182,22 @@ def _checks_sql() -> str:
  UNION ALL SELECT any_value(name), bool_or(kind <> 'none') OR min(d) * 111.32 > 15, round(min(d), 4) FROM sd GROUP BY pid"""
 
 
+def _map_checks_sql() -> str:
+    steps = " UNION ALL ".join(f"SELECT {p} AS p, {a} AS dc, {b} AS dr" for p, t in ((0, ((1, 0), (0, 1), (-1, 0), (-1, -1), (0, -1), (1, -1))), (1, ((1, 1), (0, 1), (-1, 1), (-1, 0), (0, -1), (1, 0)))) for a, b in t)
+    return f"""WITH RECURSIVE r AS ({RECORDS_SQL}), s AS ({steps}), v AS (SELECT col, row FROM r WHERE has_river), e AS (SELECT v.col, v.row, v.col + dc AS nc, v.row + dr AS nr FROM v JOIN s ON v.col % 2 = p),
+ f AS (SELECT e.* FROM e SEMI JOIN v ON v.col = nc AND v.row = nr), z AS (SELECT col, row, col AS rc, row AS rr FROM v UNION SELECT f.nc, f.nr, z.rc, z.rr FROM z JOIN f ON f.col = z.col AND f.row = z.row WHERE (z.rc, z.rr) < (f.nc, f.nr)),
+ m AS (SELECT col, row, min((rc, rr)) AS x FROM z GROUP BY col, row), n AS (SELECT *, count(*) OVER (PARTITION BY x) AS n FROM m),
+ i AS (SELECT n.col, n.row, (SELECT count(*) FROM e JOIN r ON r.col = nc AND r.row = nr WHERE e.col = n.col AND e.row = n.row) = 6 AS inner_ FROM n WHERE n = 1),
+ p AS (SELECT n_name, 4.0e0 + (n_nationkey % 5) * 0.2e0 + 0.1e0 AS x, 50.5e0 + floor(n_nationkey / 5) * 0.1e0 + 0.05e0 AS y FROM nation),
+ q AS (SELECT n_name, col, row FROM p, r QUALIFY row_number() OVER (PARTITION BY n_name ORDER BY sqrt((lat - y) ^ 2 + ((lon - x) * cos(radians(y))) ^ 2), k) = 1),
+ t AS (SELECT * FROM r WHERE country = substr(province, 1, 2) OR province = ''), a AS (SELECT country, count(DISTINCT province) FILTER (province <> '') AS n FROM t WHERE country <> '' GROUP BY country)
+ SELECT 'interior isolated rivers' AS name, count(*) FILTER (inner_) = 0 AS ok, CAST(count(*) FILTER (inner_) AS DOUBLE) AS detail FROM i
+ UNION ALL SELECT 'isolated river share', (SELECT count(*) FROM i) / count(*) <= 0.03, round((SELECT count(*) FROM i) / count(*), 4) FROM v
+ UNION ALL SELECT concat('river chain at ', n_name), coalesce(n, 0) >= 3, CAST(coalesce(n, 0) AS DOUBLE) FROM q LEFT JOIN n USING (col, row)
+ UNION ALL SELECT 'land slope p90', d BETWEEN 30 AND 60, round(d, 4) FROM (SELECT list_sort(list(slope))[CAST(floor(0.9 * (count(*) - 1)) AS BIGINT) + 1] AS d FROM r WHERE biome NOT IN ('water', 'coastal_water', 'lake'))
+ UNION ALL SELECT concat('provinces of ', country), n = 3, CAST(n AS DOUBLE) FROM a"""
+
+
 def oracle_sql() -> dict[str, str]:
     wet = "biome IN ('water', 'coastal_water', 'lake')"
     tier = f"CASE WHEN {wet} OR country = '' THEN 'none' WHEN kind <> 'none' THEN 'urban' ELSE 'rural' END"
@@ -178,6 +208,7 @@ def oracle_sql() -> dict[str, str]:
  km AS distance_from_centroid_km, coalesce(tier, {tier}) AS admin_tier, road, coalesce(landuse = 'farmland', false) AS agriculture, CAST(coalesce(landuse = 'industrial', false) AS INT) AS industry_level,
  CAST(CASE WHEN {wet} OR biome = 'glacier' THEN 99 WHEN biome IN ('mountain', 'marsh') THEN 3 WHEN biome IN ('forest', 'hill') THEN 2 ELSE 1 END AS INT) AS base_cost,
  CAST(CASE WHEN biome IN ('mountain', 'urban') THEN 2 WHEN biome IN ('forest', 'hill') THEN 1 ELSE 0 END AS INT) AS base_defense, {wet} AS is_water, {wet} OR biome = 'glacier' AS is_impassable FROM r""",
+        "map_checks": _map_checks_sql(),
         "record_differences": f"""WITH r AS ({RECORDS_SQL}), o AS (SELECT * FROM r WHERE kind <> 'town'), d AS (SELECT 'record.settlement.name' AS path, col, row, name AS a, upper(name) AS b FROM o WHERE k % 9 = 4 AND name <> ''
  UNION ALL SELECT 'record.infrastructure.road', col, row, 'paved', 'dirt' FROM o WHERE road = 'paved' UNION ALL SELECT 'record.terrain.river_edges[1]', col, row, NULL, '5' FROM o WHERE k % 6 = 1 AND has_river
  UNION ALL SELECT 'record.terrain.river_edges[0]', col, row, NULL, '5' FROM o WHERE k % 6 = 1 AND NOT has_river UNION ALL SELECT 'record.terrain.river_edges', col, row, '[]', NULL FROM o WHERE k % 6 = 1 AND NOT has_river
