@@ -237,20 +237,37 @@ def landuse_tag(tags: Column) -> Column:
     return F.coalesce(known(NATURAL, "natural"), known(LANDUSE, "landuse"))
 
 
-def _plain_letters() -> tuple[str, str]:
-    """Letters with accents and the letters they decompose to, by the compatibility decomposition."""
-    found = [(chr(c), unicodedata.normalize("NFKD", chr(c))) for c in range(0xC0, 0x2000)]
-    pairs = [(c, d[0]) for c, d in found if len(d) > 1 and d[0].isalpha() and all(map(unicodedata.combining, d[1:]))]
-    return "".join(c for c, _ in pairs), "".join(d for _, d in pairs)
+def _folded() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters whose compatibility decomposition, without combining marks, is one other character, and those whose is several.
 
+    Syllables of Hangul are left whole, as they are on both sides of a match.
+    """
+    one, several = {}, {}
+    for c in map(chr, (*range(0xA0, 0xAC00), *range(0xF900, 0x10000))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if unicodedata.category(x) != "Mn")
+        if plain and plain != c:
+            (one if len(plain) == 1 else several)[c] = plain
+    return one, several
 
-LETTERS, PLAIN = _plain_letters()
+
+ONE, SEVERAL = _folded()
+LONGEST = sorted(SEVERAL, key=lambda c: -len(SEVERAL[c]))  # those that have an n-th character come first
+
+
+def _spelled(name: Column) -> Column:
+    """``name`` with ligatures and other signs that stand for several characters written out."""
+    signs = "".join(LONGEST)
+    nth = ["".join(SEVERAL[c][n] for c in LONGEST if len(SEVERAL[c]) > n) for n in range(len(SEVERAL[LONGEST[0]]))]
+    out = lambda c: F.concat(*[F.translate(c, signs, x) for x in nth])
+    each = F.transform(F.split(name, ""), lambda c: F.when((c != "") & F.lit(signs).contains(c), out(c)).otherwise(c))
+    return F.when(name.rlike("[" + signs + "]"), F.array_join(each, "")).otherwise(name)
 
 
 def norm_name(name: Column) -> Column:
-    """Small letters without accents (as single characters or combining marks), punctuation as spaces."""
-    plain = F.regexp_replace(F.translate(F.replace(name, F.lit("ß"), F.lit("ss")), LETTERS, PLAIN), r"\p{Mn}", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(plain), r"[^\p{L}\p{N} ]", " "), " +", " "))
+    """Small letters without accents (as single characters or combining marks) or ligatures, punctuation as spaces."""
+    plain = F.translate(_spelled(F.replace(name, F.lit("ß"), F.lit("ss"))), "".join(ONE), "".join(ONE.values()))
+    plain = F.lower(F.regexp_replace(plain, r"\p{Mn}", ""))
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, r"[^\p{L}\p{N} ]", " "), " +", " "))
 
 
 def match_score(a: Column, b: Column) -> Column:

@@ -1,6 +1,8 @@
 import json
 import math
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +81,10 @@ def test_terrain_effects_and_tags(spark):
     assert [r[0] for r in tags.select(classify.landuse_tag(F.col("tags"))).collect()] == ["forest", "grass", "residential", None, None]
     names = spark.createDataFrame([("Łódź-Straße",), ("Ȧbc’d",), ("éa",), ("ΆΒ",)], "n string")
     assert [r[0] for r in names.select(classify.norm_name(F.col("n"))).collect()] == ["łodz strasse", "abc d", "ea", "αβ"]
+    given = ["ﬁord", "Ĳmuiden", "Ｗｉｄｅ－Ｔｏｗｎ", "Haﬄe № ５", "Ǆep", "ẛ̣x", "㎏ 한글", "ﷺ", "", None, "½ mile", "plain"]
+    fold = lambda t: " ".join(re.sub(r"[^\w ]|_", " ", "".join(c for c in unicodedata.normalize("NFKD", t.replace("ß", "ss")) if unicodedata.category(c) != "Mn").lower()).split())
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in given], "n string").select(classify.norm_name(F.col("n"))).collect()]
+    assert got == [t if t is None else unicodedata.normalize("NFC", fold(t)) for t in given]
 
 
 def test_missing_boundary_files(spark, tmp_path):
