@@ -196,14 +196,14 @@ def class_block(biome: Column) -> Column:
 
 # fixed values: movement cost, defence, whether sight is blocked, and description of the eight classes
 EFFECTS = {
-    "water": (99, 0, False, "Impassable except by naval/amphibious movement"),
-    "clear": (1, 0, False, "Open terrain, no obstacles"),
-    "rough": (2, 1, False, "Uneven ground, scrub, broken terrain"),
-    "forest": (2, 1, True, "Wooded terrain, limited visibility"),
-    "mountain": (3, 2, True, "High elevation, steep slopes"),
-    "marsh": (3, 0, False, "Wetlands, bogs, swamps"),
-    "desert": (2, 0, False, "Arid terrain, sand, limited water"),
-    "urban": (1, 2, True, "Cities, towns, built-up areas"),
+    "water": (99, 0, False, "ships alone cross it"),
+    "clear": (1, 0, False, "nothing stands in the way"),
+    "rough": (2, 1, False, "broken ground slows"),
+    "forest": (2, 1, True, "trees hide what is behind"),
+    "mountain": (3, 2, True, "steep and high"),
+    "marsh": (3, 0, False, "soft ground, slow going"),
+    "desert": (2, 0, False, "dry ground"),
+    "urban": (1, 2, True, "houses give cover"),
 }
 
 

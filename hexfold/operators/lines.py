@@ -84,6 +84,18 @@ def ranked_rivers(ways: DataFrame, most: int) -> DataFrame:
     return ways.filter((F.col("scalerank") <= most) & (F.trim("name") != ""))
 
 
+def selected_waterways(layer: DataFrame, parts: DataFrame, most: int, least: float) -> DataFrame:
+    """The rivers of ``layer`` (osm_id, waterway_type, name, scalerank ...) of a scalerank up to ``most``, and the canals of long names.
+
+    ``parts``: their segments (osm_id, x1, y1, x2, y2) in metres; the canals of
+    one name add up, each way once, to more than ``least``.
+    """
+    canals = layer.filter("waterway_type = 'canal'").dropDuplicates(["osm_id"])
+    metres = parts.withColumn("metres", F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).join(canals.select("osm_id", "name"), "osm_id")
+    long = metres.groupBy("name").agg(F.sum("metres").alias("metres")).filter(F.col("metres") > least).select("name")
+    return ranked_rivers(layer.filter("waterway_type = 'river'"), most).unionByName(canals.join(long, "name", "left_semi").select(*layer.columns))
+
+
 def shore_hexes(outlines: DataFrame, size: float) -> DataFrame:
     """q, r of hexes that an outline runs through: they meet what it bounds and are not inside it."""
     return clip(outlines, size).select("q", "r").distinct()

@@ -24,6 +24,7 @@ from hexfold.sources import boundaries, elements, layers, sinks
 
 FRAME = (4.0, 50.5, 5.0, 51.0)
 SNAP = 0.02
+RANK, LONG_CANAL = 8, 110_000.0
 
 
 def in_projection(layer: DataFrame, projection: tuple, size: float, *keep: str) -> DataFrame:
@@ -87,7 +88,9 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     ways = written(parsed(staged.ways(spark, sf_dir)))
     road = lines.best_level(in_projection(elements.road_layer(ways), projection, size, "road_level"), "road_level", ROAD_LEVELS).select("q", "r", F.col("road_level").alias("road"))
     rail = lines.best_level(in_projection(elements.rail_layer(ways), projection, size, "rail_level"), "rail_level", RAIL_LEVELS).select("q", "r", F.col("rail_level").alias("rail"))
-    rivers = lines.rivers_of_hexes(in_projection(elements.waterway_layer(ways).filter("waterway_type = 'river'"), projection, size, "name"), "osm_id").withColumn("has_river", F.lit(True))
+    waters = elements.waterway_layer(ways).join(ways.select("osm_id", F.col("tags")["scalerank"].cast("int").alias("scalerank")), "osm_id")
+    chosen = lines.selected_waterways(waters, lines.segments(geo.project(elements.line_points(waters), projection), "osm_id"), RANK, LONG_CANAL)
+    rivers = lines.rivers_of_hexes(in_projection(chosen, projection, size, "name"), "osm_id").withColumn("has_river", F.lit(True))
     rivers = written(rivers)
     crossed = rivers.filter(F.size("river_edges") > 0).join(base, ["q", "r"]).select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
     bridges = elements.bridge_layer(parsed(staged.crossings(spark, sf_dir))).select(F.col("lon").alias("x"), F.col("lat").alias("y"))
@@ -128,7 +131,9 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     done = regions.with_capitals(h.join(first, ["q", "r"], "left"), capitals)
     classes = F.when((c("kind") == "city") & (c("population_class") == 0), 3).when((c("kind") == "town") & (c("population_class") == 0), 2).otherwise(c("population_class"))
     inert = {"port": F.lit(False), "airfield": F.lit(False), "fortification": F.lit("none"), "population_class": classes, "tier": F.when(c("tier") == "subcapital", "sub_capital").otherwise(c("tier"))}
-    return written(done.withColumns(inert))
+    out = written(done.withColumns(inert))
+    sinks.require_complete(grid, out)
+    return out
 
 
 def hex_enrichment(spark, sf_dir):

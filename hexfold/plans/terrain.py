@@ -138,7 +138,7 @@ def land_lake_flags(spark, sf_dir):
 
 
 def chain_sizes(spark, sf_dir):
-    """Chains of the hexes with a settlement whose coordinates pass a test, their sizes, and which are alone."""
+    """Chains of the hexes with a settlement, their sizes, and which are alone."""
     h = maps.occupied(spark, sf_dir)
     return hexes.chain_sizes(h, h).select("root_q", "root_r", "n", "isolated", "interior")
 

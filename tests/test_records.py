@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hexfold.functions import classify, geo
-from hexfold.operators import hexes, quality, raster, spatial, tables
+from hexfold.operators import hexes, lines, quality, raster, spatial, tables
 from hexfold.plans import enrichment, records
 from hexfold.sources import boundaries, elements, layers, sinks
 
@@ -153,6 +153,12 @@ def test_relations_and_rings_that_do_not_close(spark):
         elements.closed(segments, strict=True)
 
 
+def test_selected_waterways(spark):
+    layer = spark.createDataFrame([("a", "river", "R", 3), ("b", "river", "S", 9), ("c", "canal", "K", 9), ("d", "canal", "K", 9), ("d", "canal", "K", 9), ("e", "canal", "L", 1), ("f", "river", " ", 1), ("g", "river", "T", None)], "osm_id string, waterway_type string, name string, scalerank int")
+    parts = spark.createDataFrame([(i, 0.0, 0.0, 0.0, m) for i, m in (("a", 1.0), ("c", 60.0), ("d", 50.0), ("e", 100.0))], "osm_id string, x1 double, y1 double, x2 double, y2 double")
+    assert sorted(r.osm_id for r in lines.selected_waterways(layer, parts, 8, 100.0).collect()) == ["a", "c", "d"]
+
+
 def test_differences_of_leaves(spark):
     kind = "k int, s struct<x: int, l: array<struct<y: string>>>, m map<string, int>, t string"
     a = [(1, (1, [("p",), ("q",)]), {"u": 1}, "same"), (2, None, None, None), (3, (0, []), {}, "gone")]
