@@ -11,14 +11,13 @@ does not have is NaN; results have a value, or null, for the raster's own pixels
 from __future__ import annotations
 
 import math
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexfold.operators.scratch import new_folder, written
+from hexfold.operators.scratch import new_folder, new_table, written
 
 VOID = -32768  #: fixed value: missing elevation
 BLOCK = 128  #: pixels on a side of a block
@@ -52,7 +51,7 @@ def blocks(dem: DataFrame, block: int = BLOCK) -> DataFrame:
 def store(made: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """The blocks as a table partitioned by tile (tile_row, tile_col) and bucketed by block."""
     spark = made.sparkSession
-    name = f"hexfold_raster_{uuid.uuid4().hex}"
+    name = new_table("raster")
     tiled = made.withColumns({f"tile_{x}": F.floor(F.col(f"block_{x}") / TILE).cast("int") for x in ("row", "col")})
     spread = tiled.repartition(buckets, *KEYS)  # as buckets are dealt: one file for each of a tile's
     spread.write.format("parquet").option("path", new_folder(spark, "raster")).partitionBy("tile_row", "tile_col").bucketBy(buckets, *KEYS).saveAsTable(name)

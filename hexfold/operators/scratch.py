@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _folders: dict[str, str] = {}
+_tables: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,11 +33,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{_folders[key]}/{name}-{uuid.uuid4().hex}"
 
 
+def new_table(name: str) -> str:
+    """The name of a new table of the catalog, which goes with the folders."""
+    _tables.append(f"hexfold_{name}_{uuid.uuid4().hex}")
+    return _tables[-1]
+
+
 def remove(spark: SparkSession) -> None:
     """Remove all intermediate tables of the application."""
     context = spark.sparkContext
     if context._jsc is None or not (folder := _folders.pop(context.applicationId, None)):
         return
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     path = context._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
