@@ -42,7 +42,7 @@ def river_hexes(spark, sf_dir):
 
 
 def river_chains(spark, sf_dir):
-    """Chains of all hexes that a river crosses; no SQL, tests hold it against brute force."""
+    """Chains of all hexes that a river crosses."""
     return hexes.chains(river_hexes(spark, sf_dir).select("q", "r").distinct())
 
 
@@ -207,6 +207,10 @@ def oracle_sql() -> dict[str, str]:
         "best_rail": f"{_clip_sql("kind = 'rail'")} {best(rail, repr(RAIL_LEVELS))}",
         "river_hexes": f"""{_clip_sql("kind = 'river'")}, {runs.format('')}, ed AS (SELECT q, r, enter AS e FROM cl UNION SELECT q, r, leave FROM cl),
  es AS (SELECT q, r, string_agg(CAST(e AS VARCHAR), ' ' ORDER BY e) AS edges FROM ed WHERE e IS NOT NULL GROUP BY q, r) SELECT q, r, river_name, coalesce(edges, '') AS edges FROM bs LEFT JOIN es USING (q, r)""",
+        "river_chains": f"""{_clip_sql("kind = 'river'").replace('WITH ', 'WITH RECURSIVE ', 1)}, o AS (SELECT *, q * CAST({1.5 * geo.radius(SIZE)!r} AS DOUBLE) AS cx, (r + 0.5e0 * (q % 2)) * CAST({SIZE} AS DOUBLE) AS cy FROM (SELECT DISTINCT q, r FROM cl)),
+ nb AS (SELECT a.q, a.r, b.q AS nq, b.r AS nr FROM o a JOIN o b ON {given['hex_neighbors'].rsplit(' ON ', 1)[1]}),
+ ch AS (SELECT q, r, q AS root_q, r AS root_r FROM o UNION SELECT nb.nq, nb.nr, ch.root_q, ch.root_r FROM ch JOIN nb ON ch.q = nb.q AND ch.r = nb.r WHERE (ch.root_q, ch.root_r) < (nb.nq, nb.nr)),
+ mn AS (SELECT q, r, min((root_q, root_r)) AS x FROM ch GROUP BY q, r) SELECT q, r, x[1] AS root_q, x[2] AS root_r FROM mn""",
         "top_rivers": f"{_clip_sql("kind = 'river'")}, {runs.format('WHERE scalerank <= 8')} SELECT river_name, count(*) AS n FROM bs GROUP BY river_name ORDER BY n DESC, river_name LIMIT 15",
         "river_selection": f"""WITH c AS ({given['canal_selection']}), w AS (SELECT * FROM ({layers.WAYS_SQL})) SELECT k, name, scalerank FROM w WHERE kind = 'river' AND scalerank <= 8
  UNION ALL SELECT k, name, CAST(7 AS INT) FROM w WHERE kind = 'canal' AND name IN (SELECT name FROM c)""",
