@@ -66,12 +66,12 @@ def contained(docs: DataFrame, items: DataFrame, percent: int = PERCENT, text: s
     if not parts:
         parts = [(0, -(1 << 63), 0)]
     small = F.broadcast if sum(rows for _, _, rows in parts) <= BROADCAST_ROWS else (lambda df: df)
-    # part, the bound of its sketches, and how many shingles hold the least of its items
-    asked = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(bound).cast("long").alias("bound"), F.lit(-(-(1 << p) * percent // 100)).alias("least")) for p, bound, _ in parts])
+    # a part is asked for shingles up to its bound, by documents that hold the least of its items
     each = docs.select("doc_id", words(F.col("text")).alias("w"))
-    each = each.select("doc_id", F.filter(asked, lambda p: p["least"] <= F.size("w") - SHINGLE + 1).alias("parts"), F.explode(hashes(F.col("w"))).alias("h"))
+    each = each.select("doc_id", (F.size("w") - SHINGLE + 1).alias("n"), F.explode(hashes(F.col("w"))).alias("h"))
     each = each.filter(F.col("h") <= max(bound for _, bound, _ in parts))
-    each = each.select("doc_id", "h", F.explode(F.filter("parts", lambda p: p["bound"] >= F.col("h"))["part"]).alias("part"))
+    asked = [F.when((F.col("h") <= bound) & (F.col("n") >= -(-(1 << p) * percent // 100)), p) for p, bound, _ in parts]
+    each = each.select("doc_id", "h", F.explode(F.array(*asked)).alias("part")).filter("part is not null")
     found = written(each.join(small(table.select("part", "h", "item_id")), ["part", "h"]).select("doc_id", "item_id").distinct(), "candidates")
     held = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
     held = held.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", shingles(F.col("w")).alias("ds"))
