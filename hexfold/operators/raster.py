@@ -23,6 +23,7 @@ VOID = -32768  #: fixed value: missing elevation
 BLOCK = 128  #: pixels on a side of a block
 TILE = 16  #: blocks on a side of a tile, the partition of a stored raster
 BUCKETS = 16
+SHARES = 16  #: copies of a block that windows are spread over
 KEYS = ["block_row", "block_col"]
 SIDES = ("west", "east", "north", "south")
 
@@ -196,8 +197,10 @@ def zonal_p90(boxes: DataFrame, slopes: DataFrame, left: float, top: float, step
     """zid, p90 of the slopes (blocks) in each box (zid, x0, y0, x1, y1); 0 where there is none.
 
     The window is floor to ceil of the box in pixels, ends included; the
-    percentile is exact and interpolated.  A box is sent to the blocks that it
-    meets, and takes from a block only the rows of pixels inside it.
+    percentile is exact and interpolated.  Boxes with one window ask once: it
+    is sent to the blocks that it meets, and takes from a block only the pixels
+    inside it.  A block that windows meet is there ``SHARES`` times, so that one
+    that most of them meet is not one task's.
     """
     down = abs(step_y)
     frame = boxes.select(
@@ -208,13 +211,17 @@ def zonal_p90(boxes: DataFrame, slopes: DataFrame, left: float, top: float, step
         F.ceil((F.lit(top) - F.col("y0")) / down).alias("r1"),
     )
     over = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / block), F.floor(F.col(high) / block)).cast("array<int>"))
-    each = frame.select("*", over("c0", "c1").alias("block_col")).select("*", over("r0", "r1").alias("block_row"))
+    window = ["c0", "c1", "r0", "r1"]
+    asked = written(frame.select(*window).filter(" and ".join(f"{c} is not null" for c in window)).distinct(), "windows")
+    each = asked.select("*", over("c0", "c1").alias("block_col")).select("*", over("r0", "r1").alias("block_row"))
+    met = slopes.select(*KEYS, "pixels").join(each.select(*KEYS).distinct(), KEYS, "left_semi")
+    met = met.select("*", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("_share"))
     inside: dict[str, Column] = {}
     for axis, at in (("r", "block_row"), ("c", "block_col")):
         inside |= {f"{axis}a": F.greatest(F.col(f"{axis}0") - F.col(at) * block, F.lit(0)), f"{axis}b": F.least(F.col(f"{axis}1") - F.col(at) * block, F.lit(block - 1))}
-    held = each.join(slopes.select(*KEYS, "pixels"), KEYS).withColumns(inside)
-    rows = held.select("zid", "pixels", "ca", "cb", F.explode(F.sequence("ra", "rb")).alias("row"))
-    part = F.slice("pixels", (F.col("row") * block + F.col("ca") + 1).cast("int"), (F.col("cb") - F.col("ca") + 1).cast("int"))
-    values = rows.select("zid", F.explode(part).alias("v")).filter("v is not null and not isnan(v)")
-    p90 = values.groupBy("zid").agg(F.percentile("v", 0.9).alias("p90"))
-    return boxes.select("zid").join(p90, "zid", "left").select("zid", F.coalesce("p90", F.lit(0.0)).alias("p90"))
+    each = each.withColumn("_share", F.pmod(F.xxhash64(*window), F.lit(SHARES)).cast("int"))
+    held = each.join(met, [*KEYS, "_share"]).withColumns(inside)
+    part = lambda row: F.slice("pixels", (row * block + F.col("ca") + 1).cast("int"), (F.col("cb") - F.col("ca") + 1).cast("int"))
+    values = held.select(*window, F.explode(F.flatten(F.transform(F.sequence("ra", "rb"), part))).alias("v")).filter("v is not null and not isnan(v)")
+    p90 = values.groupBy(*window).agg(F.percentile("v", 0.9).alias("p90"))
+    return frame.join(p90, window, "left").select("zid", F.coalesce("p90", F.lit(0.0)).alias("p90"))
