@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,17 @@ from hexfold.functions import geo
 from hexfold.operators.cover import point_in_polygon
 from hexfold.operators.scratch import written
 
+def spots(points: DataFrame, *same: str) -> DataFrame:
+    """The places (pid, x, y, ``same``) of points, each once; pid is the place itself.  Points without a coordinate have none."""
+    known = points.filter("x is not null and y is not null and not isnan(x) and not isnan(y)").select("x", "y", *same).distinct()
+    return written(known, "spots").withColumn("pid", F.struct("x", "y", *same))
+
+
+def at_spots(points: DataFrame, found: DataFrame, *same: str, how: str = "left") -> DataFrame:
+    """``points`` with what was found for their places."""
+    place = ["x", "y", *same]
+    return points.join(found.select(*[F.col(f"pid.{c}").alias(c) for c in place], *[c for c in found.columns if c != "pid"]), place, how)
+
 
 def in_any(points: DataFrame, segments: DataFrame) -> DataFrame:
     """The points (pid, x, y) inside some feature."""
@@ -59,15 +72,22 @@ def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap
 def nearest(points: DataFrame, targets: DataFrame, k: int, cell: float = 0.05) -> DataFrame:
     """pid, rank, tid, d: the ``k`` nearest targets (tid, x, y) by hypot(dy, dx cos y); ties by tid.
 
-    Points are compared with the targets of 3 x 3 cells; those whose ``k``
+    Points at one place ask once, and of targets at one place the ``k`` least
+    tids are enough.  Places are compared with the targets of 3 x 3 cells, no
+    larger than hold ``k`` targets where these lie evenly; those whose ``k``
     targets may not be the nearest go on with cells twice as wide, so a far
     point takes rounds that grow with the logarithm of its distance.  The
     window keeps ``k`` rows of a point before the shuffle.  Rows without a
     coordinate (null or no number) have no neighbours and are none.
     """
     known = lambda df: df.filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
-    todo, targets = known(points).select("pid", "x", "y"), known(targets).select("tid", F.col("x").alias("tx"), F.col("y").alias("ty"))
+    todo, alike = spots(points), Window.partitionBy("tx", "ty").orderBy("tid")
+    targets = known(targets).select("tid", F.col("x").alias("tx"), F.col("y").alias("ty")).withColumn("_n", F.row_number().over(alike))
+    targets = written(targets.filter(F.col("_n") <= k).drop("_n"), "targets")
     total, x0, x1, y0, y1 = targets.agg(F.count(F.lit(1)), F.min("tx"), F.max("tx"), F.min("ty"), F.max("ty")).first()
+    if total and max(x1 - x0, y1 - y0) > 0:
+        # an even spread, along a line at the least
+        cell = min(cell, max(math.sqrt((x1 - x0) * (y1 - y0) * k / total), max(x1 - x0, y1 - y0) * k / total))
     spread, found = F.cos(F.radians(F.col("y"))), None
     around = F.array(*[F.lit(a) for a in (-1, 0, 1)])
     while True:
@@ -87,7 +107,7 @@ def nearest(points: DataFrame, targets: DataFrame, k: int, cell: float = 0.05) -
         found = got if found is None else found.union(got)
         todo = todo.join(sure, "pid", "left_anti")
         if not total or todo.isEmpty():
-            return found
+            return at_spots(points, found, how="inner").select("pid", "rank", "tid", "d")
         todo, cell = written(todo), cell * 2
 
 

@@ -38,3 +38,10 @@ def test_boxes_of_one_window_ask_once(spark, monkeypatch):
     got = {r.zid: r.p90 for r in raster.zonal_p90(boxes, raster.blocks(slopes, 4), 0.0, 0.0, 0.1, 0.1, block=4).collect()}
     values = sorted(10 * r + c for r in range(1, 5) for c in range(1, 5))
     assert asked == [2] and got == {**dict.fromkeys(range(20), values[13] + 0.5 * (values[14] - values[13])), 20: 0.0, 21: 0.0}
+
+
+def test_places_and_the_least_targets_of_a_place_are_compared(spark, monkeypatch):
+    kept = watched(monkeypatch, spatial, "written", 0)
+    targets = points(spark, [(0.0, 0.0), (0.01, 0.0)], 50).withColumnRenamed("pid", "tid")
+    got = sorted((r.pid, r["rank"], r.tid) for r in spatial.nearest(points(spark, [(0.001, 0.0)], 3), targets, 3).collect())
+    assert got == [(p, n + 1, 2 * n) for p in range(3) for n in range(3)] and kept[:2] == [1, 6]
