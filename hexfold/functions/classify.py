@@ -266,7 +266,7 @@ def _spelled(name: Column) -> Column:
 def norm_name(name: Column) -> Column:
     """Small letters without accents (as single characters or combining marks) or ligatures, punctuation as spaces."""
     plain = F.translate(_spelled(F.replace(name, F.lit("ß"), F.lit("ss"))), "".join(ONE), "".join(ONE.values()))
-    plain = F.lower(F.regexp_replace(plain, r"\p{Mn}", ""))
+    plain = F.lower(F.when(name.rlike(r"[^\x00-\x7F]"), F.regexp_replace(plain, r"\p{Mn}", "")).otherwise(name))  # ASCII has none of these signs
     return F.trim(F.regexp_replace(F.regexp_replace(plain, r"[^\p{L}\p{N} ]", " "), " +", " "))
 
 

@@ -159,7 +159,8 @@ def name_scores(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").join(spark.read.parquet(f"{sf_dir}/nation.parquet"), F.col("c_nationkey") == F.col("n_nationkey"))
     a = classify.norm_name(F.concat_ws("-", "n_name", "c_mktsegment"))
     b = classify.norm_name(F.when(F.col("c_custkey") % 3 == 0, F.col("n_name")).when(F.col("c_custkey") % 3 == 1, F.concat_ws(" ", "n_name", "c_mktsegment")).otherwise(F.concat(F.lit("St. "), F.col("c_mktsegment"))))
-    return c.select(F.col("c_custkey").alias("k"), classify.match_score(a, b).alias("score"))
+    names = c.repartition("c_custkey").select(F.col("c_custkey").alias("k"), a.alias("a"), b.alias("b"))  # once a row, not once for each rule
+    return names.select("k", classify.match_score(F.col("a"), F.col("b")).alias("score"))
 
 
 def nearest_cities(spark, sf_dir):

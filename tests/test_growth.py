@@ -45,3 +45,8 @@ def test_places_and_the_least_targets_of_a_place_are_compared(spark, monkeypatch
     targets = points(spark, [(0.0, 0.0), (0.01, 0.0)], 50).withColumnRenamed("pid", "tid")
     got = sorted((r.pid, r["rank"], r.tid) for r in spatial.nearest(points(spark, [(0.001, 0.0)], 3), targets, 3).collect())
     assert got == [(p, n + 1, 2 * n) for p in range(3) for n in range(3)] and kept[:2] == [1, 6]
+
+
+def test_names_are_normalised_once_a_row(spark):
+    plan = maps.name_scores(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\\p{Mn}") == 2  # of one name and of the other
