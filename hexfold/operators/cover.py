@@ -29,6 +29,7 @@ DEPTH = 16  #: levels below a feature's first cells at which cells are split no
 DEEPEST = 40  #: the level of the first cells of a feature without extent
 ACROSS, UP = 0.3819660112501051, 0.6180339887498949  #: place of the anchor in its cell, on no round coordinate
 ENDS = ("x1", "y1", "x2", "y2")
+BOX = ("bx0", "by0", "bx1", "by1")
 
 
 def side(level: Column) -> Column:
@@ -86,7 +87,7 @@ def _whole(segments: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
     ax, ay = anchor(F.col("level"), F.col("i"), F.col("j"))
     inside = F.aggregate("segments", F.lit(0), lambda n, s: n + _ray(F.col("ax"), F.col("ay"), lambda c: s[c])) % 2
     cells = cells.withColumns({"ax": ax, "ay": ay}).withColumn("inside", inside)
-    return cells.select(*keys, "level", "i", "j", "inside", "segments", F.lit(1).alias("lists"), F.lit(0).alias("list"))
+    return cells.select(*keys, "level", "i", "j", "inside", "segments", F.lit(1).alias("lists"), F.lit(0).alias("list"), *BOX)
 
 
 def _split(segments: DataFrame, boxes: DataFrame, keys: list[str], capacity: int) -> list[DataFrame]:
@@ -124,10 +125,11 @@ def _split(segments: DataFrame, boxes: DataFrame, keys: list[str], capacity: int
 
 
 def cover(segments: DataFrame, same: str | None = None, capacity: int = CAPACITY) -> tuple[DataFrame, list[int], bool]:
-    """Cells (fid, level, i, j, inside, segments, lists, list) of outlines (fid, x1, y1, x2, y2), the levels in use, and whether a cell has several lists.
+    """Cells (fid, level, i, j, inside, segments, lists, list, bx0, by0, bx1, by1) of outlines (fid, x1, y1, x2, y2), the levels in use, and whether a cell has several lists.
 
     A cell's segments are one list, or where many meet in a point ``lists`` of
-    them.  Outlines are closed; segments without a coordinate are left out.
+    them.  A feature that is not split has its envelope in every cell.
+    Outlines are closed; segments without a coordinate are left out.
     """
     keys = ["fid", *([same] if same else [])]
     known = segments.select(*keys, *[F.col(e).cast("double").alias(e) for e in ENDS]).filter(" and ".join(f"{e} is not null and not isnan({e})" for e in ENDS))
@@ -136,7 +138,8 @@ def cover(segments: DataFrame, same: str | None = None, capacity: int = CAPACITY
     if all(most <= capacity for _, most in levels):
         return _whole(known, boxes, keys), [level for level, _ in levels], False
     boxes = written(boxes, "boxes")
-    cells = reduce(DataFrame.union, [_whole(known, boxes.filter(F.col("n") <= capacity), keys).select(*keys, "level", "i", "j", "inside", "segments", "lists", "list"), *_split(known, boxes.filter(F.col("n") > capacity), keys, capacity)])
+    split = [c.withColumns({b: F.lit(None).cast("double") for b in BOX}) for c in _split(known, boxes.filter(F.col("n") > capacity), keys, capacity)]
+    cells = reduce(DataFrame.union, [_whole(known, boxes.filter(F.col("n") <= capacity), keys), *split])
     cells = written(cells, "cover")
     used = cells.groupBy("level").agg(F.max("lists").alias("lists")).collect()
     return cells, sorted(r["level"] for r in used), any(r["lists"] > 1 for r in used)
@@ -146,7 +149,8 @@ def point_in_polygon(points: DataFrame, segments: DataFrame, same: str | None =
     """pid, fid of points (pid, x, y) inside the even-odd bag of ring segments of a feature.
 
     A point asks for its cell of every level in use, meets the features that
-    have it, and crosses the segments of that cell alone; with ``same``, a
+    have it, and if it is in their envelope crosses the segments of that cell
+    alone; with ``same``, a
     column of both sides, only features that agree in it.  Points without a
     coordinate (null or no number) are in nothing.
     """
@@ -154,7 +158,10 @@ def point_in_polygon(points: DataFrame, segments: DataFrame, same: str | None =
     at = points.filter("x is not null and y is not null and not isnan(x) and not isnan(y)").select("pid", "x", "y", *([same] if same else []), F.explode(F.array(*map(F.lit, levels)).cast("array<int>")).alias("level"))
     at = at.withColumns({"i": number(F.col("x"), F.col("level")), "j": number(F.col("y"), F.col("level"))})
     ax, ay = anchor(F.col("level"), F.col("i"), F.col("j"))
-    hits = at.join(cells, ["level", "i", "j", *([same] if same else [])]).withColumns({"ax": ax, "ay": ay})
+    hits = at.join(cells, ["level", "i", "j", *([same] if same else [])])
+    slack = lambda v: (1 + F.abs(F.col(v))) * 1e-12
+    off = reduce(Column.__or__, [(F.col(v) < F.col(f"b{v}0") - slack(v)) | (F.col(v) > F.col(f"b{v}1") + slack(v)) for v in ("x", "y")])
+    hits = hits.filter(~F.coalesce(off, F.lit(False))).withColumns({"ax": ax, "ay": ay})
     start = F.when(F.col("list") == 0, F.col("inside")).otherwise(0)
     odd = F.aggregate("segments", start, lambda n, s: n + crossed(F.col("ax"), F.col("ay"), F.col("x"), F.col("y"), *[s[e] for e in ENDS])) % 2
     hits = hits.select("pid", "fid", "lists", odd.alias("odd"))

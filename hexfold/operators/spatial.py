@@ -11,6 +11,9 @@ from hexfold.functions import geo
 from hexfold.operators.cover import point_in_polygon
 from hexfold.operators.scratch import written
 
+DENSE, STEP = 32, 4
+
+
 def spots(points: DataFrame, *same: str) -> DataFrame:
     """The places (pid, x, y, ``same``) of points, each once; pid is the place itself.  Points without a coordinate have none."""
     known = points.filter("x is not null and y is not null and not isnan(x) and not isnan(y)").select("x", "y", *same).distinct()
@@ -25,7 +28,7 @@ def at_spots(points: DataFrame, found: DataFrame, *same: str, how: str = "left")
 
 def in_any(points: DataFrame, segments: DataFrame) -> DataFrame:
     """The points (pid, x, y) inside some feature."""
-    return points.join(point_in_polygon(points, segments).select("pid").distinct(), "pid", "left_semi")
+    return at_spots(points, point_in_polygon(spots(points), segments).select("pid").distinct(), how="left_semi").select(*points.columns)
 
 
 def flag_land_lake(points: DataFrame, land: DataFrame | None, lakes: DataFrame, elev: str = "elev") -> DataFrame:
@@ -44,8 +47,47 @@ def flag_land_lake(points: DataFrame, land: DataFrame | None, lakes: DataFrame,
 
 
 def smallest_cover(points: DataFrame, segments: DataFrame, features: DataFrame) -> DataFrame:
-    """pid, kind of the least-area feature (fid, area, kind) over each point; ties by kind."""
-    return point_in_polygon(points, segments).join(features, "fid").groupBy("pid").agg(F.min(F.struct("area", "kind")).alias("m")).select("pid", F.col("m.kind").alias("kind"))
+    """pid, kind of the least-area feature (fid, area, kind) over each point; ties by kind.
+
+    Points at one place ask once.  Where features lie so dense that they cover
+    each place more than ``DENSE`` times, the least ones are asked for first, and
+    only places that these leave open go on to larger ones; no feature that
+    comes later is smaller, so pairs grow with the places and not with both sides.
+    """
+    todo, found = spots(points), None
+    limits = _area_limits(todo, features)
+    for low, high in zip([None, *limits], [*limits, None], strict=True):
+        some = features
+        if low is not None:
+            some = some.filter(F.col("area") >= low)
+        if high is not None:
+            some = some.filter(F.col("area") < high)
+        held = segments.join(some.select("fid"), "fid", "left_semi") if limits else segments
+        least = point_in_polygon(todo, held).join(some, "fid").groupBy("pid").agg(F.min(F.struct("area", "kind")).alias("m"))
+        if limits:
+            least = written(least, "least")
+            todo = written(todo.join(least, "pid", "left_anti"), "open")
+        found = least if found is None else found.union(least)
+        if limits and todo.isEmpty():
+            break
+    return at_spots(points, found, how="inner").select("pid", F.col("m.kind").alias("kind"))
+
+
+def _area_limits(places: DataFrame, features: DataFrame) -> list[float]:
+    """Areas that part features into those that cover a place about ``DENSE`` times, ``STEP`` times as often, and so on; none where all do so seldom."""
+    x0, x1, y0, y1 = places.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    extent = (x1 - x0) * (y1 - y0) if x0 is not None else 0.0
+    if not 0 < extent < float("inf"):
+        return []
+    level = F.floor(F.log2("area") * 8).alias("level")
+    sizes = features.filter("area > 0 and area < double('infinity')").groupBy(level).agg(F.min("area").alias("low"), F.sum("area").alias("total")).orderBy("level").collect()
+    limits, covered, most = [], 0.0, DENSE
+    for r in sizes:
+        if covered > most * extent:
+            limits.append(r["low"])
+            most *= STEP
+        covered += r["total"]
+    return limits
 
 
 def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap: float, cell: float = 0.1, same: str | None = None) -> DataFrame:

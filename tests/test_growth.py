@@ -50,3 +50,27 @@ def test_places_and_the_least_targets_of_a_place_are_compared(spark, monkeypatch
 def test_names_are_normalised_once_a_row(spark):
     plan = maps.name_scores(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("\\p{Mn}") == 2  # of one name and of the other
+
+
+def test_a_place_asks_once_for_its_least_feature(spark, monkeypatch):
+    asked = watched(monkeypatch, spatial, "point_in_polygon", 0)
+    segments = squares(spark, {1: 1.0, 2: 0.5})
+    features = spark.createDataFrame([(1, 1.0, "wide"), (2, 0.25, "small")], "fid long, area double, kind string")
+    at = points(spark, [(0.2, 0.2), (0.7, 0.7), (3.0, 3.0), (None, 1.0)], 10)
+    got = {(r.pid % 4, r.kind) for r in spatial.smallest_cover(at, segments, features).collect()}
+    assert got == {(0, "small"), (1, "wide")} and asked == [3]
+
+
+def test_dense_features_are_asked_from_the_least_on(spark, monkeypatch):
+    sides = {fid: 0.2 + fid / 500 for fid in range(400)}
+    features = spark.createDataFrame([(fid, side * side, f"k{fid}") for fid, side in sides.items()], "fid long, area double, kind string")
+    at = points(spark, [(i / 40, i / 40) for i in range(41)], 1)
+    asked = watched(monkeypatch, spatial, "point_in_polygon", 0)
+    got = {r.pid: r.kind for r in spatial.smallest_cover(at, squares(spark, sides), features).collect()}
+    assert got == {i: f"k{min(f for f, s in sides.items() if i / 40 < s)}" for i in range(40)}
+    assert len(asked) > 1 and asked[0] == 41 and asked == sorted(asked, reverse=True) and asked[-1] < 41
+
+
+def test_only_features_with_the_point_in_their_envelope_are_crossed(spark):
+    cells, levels, _ = cover.cover(squares(spark, {1: 0.6}))
+    assert {tuple(r) for r in cells.select(*cover.BOX).collect()} == {(0.0, 0.0, 0.6, 0.6)}
