@@ -26,7 +26,7 @@ def _points(*pairs) -> F.Column:
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place nodes; some have no population, one that is no number, or an English name only."""
-    s = layers.layer(spark, sf_dir, layers.SETTLEMENTS_SQL)
+    s = layers.layer(spark, sf_dir, layers.SETTLEMENTS_SQL).repartition("k")
     k = F.col("k")
     people = F.when(k % 9 == 0, F.lit("many")).when(k % 9 > 1, F.when(k % 10 == 7, k % 700).otherwise(F.col("population")).cast("string"))
     tags = _tags(("place", F.when(k % 40 == 3, "hamlet").otherwise(F.col("place_type"))), ("population", people), (("name"), F.when(k % 6 > 0, F.col("name"))), ("name:en", F.when(k % 12 > 0, F.concat(F.lit("En "), F.col("name")))))
@@ -35,7 +35,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closed ways of land use, one in ten as an open one."""
-    s = layers.layer(spark, sf_dir, layers.LANDUSE_SQL)
+    s = layers.layer(spark, sf_dir, layers.LANDUSE_SQL).repartition("fid")  # a small file is one task
     cx, cy, hw, hh = (F.col(c) for c in ("cx", "cy", "hw", "hh"))
     rect = _points((cx - hw, cy - hh), (cx + hw, cy - hh), (cx + hw, cy + hh), (cx - hw, cy + hh), (cx - hw, cy - hh))
     diamond = _points((cx - hw, cy), (cx, cy - hh), (cx + hw, cy), (cx, cy + hh), (cx - hw, cy))
@@ -71,7 +71,7 @@ def settlement_elements(spark, sf_dir):
 def landuse_elements(spark, sf_dir):
     """Land use of closed ways with their areas."""
     made = elements.landuse_layer(layers.parse_osm_elements(areas(spark, sf_dir)))
-    return made.select("osm_id", "landuse_type").join(elements.ring_areas(elements.ring_segments(made)), F.col("osm_id") == F.col("fid")).select("osm_id", "landuse_type", F.round("area", 9).alias("area"))
+    return made.select("osm_id", "landuse_type", F.round(elements.ring_area(F.col("points")), 9).alias("area"))
 
 
 def way_elements(spark, sf_dir):
@@ -125,7 +125,7 @@ def province_metadata(spark, sf_dir):
 
 def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shapes of land use as relations: an outer ring of two ways, one of them backwards, and a hole; one in ten lacks a way."""
-    s = layers.layer(spark, sf_dir, layers.LANDUSE_SQL)
+    s = layers.layer(spark, sf_dir, layers.LANDUSE_SQL).repartition("fid")
     cx, cy, hw, hh = (F.col(c) for c in ("cx", "cy", "hw", "hh"))
 
     def ring(share: float) -> list[F.Column]:

@@ -69,9 +69,9 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     dry_centres = dry.select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))
 
     # land use, settlements, country and province
-    uses = elements.landuse_layer(parsed(staged.areas(spark, sf_dir)))
+    uses = written(elements.landuse_layer(parsed(staged.areas(spark, sf_dir))), "landuse")
     rings = elements.ring_segments(uses)
-    features = uses.select(F.col("osm_id").alias("fid"), F.col("landuse_type").alias("kind")).join(elements.ring_areas(rings), "fid")
+    features = uses.select(F.col("osm_id").alias("fid"), F.col("landuse_type").alias("kind"), elements.ring_area(F.col("points")).alias("area"))
     landuse = spatial.smallest_cover(dry_centres, rings, features).select("pid", F.col("kind").alias("landuse"))
     places = geo.place_in_hex(geo.project(elements.settlement_layer(parsed(staged.places(spark, sf_dir))), projection), size)
     best, nodes = settlement_of_hexes(written(places))

@@ -81,6 +81,13 @@ def ring_areas(segments: DataFrame) -> DataFrame:
     return segments.groupBy("fid").agg((F.abs(twice) / 2).alias("area"))
 
 
+def ring_area(points: Column) -> Column:
+    """Area in square degrees of one closed ring of points."""
+    n = F.size(points) - 1
+    pairs = F.zip_with(F.slice(points, F.lit(1), n), F.slice(points, F.lit(2), n), lambda a, b: a["lon"] * b["lat"] - b["lon"] * a["lat"])
+    return F.abs(F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x)) / 2
+
+
 RELATION = "type string, id long, tags map<string, string>, members array<struct<type: string, ref: long, role: string, geometry: array<struct<lon: double, lat: double>>>>"
 
 
@@ -91,7 +98,7 @@ def relation_segments(staged: DataFrame, text: str = "element") -> DataFrame:
     bag of their segments has the relation's parity if all its rings close.
     ``parse_osm_elements`` leaves relations out; this is how they are asked for.
     """
-    e = staged.select(F.from_json(text, RELATION).alias("e")).select("e.*").filter("type = 'relation'")
+    e = layers.read_json(staged, text, RELATION).filter("type = 'relation'")
     e = e.filter(F.col("tags")["type"].isin("multipolygon", "boundary"))
     way = e.select(F.concat_ws("/", "type", F.col("id").cast("string")).alias("fid"), F.explode("members").alias("m")).filter("m.type = 'way' and size(m.geometry) >= 2")
     points = F.col("m.geometry")

@@ -89,10 +89,14 @@ def layer_slice(parts: DataFrame, x0: float, y0: float, x1: float, y1: float, ma
 OSM_ELEMENT = "type string, id long, lon double, lat double, center struct<lon: double, lat: double>, geometry array<struct<lon: double, lat: double>>, tags map<string, string>"
 
 
+def read_json(staged: DataFrame, text: str, schema: str, *keep: str) -> DataFrame:
+    """The fields of JSON texts and ``keep``; a generator, so that later filters do not read the text again for each field."""
+    return staged.select(F.inline(F.array(F.from_json(text, schema))), *keep)
+
+
 def parse_osm_elements(staged: DataFrame, text: str = "element", *keep: str) -> DataFrame:
     """osm_id, kind (point, line, polygon), points, tags and ``keep`` of staged JSON elements; others drop out."""
-    e = F.from_json(text, OSM_ELEMENT)
-    got = staged.select(e.alias("e"), *keep).select("e.*", *keep)
+    got = read_json(staged, text, OSM_ELEMENT, *keep)
     ring, n = F.col("geometry"), F.size("geometry")
     closed = (n >= 4) & (F.element_at(ring, 1) == F.element_at(ring, -1))
     one = lambda lon, lat: F.array(F.struct(F.col(lon).alias("lon"), F.col(lat).alias("lat")))

@@ -74,3 +74,10 @@ def test_dense_features_are_asked_from_the_least_on(spark, monkeypatch):
 def test_only_features_with_the_point_in_their_envelope_are_crossed(spark):
     cells, levels, _ = cover.cover(squares(spark, {1: 0.6}))
     assert {tuple(r) for r in cells.select(*cover.BOX).collect()} == {(0.0, 0.0, 0.6, 0.6)}
+
+
+def test_json_is_read_once_a_row(spark):
+    text = F.to_json(F.struct(F.lit("way").alias("type"), F.col("id"), F.array(F.struct(F.lit(1.0).alias("lon"), F.lit(2.0).alias("lat"))).alias("geometry")))
+    parsed = layers.parse_osm_elements(spark.range(3).select(text.alias("element"))).filter("kind = 'polygon' and size(points) > 3 and tags['a'] is null")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
