@@ -94,11 +94,12 @@ def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap
     """pid, code: the least code that covers a point, else the nearest feature's under ``snap``, else ''.
 
     With ``same``, a column of points and segments, only features that agree in
-    it count.  For the snap a segment stands in the cells near its parts of one
+    it count.  Points at one place ask once.  For the snap a segment stands in the cells near its parts of one
     cell's length, so in cells by its length and not by its envelope.
     """
-    inside = point_in_polygon(points, segments, same).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
-    left = points.join(inside, "pid", "left_anti")
+    places = spots(points, *([same] if same else []))
+    inside = point_in_polygon(places, segments, same).join(codes, "fid").groupBy("pid").agg(F.min("code").alias("inside"))
+    left = places.join(inside, "pid", "left_anti")
     keys, ends = ["fid", *([same] if same else [])], ["x1", "y1", "x2", "y2"]
     parts = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1"))) / cell)).cast("int")
     cut = segments.select(*keys, *ends, parts.alias("_n")).select("*", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_k"))
@@ -107,8 +108,9 @@ def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap
     placed = cut.select("*", span("x1", "x2").alias("i")).select(*keys, *ends, "i", span("y1", "y2").alias("j"))
     here = left.select("pid", "x", "y", *([same] if same else []), F.floor(F.col("x") / cell).alias("i"), F.floor(F.col("y") / cell).alias("j"))
     near = here.join(placed, ["i", "j", *([same] if same else [])]).groupBy("pid", "fid").agg(F.min(geo.segment_distance(F.col("x"), F.col("y"))).alias("d")).filter(F.col("d") < snap)
-    near = near.join(codes, "fid").groupBy("pid").agg(F.min(F.struct("d", "code")).alias("m")).select("pid", F.col("m.code").alias("near"))
-    return points.select("pid").join(inside, "pid", "left").join(near, "pid", "left").select("pid", F.coalesce("inside", "near", F.lit("")).alias("code"))
+    near = near.join(codes, "fid").groupBy("pid").agg(F.min(F.struct("d", "code")).alias("m")).select("pid", F.col("m.code").alias("code"))
+    found = inside.select("pid", F.col("inside").alias("code")).union(near)
+    return at_spots(points, found, *([same] if same else [])).select("pid", F.coalesce("code", F.lit("")).alias("code"))
 
 
 def nearest(points: DataFrame, targets: DataFrame, k: int, cell: float = 0.05) -> DataFrame:

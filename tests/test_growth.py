@@ -81,3 +81,11 @@ def test_json_is_read_once_a_row(spark):
     parsed = layers.parse_osm_elements(spark.range(3).select(text.alias("element"))).filter("kind = 'polygon' and size(points) > 3 and tags['a'] is null")
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_a_place_asks_once_for_its_outline(spark, monkeypatch):
+    asked = watched(monkeypatch, spatial, "point_in_polygon", 0)
+    codes = spark.createDataFrame([(1, "a")], "fid long, code string")
+    at = points(spark, [(0.5, 0.5), (1.01, 0.5), (2.0, 0.5), (float("nan"), 0.5)], 10)
+    got = {(r.pid % 4, r.code) for r in spatial.cover_or_snap(at, squares(spark, {1: 1.0}), codes, 0.02).collect()}
+    assert got == {(0, "a"), (1, "a"), (2, ""), (3, "")} and asked == [3]
