@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from hexfold.operators import cover, raster, spatial
+from hexfold.plans import elements
 from hexfold.plans import queries as maps
 from hexfold.sources import layers
 from hexfold.streaming import ingest
@@ -89,3 +90,8 @@ def test_a_place_asks_once_for_its_outline(spark, monkeypatch):
     at = points(spark, [(0.5, 0.5), (1.01, 0.5), (2.0, 0.5), (float("nan"), 0.5)], 10)
     got = {(r.pid % 4, r.code) for r in spatial.cover_or_snap(at, squares(spark, {1: 1.0}), codes, 0.02).collect()}
     assert got == {(0, "a"), (1, "a"), (2, ""), (3, "")} and asked == [3]
+
+
+def test_ways_read_json_once_for_each_layer(spark):
+    plan = elements.way_elements(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 3
