@@ -90,6 +90,13 @@ def _area_limits(places: DataFrame, features: DataFrame) -> list[float]:
     return limits
 
 
+def covered_counts(points: DataFrame, segments: DataFrame) -> DataFrame:
+    """fid, n: how many points each feature covers, of those that cover some; points at one place ask once, with their number."""
+    number = written(points.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")), "numbers")
+    over = point_in_polygon(number.withColumn("pid", F.struct("x", "y", "n")), segments)
+    return over.groupBy("fid").agg(F.sum("pid.n").alias("n"))
+
+
 def cover_or_snap(points: DataFrame, segments: DataFrame, codes: DataFrame, snap: float, cell: float = 0.1, same: str | None = None) -> DataFrame:
     """pid, code: the least code that covers a point, else the nearest feature's under ``snap``, else ''.
 

@@ -113,8 +113,8 @@ def boundary_countries(spark, sf_dir):
     """Settlements by country, from outlines read back from files."""
     read = boundaries.read_geojson(spark, boundary_files(spark, sf_dir)[0], "country_code string")
     rings = boundaries.outlines(read, "country_code")
-    over = spatial.point_in_polygon(maps.points(spark, sf_dir), rings)
-    return over.groupBy(F.col("fid").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    over = spatial.covered_counts(maps.points(spark, sf_dir), rings)
+    return over.select(F.col("fid").alias("code"), "n")
 
 
 def province_metadata(spark, sf_dir):
@@ -145,7 +145,7 @@ def relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relation_covers(spark, sf_dir):
     """Settlements inside each multipolygon relation and outside its hole; those that do not close are left out."""
     rings = elements.closed(elements.relation_segments(relations(spark, sf_dir)))
-    return spatial.point_in_polygon(maps.points(spark, sf_dir), rings).groupBy(F.col("fid").alias("osm_id")).agg(F.count(F.lit(1)).alias("n"))
+    return spatial.covered_counts(maps.points(spark, sf_dir), rings).select(F.col("fid").alias("osm_id"), "n")
 
 
 QUERIES = [relation_covers, settlement_elements, landuse_elements, way_elements, bridge_elements, city_places, boundary_countries, province_metadata]

@@ -95,3 +95,10 @@ def test_a_place_asks_once_for_its_outline(spark, monkeypatch):
 def test_ways_read_json_once_for_each_layer(spark):
     plan = elements.way_elements(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 3
+
+
+def test_features_count_points_by_place(spark, monkeypatch):
+    asked = watched(monkeypatch, spatial, "point_in_polygon", 0)
+    at = points(spark, [(0.2, 0.2), (0.7, 0.7), (3.0, 3.0)], 10)
+    got = {(r.fid, r.n) for r in spatial.covered_counts(at, squares(spark, {1: 1.0, 2: 0.5, 3: 0.1})).collect()}
+    assert got == {(1, 20), (2, 10)} and asked == [3]
