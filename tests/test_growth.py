@@ -6,7 +6,6 @@ from hexfold.operators import cover, raster, spatial
 from hexfold.plans import elements
 from hexfold.plans import queries as maps
 from hexfold.sources import layers
-from hexfold.streaming import ingest
 
 SQUARE = ((0.0, 0.0, 1.0, 0.0), (1.0, 0.0, 1.0, 1.0), (1.0, 1.0, 0.0, 1.0), (0.0, 1.0, 0.0, 0.0))
 
