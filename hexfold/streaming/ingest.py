@@ -4,36 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hexfold.functions import classify, geo
 from hexfold.operators import hexes, tiles
 from hexfold.sources import elements, layers
 
 TILE = ["tile_q", "tile_r"]
+SHARES = 4  #: files of a tile and batch
+MERGE = 1 << 16  #: rows of a partition that are compared at once
 
 
-def _first(key: tuple, groups: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The least element of a key that has not been seen."""
-    least = min(min(g["value"]) for g in groups)
-    if not state.exists:
-        state.update((True,))
-        yield pd.DataFrame({"value": [least]})
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least text of each id among the rows of a partition."""
+    held, loose, rows = pa.table({"osm_id": pa.array([], pa.string()), "value": pa.array([], pa.string())}), [], 0
+    fewest = lambda: pa.concat_tables([held, pa.Table.from_batches(loose).rename_columns(held.column_names).cast(held.schema)]).group_by("osm_id").aggregate([("value", "min")]).rename_columns(held.column_names)
+    for batch in batches:
+        loose.append(batch)
+        rows += batch.num_rows
+        if rows > max(MERGE, held.num_rows):
+            held, loose, rows = fewest(), [], 0
+    yield from (fewest() if rows else held).to_batches()
 
 
 def arrivals(spark: SparkSession, parts: str) -> DataFrame:
     """A stream of the elements (value: JSON text) of newly landed part files, once per osm_id.
 
-    Which ids have been seen is the stream's keyed state, so a batch asks for
-    its own ids and reads no table.  Of elements with one osm_id in one batch
-    the one whose text is least stays; between batches the earliest.
+    Which ids have been seen is the stream's keyed state, which holds ids and no
+    texts, so a batch asks for its own ids and reads no table.  Of elements with
+    one osm_id in one batch the one whose text is least stays; between batches
+    the earliest.  The texts of a batch are dealt by id and compared there, so
+    the state is asked once for each id, and Python is called once for many.
     """
     lines = spark.readStream.option("ignoreCorruptFiles", "false").text(parts)
     known = layers.parse_osm_elements(lines.withColumn("given", F.col("value")), "value", "given").select("osm_id", F.col("given").alias("value"))
-    return known.groupBy("osm_id").applyInPandasWithState(_first, "value string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    once = known.repartition("osm_id").mapInArrow(_least, "osm_id string, value string")
+    return once.dropDuplicates(["osm_id"]).select("value")
 
 
 def run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -97,13 +105,14 @@ def ingest_settlements(spark: SparkSession, parts: str, layer: str, out: str, ch
         made = tiled(hexes.with_hex(made, size, meridian), side)
         made = made.select("osm_id", "name", classify.settlement_type(F.col("place_type"), F.col("population")).alias("kind"), "population", "q", "r", *TILE, F.lit(number).cast("long").alias("batch"))
         write = lambda df, path, *by: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-        write(made, layer, *TILE, "batch")
+        # dealt by tile, in shares, so that a tile has few files and none of them is all of a dense one
+        write(made.repartition(*TILE, F.pmod(F.xxhash64("osm_id"), F.lit(SHARES))), layer, *TILE, "batch")
         held = session.read.schema(made.schema).parquet(layer)
         touched = around(held.filter(F.col("batch") == number), side, 1)
         near = touched.select(F.explode(F.sequence(F.col("tile_q") - 1, F.col("tile_q") + 1)).alias("tile_q"), "tile_r").select("tile_q", F.explode(F.sequence(F.col("tile_r") - 1, F.col("tile_r") + 1)).alias("tile_r")).distinct()
         # the tiles of a batch prune the layer's partitions
         whole = records(held.join(near, TILE, "left_semi"), side)
-        write(whole.join(touched, TILE, "left_semi"), out, *TILE)
+        write(whole.join(touched, TILE, "left_semi").repartition(*TILE), out, *TILE)
 
     run(arrivals(spark, parts), change, checkpoint)
 

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from hexfold.streaming import ingest
@@ -26,3 +27,13 @@ def test_missing_parts_fail(spark):
     ingest.require_parts(parts("a", "b"), parts("b", "a", "c"))
     with pytest.raises(FileNotFoundError, match="b"):
         ingest.require_parts(parts("a", "b"), parts("a"))
+
+
+def test_python_is_not_called_for_each_element(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "MERGE", 2)
+    batches = [pa.record_batch({"osm_id": ["a", "b"], "value": ["2", "\U00010000"]}), pa.record_batch({"osm_id": ["a", "b", "c"], "value": ["1", "\uffff", ""]}), pa.record_batch({"osm_id": ["a"], "value": ["3"]})]
+    assert sorted((r["osm_id"], r["value"]) for b in ingest._least(iter(batches)) for r in b.to_pylist()) == [("a", "1"), ("b", "\uffff"), ("c", "")]
+    assert list(ingest._least(iter([]))) == []
+    (tmp_path / "parts").mkdir()
+    plan = ingest.arrivals(spark, str(tmp_path / "parts"))._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate" in plan and "PandasWithState" not in plan
