@@ -72,11 +72,13 @@ def rivers_of_hexes(clipped: DataFrame, line: str = "k", name: str = "name") ->
     Of equal runs (to a millimetre) the least name counts; lines without a
     name give edges only, and a hex of such lines has an empty name.
     """
-    edges = F.collect_set("enter"), F.collect_set("leave")
-    runs = clipped.groupBy("q", "r", line).agg(F.round(F.sum("metres"), 3).alias("m"), F.min(name).alias("name"), edges[0].alias("a"), edges[1].alias("b"))
+    # the edges of a row as bits of a number, so that groups hold numbers and no sets
+    bit = lambda e: F.coalesce(F.call_function("shiftleft", F.lit(1), F.col(e)), F.lit(0))
+    runs = clipped.groupBy("q", "r", line).agg(F.round(F.sum("metres"), 3).alias("m"), F.min(name).alias("name"), F.bit_or(bit("enter").bitwiseOR(bit("leave"))).alias("edges"))
     best = F.min(F.when(F.coalesce("name", F.lit("")) != "", F.struct((-F.col("m")).alias("m"), "name")))
-    hexes = runs.groupBy("q", "r").agg(best.alias("best"), F.flatten(F.collect_set(F.array_union("a", "b"))).alias("edges"))
-    return hexes.select("q", "r", F.coalesce("best.name", F.lit("")).alias("river_name"), F.array_sort(F.array_distinct("edges")).alias("river_edges"))
+    hexes = runs.groupBy("q", "r").agg(best.alias("best"), F.bit_or("edges").alias("edges"))
+    crossed = F.array_compact(F.array(*[F.when(F.col("edges").bitwiseAND(F.lit(1 << i)) != 0, F.lit(i)) for i in range(6)]))
+    return hexes.select("q", "r", F.coalesce("best.name", F.lit("")).alias("river_name"), crossed.alias("river_edges"))
 
 
 def ranked_rivers(ways: DataFrame, most: int) -> DataFrame:
@@ -87,11 +89,12 @@ def ranked_rivers(ways: DataFrame, most: int) -> DataFrame:
 def selected_waterways(layer: DataFrame, parts: DataFrame, most: int, least: float) -> DataFrame:
     """The rivers of ``layer`` (osm_id, waterway_type, name, scalerank ...) of a scalerank up to ``most``, and the canals of long names.
 
-    ``parts``: their segments (osm_id, x1, y1, x2, y2) in metres; the canals of
-    one name add up, each way once, to more than ``least``.
+    ``parts``: their segments (osm_id, x1, y1, x2, y2) in metres, of which
+    those of canals are enough; the canals of one name add up, each way once,
+    to more than ``least``.
     """
     canals = layer.filter("waterway_type = 'canal'").dropDuplicates(["osm_id"])
-    metres = parts.withColumn("metres", F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).join(canals.select("osm_id", "name"), "osm_id")
+    metres = parts.groupBy("osm_id").agg(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("metres")).join(canals.select("osm_id", "name"), "osm_id")
     long = metres.groupBy("name").agg(F.sum("metres").alias("metres")).filter(F.col("metres") > least).select("name")
     return ranked_rivers(layer.filter("waterway_type = 'river'"), most).unionByName(canals.join(long, "name", "left_semi").select(*layer.columns))
 

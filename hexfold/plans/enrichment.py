@@ -27,10 +27,17 @@ SNAP = 0.02
 RANK, LONG_CANAL = 8, 110_000.0
 
 
+def in_plane(layer: DataFrame, projection: tuple, *keep: str) -> DataFrame:
+    """osm_id, ``keep``, x1, y1, x2, y2: the segments of a layer's lines, both ends projected where they lie."""
+    parts = elements.line_segments(layer, *keep)
+    for n in (1, 2):
+        parts = geo.project(parts, projection, f"lon{n}", f"lat{n}").withColumnsRenamed({"x": f"x{n}", "y": f"y{n}"})
+    return parts.select("osm_id", *keep, "x1", "y1", "x2", "y2").filter("x2 is not null")
+
+
 def in_projection(layer: DataFrame, projection: tuple, size: float, *keep: str) -> DataFrame:
-    """Lines of a layer cut by hexes."""
-    parts = lines.segments(geo.project(elements.line_points(layer), projection), "osm_id")
-    return lines.clip(parts, size).join(layer.select("osm_id", *keep), "osm_id")
+    """Lines of a layer cut by hexes, with ``keep``."""
+    return lines.clip(in_plane(layer, projection, *keep), size)
 
 
 def settlement_of_hexes(places: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -88,8 +95,8 @@ def enriched(spark: SparkSession, sf_dir: str, size: float = maps.SIZE, box: tup
     ways = written(parsed(staged.ways(spark, sf_dir)))
     road = lines.best_level(in_projection(elements.road_layer(ways), projection, size, "road_level"), "road_level", ROAD_LEVELS).select("q", "r", F.col("road_level").alias("road"))
     rail = lines.best_level(in_projection(elements.rail_layer(ways), projection, size, "rail_level"), "rail_level", RAIL_LEVELS).select("q", "r", F.col("rail_level").alias("rail"))
-    waters = elements.waterway_layer(ways).join(ways.select("osm_id", F.col("tags")["scalerank"].cast("int").alias("scalerank")), "osm_id")
-    chosen = lines.selected_waterways(waters, lines.segments(geo.project(elements.line_points(waters), projection), "osm_id"), RANK, LONG_CANAL)
+    waters = elements.waterway_layer(ways, F.col("tags")["scalerank"].cast("int").alias("scalerank"))
+    chosen = lines.selected_waterways(waters, in_plane(waters.filter("waterway_type = 'canal'"), projection), RANK, LONG_CANAL)
     rivers = lines.rivers_of_hexes(in_projection(chosen, projection, size, "name"), "osm_id").withColumn("has_river", F.lit(True))
     rivers = written(rivers)
     crossed = rivers.filter(F.size("river_edges") > 0).join(base, ["q", "r"]).select("pid", F.col("lon").alias("x"), F.col("lat").alias("y"))

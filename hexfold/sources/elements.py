@@ -46,10 +46,10 @@ def rail_layer(elements: DataFrame) -> DataFrame:
     return elements.filter((F.col("kind") == "line") & _tag("railway").isNotNull()).select("osm_id", "points", layers.rail_level(_tag("railway"), _tag("gauge"), _tag("tracks")).alias("rail_level"))
 
 
-def waterway_layer(elements: DataFrame) -> DataFrame:
-    """osm_id, points, waterway_type, name of named rivers and canals."""
+def waterway_layer(elements: DataFrame, *keep: Column) -> DataFrame:
+    """osm_id, points, waterway_type, name and ``keep`` of named rivers and canals."""
     named = F.coalesce(_tag("name"), F.lit("")) != ""
-    return elements.filter((F.col("kind") == "line") & _tag("waterway").isin("river", "canal") & named).select("osm_id", "points", _tag("waterway").alias("waterway_type"), _tag("name").alias("name"))
+    return elements.filter((F.col("kind") == "line") & _tag("waterway").isin("river", "canal") & named).select("osm_id", "points", _tag("waterway").alias("waterway_type"), _tag("name").alias("name"), *keep)
 
 
 def bridge_layer(elements: DataFrame) -> DataFrame:
@@ -68,6 +68,13 @@ def line_points(layer: DataFrame, *keep: str) -> DataFrame:
     return layer.select("osm_id", *keep, F.posexplode("points").alias("seq", "p")).select("osm_id", *keep, "seq", "p.lon", "p.lat")
 
 
+def line_segments(layer: DataFrame, *keep: str) -> DataFrame:
+    """osm_id, ``keep``, lon1, lat1, lon2, lat2 of consecutive points of lines; a line's row has all of them, so no row is moved."""
+    pairs = F.arrays_zip(F.slice("points", F.lit(1), F.size("points") - 1).alias("a"), F.slice("points", F.lit(2), F.size("points") - 1).alias("b"))
+    e = layer.filter("size(points) > 1").select("osm_id", *keep, F.explode(pairs).alias("e"))
+    return e.select("osm_id", *keep, *[F.col(f"e.{p}.{c}").alias(f"{c}{n}") for n, p in ((1, "a"), (2, "b")) for c in ("lon", "lat")])
+
+
 def ring_segments(layer: DataFrame) -> DataFrame:
     """fid (the osm_id), x1, y1, x2, y2 of closed rings."""
     pairs = F.arrays_zip(F.slice("points", F.lit(1), F.size("points") - 1).alias("a"), F.slice("points", F.lit(2), F.size("points") - 1).alias("b"))

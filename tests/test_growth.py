@@ -2,9 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from hexfold.operators import cover, raster, spatial
-from hexfold.plans import elements
+from hexfold.functions import geo
+from hexfold.operators import cover, lines, raster, spatial
+from hexfold.plans import elements, enrichment
 from hexfold.plans import queries as maps
+from hexfold.sources import elements as sources
 from hexfold.sources import layers
 
 SQUARE = ((0.0, 0.0, 1.0, 0.0), (1.0, 0.0, 1.0, 1.0), (1.0, 1.0, 0.0, 1.0), (0.0, 1.0, 0.0, 0.0))
@@ -101,3 +103,22 @@ def test_features_count_points_by_place(spark, monkeypatch):
     at = points(spark, [(0.2, 0.2), (0.7, 0.7), (3.0, 3.0)], 10)
     got = {(r.fid, r.n) for r in spatial.covered_counts(at, squares(spark, {1: 1.0, 2: 0.5, 3: 0.1})).collect()}
     assert got == {(1, 20), (2, 10)} and asked == [3]
+
+
+def test_lines_are_cut_where_they_lie(spark):
+    points = "array<struct<lon: double, lat: double>>"
+    rows = [("way/1", [(4.1, 50.6), (4.13, 50.63), (4.2, 50.7)], "paved"), ("way/2", [(4.3, 50.6)], "none"), ("way/3", [(4.1, 50.8), (None, 50.9), (4.2, 50.9), (4.21, 50.9)], "highway"), ("way/4", None, "none")]
+    layer, to = spark.createDataFrame(rows, f"osm_id string, points {points}, road_level string"), ("utm", (3.0,))
+    cut = enrichment.in_projection(layer, to, 2000.0, "road_level")
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+    moved = lines.clip(lines.segments(geo.project(sources.line_points(layer, "road_level"), to), "osm_id"), 2000.0).join(layer.select("osm_id", "road_level"), "osm_id")
+    assert sorted(map(str, cut.select(sorted(cut.columns)).collect())) == sorted(map(str, moved.select(sorted(cut.columns)).collect()))
+    assert {r.osm_id for r in cut.collect()} == {"way/1", "way/3"}
+
+
+def test_edges_of_rivers_are_numbers_in_groups(spark):
+    rows = spark.createDataFrame([(0, 0, 1, "A", 5.0, None, 3), (0, 0, 1, "A", 5.0, 0, 5), (1, 0, 2, "A", 5.0, None, None)], "q int, r int, k int, name string, metres double, enter int, leave int")
+    rivers = lines.rivers_of_hexes(rows)
+    assert "collect_set" not in rivers._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.q, tuple(r.river_edges)) for r in rivers.collect()} == {(0, (0, 3, 5)), (1, ())}
