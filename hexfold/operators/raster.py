@@ -23,9 +23,10 @@ VOID = -32768  #: fixed value: missing elevation
 BLOCK = 128  #: pixels on a side of a block
 TILE = 16  #: blocks on a side of a tile, the partition of a stored raster
 BUCKETS = 16
-SHARES = 16  #: copies of a block that windows are spread over
+SHARE = 1 << 20  #: pixels that the windows of one copy of a block take from it, about
 KEYS = ["block_row", "block_col"]
 SIDES = ("west", "east", "north", "south")
+PART = 0.9  #: fixed value: the percentile of zones
 
 
 def mask_void(dem: DataFrame) -> DataFrame:
@@ -198,9 +199,9 @@ def zonal_p90(boxes: DataFrame, slopes: DataFrame, left: float, top: float, step
 
     The window is floor to ceil of the box in pixels, ends included; the
     percentile is exact and interpolated.  Boxes with one window ask once: it
-    is sent to the blocks that it meets, and takes from a block only the pixels
-    inside it.  A block that windows meet is there ``SHARES`` times, so that one
-    that most of them meet is not one task's.
+    is sent to the blocks that it meets.  A block is there once for every
+    ``SHARE`` pixels that are asked of it, and meets its windows in a group:
+    joined to them, it would be written, and held, once a window.
     """
     down = abs(step_y)
     frame = boxes.select(
@@ -212,16 +213,44 @@ def zonal_p90(boxes: DataFrame, slopes: DataFrame, left: float, top: float, step
     )
     over = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / block), F.floor(F.col(high) / block)).cast("array<int>"))
     window = ["c0", "c1", "r0", "r1"]
-    asked = written(frame.select(*window).filter(" and ".join(f"{c} is not null" for c in window)).distinct(), "windows")
+    asked = written(frame.select(*window).filter("c0 <= c1 and r0 <= r1").distinct(), "windows")
     each = asked.select("*", over("c0", "c1").alias("block_col")).select("*", over("r0", "r1").alias("block_row"))
-    met = slopes.select(*KEYS, "pixels").join(each.select(*KEYS).distinct(), KEYS, "left_semi")
-    met = met.select("*", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("_share"))
     inside: dict[str, Column] = {}
     for axis, at in (("r", "block_row"), ("c", "block_col")):
         inside |= {f"{axis}a": F.greatest(F.col(f"{axis}0") - F.col(at) * block, F.lit(0)), f"{axis}b": F.least(F.col(f"{axis}1") - F.col(at) * block, F.lit(block - 1))}
-    each = each.withColumn("_share", F.pmod(F.xxhash64(*window), F.lit(SHARES)).cast("int"))
-    held = each.join(met, [*KEYS, "_share"]).withColumns(inside)
-    part = lambda row: F.slice("pixels", (row * block + F.col("ca") + 1).cast("int"), (F.col("cb") - F.col("ca") + 1).cast("int"))
-    values = held.select(*window, F.explode(F.flatten(F.transform(F.sequence("ra", "rb"), part))).alias("v")).filter("v is not null and not isnan(v)")
-    p90 = values.groupBy(*window).agg(F.percentile("v", 0.9).alias("p90"))
+    each = each.withColumns(inside)
+    taken = (F.col("rb") - F.col("ra") + 1) * (F.col("cb") - F.col("ca") + 1) + 32  # a window alone has its weight too
+    shares = each.groupBy(*KEYS).agg(F.ceil(F.sum(taken) / SHARE).cast("int").alias("_shares"))
+    met = slopes.select(*KEYS, "pixels").join(shares.select(*KEYS), KEYS, "left_semi")
+    # merged, blocks to the right: a broadcast of the shares would hold all copies of a block at once
+    copies = shares.select(*KEYS, F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share")).join(met.hint("merge"), KEYS)
+    share = F.pmod(F.xxhash64(*window), F.col("_shares")).cast("int").alias("_share")
+    each = each.join(shares, KEYS).select(*window, *inside, F.col("block_row").alias("_row"), F.col("block_col").alias("_col"), share)
+
+    def cut(asked: pa.Table, met: pa.Table) -> pa.Table:
+        asked = asked if met.num_rows else asked.slice(0, 0)
+        values = _arrays(met.column("pixels").combine_chunks(), block)[0].reshape(-1, block)
+        c0, c1, r0, r1 = (asked.column(c).to_numpy().astype(float) for c in window)
+        most = _most((c1 - c0 + 1) * (r1 - r0 + 1))
+        counts, tops = np.zeros(len(most), np.int64), [np.zeros(0)]
+        for i, (ra, rb, ca, cb, k) in enumerate(zip(*(asked.column(c).to_numpy() for c in ("ra", "rb", "ca", "cb")), most, strict=True)):
+            part = values[ra : rb + 1, ca : cb + 1]
+            part = part[~np.isnan(part)]
+            counts[i] = n = len(part)
+            tops.append(np.partition(part, n - int(k))[n - int(k) :] if k < n else part)
+        ends = np.cumsum([len(t) for t in tops]).astype(np.int32)
+        return pa.table([*(asked.column(c) for c in window), pa.array(counts), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(tops)))], names=[*window, "n", "top"])
+
+    pieces = each.groupBy("_row", "_col", "_share").cogroup(copies.groupBy(*KEYS, "_share")).applyInArrow(cut, "c0 long, c1 long, r0 long, r1 long, n long, top array<double>")
+    held = pieces.filter("n > 0").groupBy(*window).agg(F.sum("n").alias("n"), F.sort_array(F.flatten(F.collect_list("top"))).alias("top"))
+    place = (F.col("n") - 1) * PART
+    low, high = F.floor(place), F.ceil(place)
+    value = lambda rank: F.element_at("top", (rank - F.col("n")).cast("int"))
+    between = (high - place) * value(low) + (place - low) * value(high)
+    p90 = held.select(*window, F.when((low == high) | (value(low) == value(high)), value(low)).otherwise(between).alias("p90"))
     return frame.join(p90, window, "left").select("zid", F.coalesce("p90", F.lit(0.0)).alias("p90"))
+
+
+def _most(area: np.ndarray) -> np.ndarray:
+    """The number of greatest values of a window of ``area`` pixels, and so of each of its parts, that its percentile can be between."""
+    return area - np.floor(PART * (area - 1)) + 1

@@ -1,5 +1,6 @@
 """Work that grows with places, windows and rows, not with copies of them or with both sides of a join."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from hexfold.functions import geo
@@ -42,6 +43,27 @@ def test_boxes_of_one_window_ask_once(spark, monkeypatch):
     assert asked == [2] and got == {**dict.fromkeys(range(20), values[13] + 0.5 * (values[14] - values[13])), 20: 0.0, 21: 0.0}
 
 
+def joins(plan):
+    """The names of the columns of every join of a plan."""
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    own = [{plan.output().apply(i).name() for i in range(plan.output().size())}] if plan.nodeName() == "Join" else []
+    return own + [names for b in below for names in joins(b)]
+
+
+def test_windows_meet_blocks_in_groups_not_in_rows_with_pixels(spark, monkeypatch):
+    monkeypatch.setattr(raster, "SHARE", 300, raising=False)  # several copies of a block
+    slopes = {(r, c): None if (r + 2 * c) % 7 == 0 else float(r * 37 % 23 + c * 11 % 17) for r in range(11) for c in range(9) if (r, c) != (5, 5)}
+    sides = [(a, b) for a in range(-2, 12, 2) for b in range(a, 12, 3)]
+    windows = dict(enumerate([*((r, c) for r in sides for c in sides), ((9, 1), (1, 9)), ((1, 9), (9, 1))]))
+    boxes = spark.createDataFrame([(i, c0 + 0.5, -r1 + 0.5, c1 - 0.5, -r0 - 0.5) for i, ((r0, r1), (c0, c1)) in windows.items()], "zid long, x0 double, y0 double, x1 double, y1 double")
+    stored = raster.blocks(spark.createDataFrame([(r, c, v) for (r, c), v in slopes.items()], "px_row int, px_col int, elev double"), 4)
+    made = raster.zonal_p90(boxes, stored, 0.0, 0.0, 1.0, 1.0, block=4)
+    inside = lambda w: [v for (r, c), v in slopes.items() if v is not None and w[0][0] <= r <= w[0][1] and w[1][0] <= c <= w[1][1]]
+    assert {r.zid: round(r.p90, 9) for r in made.collect()} == {i: round(float(np.percentile(inside(w) or [0.0], 90)), 9) for i, w in windows.items()}
+    found = joins(made._jdf.queryExecution().optimizedPlan())
+    assert found and not any({"c0", "pixels"} <= names for names in found)
+
+
 def test_places_and_the_least_targets_of_a_place_are_compared(spark, monkeypatch):
     kept = watched(monkeypatch, spatial, "written", 0)
     targets = points(spark, [(0.0, 0.0), (0.01, 0.0)], 50).withColumnRenamed("pid", "tid")
