@@ -24,6 +24,7 @@ BLOCK = 128  #: pixels on a side of a block
 TILE = 16  #: blocks on a side of a tile, the partition of a stored raster
 BUCKETS = 16
 SHARE = 1 << 20  #: pixels that the windows of one copy of a block take from it, about
+PASS = 16  #: blocks that one numpy pass works on
 KEYS = ["block_row", "block_col"]
 SIDES = ("west", "east", "north", "south")
 PART = 0.9  #: fixed value: the percentile of zones
@@ -74,14 +75,19 @@ def _arrays(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return values.reshape(-1, size, size), (~(valid & np.isnan(values))).reshape(-1, size, size)
 
 
+def _passes(batches):
+    """The rows of batches, few at a time: a batch may hold hundreds of blocks, and each step of a pass as many arrays."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PASS):
+            yield batch.slice(at, PASS)
+
+
 def strips(stored: DataFrame, k: int) -> DataFrame:
     """block_row, block_col and, for each side, the strip of ``k`` pixels that the neighbour there has along it."""
     source = stored.select(*KEYS, "size", "pixels")
 
     def cut(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _passes(batches):
             size = batch.column("size")[0].as_py()
             values, there = _arrays(batch.column("pixels"), size)
             row, col = (batch.column(c).to_numpy() for c in KEYS)
@@ -104,9 +110,7 @@ def stencil(stored: DataFrame, k: int, value) -> DataFrame:
     both = own.join(strips(stored, k), KEYS, "left")
 
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _passes(batches):
             size = batch.column("size")[0].as_py()
             if k > size:
                 raise ValueError(f"a stencil of {k} pixels reaches over blocks of {size}")

@@ -64,6 +64,17 @@ def test_windows_meet_blocks_in_groups_not_in_rows_with_pixels(spark, monkeypatc
     assert found and not any({"c0", "pixels"} <= names for names in found)
 
 
+def test_stencils_work_on_few_blocks_at_a_time(spark):
+    def west_of(mid, west, east, north, south, rows):
+        if len(mid) > 16:
+            raise ValueError(f"{len(mid)} blocks at once")
+        return west
+
+    dem = spark.createDataFrame([(r, c, float(100 * r + c)) for r in range(30) for c in range(20)], "px_row int, px_col int, elev double")
+    made = raster.pixels(raster.stencil(raster.store(raster.blocks(dem, 1), 1), 1, west_of), "v")
+    assert {(r.px_row, r.px_col): r.v for r in made.collect()} == {(r, c): 100.0 * r + c - 1 if c else None for r in range(30) for c in range(20)}
+
+
 def test_places_and_the_least_targets_of_a_place_are_compared(spark, monkeypatch):
     kept = watched(monkeypatch, spatial, "written", 0)
     targets = points(spark, [(0.0, 0.0), (0.01, 0.0)], 50).withColumnRenamed("pid", "tid")
